@@ -16,7 +16,7 @@ def text_date(c) -> Column:
     at 03:00 +05:30 on 1 Dec counts as 1 Dec, not 30 Nov in UTC. Text that is
     not a date gives NULL.
     """
-    return F.try_to_date(F.substring(as_col(c).cast("string"), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(as_col(c).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
 def instant_date(c) -> Column:
