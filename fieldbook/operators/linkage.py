@@ -38,7 +38,7 @@ class LinkColumns:
     located: str = "located"              # 'yes' / 'no' / other
     contact_status: str = "contact_status"  # derived from ``located``
     roster_id: str = "roster_no"
-    contact_id: str = "uuid"
+    contact_id: str = "submission_no"
 
 
 DEFAULT_COLUMNS = LinkColumns()

@@ -202,7 +202,7 @@ FROM fc_roster r
 WHERE r.phone_number IN (SELECT phone_number FROM fc_shared)
   AND NOT EXISTS (SELECT 1 FROM fc_contact c WHERE c.contact_phone = r.phone_number AND c.contact_name = r.roster_name)
 UNION ALL
-SELECT 'contact', c.contact_phone, c.contact_name, c.uuid
+SELECT 'contact', c.contact_phone, c.contact_name, CAST(c.submission_no AS VARCHAR)
 FROM fc_contact c
 WHERE c.contact_phone IN (SELECT phone_number FROM fc_shared)
   AND NOT EXISTS (SELECT 1 FROM fc_roster r WHERE c.contact_phone = r.phone_number AND c.contact_name = r.roster_name)"""),
