@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clean_text
-from fieldbook.operators.joins import BROADCAST_MAX_ROWS, first_per_key
+from fieldbook.operators.joins import first_per_key
 
 
 @dataclass(frozen=True)
@@ -54,34 +54,33 @@ def first_match(dictionary: DataFrame, key: str, values: Sequence[str], order: s
     return first_per_key(dictionary.select(key, *values, order), [key], ordering).drop(order)
 
 
-def _small(dictionary: DataFrame, max_rows: int) -> bool:
-    """Whether the raw dictionary has at most ``max_rows`` rows.
+def _small(dictionary: DataFrame, max_rows: int | None) -> bool:
+    """Whether to hint a broadcast: only after counting the raw dictionary.
 
-    Counting the raw table (one scan stage, stops after ``max_rows + 1``
-    rows) bounds the deduplicated side, which can only be smaller.
+    ``max_rows=None`` gives no hint: Spark then plans from the table's size
+    statistics and AQE re-checks the measured size at run time, falling back
+    to a shuffle join for a large dictionary. With ``max_rows`` the raw table
+    is counted (one scan, stops after ``max_rows + 1`` rows), which bounds the
+    deduplicated side.
     """
-    return dictionary.limit(max_rows + 1).count() <= max_rows
+    return max_rows is not None and dictionary.limit(max_rows + 1).count() <= max_rows
 
 
 def _attach(df: DataFrame, column: str, deduped: DataFrame, key: str,
             outputs: dict[str, str], broadcast: bool) -> DataFrame:
-    """Null-safe left join of ``df[column]`` to a first-match dictionary.
-
-    Without ``broadcast`` the dictionary is shuffle-joined (AQE may still
-    switch to a broadcast from the measured size).
-    """
+    """Null-safe left join of ``df[column]`` to a first-match dictionary."""
     side = deduped.select(F.col(key).alias("_dk"), *[F.col(v).alias(o) for v, o in outputs.items()])
     if broadcast:
         side = F.broadcast(side)
     return df.join(side, F.col(column).eqNullSafe(F.col("_dk")), "left").drop("_dk")
 
 
-def standardize(df: DataFrame, lookups: Sequence[Lookup], max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def standardize(df: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None) -> DataFrame:
     """Normalise each raw column and attach its dictionary's clean values.
 
     Every dictionary is reduced to one row per key first, so the lookup can
-    neither drop nor multiply data rows. Each is broadcast only after its row
-    count is found under ``max_rows``; a larger one is shuffle-joined.
+    neither drop nor multiply data rows. See ``_small`` for when a dictionary
+    is broadcast.
     """
     out = df
     for lk in lookups:
@@ -94,11 +93,11 @@ def standardize(df: DataFrame, lookups: Sequence[Lookup], max_rows: int = BROADC
 
 def standardize_roles(df: DataFrame, dictionary: DataFrame, roles: Sequence[str],
                       key: str = "business_type", value: str = "business_type_clean",
-                      order: str = "ord", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                      order: str = "ord", max_rows: int | None = None) -> DataFrame:
     """One dictionary applied to several columns (``role`` -> ``role_clean``).
 
-    The deduplicated dictionary is built once; its broadcast is shared by the
-    role joins.
+    The deduplicated dictionary is built once and shared by the role joins
+    (its exchange or broadcast is reused).
     """
     deduped = first_match(dictionary, key, [value], order)
     small = _small(dictionary, max_rows)

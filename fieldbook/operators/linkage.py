@@ -93,19 +93,20 @@ def duplicate_keys(contact: DataFrame, key: str, flag: str = "duplicate",
 
 
 def shared_keys(r: DataFrame, c: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS) -> DataFrame:
-    """Phones with more than one ``existing`` master row, from two counts.
+    """Phones with more than one ``existing`` master row, from per-phone counts.
 
     A phone with ``m`` roster rows and ``e`` existing submissions gives
     ``max(m, 1) * e`` existing master rows, so no join of the raw rows is
-    needed: both sides are reduced to one row per phone first.
+    needed: the key columns of both sides are stacked and counted in one
+    aggregate (partial counts per map task, one row per phone after it).
     """
-    m = (r.filter(F.col(cols.roster_key).isNotNull())
-         .groupBy(F.col(cols.roster_key).alias("_k")).agg(F.count(F.lit(1)).alias("_m")))
-    e = (c.filter(F.col(cols.contact_key).isNotNull() & (F.col(cols.data_status) == "existing"))
-         .groupBy(F.col(cols.contact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_e")))
-    return (e.join(m, "_k", "left")
-            .filter(F.greatest(F.coalesce("_m", F.lit(0)), F.lit(1)) * F.col("_e") > 1)
-            .select("_k"))
+    keys = (r.filter(F.col(cols.roster_key).isNotNull())
+            .select(F.col(cols.roster_key).alias("_k"), F.lit(1).alias("_r"), F.lit(0).alias("_x"))
+            .unionByName(
+                c.filter(F.col(cols.contact_key).isNotNull() & (F.col(cols.data_status) == "existing"))
+                .select(F.col(cols.contact_key).alias("_k"), F.lit(0).alias("_r"), F.lit(1).alias("_x"))))
+    per_key = keys.groupBy("_k").agg(F.sum("_r").alias("_m"), F.sum("_x").alias("_e"))
+    return per_key.filter(F.greatest(F.col("_m"), F.lit(1)) * F.col("_e") > 1).select("_k")
 
 
 def _flag_shared(df: DataFrame, key: str, name: str, shared: DataFrame,

@@ -8,10 +8,11 @@ the job functions.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldbook.operators import linkage, reconcile
 from fieldbook.operators.dictionary import dictionary_feedback, standardize
@@ -22,7 +23,7 @@ from fieldbook.plans import first_contact as fc
 from fieldbook.plans import report as rp
 from fieldbook.sources import schemas
 from fieldbook.sources.fixtures import Fixtures
-from fieldbook.sources.landing import load_submissions, write_export
+from fieldbook.sources.landing import load_submissions
 from fieldbook.sources.versioned import publish, read_current, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +34,30 @@ def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
 
 
 def master_of(fx: Fixtures) -> DataFrame:
-    """The finished first-contact master of the fixture layout."""
+    """The finished first-contact master of the fixture layout (computed)."""
     return fc.finished_master(fx.roster, fx.contact, fx.id_master, fc.fixture_lookups(fx))
 
 
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The finished master as the report reads it: a published table.
+
+    The first-contact job publishes the master once (a new version under the
+    shared folder) and every report panel reads that version, as the report
+    reads the master file the first-contact job wrote. Within one session the
+    master of an input folder is built and published once.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _PUBLISHED:
+        slug = re.sub(r"[^A-Za-z0-9]+", "_", key[1]).strip("_")
+        table = f"first_contact_master/{slug}"
+        publish(master_of(_fx(spark, sf_dir)), table)
+        _PUBLISHED[key] = table
+    return read_current(spark, _PUBLISHED[key])
+
+
 # -- first contact ---------------------------------------------------------
 
 def q_load_submissions(spark, sf_dir):
@@ -148,22 +169,23 @@ def q_baseline_rollup(spark, sf_dir):
 
 def q_status_funnel(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return rp.status_funnel(master_of(fx), fx.roster, rule="null_is_new")
+    return rp.status_funnel(published_master(spark, sf_dir), fx.roster, rule="null_is_new")
 
 
 def q_status_funnel_start(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return rp.status_funnel(master_of(fx), fx.roster, rule="start")
+    return rp.status_funnel(published_master(spark, sf_dir), fx.roster, rule="start")
 
 
 def q_waterfall_bars(spark, sf_dir):
     fx = _fx(spark, sf_dir)
-    return rp.waterfall_bars(rp.status_funnel(master_of(fx), fx.roster, rule="start"))
+    return rp.waterfall_bars(rp.status_funnel(published_master(spark, sf_dir), fx.roster, rule="start"))
 
 
 def _on_master(fn, *args, **kwargs) -> Query:
+    """A report panel over the published master."""
     def query(spark, sf_dir):
-        return fn(master_of(_fx(spark, sf_dir)), *args, **kwargs)
+        return fn(published_master(spark, sf_dir), *args, **kwargs)
     query.__doc__ = fn.__doc__
     return query
 

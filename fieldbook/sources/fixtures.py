@@ -171,13 +171,16 @@ class Fixtures:
     sf_dir: str
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            cache[name] = read_table(self.spark, self.sf_dir, name)
+        return cache[name]
 
     @cached_property
     def base(self) -> DataFrame:
         return self.table("customer").selectExpr(*BASE_EXPRS)
 
-    @cached_property
+    @property
     def nation(self) -> DataFrame:
         return self.table("nation")
 
