@@ -36,3 +36,12 @@ def paste_na(*cols, sep: str = ", ") -> Column:
     ``concat`` would give NULL and ``concat_ws`` would skip the value.
     """
     return F.concat_ws(sep, *[F.coalesce(as_col(c).cast("string"), F.lit("NA")) for c in cols])
+
+
+def padded_id(prefix: str, c, width: int = 3, pad: str = "0") -> Column:
+    """``prefix`` + the value left-padded to ``width``; longer values are kept whole.
+
+    ``lpad`` alone would cut a value longer than ``width``.
+    """
+    v = as_col(c).cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(v) >= width, v).otherwise(F.lpad(v, width, pad)))

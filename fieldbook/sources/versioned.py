@@ -90,5 +90,24 @@ def read_current(spark: SparkSession, table: str, schema: T.StructType | None =
     return spark.read.parquet(path)
 
 
+def publish_copies(df: DataFrame, tables: list[str], fmt: str = "parquet",
+                   root: str | None = None) -> dict[str, int]:
+    """Publish one frame to several tables (e.g. one per audience).
+
+    The frame is computed once: the first table is written from it, the
+    others are copied from that written version, so the work is not redone
+    and a lost executor only costs a re-read of finished files.
+    """
+    if not tables:
+        return {}
+    spark = df.sparkSession
+    first = tables[0]
+    versions = {first: publish(df, first, fmt=fmt, root=root)}
+    written = read_current(spark, first, schema=df.schema if fmt == "csv" else None, root=root)
+    for table in tables[1:]:
+        versions[table] = publish(written, table, fmt=fmt, root=root)
+    return versions
+
+
 def with_version(df: DataFrame, version: int) -> DataFrame:
     return df.withColumn("version", F.lit(version).cast("bigint"))

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from fieldbook.functions import (agree_flag, blank_to, clean_text, level_or_null, paste_na, rank_of,
+from fieldbook.functions import (agree_flag, blank_to, clean_text, level_or_null, padded_id, paste_na, rank_of,
                                  recode, round_half_even, signed_count, squeeze_first, sum0, text_date,
                                  to_number, trim_all)
 
@@ -93,3 +93,8 @@ def test_when_otherwise_no_fallback_gives_naive_count(spark):
     naive = df.select(F.when(F.col("a") == F.col("b"), "YES").otherwise("NO").alias("f"))
     assert [r.f for r in naive.collect()] == ["NO", "NO", "YES"]
     assert [r.f for r in df.select(agree_flag("a", "b").alias("f")).collect()] == [None, None, "YES"]
+
+
+def test_padded_id_does_not_truncate(spark):
+    rows = [(7,), (42,), (1234,), (None,)]
+    assert one(spark, padded_id("UVS", "i"), rows, "i long") == ["UVS007", "UVS042", "UVS1234", None]

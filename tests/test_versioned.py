@@ -7,7 +7,7 @@ import tempfile
 from fieldbook.operators.dictionary import dictionary_feedback, standardize, Lookup
 from fieldbook.sources import schemas
 from fieldbook.sources.landing import load_submissions, write_export
-from fieldbook.sources.versioned import current_version, publish, read_current
+from fieldbook.sources.versioned import current_version, publish, publish_copies, read_current
 
 
 def test_read_modify_write_same_table(spark, fx_small):
@@ -32,3 +32,13 @@ def test_csv_round_trip_keeps_blanks_and_nulls(spark, fx_small):
     assert back.columns == contact.columns
     assert back.exceptAll(contact).count() == 0 and contact.exceptAll(back).count() == 0
     assert back.filter("data_status = ''").count() == contact.filter("data_status = ''").count() > 0
+
+
+def test_one_frame_to_two_tables(spark, fx_small):
+    root = tempfile.mkdtemp(prefix="fieldbook-test-")
+    versions = publish_copies(fx_small.baseline, ["bl_tidy", "bl_partner"], root=root)
+    assert versions == {"bl_tidy": 1, "bl_partner": 1}
+    a = read_current(spark, "bl_tidy", root=root)
+    b = read_current(spark, "bl_partner", root=root)
+    assert a.count() == b.count() == fx_small.baseline.count()
+    assert a.exceptAll(b).count() == 0
