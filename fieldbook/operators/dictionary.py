@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clean_text
-from fieldbook.operators.joins import first_per_key
+from fieldbook.operators.joins import first_per_key, fits
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,7 @@ def _small(dictionary: DataFrame, max_rows: int | None) -> bool:
     is counted (one scan, stops after ``max_rows + 1`` rows), which bounds the
     deduplicated side.
     """
-    return max_rows is not None and dictionary.limit(max_rows + 1).count() <= max_rows
+    return max_rows is not None and fits(dictionary, max_rows)
 
 
 def _attach(df: DataFrame, column: str, deduped: DataFrame, key: str,

@@ -6,8 +6,8 @@
   joins only), and every NULL key of a plain join would hash to one task. In
   this form a hot key is split by AQE on the inner and anti parts, and NULL
   keys (which can never match under ``==``) bypass the shuffle entirely.
-* ``bounded_broadcast``: broadcast a side only after counting it under a
-  limit; beyond the limit the side is joined by shuffle.
+* ``fits`` / ``bounded_broadcast``: broadcast a side only after counting it
+  under a limit; beyond the limit the side is joined by shuffle.
 * ``null_safe_on``: join condition where NULL matches NULL, as the survey
   scripts' joins behave.
 """
@@ -20,20 +20,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Default row limit for a broadcast side. Dictionaries and dimensions are a
-#: few hundred bytes per row, so 200k rows stay far below executor memory.
+#: Default row limit for a counted broadcast. Dictionaries and dimensions are
+#: a few hundred bytes per row, so 200k rows stay far below executor memory.
 BROADCAST_MAX_ROWS = 200_000
 
 
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows. Above the bound the join
-    falls back to a shuffle join (which AQE may still turn into a broadcast
-    from runtime statistics).
+    Above the bound the join falls back to a shuffle join (which AQE may
+    still turn into a broadcast from runtime statistics).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def _pairs(left_keys, right_keys) -> list[tuple[str, str]]:

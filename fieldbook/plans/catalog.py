@@ -123,6 +123,19 @@ def q_ops_export(spark, sf_dir):
     return fc.ops_export(master_of(_fx(spark, sf_dir)))
 
 
+def q_report_csv_hand_off(spark, sf_dir):
+    """The finished master handed to the report as CSV and read back with its schema."""
+    master = master_of(_fx(spark, sf_dir))
+    publish(master, "report_input/first_contact_master", fmt="csv")
+    return read_current(spark, "report_input/first_contact_master", schema=master.schema)
+
+
+def q_registry_duplicates(spark, sf_dir):
+    """Registry keys listed more than once (each would duplicate master rows)."""
+    keys = rp.master_key_counts(_fx(spark, sf_dir).id_master, ["phone_number", "contact_name"])
+    return keys.filter("count > 1")
+
+
 def q_publish_round_trip(spark, sf_dir):
     """Publish the finished master as a new version, read the current one back."""
     publish(master_of(_fx(spark, sf_dir)), "first_contact_master")
@@ -232,5 +245,7 @@ QUERIES: dict[str, Query] = {
     "household_medians": _on_master(rp.household_medians),
     "education_counts": _on_master(rp.education_counts),
     "region_counts": _on_master(rp.category_counts, "origin_region_clean"),
+    "report_csv_hand_off": q_report_csv_hand_off,
+    "registry_duplicates": q_registry_duplicates,
     "publish_round_trip": q_publish_round_trip,
 }

@@ -341,5 +341,8 @@ FROM rp_master WHERE education_level_clean IS NOT NULL GROUP BY education_level_
         "region_counts": _q("""
 SELECT origin_region_clean, count(*) AS "count" FROM rp_master
 WHERE origin_region_clean IS NOT NULL GROUP BY ALL"""),
+        "report_csv_hand_off": _q("SELECT * FROM fc_master"),
+        "registry_duplicates": _q(
+            'SELECT phone_number, contact_name, count(*) AS "count" FROM fx_id_master GROUP BY ALL HAVING count(*) > 1'),
         "publish_round_trip": _q("SELECT * FROM fc_master"),
     }
