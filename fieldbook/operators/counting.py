@@ -73,14 +73,19 @@ def means(df: DataFrame, columns: Sequence[str], prefix: str = "mean_", suffix:
 
 
 def medians(df: DataFrame, columns: Sequence[str], prefix: str = "median_",
-            digits: int | None = None) -> DataFrame:
-    """Exact NULL-skipping medians (mean of the two middle values when even).
-
-    ``median`` is exact (not ``percentile_approx``); it holds a value-to-count
-    map per group, small for survey answers.
+            digits: int | None = None, approx: bool = False, accuracy: int = 100_000) -> DataFrame:
+    """NULL-skipping medians of several columns in one aggregate.
+
+    Exact by default (``median``: the mean of the two middle values when the
+    count is even). The exact aggregate keeps a value-to-count map per group,
+    small for survey answers; for a continuous column over billions of rows
+    use ``approx=True`` (``percentile_approx``, a fixed-size sketch whose
+    rank error is at most ``1 / accuracy``; it returns an observed value, so
+    it never interpolates).
     """
     out = []
     for c in columns:
-        m = F.median(F.col(c).cast("double"))
+        x = F.col(c).cast("double")
+        m = F.percentile_approx(x, 0.5, accuracy) if approx else F.median(x)
         out.append((round_half_even(m, digits) if digits is not None else m).alias(f"{prefix}{c}"))
     return df.agg(*out)

@@ -36,7 +36,10 @@ def load_submissions(spark: SparkSession, path: str, schema: T.StructType | None
 
     ``schema`` lists the export's own (raw) column names and their types, in
     file order; CSV exports need it. ``NA`` cells read as NULL, a quoted
-    empty string as ``''`` (see ``CSV_OPTIONS``).
+    empty string as ``''`` (see ``CSV_OPTIONS``). Quoted cells may hold line
+    breaks (free-text answers), so a CSV file is read by one task: many
+    export files read in parallel, but one very large export should land as
+    Parquet instead.
     """
     if fmt == "csv":
         if schema is None:

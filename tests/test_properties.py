@@ -95,3 +95,11 @@ def test_histogram_right_closed_bins(spark):
     df = spark.createDataFrame([(20.0,), (25.0,), (25.5,), (30.0,)], "x double")
     rows = {r.bin: r["count"] for r in fixed_width_histogram(df, "x", 5, boundary=0).collect()}
     assert rows == {0: 2, 1: 2}  # [20, 25] holds 20 and 25; (25, 30] holds 25.5 and 30
+
+
+def test_approx_median_is_close(spark, fx_small):
+    from fieldbook.operators.counting import medians
+
+    exact = medians(fx_small.contact, ["age"]).first()[0]
+    approx = medians(fx_small.contact, ["age"], approx=True).first()[0]
+    assert abs(exact - approx) <= 1.0
