@@ -103,3 +103,27 @@ def test_approx_median_is_close(spark, fx_small):
     exact = medians(fx_small.contact, ["age"]).first()[0]
     approx = medians(fx_small.contact, ["age"], approx=True).first()[0]
     assert abs(exact - approx) <= 1.0
+
+
+def test_hot_shared_phone_is_joined_by_name(spark):
+    """A phone held by 300 roster rows and 300 submissions: pairs by name only.
+
+    The plain join forms 90,000 pairs for that phone before the rule prunes
+    them; the rewrite joins on (phone, name) and returns the same rows.
+    """
+    n = 300
+    hot = 9000000000.0
+    roster = spark.range(n).selectExpr(
+        "id AS roster_no", f"CAST({hot} AS DOUBLE) AS phone_number",
+        "concat('name', CAST(id AS STRING)) AS roster_name", "'Active' AS final_status")
+    contact = spark.range(n).selectExpr(
+        "concat('u', CAST(id AS STRING)) AS uuid", "id AS submission_no",
+        "concat('name', CAST(id * 7 AS STRING)) AS contact_name", f"'{int(hot)}' AS phone_text",
+        "'' AS data_status", "'yes' AS located")
+    resolved = linkage.link_members(roster, contact)
+    plain = linkage.build_master(roster, contact)
+    assert plain.count() == n * n
+    expected = plain.filter(F.col("contact_name") == F.col("roster_name"))
+    assert resolved.count() == expected.count() == len([i for i in range(n) if i * 7 < n])
+    rejects = linkage.shared_key_rejects(roster, contact)
+    assert rejects.count() == 2 * (n - expected.count())
