@@ -108,29 +108,35 @@ def standardize_roles(df: DataFrame, dictionary: DataFrame, roles: Sequence[str]
     return out
 
 
-def _merge_pairs(dictionary: DataFrame, pairs: DataFrame, key: str, value: str, order: str) -> DataFrame:
-    """Dictionary plus new (key, value) pairs; no blank keys; one row per pair.
+def _values(value: str | Sequence[str]) -> list[str]:
+    return [value] if isinstance(value, str) else list(value)
+
+
+def _merge_pairs(dictionary: DataFrame, pairs: DataFrame, key: str, values: list[str], order: str) -> DataFrame:
+    """Dictionary plus new (key, values) rows; no blank keys; one row per pair.
 
     A pair already listed keeps its lowest position; a new pair gets none.
     ``key != ''`` also drops NULL keys.
     """
     order_type = dict(dictionary.dtypes)[order]
-    new = pairs.select(F.lit(None).cast(order_type).alias(order), key, value)
-    merged = dictionary.select(order, key, value).unionByName(new)
+    new = pairs.select(F.lit(None).cast(order_type).alias(order), key, *values)
+    merged = dictionary.select(order, key, *values).unionByName(new)
     return (merged.filter(F.col(key) != "")
-            .groupBy(key, value).agg(F.min(order).alias(order))
-            .select(order, key, value))
+            .groupBy(key, *values).agg(F.min(order).alias(order))
+            .select(order, key, *values))
 
 
-def dictionary_feedback(df: DataFrame, dictionary: DataFrame, key: str, value: str,
+def dictionary_feedback(df: DataFrame, dictionary: DataFrame, key: str, value: str | Sequence[str],
                         order: str = "ord") -> DataFrame:
     """Dictionary extended with every data key that got no clean value.
 
-    New rows carry a NULL clean value for a person to fill in. Keys whose first
-    match has a NULL value are already listed and are not added twice.
+    ``value`` is the clean column (or all value columns, the first being the
+    clean one). New rows carry NULL values for a person to fill in. Keys whose
+    first match has a NULL value are already listed and are not added twice.
     """
-    missing = df.filter(F.col(value).isNull()).select(key, value).distinct()
-    return _merge_pairs(dictionary, missing, key, value, order)
+    values = _values(value)
+    missing = df.filter(F.col(values[0]).isNull()).select(key, *values).distinct()
+    return _merge_pairs(dictionary, missing, key, values, order)
 
 
 def compact_dictionary(df: DataFrame, dictionary: DataFrame, roles: Sequence[str],
@@ -144,4 +150,4 @@ def compact_dictionary(df: DataFrame, dictionary: DataFrame, roles: Sequence[str
     pairs = reduce(lambda a, b: a.unionByName(b), [
         df.select(F.col(r).alias(key), F.col(f"{r}_clean").alias(value)).filter(F.col(value).isNotNull())
         for r in roles])
-    return _merge_pairs(dictionary, pairs.distinct(), key, value, order)
+    return _merge_pairs(dictionary, pairs.distinct(), key, [value], order)
