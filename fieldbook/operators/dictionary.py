@@ -51,7 +51,7 @@ def first_match(dictionary: DataFrame, key: str, values: Sequence[str], order: s
     deterministic.
     """
     ordering = [F.col(order).asc_nulls_last()] + [F.col(v).asc_nulls_last() for v in values]
-    return first_per_key(dictionary.select(key, *values, order), [key], ordering).drop(order)
+    return first_per_key(dictionary.select(key, *values, order), [key], ordering)
 
 
 def _small(dictionary: DataFrame, max_rows: int | None) -> bool:
@@ -72,7 +72,7 @@ def _attach(df: DataFrame, column: str, deduped: DataFrame, key: str,
     side = deduped.select(F.col(key).alias("_dk"), *[F.col(v).alias(o) for v, o in outputs.items()])
     if broadcast:
         side = F.broadcast(side)
-    return df.join(side, F.col(column).eqNullSafe(F.col("_dk")), "left").drop("_dk")
+    return df.join(side, F.col(column).eqNullSafe(F.col("_dk")), "left").select(*df.columns, *outputs.values())
 
 
 def standardize(df: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None) -> DataFrame:
@@ -82,9 +82,9 @@ def standardize(df: DataFrame, lookups: Sequence[Lookup], max_rows: int | None =
     neither drop nor multiply data rows. See ``_small`` for when a dictionary
     is broadcast.
     """
-    out = df
+    raw = {lk.column for lk in lookups}
+    out = df.select(*[clean_text(c).alias(c) if c in raw else F.col(c) for c in df.columns])
     for lk in lookups:
-        out = out.withColumn(lk.column, clean_text(lk.column))
         deduped = first_match(lk.dictionary, lk.key_col, lk.value_cols, lk.order)
         out = _attach(out, lk.column, deduped, lk.key_col, {v: v for v in lk.value_cols},
                       _small(lk.dictionary, max_rows))
@@ -101,9 +101,8 @@ def standardize_roles(df: DataFrame, dictionary: DataFrame, roles: Sequence[str]
     """
     deduped = first_match(dictionary, key, [value], order)
     small = _small(dictionary, max_rows)
-    out = df
+    out = df.select(*[clean_text(c).alias(c) if c in roles else F.col(c) for c in df.columns])
     for role in roles:
-        out = out.withColumn(role, clean_text(role))
         out = _attach(out, role, deduped, key, {value: f"{role}_clean"}, small)
     return out
 

@@ -102,4 +102,4 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     from pyspark.sql import Window
 
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    return df.select("*", F.row_number().over(w).alias("_rn")).filter(F.col("_rn") == 1).select(*df.columns)

@@ -57,11 +57,15 @@ def prepare_contact(contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
     * located ``yes``/``no`` -> ``active``/``missing``, other values kept;
     * phone text -> DOUBLE, NULL when it is not a number.
     """
-    return (contact
-            .withColumn(cols.data_status, blank_to(cols.data_status, "existing", null_means_blank))
-            .withColumn(cols.contact_status, recode(cols.located, {"yes": "active", "no": "missing"}))
-            .withColumn(cols.contact_key, to_number(cols.contact_key_text))
-            .drop(cols.contact_key_text))
+    derived = {
+        cols.data_status: blank_to(cols.data_status, "existing", null_means_blank),
+        cols.contact_status: recode(cols.located, {"yes": "active", "no": "missing"}),
+        cols.contact_key: to_number(cols.contact_key_text),
+    }
+    kept = [F.col(c) if c not in derived else derived[c].alias(c)
+            for c in contact.columns if c != cols.contact_key_text]
+    extra = [e.alias(c) for c, e in derived.items() if c not in contact.columns]
+    return contact.select(*kept, *extra)
 
 
 def _merge_key(df: DataFrame, cols: LinkColumns) -> DataFrame:
@@ -117,10 +121,11 @@ def _flag_shared(df: DataFrame, key: str, name: str, shared: DataFrame,
     join on (phone, second key) pairs rows by name on shared phones and by
     phone alone on all others.
     """
-    marks = shared.select(F.col("_k"), F.lit(True).alias(flag))
-    return (df.join(marks, F.col(key) == F.col("_k"), "left").drop("_k")
-            .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-            .withColumn(join_name, F.when(F.col(flag), F.col(name)).otherwise(F.lit(""))))
+    marks = shared.select(F.col("_k"), F.lit(True).alias("_hit"))
+    on_shared = F.coalesce(F.col("_hit"), F.lit(False))
+    return (df.join(marks, F.col(key) == F.col("_k"), "left")
+            .select(*[F.col(c) for c in df.columns], on_shared.alias(flag),
+                    F.when(on_shared, F.col(name)).otherwise(F.lit("")).alias(join_name)))
 
 
 def _linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns, null_means_blank: bool):
@@ -159,7 +164,10 @@ def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFA
     the per-phone cross product of a shared phone.
     """
     joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank)
-    return _merge_key(joined.filter(~on_shared | matched).drop(*_HELPERS), cols)
+    kept = joined.filter(~on_shared | matched)
+    out = [F.coalesce(cols.roster_key, cols.contact_key).alias(cols.roster_key) if c == cols.roster_key else F.col(c)
+           for c in kept.columns if c not in _HELPERS and c != cols.contact_key]
+    return kept.select(*out)
 
 
 def shared_key_rejects(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,

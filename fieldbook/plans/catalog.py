@@ -38,7 +38,7 @@ def master_of(fx: Fixtures) -> DataFrame:
     return fc.finished_master(fx.roster, fx.contact, fx.id_master, fc.fixture_lookups(fx))
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple[str, str], tuple[str, object]] = {}
 
 
 def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +53,11 @@ def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     if key not in _PUBLISHED:
         slug = re.sub(r"[^A-Za-z0-9]+", "_", key[1]).strip("_")
         table = f"first_contact_master/{slug}"
-        publish(master_of(_fx(spark, sf_dir)), table)
-        _PUBLISHED[key] = table
-    return read_current(spark, _PUBLISHED[key])
+        master = master_of(_fx(spark, sf_dir))
+        publish(master, table)
+        _PUBLISHED[key] = (table, master.schema)
+    table, schema = _PUBLISHED[key]
+    return read_current(spark, table, schema=schema)
 
 
 # -- first contact ---------------------------------------------------------

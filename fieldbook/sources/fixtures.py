@@ -160,7 +160,13 @@ def fixture_ctes() -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table, with its declared schema when known (no footer-inference job)."""
+    from fieldbook.sources.schemas import INPUT_TABLES
+
+    reader = spark.read
+    if name in INPUT_TABLES:
+        reader = reader.schema(INPUT_TABLES[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 @dataclass

@@ -16,6 +16,13 @@ def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The test tables the fixture views read.
+CUSTOMER = struct(("c_custkey", L), ("c_name", S), ("c_nationkey", T.IntegerType()), ("c_acctbal", D),
+                  ("c_mktsegment", S))
+NATION = struct(("n_nationkey", T.IntegerType()), ("n_name", S), ("n_regionkey", T.IntegerType()))
+REGION = struct(("r_regionkey", T.IntegerType()), ("r_name", S))
+INPUT_TABLES = {"customer": CUSTOMER, "nation": NATION, "region": REGION}
+
 ROSTER = struct(("roster_no", L), ("phone_number", D), ("roster_name", S), ("final_status", S))
 
 CONTACT = struct(

@@ -77,7 +77,8 @@ def read_current(spark: SparkSession, table: str, schema: T.StructType | None =
                  root: str | None = None) -> DataFrame:
     """The current version of ``table``.
 
-    CSV versions need ``schema`` (no inference); Parquet carries its own.
+    CSV versions need ``schema`` (no inference). Parquet carries its own;
+    passing it anyway skips reading the file footers for it.
     """
     cur = current_version(spark, table, root)
     if cur is None:
@@ -87,7 +88,7 @@ def read_current(spark: SparkSession, table: str, schema: T.StructType | None =
     if fmt == "csv":
         reader = spark.read.options(**CSV_OPTIONS)
         return (reader.schema(schema) if schema is not None else reader).csv(path)
-    return spark.read.parquet(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
 def publish_copies(df: DataFrame, tables: list[str], fmt: str = "parquet",
