@@ -97,4 +97,4 @@ def test_when_otherwise_no_fallback_gives_naive_count(spark):
 
 def test_padded_id_does_not_truncate(spark):
     rows = [(7,), (42,), (1234,), (None,)]
-    assert one(spark, padded_id("UVS", "i"), rows, "i long") == ["UVS007", "UVS042", "UVS1234", None]
+    assert one(spark, padded_id("M", "i"), rows, "i long") == ["M007", "M042", "M1234", None]
