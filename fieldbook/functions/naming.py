@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 def snake_name(name: str) -> str:
     """One name in snake_case: ASCII-folded, lower case, ``_`` separated.
 
-    ``'Q7. Name of Candidate (Beneficiary)'`` -> ``'q7_name_of_candidate_beneficiary'``;
+    ``'Q7. Name of Participant (Main)'`` -> ``'q7_name_of_participant_main'``;
     a camelCase boundary also becomes ``_``; ``%`` reads as ``percent``.
     """
     text = unicodedata.normalize("NFKD", str(name)).encode("ascii", "ignore").decode()

@@ -7,7 +7,7 @@ from fieldbook.operators.rollup import GROUP_LABELS, LAYOUT_PATTERNS
 
 
 def test_snake_name():
-    assert snake_name("Q7. Name of Candidate (Beneficiary)") == "q7_name_of_candidate_beneficiary"
+    assert snake_name("Q7. Name of Participant (Main)") == "q7_name_of_participant_main"
     assert snake_name("Member Phone Number") == "member_phone_number"
     assert snake_name("_id") == "id"
     assert snake_name("camelCaseName") == "camel_case_name"
