@@ -196,8 +196,8 @@ class Fixtures:
 
     @property
     def contact(self) -> DataFrame:
-        # nation is the fixed 25-row TPC-H dimension: a broadcast is bounded.
-        nation = F.broadcast(self.nation.select("n_nationkey", "n_name"))
+        # nation is a small dimension; Spark broadcasts it from its size statistics.
+        nation = self.nation.select("n_nationkey", "n_name")
         joined = self.base.filter(CONTACT_FILTER).join(nation, F.col("n_nationkey") == F.col("nk"), "left")
         return joined.selectExpr(*CONTACT_EXPRS)
 
