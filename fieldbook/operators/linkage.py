@@ -68,10 +68,11 @@ def prepare_contact(contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
     return contact.select(*kept, *extra)
 
 
-def _merge_key(df: DataFrame, cols: LinkColumns) -> DataFrame:
-    """One phone column named after the roster's, then the contact columns."""
-    return (df.withColumn(cols.roster_key, F.coalesce(cols.roster_key, cols.contact_key))
-            .drop(cols.contact_key))
+def _merge_key(df: DataFrame, cols: LinkColumns, drop: tuple[str, ...] = ()) -> DataFrame:
+    """One phone column (the roster's name, either side's value); ``drop`` removed."""
+    merged = F.coalesce(cols.roster_key, cols.contact_key).alias(cols.roster_key)
+    return df.select(*[merged if c == cols.roster_key else F.col(c)
+                       for c in df.columns if c != cols.contact_key and c not in drop])
 
 
 def build_master(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
@@ -151,7 +152,7 @@ def _linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns, null_means
     return joined, on_shared, matched
 
 
-_HELPERS = ["_r_shared", "_r_join", "_c_shared", "_c_join"]
+_HELPERS = ("_r_shared", "_r_join", "_c_shared", "_c_join")
 
 
 def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
@@ -164,10 +165,7 @@ def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFA
     the per-phone cross product of a shared phone.
     """
     joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank)
-    kept = joined.filter(~on_shared | matched)
-    out = [F.coalesce(cols.roster_key, cols.contact_key).alias(cols.roster_key) if c == cols.roster_key else F.col(c)
-           for c in kept.columns if c not in _HELPERS and c != cols.contact_key]
-    return kept.select(*out)
+    return _merge_key(joined.filter(~on_shared | matched), cols, drop=_HELPERS)
 
 
 def shared_key_rejects(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,

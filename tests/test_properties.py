@@ -127,3 +127,22 @@ def test_hot_shared_phone_is_joined_by_name(spark):
     assert resolved.count() == expected.count() == len([i for i in range(n) if i * 7 < n])
     rejects = linkage.shared_key_rejects(roster, contact)
     assert rejects.count() == 2 * (n - expected.count())
+
+
+def test_null_means_blank_widens_existing(fx_small):
+    literal = linkage.prepare_contact(fx_small.contact)
+    widened = linkage.prepare_contact(fx_small.contact, null_means_blank=True)
+    n_null = fx_small.contact.filter("data_status IS NULL").count()
+    assert n_null > 0
+    assert (widened.filter("data_status = 'existing'").count()
+            == literal.filter("data_status = 'existing'").count() + n_null)
+
+
+def test_status_polarity(fx_small):
+    bl, ops = fx_small.baseline, fx_small.id_master
+    newer = reconcile.missing_first_contact(bl, ops)
+    older = reconcile.missing_first_contact(bl, ops, status_is_null=False)
+    everyone = reconcile.missing_first_contact(bl.withColumn("visit_status", F.lit(None).cast("string")), ops)
+    assert newer.count() + older.count() == everyone.count()
+    report_old = reconcile.match_report(ops, bl, status_is_null=False)
+    assert report_old.count() == bl.filter("visit_status IS NOT NULL").count()
