@@ -1,5 +1,7 @@
 """Join building blocks.
 
+* ``anti_join``: rows whose key is absent from the other side, against the
+  other side's distinct keys (so a hot key there cannot hold one task).
 * ``full_outer_join``: a full outer equi-join written as inner + two anti
   joins + the NULL-key rows. Spark cannot split a skewed partition of a full
   outer join (AQE skew handling covers inner, left/right outer and semi/anti
@@ -62,6 +64,20 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def anti_join(left: DataFrame, right: DataFrame, left_keys, right_keys, null_safe: bool = False) -> DataFrame:
+    """Rows of ``left`` whose key is absent from ``right``.
+
+    Only the set of right keys matters, so the right side is reduced to its
+    distinct keys first (a partial aggregate: a hot key becomes one row per
+    map task). AQE can split a hot key of the left side; the right side then
+    has no hot key left to hold one task.
+    """
+    pairs = _pairs(left_keys, right_keys)
+    keys = right.select(*[F.col(r).alias(f"_ak{i}") for i, (_, r) in enumerate(pairs)]).distinct()
+    on = equi_on([(lk, f"_ak{i}") for i, (lk, _) in enumerate(pairs)], null_safe)
+    return left.join(keys, on, "left_anti")
+
+
 def full_outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys,
                     null_safe: bool = False) -> DataFrame:
     """Full outer equi-join of two frames whose column names are disjoint.
@@ -75,7 +91,6 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys,
     lk = [p[0] for p in pairs]
     rk = [p[1] for p in pairs]
     on = equi_on(pairs, null_safe)
-    swapped = equi_on([(r, l) for l, r in pairs], null_safe)
 
     parts = []
     if null_safe:
@@ -86,8 +101,8 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys,
         parts += [left.filter(_any_null(lk)), right.filter(_any_null(rk))]
     parts = [
         l_in.join(r_in, on, "inner"),
-        l_in.join(r_in, on, "left_anti"),
-        r_in.join(l_in, swapped, "left_anti"),
+        anti_join(l_in, r_in, lk, rk, null_safe),
+        anti_join(r_in, l_in, rk, lk, null_safe),
     ] + parts
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return out.select(*left.columns, *right.columns)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import agree_flag, with_suffix
-from fieldbook.operators.joins import full_outer_join, null_safe_on
+from fieldbook.operators.joins import anti_join, full_outer_join
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,8 @@ def missing_first_contact(baseline: DataFrame, ops: DataFrame, cols: ReconcileCo
     """Baseline rows (status filter applied) whose id is absent from first contact."""
     bl = with_suffix(baseline, "_bl")
     fc = with_suffix(ops, "_fc")
-    return (bl.filter(_status_test(cols, status_is_null))
-            .join(fc, null_safe_on(cols.bl_id + "_bl", cols.fc_id + "_fc"), "left_anti")
+    return (anti_join(bl.filter(_status_test(cols, status_is_null)), fc, cols.bl_id + "_bl", cols.fc_id + "_fc",
+                      null_safe=True)
             .select(F.col(cols.bl_id + "_bl").alias("member_id"),
                     F.col(cols.bl_name + "_bl").alias("member_name"),
                     F.col(cols.bl_phone + "_bl").alias("phone_number")))
@@ -52,7 +52,7 @@ def missing_baseline(ops: DataFrame, baseline: DataFrame, cols: ReconcileColumns
     """First-contact rows whose id is absent from the baseline."""
     bl = with_suffix(baseline, "_bl")
     fc = with_suffix(ops, "_fc")
-    return (fc.join(bl, null_safe_on(cols.fc_id + "_fc", cols.bl_id + "_bl"), "left_anti")
+    return (anti_join(fc, bl, cols.fc_id + "_fc", cols.bl_id + "_bl", null_safe=True)
             .select(F.col(cols.fc_id + "_fc").alias("member_id"),
                     F.col(cols.fc_name + "_fc").alias("member_name"),
                     F.col(cols.fc_phone + "_fc").alias("phone_number")))
