@@ -21,7 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import blank_to, recode, to_number
-from fieldbook.operators.joins import full_outer_join
+from fieldbook.operators.joins import bounded_broadcast, full_outer_join
+
+#: Row bound for broadcasting the shared-phone set (one DOUBLE per row, so
+#: 2 million rows are about 32 MB).
+SHARED_MAX_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -129,15 +133,19 @@ def _flag_shared(df: DataFrame, key: str, name: str, shared: DataFrame,
                     F.when(on_shared, F.col(name)).otherwise(F.lit("")).alias(join_name)))
 
 
-def _linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns, null_means_blank: bool):
+def _linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns, null_means_blank: bool,
+            shared_max_rows: int):
     """Full join on (phone, name-if-shared); returns it with two row tests.
 
     Rows without a phone never match and cannot be shared: they are appended
-    as they are, without a shuffle.
+    as they are, without a shuffle. The shared-phone set (one row per shared
+    phone) is broadcast to both sides after a count under
+    ``shared_max_rows``, so neither input is shuffled by phone just to be
+    flagged; beyond the bound it is shuffle-joined.
     """
     r = prepare_roster(roster, cols)
     c = prepare_contact(contact, cols, null_means_blank)
-    shared = shared_keys(r, c, cols)
+    shared = bounded_broadcast(shared_keys(r, c, cols), shared_max_rows)
     r_key, c_key = F.col(cols.roster_key), F.col(cols.contact_key)
     r_flagged = _flag_shared(r.filter(r_key.isNotNull()), cols.roster_key, cols.roster_name, shared,
                              "_r_shared", "_r_join")
@@ -156,7 +164,7 @@ _HELPERS = ("_r_shared", "_r_join", "_c_shared", "_c_join")
 
 
 def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
-                 null_means_blank: bool = False) -> DataFrame:
+                 null_means_blank: bool = False, shared_max_rows: int = SHARED_MAX_ROWS) -> DataFrame:
     """The master with the shared-key rule applied.
 
     Rows of phones that are not shared (and of NULL phones) are the plain full
@@ -164,19 +172,19 @@ def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFA
     are kept. Names are compared as typed (not trimmed). The join never forms
     the per-phone cross product of a shared phone.
     """
-    joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank)
+    joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank, shared_max_rows)
     return _merge_key(joined.filter(~on_shared | matched), cols, drop=_HELPERS)
 
 
 def shared_key_rejects(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
-                       null_means_blank: bool = False) -> DataFrame:
+                       null_means_blank: bool = False, shared_max_rows: int = SHARED_MAX_ROWS) -> DataFrame:
     """Input rows on shared phones that the shared-key rule removed.
 
     One row per roster row or submission (``side`` says which) that found no
     partner with the same name on its shared phone; linear in the input, so
     a hot phone does not produce a pair list.
     """
-    joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank)
+    joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank, shared_max_rows)
     lost = joined.filter(on_shared & ~matched)
     from_roster = F.col(cols.roster_key).isNotNull()
     return lost.select(
