@@ -140,13 +140,16 @@ def dictionary_feedback(df: DataFrame, dictionary: DataFrame, key: str, value: s
 
 def compact_dictionary(df: DataFrame, dictionary: DataFrame, roles: Sequence[str],
                        key: str = "business_type", value: str = "business_type_clean",
-                       order: str = "ord") -> DataFrame:
+                       order: str = "ord", include_unmatched: bool = False) -> DataFrame:
     """Dictionary merged with the matched pairs of several roles, deduplicated.
 
-    Only pairs with a clean value are merged (they come from the dictionary),
-    so this drops blank keys and duplicate pairs; it adds nothing new.
+    By default only pairs with a clean value are merged (they come from the
+    dictionary), so this drops blank keys and duplicate pairs and adds
+    nothing new. With ``include_unmatched`` the role values without a clean
+    value are fed back too, as ``dictionary_feedback`` does for one column.
     """
     pairs = reduce(lambda a, b: a.unionByName(b), [
-        df.select(F.col(r).alias(key), F.col(f"{r}_clean").alias(value)).filter(F.col(value).isNotNull())
-        for r in roles])
+        df.select(F.col(r).alias(key), F.col(f"{r}_clean").alias(value)) for r in roles])
+    if not include_unmatched:
+        pairs = pairs.filter(F.col(value).isNotNull())
     return _merge_pairs(dictionary, pairs.distinct(), key, [value], order)

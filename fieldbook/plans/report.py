@@ -1,8 +1,11 @@
 """The tables behind the status-and-demographics report.
 
 Every panel reads the finished master through ``report_master``: a derived
-status per row and the dropped rows removed. Panels are single aggregates
-(several statistics per pass); charts themselves are not drawn.
+status per row and the dropped rows removed. ``statuses`` narrows a panel to
+some derived statuses (``None``: all rows); the defaults are the report's
+(active/new for age, facility, finance and access panels, all rows for the
+others). Panels are single aggregates (several statistics per pass); charts
+themselves are not drawn.
 """
 
 from __future__ import annotations
@@ -47,8 +50,9 @@ def report_master(master: DataFrame, rule: str = "start") -> DataFrame:
     return master.withColumn(STATUS, report_status(rule=rule)).filter(F.col(STATUS) != "dropped")
 
 
-def in_programme(df: DataFrame) -> DataFrame:
-    return df.filter(F.col(STATUS).isin(*IN_PROGRAMME))
+def in_programme(df: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    """Rows whose derived status is one of ``statuses`` (``None``: all rows)."""
+    return df if statuses is None else df.filter(F.col(STATUS).isin(*statuses))
 
 
 def status_funnel(master: DataFrame, roster: DataFrame | None = None, rule: str = "start",
@@ -112,54 +116,59 @@ def status_type(master: DataFrame, before: str = "2024-12-01") -> DataFrame:
             .filter(F.col("final_status") != "inactive"))
 
 
-def age_histogram(master: DataFrame, width: float = 5, boundary: float = 0) -> DataFrame:
-    ages = in_programme(report_master(master)).filter(F.col("age").isNotNull())
+def age_histogram(master: DataFrame, width: float = 5, boundary: float = 0,
+                  statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    ages = in_programme(report_master(master), statuses).filter(F.col("age").isNotNull())
     return fixed_width_histogram(ages, "age", width, group="gender", boundary=boundary)
 
 
-def age_summary(master: DataFrame) -> DataFrame:
-    ages = in_programme(report_master(master)).filter(F.col("age").isNotNull())
+def age_summary(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    ages = in_programme(report_master(master), statuses).filter(F.col("age").isNotNull())
     age = F.col("age").cast("double")
     return ages.agg(F.avg(age).alias("mean_age"), F.median(age).alias("median_age"),
                     F.bround(F.avg(age), 2).alias("mean_age_r2"), F.bround(F.median(age), 2).alias("median_age_r2"))
 
 
-def facility_panel(master: DataFrame) -> DataFrame:
-    rows = in_programme(report_master(master)).filter(F.col("facility_type").isNotNull())
+def facility_panel(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    rows = in_programme(report_master(master), statuses).filter(F.col("facility_type").isNotNull())
     return subgroup_counts(rows, "facility_type", "ownership")
 
 
 def composition_means(master: DataFrame,
-                      columns: Sequence[str] = ("total_employees", "total_family_employees")) -> DataFrame:
-    return means(report_master(master), columns, digits=1)
+                      columns: Sequence[str] = ("total_employees", "total_family_employees"),
+                      statuses: Sequence[str] | None = None) -> DataFrame:
+    return means(in_programme(report_master(master), statuses), columns, digits=1)
 
 
 FINANCE = {"daily": (50, (0, 2500)), "monthly": (500, (0, 25000))}
 MEASURES = ("income", "expenses", "profits")
 
 
-def _finance_rows(master: DataFrame, period: str) -> DataFrame:
-    return in_programme(report_master(master)).filter(F.col(f"{period}_expenses").isNotNull())
+def _finance_rows(master: DataFrame, period: str, statuses: Sequence[str] | None) -> DataFrame:
+    return in_programme(report_master(master), statuses).filter(F.col(f"{period}_expenses").isNotNull())
 
 
-def finance_means(master: DataFrame, period: str = "daily") -> DataFrame:
+def finance_means(master: DataFrame, period: str = "daily",
+                  statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
     """Means of income, expenses and profits of in-programme rows with expenses."""
-    return means(_finance_rows(master, period), [f"{period}_{m}" for m in MEASURES], prefix="", suffix="_mean")
+    return means(_finance_rows(master, period, statuses), [f"{period}_{m}" for m in MEASURES],
+                 prefix="", suffix="_mean")
 
 
 def finance_histogram(master: DataFrame, period: str = "daily", width: float | None = None,
-                      limits: tuple[float, float] | None = None) -> DataFrame:
+                      limits: tuple[float, float] | None = None,
+                      statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
     """Histogram per measure in long form, values outside ``limits`` removed."""
     default_width, default_limits = FINANCE[period]
     cols = [f"{period}_{m}" for m in MEASURES]
-    long = _finance_rows(master, period).select(*cols).unpivot([], cols, "variable", "metric")
+    long = _finance_rows(master, period, statuses).select(*cols).unpivot([], cols, "variable", "metric")
     return fixed_width_histogram(long, "metric", width or default_width, group="variable",
                                  limits=limits or default_limits)
 
 
-def finance_medians(master: DataFrame) -> DataFrame:
+def finance_medians(master: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
     cols = [f"{p}_{m}" for p in FINANCE for m in MEASURES]
-    return medians(report_master(master), cols)
+    return medians(in_programme(report_master(master), statuses), cols)
 
 
 SHARE_SPECS = (
@@ -171,20 +180,22 @@ SHARE_SPECS = (
 )
 
 
-def access_shares(master: DataFrame) -> DataFrame:
-    return shares(in_programme(report_master(master)), SHARE_SPECS)
+def access_shares(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    return shares(in_programme(report_master(master), statuses), SHARE_SPECS)
 
 
-def household_medians(master: DataFrame) -> DataFrame:
-    return medians(report_master(master), ["family_size", "total_children", "total_earning_members"], digits=1)
+def household_medians(master: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
+    return medians(in_programme(report_master(master), statuses),
+                   ["family_size", "total_children", "total_earning_members"], digits=1)
 
 
-def education_counts(master: DataFrame, column: str = "education_level_clean") -> DataFrame:
-    return ranked_counts(report_master(master), column, EDUCATION_LEVELS)
+def education_counts(master: DataFrame, column: str = "education_level_clean",
+                     statuses: Sequence[str] | None = None) -> DataFrame:
+    return ranked_counts(in_programme(report_master(master), statuses), column, EDUCATION_LEVELS)
 
 
-def category_counts(master: DataFrame, column: str) -> DataFrame:
-    return value_counts(report_master(master), column)
+def category_counts(master: DataFrame, column: str, statuses: Sequence[str] | None = None) -> DataFrame:
+    return value_counts(in_programme(report_master(master), statuses), column)
 
 
 def master_key_counts(master: DataFrame, keys: Sequence[str]) -> DataFrame:

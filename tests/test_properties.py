@@ -146,3 +146,23 @@ def test_status_polarity(fx_small):
     assert newer.count() + older.count() == everyone.count()
     report_old = reconcile.match_report(ops, bl, status_is_null=False)
     assert report_old.count() == bl.filter("visit_status IS NOT NULL").count()
+
+
+def test_compaction_adds_nothing_unless_asked(fx_small):
+    from fieldbook.operators.dictionary import compact_dictionary, standardize_roles
+    from fieldbook.plans.baseline import ROLES
+
+    std = standardize_roles(fx_small.baseline, fx_small.dictionary, ROLES)
+    compact = compact_dictionary(std, fx_small.dictionary, ROLES)
+    grown = compact_dictionary(std, fx_small.dictionary, ROLES, include_unmatched=True)
+    assert compact.filter("ord IS NULL").count() == 0
+    assert grown.filter("ord IS NULL").count() > 0
+    assert grown.filter("ord IS NOT NULL").count() == compact.count()
+
+
+def test_panel_statuses_parameter(fx_small):
+    master = master_of(fx_small)
+    active_new = rp.access_shares(master).first()
+    everyone = rp.access_shares(master, statuses=None).first()
+    assert active_new != everyone
+    assert rp.category_counts(master, "business_type_clean", statuses=["active"]).count() > 0
