@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,7 @@ def master_of(fx: Fixtures) -> DataFrame:
 
 
 _PUBLISHED: dict[tuple[str, str], tuple[str, object]] = {}
+_PUBLISH_LOCK = threading.Lock()
 
 
 def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,13 +52,14 @@ def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     master of an input folder is built and published once.
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _PUBLISHED:
-        slug = re.sub(r"[^A-Za-z0-9]+", "_", key[1]).strip("_")
-        table = f"first_contact_master/{slug}"
-        master = master_of(_fx(spark, sf_dir))
-        publish(master, table)
-        _PUBLISHED[key] = (table, master.schema)
-    table, schema = _PUBLISHED[key]
+    with _PUBLISH_LOCK:
+        if key not in _PUBLISHED:
+            slug = re.sub(r"[^A-Za-z0-9]+", "_", key[1]).strip("_")
+            table = f"first_contact_master/{slug}"
+            master = master_of(_fx(spark, sf_dir))
+            publish(master, table)
+            _PUBLISHED[key] = (table, master.schema)
+        table, schema = _PUBLISHED[key]
     return read_current(spark, table, schema=schema)
 
 
