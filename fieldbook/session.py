@@ -21,6 +21,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
@@ -28,6 +30,19 @@ SESSION_DEFAULTS = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count so one partition holds ~``partition_bytes``.
+
+    The joins and aggregates here shuffle at most about the size of their
+    inputs, so sizing from the input keeps every shuffle partition well
+    inside executor memory (no spill storms) at any scale; AQE then
+    coalesces the partitions that turn out small. For 100 TB of input this
+    gives about 400k partitions.
+    """
+    return max(minimum, -(-int(input_bytes) // int(partition_bytes)))
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "fieldbook", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the fieldbook defaults.
