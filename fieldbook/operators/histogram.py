@@ -49,24 +49,20 @@ def fixed_width_histogram(df: DataFrame, value: str, width: float, group: str |
     else:
         row = data.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
         lo, hi = row["lo"], row["hi"]
-    keys = [group] if group else []
-    if lo is None:  # no data: empty result with the right schema
-        return _shape(data.limit(0).select(*keys, F.lit(0).cast("bigint").alias("bin"),
-                                           F.lit(1).alias("_w")), keys, 0.0, width)
+    # Without a group, one constant group: the grid then exists only when
+    # some value survived the filters, as for a grouped histogram.
+    key = group or "_all"
+    data = data.select(F.col(group) if group else F.lit(0).alias(key), x.alias("_x"))
+    if lo is None:  # no data at all: empty result with the right schema
+        lo = hi = 0.0
     origin, n_bins = bin_layout(lo, hi, width, boundary)
-    idx = F.ceil((x - F.lit(origin)) / F.lit(float(width)) - F.lit(_FUZZ)) - 1
+    idx = F.ceil((F.col("_x") - F.lit(origin)) / F.lit(float(width)) - F.lit(_FUZZ)) - 1
     idx = F.greatest(F.least(idx, F.lit(n_bins - 1)), F.lit(0)).cast("bigint")
-    rows = data.select(*keys, idx.alias("bin"), F.lit(1).alias("_w"))
-    if keys:  # every bin for every group present in the data
-        grid = data.select(*keys).distinct().select(
-            *keys, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_bins - 1).cast("bigint"))).alias("bin"),
-            F.lit(0).alias("_w"))
-    else:
-        grid = df.sparkSession.range(n_bins).select(F.col("id").alias("bin"), F.lit(0).alias("_w"))
-    return _shape(rows.unionByName(grid), keys, origin, width)
-
-
-def _shape(cells: DataFrame, keys: list[str], origin: float, width: float) -> DataFrame:
-    counts = cells.groupBy(*keys, "bin").agg(F.sum("_w").cast("bigint").alias("count"))
+    rows = data.select(key, idx.alias("bin"), F.lit(1).alias("_w"))
+    grid = data.select(key).distinct().select(  # every bin for every group present
+        key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_bins - 1).cast("bigint"))).alias("bin"),
+        F.lit(0).alias("_w"))
+    counts = rows.unionByName(grid).groupBy(key, "bin").agg(F.sum("_w").cast("bigint").alias("count"))
     xmin = F.lit(float(origin)) + F.col("bin").cast("double") * F.lit(float(width))
-    return counts.select(*keys, "bin", xmin.alias("xmin"), (xmin + F.lit(float(width))).alias("xmax"), "count")
+    return counts.select(*([key] if group else []), "bin", xmin.alias("xmin"),
+                         (xmin + F.lit(float(width))).alias("xmax"), "count")
