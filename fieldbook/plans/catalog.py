@@ -102,8 +102,8 @@ def q_assign_ids(spark, sf_dir):
 
 
 def q_refresh_registry(spark, sf_dir):
-    fx = _fx(spark, sf_dir)
-    return refresh_registry(assign_ids(linkage.link_members(fx.roster, fx.contact), fx.id_master))
+    """Next registry version from the published master (as the first-contact run does)."""
+    return refresh_registry(published_master(spark, sf_dir))
 
 
 def q_standardize(spark, sf_dir):
@@ -112,8 +112,10 @@ def q_standardize(spark, sf_dir):
 
 
 def q_dictionary_feedback(spark, sf_dir):
+    """Business-type dictionary grown from the published master."""
     fx = _fx(spark, sf_dir)
-    return dictionary_feedback(master_of(fx), fx.dictionary, "business_type", "business_type_clean")
+    return dictionary_feedback(published_master(spark, sf_dir), fx.dictionary, "business_type",
+                               "business_type_clean")
 
 
 def q_first_contact_master(spark, sf_dir):
@@ -121,11 +123,11 @@ def q_first_contact_master(spark, sf_dir):
 
 
 def q_partner_export(spark, sf_dir):
-    return fc.partner_export(master_of(_fx(spark, sf_dir)))
+    return fc.partner_export(published_master(spark, sf_dir))
 
 
 def q_ops_export(spark, sf_dir):
-    return fc.ops_export(master_of(_fx(spark, sf_dir)))
+    return fc.ops_export(published_master(spark, sf_dir))
 
 
 def q_report_csv_hand_off(spark, sf_dir):
