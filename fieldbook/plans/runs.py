@@ -1,9 +1,11 @@
 """The three survey runs end to end, every output published as a new version.
 
-    run_first_contact   roster + submissions -> duplicate list, master, rejects,
-                        next registry, grown dictionaries, partner/ops exports
-    run_baseline        raw baseline + ops export -> tidy copies, reconciliation
-                        lists, compacted dictionary, per-person roll-up
+    run_first_contact   roster + submissions -> raw backup, duplicate list, master,
+                        rejects, next registry, grown dictionaries, partner/ops
+                        exports
+    run_baseline        raw baseline + ops export -> raw backup, tidy copies,
+                        reconciliation lists, compacted dictionary, per-person
+                        roll-up
     run_report          published master -> status tables and report panels
 
 Registry and dictionaries are read at their current version and written as
@@ -39,7 +41,7 @@ def run_first_contact(roster: DataFrame, contact: DataFrame, dictionaries: Mappi
     Returns the version written for every output table.
     """
     spark: SparkSession = roster.sparkSession
-    out: dict[str, int] = {}
+    out: dict[str, int] = {"fc_raw_backup": publish(contact, "fc_raw_backup", root=root)}
     prepared = linkage.prepare_contact(contact, cols, null_means_blank)
     out["fc_duplicate_phones"] = publish(
         linkage.duplicate_keys(prepared, cols.contact_key).withColumnRenamed(cols.contact_key, cols.roster_key),
@@ -72,7 +74,7 @@ def run_baseline(raw: DataFrame, reviewed: DataFrame | None = None, ops_table: s
                  status_is_null: bool = True) -> dict[str, int]:
     """Baseline. ``reviewed`` is the hand-reviewed baseline (default: the tidy one)."""
     spark: SparkSession = raw.sparkSession
-    out: dict[str, int] = {}
+    out: dict[str, int] = {"bl_raw_backup": publish(raw, "bl_raw_backup", root=root)}
     out.update(publish_copies(tidy_baseline(raw), ["bl_tidy_data", "bl_partner_raw"], root=root))
     tidy = read_current(spark, "bl_tidy_data", root=root)
     ops = read_current(spark, ops_table, root=root)

@@ -21,6 +21,7 @@ def test_runs_end_to_end(spark, fx_small):
 
     first = runs.run_first_contact(fx_small.roster, fx_small.contact, DICTIONARIES, root=root)
     assert first["member_registry"] == 2 and first["business_type_clean"] == 2
+    assert read_current(spark, "fc_raw_backup", root=root).count() == fx_small.contact.count()
     master = read_current(spark, "fc_clean_final", root=root)
     expected = master_of(fx_small)
     assert master.count() == expected.count() == 176
@@ -37,7 +38,7 @@ def test_runs_end_to_end(spark, fx_small):
     assert origin.columns == ["ord", "origin_city", "origin_city_clean", "origin_region_clean"]
 
     base = runs.run_baseline(fx_small.baseline_raw, reviewed=fx_small.baseline, root=root)
-    assert base["bl_tidy_data"] == base["bl_partner_raw"] == 1
+    assert base["bl_tidy_data"] == base["bl_partner_raw"] == base["bl_raw_backup"] == 1
     final = read_current(spark, "bl_final", root=root)
     assert final.count() == fx_small.baseline.count()
     assert "all_businesses" in final.columns
