@@ -1,7 +1,8 @@
 """Every registered query against its DuckDB oracle (sf0.001 for speed).
 
-The driver runs the same comparison at sf0.01; ``python tests/oracle_check.py``
-runs it at any scale.
+The driver runs the same comparison at sf0.01; set ``FIELDBOOK_ORACLE_SF`` to
+another folder (or run ``python tests/oracle_check.py <folder>``) for any
+other scale.
 """
 
 from __future__ import annotations
@@ -11,14 +12,17 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle_check import compare, duck
 
+import os
+
 from .conftest import SF0001
 
+SF_DIR = os.environ.get("FIELDBOOK_ORACLE_SF", SF0001)
 NAMES = sorted(queries())
 
 
 @pytest.fixture(scope="module")
 def con():
-    return duck(SF0001)
+    return duck(SF_DIR)
 
 
 def test_every_query_has_an_oracle():
@@ -27,7 +31,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    result = compare(spark, SF0001, name, queries()[name], oracle_sql()[name], con)
+    result = compare(spark, SF_DIR, name, queries()[name], oracle_sql()[name], con)
     assert result["ok"], result
 
 
