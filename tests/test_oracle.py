@@ -7,13 +7,13 @@ other scale.
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle_check import compare, duck
 
-import os
-
 from .conftest import SF0001
 
 SF_DIR = os.environ.get("FIELDBOOK_ORACLE_SF", SF0001)
