@@ -76,27 +76,32 @@ def q_load_submissions(spark, sf_dir):
 
 
 def q_build_master(spark, sf_dir):
+    """Roster full-joined to the submissions on phone (K2)."""
     fx = _fx(spark, sf_dir)
     return linkage.build_master(fx.roster, fx.contact)
 
 
 def q_duplicate_keys(spark, sf_dir):
+    """Phones typed on more than one submission, most frequent first (K3)."""
     fx = _fx(spark, sf_dir)
     contact = linkage.prepare_contact(fx.contact)
     return linkage.duplicate_keys(contact, "contact_phone").withColumnRenamed("contact_phone", "phone_number")
 
 
 def q_resolve_shared_keys(spark, sf_dir):
+    """The master with the shared-phone rule applied (K4)."""
     fx = _fx(spark, sf_dir)
     return linkage.link_members(fx.roster, fx.contact)
 
 
 def q_shared_key_rejects(spark, sf_dir):
+    """Roster rows and submissions the shared-phone rule removed (K4)."""
     fx = _fx(spark, sf_dir)
     return linkage.shared_key_rejects(fx.roster, fx.contact)
 
 
 def q_assign_ids(spark, sf_dir):
+    """Resolved master with member ids from the registry (K5)."""
     fx = _fx(spark, sf_dir)
     return assign_ids(linkage.link_members(fx.roster, fx.contact), fx.id_master)
 
@@ -107,6 +112,7 @@ def q_refresh_registry(spark, sf_dir):
 
 
 def q_standardize(spark, sf_dir):
+    """Submissions with clean values from the three dictionaries (K6)."""
     fx = _fx(spark, sf_dir)
     return standardize(fx.contact, fc.fixture_lookups(fx))
 
@@ -119,14 +125,17 @@ def q_dictionary_feedback(spark, sf_dir):
 
 
 def q_first_contact_master(spark, sf_dir):
+    """The finished first-contact master: link, ids, dictionaries (K2-K6)."""
     return master_of(_fx(spark, sf_dir))
 
 
 def q_partner_export(spark, sf_dir):
+    """Active rows for the partner, without phone (K8)."""
     return fc.partner_export(published_master(spark, sf_dir))
 
 
 def q_ops_export(spark, sf_dir):
+    """Active rows for field operations, with phone (K8)."""
     return fc.ops_export(published_master(spark, sf_dir))
 
 
@@ -152,35 +161,42 @@ def q_publish_round_trip(spark, sf_dir):
 # -- baseline --------------------------------------------------------------
 
 def q_tidy_baseline(spark, sf_dir):
+    """Raw baseline without layout columns, group codes renamed (K9)."""
     return tidy_baseline(_fx(spark, sf_dir).baseline_raw)
 
 
 def q_missing_first_contact(spark, sf_dir):
+    """Baseline rows without a first-contact partner (K10)."""
     fx = _fx(spark, sf_dir)
     return reconcile.missing_first_contact(fx.baseline, fx.id_master)
 
 
 def q_missing_baseline(spark, sf_dir):
+    """First-contact rows without a baseline partner (K10)."""
     fx = _fx(spark, sf_dir)
     return reconcile.missing_baseline(fx.id_master, fx.baseline)
 
 
 def q_match_report(spark, sf_dir):
+    """Both surveys side by side on the id with agreement flags (K11)."""
     fx = _fx(spark, sf_dir)
     return reconcile.match_report(fx.id_master, fx.baseline)
 
 
 def q_standardize_roles(spark, sf_dir):
+    """Baseline with the business dictionary applied to three slots (K12)."""
     fx = _fx(spark, sf_dir)
     return bl.reviewed_baseline(fx.baseline, fx.dictionary)
 
 
 def q_compact_dictionary(spark, sf_dir):
+    """Business dictionary merged with the baseline's matched pairs (K13)."""
     fx = _fx(spark, sf_dir)
     return bl.baseline_dictionary(fx.baseline, fx.dictionary)
 
 
 def q_baseline_rollup(spark, sf_dir):
+    """Per-person business text and NULL-skipping totals (K14)."""
     fx = _fx(spark, sf_dir)
     return bl.baseline_final(fx.baseline, fx.dictionary)
 
@@ -188,16 +204,19 @@ def q_baseline_rollup(spark, sf_dir):
 # -- report ----------------------------------------------------------------
 
 def q_status_funnel(spark, sf_dir):
+    """Status funnel, missing roster status counted as new (K15a)."""
     fx = _fx(spark, sf_dir)
     return rp.status_funnel(published_master(spark, sf_dir), fx.roster, rule="null_is_new")
 
 
 def q_status_funnel_start(spark, sf_dir):
+    """Status funnel with the start-aware status (K15b)."""
     fx = _fx(spark, sf_dir)
     return rp.status_funnel(published_master(spark, sf_dir), fx.roster, rule="start")
 
 
 def q_waterfall_bars(spark, sf_dir):
+    """Bar start/end of the funnel plus a total bar (K16)."""
     fx = _fx(spark, sf_dir)
     return rp.waterfall_bars(rp.status_funnel(published_master(spark, sf_dir), fx.roster, rule="start"))
 
