@@ -41,13 +41,14 @@ def recode(c, mapping: dict) -> Column:
 
 
 def rank_of(c, levels: Sequence[str]) -> Column:
-    """1-based position of the value in ``levels``; NULL when not listed.
+    """1-based position of the value in ``levels``; ``len(levels) + 1`` otherwise.
 
-    Replaces an ordered factor: an unlisted value has no rank and sorts last
-    with ``asc_nulls_last``. Evaluated in the JVM, no dimension join needed.
+    Replaces an ordered factor: a value that is not listed (or missing) ranks
+    after every level, as an unlisted factor value sorts last. Evaluated in
+    the JVM, no dimension join needed.
     """
     pos = F.array_position(F.array(*[F.lit(v) for v in levels]), as_col(c))
-    return F.when(pos > 0, pos)
+    return F.when(pos > 0, pos).otherwise(F.lit(len(levels) + 1).cast("bigint"))
 
 
 def level_or_null(c, levels: Sequence[str]) -> Column:

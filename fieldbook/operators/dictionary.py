@@ -2,8 +2,8 @@
 
 A dictionary maps a raw text key to clean values and carries an ``ord``
 column, its row position: when a key is listed more than once, the row with
-the lowest ``ord`` wins. Rows appended by feedback have no position yet
-(``ord`` NULL) and rank after the numbered rows of the same key.
+the lowest ``ord`` wins. Rows appended by feedback are placed after all
+listed rows.
 
 Keys in the data are normalised the way the dictionaries were keyed: trimmed
 of white space, first double space squeezed. A NULL key matches a NULL
@@ -114,11 +114,14 @@ def _values(value: str | Sequence[str]) -> list[str]:
 def _merge_pairs(dictionary: DataFrame, pairs: DataFrame, key: str, values: list[str], order: str) -> DataFrame:
     """Dictionary plus new (key, values) rows; no blank keys; one row per pair.
 
-    A pair already listed keeps its lowest position; a new pair gets none.
-    ``key != ''`` also drops NULL keys.
+    A pair already listed keeps its lowest position. A new pair is placed
+    after every listed row (``max + 1``, read as one number); new pairs have
+    distinct keys, so they never tie within a key. ``key != ''`` also drops
+    NULL keys.
     """
     order_type = dict(dictionary.dtypes)[order]
-    new = pairs.select(F.lit(None).cast(order_type).alias(order), key, *values)
+    top = dictionary.agg(F.max(order)).first()[0]
+    new = pairs.select(F.lit(0 if top is None else top + 1).cast(order_type).alias(order), key, *values)
     merged = dictionary.select(order, key, *values).unionByName(new)
     return (merged.filter(F.col(key) != "")
             .groupBy(key, *values).agg(F.min(order).alias(order))

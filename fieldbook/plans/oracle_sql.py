@@ -23,7 +23,7 @@ def _clean(c: str) -> str:
 
 def _rank(c: str, levels) -> str:
     whens = " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(levels, start=1))
-    return f"CAST(CASE {c} {whens} END AS BIGINT)"
+    return f"CAST(CASE {c} {whens} ELSE {len(levels) + 1} END AS BIGINT)"
 
 
 def _in_levels(c: str, levels) -> str:
@@ -187,7 +187,8 @@ _OPS = ", ".join([
 
 def oracle_sql() -> dict[str, str]:
     pairs_bl = " UNION ALL ".join(
-        f"SELECT CAST(NULL AS INTEGER), type_{b}, type_{b}_clean FROM bl_std WHERE type_{b}_clean IS NOT NULL"
+        f"SELECT (SELECT coalesce(max(ord) + 1, 0) FROM fx_dictionary), type_{b}, type_{b}_clean FROM bl_std "
+        f"WHERE type_{b}_clean IS NOT NULL"
         for b in ("b1", "b2", "b3"))
     return {
         "load_submissions": _q("SELECT * FROM fx_contact"),
@@ -220,8 +221,8 @@ LEFT JOIN dict_education d3 ON c.education_level IS NOT DISTINCT FROM d3.educati
 SELECT min(ord) AS ord, business_type, business_type_clean FROM (
   SELECT ord, business_type, business_type_clean FROM fx_dictionary
   UNION ALL
-  SELECT DISTINCT CAST(NULL AS INTEGER), business_type, business_type_clean FROM fc_master
-  WHERE business_type_clean IS NULL)
+  SELECT DISTINCT (SELECT coalesce(max(ord) + 1, 0) FROM fx_dictionary), business_type, business_type_clean
+  FROM fc_master WHERE business_type_clean IS NULL)
 WHERE business_type <> '' GROUP BY business_type, business_type_clean"""),
         "first_contact_master": _q("SELECT * FROM fc_master"),
         "partner_export": _q(f"SELECT {_PARTNER} FROM fc_master WHERE contact_status = 'active'"),

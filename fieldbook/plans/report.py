@@ -63,7 +63,7 @@ def status_funnel(master: DataFrame, roster: DataFrame | None = None, rule: str
     ``original`` is the size of the starting list: by default the roster rows
     not marked dropped, counted in the same job; an explicit number overrides
     it. ``active`` is not a bar; statuses outside ``levels`` get a NULL name
-    and rank (sorted last).
+    and rank after all levels.
     """
     counts = report_master(master, rule).groupBy(STATUS).count()
     signed = counts.select(F.col(STATUS).alias("status"), signed_count(STATUS, "count").alias("count"))

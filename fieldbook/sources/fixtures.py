@@ -30,7 +30,7 @@ BASE_EXPRS = [
 ]
 
 ROSTER_EXPRS = [
-    "k AS roster_no", "CAST(ph AS DOUBLE) AS phone_number", "nm AS roster_name",
+    "CAST(k AS STRING) AS roster_no", "CAST(ph AS DOUBLE) AS phone_number", "nm AS roster_name",
     "CASE k % 8 WHEN 0 THEN 'Active' WHEN 1 THEN 'ACTIVE' WHEN 2 THEN 'Inactive' WHEN 3 THEN 'Duplicate' "
     "WHEN 4 THEN 'Missing' WHEN 5 THEN 'Not Located' WHEN 6 THEN 'Dropped' ELSE NULL END AS final_status",
 ]
@@ -38,7 +38,7 @@ ROSTER_EXPRS = [
 CONTACT_FILTER = "k % 5 <> 4"
 CONTACT_EXPRS = [
     "'u' || CAST(CASE WHEN k % 50 = 1 THEN k - 1 ELSE k END AS STRING) AS uuid",
-    "k AS submission_no",
+    "CAST(k AS STRING) AS submission_no",
     "CASE WHEN k % 12 = 0 THEN ' ' || nm || ' ' WHEN k % 17 = 0 THEN 'x' || nm ELSE nm END AS contact_name",
     "CASE WHEN k % 19 = 0 THEN 'n/a' WHEN k % 7 = 3 THEN CAST(9100000000 + k AS STRING) "
     "ELSE CAST(ph AS STRING) END AS phone_text",

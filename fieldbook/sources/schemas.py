@@ -23,10 +23,10 @@ NATION = struct(("n_nationkey", T.IntegerType()), ("n_name", S), ("n_regionkey",
 REGION = struct(("r_regionkey", T.IntegerType()), ("r_name", S))
 INPUT_TABLES = {"customer": CUSTOMER, "nation": NATION, "region": REGION}
 
-ROSTER = struct(("roster_no", L), ("phone_number", D), ("roster_name", S), ("final_status", S))
+ROSTER = struct(("roster_no", S), ("phone_number", D), ("roster_name", S), ("final_status", S))
 
 CONTACT = struct(
-    ("uuid", S), ("submission_no", L), ("contact_name", S), ("phone_text", S), ("data_status", S),
+    ("uuid", S), ("submission_no", S), ("contact_name", S), ("phone_text", S), ("data_status", S),
     ("located", S), ("start_ts", S), ("gender", S), ("age", D), ("ownership", S), ("facility_type", S),
     ("business_type", S), ("daily_income", D), ("daily_expenses", D), ("daily_profits", D),
     ("bank_account", S), ("smartphone_access", S), ("education_level", S), ("family_size", D),

@@ -70,9 +70,9 @@ def test_text_date_uses_the_written_date(spark):
     assert out == [dt.date(2024, 12, 1), dt.date(2024, 11, 30), None, None]
 
 
-def test_rank_of_unlisted_is_null(spark):
+def test_rank_of_unlisted_ranks_last(spark):
     rows = [("PUC",), ("CA",), (None,)]
-    assert one(spark, rank_of("s", ["10th", "PUC"]), rows, "s string") == [2, None, None]
+    assert one(spark, rank_of("s", ["10th", "PUC"]), rows, "s string") == [2, 3, 3]
     assert one(spark, level_or_null("s", ["10th", "PUC"]), rows, "s string") == ["PUC", None, None]
 
 

@@ -16,8 +16,8 @@ def test_landed_batches_are_ingested_once(spark, fx_small):
     root = tempfile.mkdtemp(prefix="fieldbook-stream-")
     raw = schemas.raw_schema(schemas.CONTACT)
     contact = fx_small.contact.select(*schemas.CONTACT.fieldNames())
-    first = contact.filter("submission_no % 2 = 0")
-    second = contact.filter("submission_no % 2 = 1")
+    first = contact.filter("CAST(submission_no AS BIGINT) % 2 = 0")
+    second = contact.filter("CAST(submission_no AS BIGINT) % 2 = 1")
     write_export(first, f"{root}/landing/b1", raw.fieldNames())
 
     def run():
