@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunked, Memo
-from .common import map_batches, text_or_empty
+from .common import add_columns, map_batches, text_or_empty
 
 #: Compatible pairs and pieces kept by a worker; beyond that the oldest are computed anew.
 PAIRS, PIECES = 500_000, 250_000
@@ -185,16 +185,11 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
 
 def decode(ids: DataFrame, path: str, pattern: str, ids_column: str = "token_ids") -> DataFrame:
     """Add ``decoded``, the bytes of the ids, to the rows; a null id list stays null."""
-    names = [f"c{k}" for k in range(len(ids.columns))]
-    at = ids.columns.index(ids_column)
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(column: pa.Array) -> list[pa.Array]:
         bpe = loaded(path, pattern)
-        out = pa.array([None if x is None else bpe.decode(x) for x in batch.column(at).to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([*batch.columns, out], [*names, "decoded"])
+        return [pa.array([None if x is None else bpe.decode(x) for x in column.to_pylist()], pa.binary())]
 
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, ids.schema))
-    return map_batches(ids.toDF(*names), run, f"{schema}, decoded binary").toDF(*ids.columns, "decoded")
+    return add_columns(ids, [ids_column], run, "decoded binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -36,12 +36,15 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         if len(key) <= MEMO_CHARS:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
-        return value
 
 
 class Chunked:

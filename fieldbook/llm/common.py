@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.session import work_root
@@ -60,3 +60,39 @@ def written(df: DataFrame, tag: str, fmt: str = "parquet") -> DataFrame:
 
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def add_columns(df: DataFrame, inputs: list[str], fn: Callable[..., list[pa.Array]], schema: str) -> DataFrame:
+    """Add the columns of ``schema``, made by ``fn`` from Arrow arrays of ``inputs``, to every row.
+
+    Columns already there under one of the new names give way to them.
+    """
+    new = [part.split()[0] for part in schema.split(", ")]
+    kept = [k for k, c in enumerate(df.columns) if c.lower() not in new]
+    places = [df.columns.index(c) for c in inputs]
+    needed = sorted({*kept, *places})
+    slots = {k: f"c{k}" for k in needed}
+    fields = df.schema.fields
+    rows = df.toDF(*[f"c{k}" for k in range(len(fields))]).select(*slots.values())
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        made = fn(*[batch.column(needed.index(k)) for k in places])
+        yield pa.RecordBatch.from_arrays([*[batch.column(needed.index(k)) for k in kept], *made],
+                                         [*[slots[k] for k in kept], *new])
+
+    types = ", ".join(f"{slots[k]} {fields[k].dataType.simpleString()}" for k in kept)
+    return map_batches(rows, run, f"{types}, {schema}").toDF(*[fields[k].name for k in kept], *new)
+
+
+def in_order(df: DataFrame, *order: Column) -> DataFrame:
+    """Add ``at``, the place of each row (from 0) in the given order, without bringing rows together.
+
+    Rows are sorted over all partitions and written; a row's place is its place in its partition
+    and the number of rows in the partitions before, a table of one row a partition.
+    """
+    rows = written(df.orderBy(*order).withColumn("part", F.spark_partition_id()).withColumn(
+        "within", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "in-order")
+    before = rows.groupBy("part").agg(F.count("*").alias("n")).withColumn(
+        "before", F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
+    before = before.select("part", F.coalesce("before", F.lit(0)).alias("before"))
+    return rows.join(before, "part").withColumn("at", F.col("before") + F.col("within")).drop("part", "within", "before")

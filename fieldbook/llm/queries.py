@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from . import bytebpe
+from . import bytebpe, tokencount, tokenfiles
 from .common import documents
 
 
@@ -16,8 +16,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document by the compiled transducer."""
+    return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as ORC, and each document's place and checksum read from the files."""
+    return tokenfiles.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL: dict[str, str] = {}
