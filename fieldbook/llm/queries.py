@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, tokencount, tokenfiles
+from . import bytebpe, mixing, secretscan, tokencount, tokenfiles
 from .common import documents
 
 
@@ -26,13 +27,55 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each document is taken when the sources are mixed 5 : 2 : 1."""
+    rows = mixing.taken(documents(spark, sf_dir))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, told from widely copied examples by who holds them."""
+    return secretscan.digests(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_mix": op2_mix,
     "op7_token_counts": op7_token_counts,
+    "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_mix": r"""
+        WITH sized AS (
+            SELECT doc_id, text, source,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+            FROM documents),
+        sources AS (SELECT source, sum(size)::BIGINT AS s FROM sized GROUP BY source),
+        weighed AS (
+            SELECT source, s, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                              WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM sources),
+        -- in order of stop per weight, the first k sources stop; the level is what the others then get
+        steps AS (
+            SELECT *, sum(s) OVER () AS total,
+                   coalesce(sum(3 * s) OVER (ORDER BY 3 * s / w, source NULLS LAST
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped,
+                   sum(w) OVER (ORDER BY 3 * s / w, source NULLS LAST
+                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free
+            FROM weighed),
+        level AS (SELECT max(((total - stopped)::DOUBLE) / free::DOUBLE) AS l FROM steps),
+        rates AS (
+            SELECT source, s, least(w * l, (3 * s)::DOUBLE) AS target,
+                   CASE WHEN s > 0 THEN least(least(w * l, (3 * s)::DOUBLE) / s, 3.0::DOUBLE) ELSE 0 END AS rate
+            FROM weighed, level),
+        drawn AS (
+            SELECT *, ('0x' || substr(md5('0|' || coalesce(doc_id::VARCHAR, 'text:' || coalesce(text, ''))), 1, 8))::BIGINT
+                      / 4294967296.0::DOUBLE AS draw FROM sized)
+        SELECT doc_id, size, s AS source_size, target,
+               (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM drawn JOIN rates ON drawn.source IS NOT DISTINCT FROM rates.source""",
+}
 
 #: The stages of the pipeline, filled in as their operators are.
 PIPELINE: list = []
