@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, mixing, secretscan, tokencount, tokenfiles
+from . import bytebpe, mixing, secretscan, tokencount, tokenfiles, topk
 from .common import documents
 
 
@@ -17,6 +17,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                            public_tokenizers.PATTERN)
 
 
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others, by integer inner product, of every vector whose id is divisible by 20."""
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the compiled transducer."""
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -41,12 +46,25 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mix": op2_mix,
+    "op3_top_k": op3_top_k,
     "op7_token_counts": op7_token_counts,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL = {
+    "op3_top_k": """
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.r, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM rows q JOIN rows c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM scored)
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op2_mix": r"""
         WITH sized AS (
             SELECT doc_id, text, source,
