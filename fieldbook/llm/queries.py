@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, mixing, secretscan, tokencount, tokenfiles, topk
+from . import bytebpe, mixing, secretscan, substrings, tokencount, tokenfiles, topk
 from .common import documents
 
 
@@ -22,6 +22,12 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("id") % 20 == 0)
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 35 words and more that occur anywhere else too."""
+    rows = substrings.drop_repeats(documents(spark, sf_dir), window=35)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the compiled transducer."""
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -47,6 +53,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mix": op2_mix,
     "op3_top_k": op3_top_k,
+    "op4_substrings": op4_substrings,
     "op7_token_counts": op7_token_counts,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
@@ -93,6 +100,25 @@ ORACLE_SQL = {
         SELECT doc_id, size, s AS source_size, target,
                (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM drawn JOIN rates ON drawn.source IS NOT DISTINCT FROM rates.source""",
+    "op4_substrings": r"""
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        places AS (SELECT r, words, unnest(generate_series(1, len(words))) AS p FROM split),
+        starts AS (
+            SELECT r, p, words[p] AS word,
+                   CASE WHEN p + 34 <= len(words) THEN array_to_string(words[p:p + 34], ' ') END AS passage FROM places),
+        judged AS (
+            SELECT r, p, word, passage IS NOT NULL AND count(*) OVER (PARTITION BY passage) > 1 AS repeated FROM starts),
+        covered AS (
+            SELECT r, p, word, coalesce(max(repeated::INT) OVER (PARTITION BY r ORDER BY p
+                                        ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) = 1 AS gone FROM judged),
+        kept AS (
+            SELECT r, sum(gone::INT)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept
+            FROM covered GROUP BY r)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (r)""",
 }
 
 #: The stages of the pipeline, filled in as their operators are.
