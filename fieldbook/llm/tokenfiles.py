@@ -14,62 +14,63 @@ with the same id stand in the order of their texts' hashes. An empty table gives
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.session import work_root
 
-from .chunks import Chunked
+from .chunks import PIECES, Chunked, Memo, byte_letters
 from .common import ROWS, map_batches, on_workers, text_or_empty
 
 #: Bytes in a stripe and rows in a row group of the files.
 STRIPE_BYTES, INDEX_ROWS = 16 << 20, 1_000
 
-#: Chunks whose ids a worker keeps.
-KEPT = 200_000
+#: Chunks, and pieces, whose ids a worker keeps.
+KEPT = 150_000
 
 
 class Encoder:
-    """The ``tokenizers`` library, asked once per chunk as long as the chunk is remembered."""
+    """The ``tokenizers`` library, asked once per piece as long as the piece is remembered.
+
+    Texts are cut into chunks and pieces at the places where the library's byte-level splitter cuts
+    them, and each new piece goes to the library's model. Texts that hold one of the tokenizer's
+    special strings, and tokenizers that aren't plain byte-level ones, go through the library whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks = Chunked(self._one, KEPT)
-        #: For each id, whether its token begins with white space, as the first of a chunk does.
-        begins = [self.tokenizer.decode([k])[:1] in (" ", "\n") for k in range(self.tokenizer.get_vocab_size())]
-        self.begins = np.array(begins)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _one(self, chunk: str) -> bytes:
-        return self._ids(chunk).tobytes()
-
-    def learn(self, texts: list[str]) -> None:
-        """Encode the unknown words of some texts together: " a b c" has the ids of " a", " b" and " c"."""
-        memo = self.chunks.word
-        words = set(chain.from_iterable(t.replace("\n", " \n").split(" ") for t in texts)).difference(memo, memo.old)
-        new = [w for w in words if w and (len(w) <= 64) and len(w.split()) == 1 and not w[1:].startswith("\n") and w[-1:].strip()]
-        new = [w if w[0] == "\n" else " " + w for w in new]
-        if not new:
-            return
-        ids = self._ids("".join(new))
-        at = np.flatnonzero(self.begins[ids])
-        if len(at) == len(new) and at[0] == 0:  # else some word holds more white space: each is encoded when met
-            raw, bounds = ids.tobytes(), [*(at * 4).tolist(), len(ids) * 4]
-            for word, start, stop in zip(new, bounds, bounds[1:]):
-                memo.put(word.removeprefix(" "), raw[start:stop])
+        spec = json.loads(self.tokenizer.to_str())
+        split = spec["pre_tokenizer"] or {}
+        self.plain = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        self.model = self.tokenizer.model
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.split = regex.compile(PIECES).findall
+        self.pieces = Memo(self._piece, KEPT)
+        self.chunks = Chunked(self._chunk, KEPT)
+
+    def _piece(self, piece: str) -> bytes:
+        word = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
 
     def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        if not self.plain or any(s in text for s in self.special):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(self.chunks.of(text))
 
 
@@ -103,7 +104,6 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
             for k in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(k, ROWS)
                 texts = batch.column(1).to_pylist()
-                encoder.learn(texts)
                 ids = [encoder.encode(t) + end for t in texts]
                 sizes = np.array([len(x) // 4 for x in ids], np.int64)
                 ends = np.cumsum(sizes)
