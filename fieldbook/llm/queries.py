@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, mixing, secretscan, substrings, tokencount, tokenfiles, topk
+from . import bytebpe, langid, mixing, secretscan, substrings, tokencount, tokenfiles, topk
 from .common import documents
 
 
@@ -44,6 +44,14 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = langid.train(docs.where(~langid.held_out()))
+    rows = langid.predict(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, told from widely copied examples by who holds them."""
     return secretscan.digests(documents(spark, sf_dir))
@@ -55,6 +63,7 @@ QUERIES = {
     "op3_top_k": op3_top_k,
     "op4_substrings": op4_substrings,
     "op7_token_counts": op7_token_counts,
+    "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
 }
