@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, langid, mixing, secretscan, substrings, tokencount, tokenfiles, topk
+from . import bytebpe, fingerprints, langid, mixing, secretscan, substrings, tokencount, tokenfiles, topk
 from .common import documents
 
 
@@ -28,6 +28,11 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and of its edited text, and how like they are."""
+    return fingerprints.digests(documents(spark, sf_dir))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the compiled transducer."""
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -62,6 +67,7 @@ QUERIES = {
     "op2_mix": op2_mix,
     "op3_top_k": op3_top_k,
     "op4_substrings": op4_substrings,
+    "op5_fingerprints": op5_fingerprints,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
