@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, fingerprints, langid, mixing, secretscan, substrings, tokencount, tokenfiles, topk
+from . import bytebpe, fingerprints, langid, mixing, ngramjoin, secretscan, substrings, tokencount, tokenfiles, topk
 from .common import documents
 
 
@@ -33,6 +33,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.digests(documents(spark, sf_dir))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of documents at a Jaccard similarity of 0.8 and more, and its number of links."""
+    return ngramjoin.join(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the compiled transducer."""
     return tokencount.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
@@ -68,6 +73,7 @@ QUERIES = {
     "op3_top_k": op3_top_k,
     "op4_substrings": op4_substrings,
     "op5_fingerprints": op5_fingerprints,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
