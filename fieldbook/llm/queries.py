@@ -142,5 +142,38 @@ ORACLE_SQL = {
         FROM split LEFT JOIN kept USING (r)""",
 }
 
-#: The stages of the pipeline, filled in as their operators are.
-PIPELINE: list = []
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of which no language can be told."""
+    model = langid.train(docs.where(~langid.held_out()))
+    return langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near copies."""
+    return ngramjoin.one_of_each(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask the secrets that look live."""
+    return secretscan.mask(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat and thin out documents so that the sources meet their weights."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encode every document, and decode it to prove that nothing is lost."""
+    return bytebpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+#: The stages of the pipeline: (name, function of the session, the documents and the folder of the tables).
+PIPELINE = [
+    ("language_id", keep_known_languages),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("secret_scans", mask_secrets),
+    ("mixing", mix_sources),
+    ("byte_bpe", encode),
+]
