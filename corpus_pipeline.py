@@ -1,13 +1,21 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+Language identification drops documents without a recognised language; the n-gram Jaccard join keeps
+one document of each class of near copies; the secret scan masks secrets that look live; mixing repeats
+and thins out documents so that the sources meet their weights; byte-level BPE encodes what is left and
+decodes it again. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldbook.llm.common import documents, written
-from fieldbook.llm.queries import PIPELINE as STAGES
+from fieldbook.llm.queries import PIPELINE
+
+STAGES = PIPELINE
 
-#: Word counts of a language model, a similarity join and exact BPE are beyond SQL.
+#: A trained model, a similarity join and exact BPE are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
