@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import clean_text
-from fieldbook.operators.joins import first_per_key, fits
+from fieldbook.operators.joins import first_per_key
 
 
 @dataclass(frozen=True)
@@ -54,56 +54,40 @@ def first_match(dictionary: DataFrame, key: str, values: Sequence[str], order: s
     return first_per_key(dictionary.select(key, *values, order), [key], ordering)
 
 
-def _small(dictionary: DataFrame, max_rows: int | None) -> bool:
-    """Whether to hint a broadcast: only after counting the raw dictionary.
-
-    ``max_rows=None`` gives no hint: Spark then plans from the table's size
-    statistics and AQE re-checks the measured size at run time, falling back
-    to a shuffle join for a large dictionary. With ``max_rows`` the raw table
-    is counted (one scan, stops after ``max_rows + 1`` rows), which bounds the
-    deduplicated side.
-    """
-    return max_rows is not None and fits(dictionary, max_rows)
-
-
 def _attach(df: DataFrame, column: str, deduped: DataFrame, key: str,
-            outputs: dict[str, str], broadcast: bool) -> DataFrame:
+            outputs: dict[str, str]) -> DataFrame:
     """Null-safe left join of ``df[column]`` to a first-match dictionary."""
     side = deduped.select(F.col(key).alias("_dk"), *[F.col(v).alias(o) for v, o in outputs.items()])
-    if broadcast:
-        side = F.broadcast(side)
     return df.join(side, F.col(column).eqNullSafe(F.col("_dk")), "left").select(*df.columns, *outputs.values())
 
 
-def standardize(df: DataFrame, lookups: Sequence[Lookup], max_rows: int | None = None) -> DataFrame:
+def standardize(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """Normalise each raw column and attach its dictionary's clean values.
 
     Every dictionary is reduced to one row per key first, so the lookup can
-    neither drop nor multiply data rows. See ``_small`` for when a dictionary
-    is broadcast.
+    neither drop nor multiply data rows. Dictionaries are joined as Spark's
+    size statistics and AQE see fit.
     """
     raw = {lk.column for lk in lookups}
     out = df.select(*[clean_text(c).alias(c) if c in raw else F.col(c) for c in df.columns])
     for lk in lookups:
         deduped = first_match(lk.dictionary, lk.key_col, lk.value_cols, lk.order)
-        out = _attach(out, lk.column, deduped, lk.key_col, {v: v for v in lk.value_cols},
-                      _small(lk.dictionary, max_rows))
+        out = _attach(out, lk.column, deduped, lk.key_col, {v: v for v in lk.value_cols})
     return out
 
 
 def standardize_roles(df: DataFrame, dictionary: DataFrame, roles: Sequence[str],
                       key: str = "business_type", value: str = "business_type_clean",
-                      order: str = "ord", max_rows: int | None = None) -> DataFrame:
+                      order: str = "ord") -> DataFrame:
     """One dictionary applied to several columns (``role`` -> ``role_clean``).
 
     The deduplicated dictionary is built once and shared by the role joins
     (its exchange or broadcast is reused).
     """
     deduped = first_match(dictionary, key, [value], order)
-    small = _small(dictionary, max_rows)
     out = df.select(*[clean_text(c).alias(c) if c in roles else F.col(c) for c in df.columns])
     for role in roles:
-        out = _attach(out, role, deduped, key, {value: f"{role}_clean"}, small)
+        out = _attach(out, role, deduped, key, {value: f"{role}_clean"})
     return out
 
 
@@ -112,7 +96,7 @@ def _values(value: str | Sequence[str]) -> list[str]:
 
 
 def _merge_pairs(dictionary: DataFrame, pairs: DataFrame, key: str, values: list[str], order: str) -> DataFrame:
-    """Dictionary plus new (key, values) rows; no blank keys; one row per pair.
+    """Dictionary plus new (key, values) rows, sorted by key; no blank keys; one row per pair.
 
     A pair already listed keeps its lowest position. A new pair is placed
     after every listed row (``max + 1``, read as one number); new pairs have
@@ -125,7 +109,7 @@ def _merge_pairs(dictionary: DataFrame, pairs: DataFrame, key: str, values: list
     merged = dictionary.select(order, key, *values).unionByName(new)
     return (merged.filter(F.col(key) != "")
             .groupBy(key, *values).agg(F.min(order).alias(order))
-            .select(order, key, *values))
+            .select(order, key, *values).orderBy(key, order))
 
 
 def dictionary_feedback(df: DataFrame, dictionary: DataFrame, key: str, value: str | Sequence[str],

@@ -11,6 +11,10 @@ limits, values outside them are removed before binning. A value within
 Every (group, bin) cell of the range is returned, empty ones with count 0,
 from a single aggregation over the data rows plus a zero-weight grid: no
 join, and the data rows are pre-aggregated per map task before the shuffle.
+The grid is unrolled in two steps, so that no array grows with the range.
+A range of more than ``MAX_GRID`` bins is no histogram anyone reads but the
+work of a mistyped value: then only bins with rows are returned, all rows
+among them.
 """
 
 from __future__ import annotations
@@ -22,6 +26,10 @@ from pyspark.sql import functions as F
 
 _FUZZ = 1e-8
 
+#: Bins up to which empty ones are listed, and bins unrolled at a time.
+MAX_GRID = 1_000_000
+_STEP = 1_000
+
 
 def bin_layout(lo: float, hi: float, width: float, boundary: float | None = None) -> tuple[float, int]:
     """(origin, number of bins) covering ``[lo, hi]``."""
@@ -59,10 +67,12 @@ def fixed_width_histogram(df: DataFrame, value: str, width: float, group: str |
     idx = F.ceil((F.col("_x") - F.lit(origin)) / F.lit(float(width)) - F.lit(_FUZZ)) - 1
     idx = F.greatest(F.least(idx, F.lit(n_bins - 1)), F.lit(0)).cast("bigint")
     rows = data.select(key, idx.alias("bin"), F.lit(1).alias("_w"))
-    grid = data.select(key).distinct().select(  # every bin for every group present
-        key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_bins - 1).cast("bigint"))).alias("bin"),
-        F.lit(0).alias("_w"))
-    counts = rows.unionByName(grid).groupBy(key, "bin").agg(F.sum("_w").cast("bigint").alias("count"))
+    if n_bins <= MAX_GRID:  # every bin for every group present
+        firsts = data.select(key).distinct().select(
+            key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_bins - 1).cast("bigint"), F.lit(_STEP).cast("bigint"))).alias("_first"))
+        last = F.least(F.col("_first") + _STEP - 1, F.lit(n_bins - 1).cast("bigint"))
+        rows = rows.unionByName(firsts.select(key, F.explode(F.sequence("_first", last)).alias("bin"), F.lit(0).alias("_w")))
+    counts = rows.groupBy(key, "bin").agg(F.sum("_w").cast("bigint").alias("count"))
     xmin = F.lit(float(origin)) + F.col("bin").cast("double") * F.lit(float(width))
     return counts.select(*([key] if group else []), "bin", xmin.alias("xmin"),
                          (xmin + F.lit(float(width))).alias("xmax"), "count")

@@ -1,15 +1,16 @@
 """Join building blocks.
 
-* ``anti_join``: rows whose key is absent from the other side, against the
-  other side's distinct keys (so a hot key there cannot hold one task).
+* ``anti_join``: rows whose key is absent from the other side, against that
+  side's keys, each map task's made distinct first (so a hot key there
+  cannot hold one task), in a form in which AQE can split a hot key here.
 * ``full_outer_join``: a full outer equi-join written as inner + two anti
   joins + the NULL-key rows. Spark cannot split a skewed partition of a full
   outer join (AQE skew handling covers inner, left/right outer and semi/anti
   joins only), and every NULL key of a plain join would hash to one task. In
   this form a hot key is split by AQE on the inner and anti parts, and NULL
   keys (which can never match under ``==``) bypass the shuffle entirely.
-* ``fits`` / ``bounded_broadcast``: broadcast a side only after counting it
-  under a limit; beyond the limit the side is joined by shuffle.
+* no side is broadcast by hint: Spark plans from size statistics and AQE
+  re-plans from measured sizes, without a job run only to count rows.
 * ``null_safe_on``: join condition where NULL matches NULL, as the survey
   scripts' joins behave.
 """
@@ -22,24 +23,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Default row limit for a counted broadcast. Dictionaries and dimensions are
-#: a few hundred bytes per row, so 200k rows stay far below executor memory.
-BROADCAST_MAX_ROWS = 200_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    Above the bound the join falls back to a shuffle join (which AQE may
-    still turn into a broadcast from runtime statistics).
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
-
 
 def _pairs(left_keys, right_keys) -> list[tuple[str, str]]:
     left_keys = [left_keys] if isinstance(left_keys, str) else list(left_keys)
@@ -67,13 +50,15 @@ def _any_null(keys: Sequence[str]) -> Column:
 def anti_join(left: DataFrame, right: DataFrame, left_keys, right_keys, null_safe: bool = False) -> DataFrame:
     """Rows of ``left`` whose key is absent from ``right``.
 
-    Only the set of right keys matters, so the right side is reduced to its
-    distinct keys first (a partial aggregate: a hot key becomes one row per
-    map task). AQE can split a hot key of the left side; the right side then
-    has no hot key left to hold one task.
+    Only the set of right keys matters, so the right side is reduced to one
+    row per key and map task. The aggregate is keyed by the task as well: so
+    the join needs an exchange of its own on the keys, a plain one, and only
+    below a plain exchange does AQE split a skewed join, whatever the keys'
+    type. Neither side's hot key holds one task then.
     """
     pairs = _pairs(left_keys, right_keys)
-    keys = right.select(*[F.col(r).alias(f"_ak{i}") for i, (_, r) in enumerate(pairs)]).distinct()
+    keys = right.select(*[F.col(r).alias(f"_ak{i}") for i, (_, r) in enumerate(pairs)],
+                        F.spark_partition_id().alias("_task")).distinct().drop("_task")
     on = equi_on([(lk, f"_ak{i}") for i, (lk, _) in enumerate(pairs)], null_safe)
     return left.join(keys, on, "left_anti")
 

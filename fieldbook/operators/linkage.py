@@ -21,11 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import blank_to, recode, to_number
-from fieldbook.operators.joins import bounded_broadcast, full_outer_join
-
-#: Row bound for broadcasting the shared-phone set (one DOUBLE per row, so
-#: 2 million rows are about 32 MB).
-SHARED_MAX_ROWS = 2_000_000
+from fieldbook.operators.joins import full_outer_join
 
 
 @dataclass(frozen=True)
@@ -133,19 +129,20 @@ def _flag_shared(df: DataFrame, key: str, name: str, shared: DataFrame,
                     F.when(on_shared, F.col(name)).otherwise(F.lit("")).alias(join_name)))
 
 
-def _linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns, null_means_blank: bool,
-            shared_max_rows: int):
-    """Full join on (phone, name-if-shared); returns it with two row tests.
+def linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
+           null_means_blank: bool = False) -> DataFrame:
+    """Full join on (phone, name-if-shared), with ``_on_shared`` and ``_matched`` of each row.
 
-    Rows without a phone never match and cannot be shared: they are appended
-    as they are, without a shuffle. The shared-phone set (one row per shared
-    phone) is broadcast to both sides after a count under
-    ``shared_max_rows``, so neither input is shuffled by phone just to be
-    flagged; beyond the bound it is shuffle-joined.
+    The master and the rejects are both filters of it (``members_of``,
+    ``rejects_of``), so a run that needs the two writes it once. Rows
+    without a phone never match and cannot be shared: they are appended as
+    they are, without a shuffle. The shared-phone set joins both sides as
+    Spark sees fit: by its measured size AQE broadcasts it, or splits a hot
+    phone of the other side.
     """
     r = prepare_roster(roster, cols)
     c = prepare_contact(contact, cols, null_means_blank)
-    shared = bounded_broadcast(shared_keys(r, c, cols), shared_max_rows)
+    shared = shared_keys(r, c, cols)
     r_key, c_key = F.col(cols.roster_key), F.col(cols.contact_key)
     r_flagged = _flag_shared(r.filter(r_key.isNotNull()), cols.roster_key, cols.roster_name, shared,
                              "_r_shared", "_r_join")
@@ -155,16 +152,30 @@ def _linked(roster: DataFrame, contact: DataFrame, cols: LinkColumns, null_means
                               [cols.contact_key, "_c_join"])
               .unionByName(r.filter(r_key.isNull()), allowMissingColumns=True)
               .unionByName(c.filter(c_key.isNull()), allowMissingColumns=True))
-    on_shared = F.coalesce(F.col("_r_shared"), F.col("_c_shared"), F.lit(False))
-    matched = r_key.isNotNull() & c_key.isNotNull()
-    return joined, on_shared, matched
+    return (joined.withColumn("_on_shared", F.coalesce("_r_shared", "_c_shared", F.lit(False)))
+            .withColumn("_matched", r_key.isNotNull() & c_key.isNotNull())
+            .drop("_r_shared", "_r_join", "_c_shared", "_c_join"))
+
+
+def members_of(joined: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """The master: on shared phones only pairs with equal names."""
+    return _merge_key(joined.filter(~F.col("_on_shared") | F.col("_matched")), cols, drop=("_on_shared", "_matched"))
 
 
-_HELPERS = ("_r_shared", "_r_join", "_c_shared", "_c_join")
+def rejects_of(joined: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS) -> DataFrame:
+    """Rows on shared phones without a partner of the same name."""
+    lost = joined.filter(F.col("_on_shared") & ~F.col("_matched"))
+    from_roster = F.col(cols.roster_key).isNotNull()
+    return lost.select(
+        F.when(from_roster, F.lit("roster")).otherwise(F.lit("contact")).alias("side"),
+        F.coalesce(cols.roster_key, cols.contact_key).alias("phone_number"),
+        F.when(from_roster, F.col(cols.roster_name)).otherwise(F.col(cols.contact_name)).alias("name"),
+        F.when(from_roster, F.col(cols.roster_id).cast("string"))
+         .otherwise(F.col(cols.contact_id).cast("string")).alias("record_id"))
 
 
 def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
-                 null_means_blank: bool = False, shared_max_rows: int = SHARED_MAX_ROWS) -> DataFrame:
+                 null_means_blank: bool = False) -> DataFrame:
     """The master with the shared-key rule applied.
 
     Rows of phones that are not shared (and of NULL phones) are the plain full
@@ -172,24 +183,15 @@ def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFA
     are kept. Names are compared as typed (not trimmed). The join never forms
     the per-phone cross product of a shared phone.
     """
-    joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank, shared_max_rows)
-    return _merge_key(joined.filter(~on_shared | matched), cols, drop=_HELPERS)
+    return members_of(linked(roster, contact, cols, null_means_blank), cols)
 
 
 def shared_key_rejects(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
-                       null_means_blank: bool = False, shared_max_rows: int = SHARED_MAX_ROWS) -> DataFrame:
+                       null_means_blank: bool = False) -> DataFrame:
     """Input rows on shared phones that the shared-key rule removed.
 
     One row per roster row or submission (``side`` says which) that found no
     partner with the same name on its shared phone; linear in the input, so
     a hot phone does not produce a pair list.
     """
-    joined, on_shared, matched = _linked(roster, contact, cols, null_means_blank, shared_max_rows)
-    lost = joined.filter(on_shared & ~matched)
-    from_roster = F.col(cols.roster_key).isNotNull()
-    return lost.select(
-        F.when(from_roster, F.lit("roster")).otherwise(F.lit("contact")).alias("side"),
-        F.coalesce(cols.roster_key, cols.contact_key).alias("phone_number"),
-        F.when(from_roster, F.col(cols.roster_name)).otherwise(F.col(cols.contact_name)).alias("name"),
-        F.when(from_roster, F.col(cols.roster_id).cast("string"))
-         .otherwise(F.col(cols.contact_id).cast("string")).alias("record_id"))
+    return rejects_of(linked(roster, contact, cols, null_means_blank), cols)

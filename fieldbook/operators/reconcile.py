@@ -59,16 +59,21 @@ def missing_baseline(ops: DataFrame, baseline: DataFrame, cols: ReconcileColumns
 
 
 def match_report(ops: DataFrame, baseline: DataFrame, cols: ReconcileColumns = DEFAULT,
-                 status_is_null: bool = True) -> DataFrame:
+                 status_is_null: bool = True, pair_missing_ids: bool = True) -> DataFrame:
     """Both surveys side by side on the id, with phone and name agreement.
 
     Full join (a row of either side without a partner is listed too), then
     the baseline status filter. The flags are ``YES``/``NO`` and NULL when a
     side is missing the value.
+
+    A missing id matches a missing id, as in the workflow: every row without
+    one is paired with every such row of the other side, a product of the
+    two. With ``pair_missing_ids=False`` rows without an id are listed
+    singly instead, which stays linear however many there are.
     """
     bl = with_suffix(baseline, "_bl")
     fc = with_suffix(ops, "_fc")
-    joined = full_outer_join(fc, bl, cols.fc_id + "_fc", cols.bl_id + "_bl", null_safe=True)
+    joined = full_outer_join(fc, bl, cols.fc_id + "_fc", cols.bl_id + "_bl", null_safe=pair_missing_ids)
     fc_phone, bl_phone = F.col(cols.fc_phone + "_fc"), F.col(cols.bl_phone + "_bl")
     fc_name, bl_name = F.col(cols.fc_name + "_fc"), F.col(cols.bl_name + "_bl")
     return (joined.filter(_status_test(cols, status_is_null))

@@ -6,25 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import trim_all
-from fieldbook.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast, null_safe_on
+from fieldbook.operators.joins import null_safe_on
 
 
 def assign_ids(master: DataFrame, registry: DataFrame, key: str = "phone_number",
-               name: str = "contact_name", id_col: str = "member_id",
-               max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+               name: str = "contact_name", id_col: str = "member_id") -> DataFrame:
     """Trim the name, then attach the id by (phone, name), NULL matching NULL.
 
     The registry is joined as it is: a (phone, name) listed twice yields two
     rows, as the lookup has no first-match rule (``key_counts`` on the
-    registry finds such keys). The registry holds one row per person: it is
-    broadcast (so the master is not shuffled) only after a count under
-    ``max_rows``; a larger one is shuffle-joined, and AQE splits a hot key
-    of the master (such as many rows without phone and name).
+    registry finds such keys). Whether the registry is broadcast is left to
+    Spark's size statistics and AQE, which also splits a hot key of the
+    master (such as many rows without phone and name).
     """
     m = master.withColumn(name, trim_all(name))
     reg = registry.select(F.col(key).alias("_rk"), F.col(name).alias("_rn"), F.col(id_col))
-    if max_rows is not None:
-        reg = bounded_broadcast(reg, max_rows)
     return m.join(reg, null_safe_on([key, name], ["_rk", "_rn"]), "left").drop("_rk", "_rn")
 
 

@@ -22,9 +22,11 @@ GROUP_LABELS = {
 }
 LAYOUT_PATTERNS = ("header", "note", "info")
 
-# Optional columns carried into the final table when the input has them.
+# What the roll-up carries beside types and totals, and the column
+# that names the second and third business.
 CARRY_COLUMNS = ("enumerator_name", "current_loan_count", "house_ownership", "house_type",
                  "vehicle_type", "total_children", "total_children_school")
+BUSINESS_NAMES = {"b2": "second_business", "b3": "third_business"}
 
 
 def tidy_baseline(df: DataFrame, drop_patterns: Sequence[str] = LAYOUT_PATTERNS,
@@ -42,7 +44,7 @@ def baseline_rollup(df: DataFrame, id_col: str = "member_id",
 
     ``all_businesses`` joins the clean types with ``', '`` and prints a
     missing one as ``NA``; totals treat NULL as 0, so a person without any
-    figure totals 0. Row-wise only: no shuffle.
+    figure totals 0. Row-wise only: no shuffle. All columns must be there.
     """
     types = [f"type_{b}_clean" for b in businesses]
 
@@ -55,10 +57,7 @@ def baseline_rollup(df: DataFrame, id_col: str = "member_id",
            .withColumn("total_prof", total("prof")))
     per_business = []
     for b in businesses:
-        per_business.append(F.col(f"type_{b}_clean").alias(f"{b}_type"))
-        per_business += [F.col(f"{b}_total_{m}") for m in ("rev", "exp", "prof") if f"{b}_total_{m}" in out.columns]
-        if f"time_share_{b}" in out.columns:
-            per_business.append(F.col(f"time_share_{b}").alias(f"{b}_months"))
-    carry = [c for c in CARRY_COLUMNS if c in out.columns]
-    return out.select(id_col, "all_businesses", "total_rev", "total_exp", "total_prof",
-                      *per_business, *carry)
+        per_business += [BUSINESS_NAMES[b]] if b in BUSINESS_NAMES else []
+        per_business += [F.col(f"type_{b}_clean").alias(f"{b}_type"), f"{b}_total_rev", f"{b}_total_exp", f"{b}_total_prof",
+                         F.col(f"time_share_{b}").alias(f"{b}_months")]
+    return out.select(id_col, "all_businesses", "total_rev", "total_exp", "total_prof", *per_business, *CARRY_COLUMNS)

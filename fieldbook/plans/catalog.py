@@ -112,7 +112,7 @@ def q_refresh_registry(spark, sf_dir):
 
 
 def q_standardize(spark, sf_dir):
-    """Submissions with clean values from the three dictionaries (K6)."""
+    """Submissions with clean values from the four dictionaries (K6)."""
     fx = _fx(spark, sf_dir)
     return standardize(fx.contact, fc.fixture_lookups(fx))
 
@@ -124,6 +124,24 @@ def q_dictionary_feedback(spark, sf_dir):
                                "business_type_clean")
 
 
+def q_dictionary_feedback_origin(spark, sf_dir):
+    """Origin dictionary grown from the published master."""
+    return dictionary_feedback(published_master(spark, sf_dir), _fx(spark, sf_dir).origin_dictionary, "origin_city",
+                               ["origin_city_clean", "origin_region_clean"])
+
+
+def q_dictionary_feedback_locality(spark, sf_dir):
+    """Locality dictionary grown from the published master."""
+    return dictionary_feedback(published_master(spark, sf_dir), _fx(spark, sf_dir).locality_dictionary, "locality",
+                               "locality_clean")
+
+
+def q_dictionary_feedback_education(spark, sf_dir):
+    """Education dictionary grown from the published master."""
+    return dictionary_feedback(published_master(spark, sf_dir), _fx(spark, sf_dir).education_dictionary,
+                               "education_level", "education_level_clean")
+
+
 def q_first_contact_master(spark, sf_dir):
     """The finished first-contact master: link, ids, dictionaries (K2-K6)."""
     return master_of(_fx(spark, sf_dir))
@@ -183,6 +201,12 @@ def q_match_report(spark, sf_dir):
     return reconcile.match_report(fx.id_master, fx.baseline)
 
 
+def q_match_report_single_ids(spark, sf_dir):
+    """Both surveys side by side, rows without an id listed singly (K11)."""
+    fx = _fx(spark, sf_dir)
+    return reconcile.match_report(fx.id_master, fx.baseline, pair_missing_ids=False)
+
+
 def q_standardize_roles(spark, sf_dir):
     """Baseline with the business dictionary applied to three slots (K12)."""
     fx = _fx(spark, sf_dir)
@@ -239,6 +263,9 @@ QUERIES: dict[str, Query] = {
     "refresh_registry": q_refresh_registry,
     "standardize": q_standardize,
     "dictionary_feedback": q_dictionary_feedback,
+    "dictionary_feedback_origin": q_dictionary_feedback_origin,
+    "dictionary_feedback_locality": q_dictionary_feedback_locality,
+    "dictionary_feedback_education": q_dictionary_feedback_education,
     "first_contact_master": q_first_contact_master,
     "partner_export": q_partner_export,
     "ops_export": q_ops_export,
@@ -246,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "missing_first_contact": q_missing_first_contact,
     "missing_baseline": q_missing_baseline,
     "match_report": q_match_report,
+    "match_report_single_ids": q_match_report_single_ids,
     "standardize_roles": q_standardize_roles,
     "compact_dictionary": q_compact_dictionary,
     "baseline_rollup": q_baseline_rollup,
@@ -253,10 +281,14 @@ QUERIES: dict[str, Query] = {
     "status_funnel_start": q_status_funnel_start,
     "waterfall_bars": q_waterfall_bars,
     "status_crosstab": _on_master(rp.status_crosstab),
+    "status_crosstab_all": _on_master(rp.status_crosstab, dropped=True),
+    "status_funnel_given": _on_master(rp.status_funnel, rule="null_is_new", original=197),
     "status_type": _on_master(rp.status_type),
     "key_counts_phone_name": _on_master(rp.master_key_counts, ["phone_number", "contact_name"]),
     "key_counts_uuid": _on_master(rp.master_key_counts, ["uuid"]),
-    "key_counts_business_type": _on_master(rp.master_key_counts, ["business_type_clean"]),
+    "report_key_counts_phone_name": _on_master(rp.master_key_counts, ["phone_number", "contact_name"], dropped=False),
+    "report_key_counts_uuid": _on_master(rp.master_key_counts, ["uuid"], dropped=False),
+    "key_counts_business_type": _on_master(rp.master_key_counts, ["business_type_clean"], dropped=False),
     "age_histogram": _on_master(rp.age_histogram),
     "age_summary": _on_master(rp.age_summary),
     "facility_panel": _on_master(rp.facility_panel),

@@ -2,7 +2,7 @@
 
     link_members   roster full-joined to submissions on phone, shared-phone rule
     assign_ids     member id by (phone, trimmed name) from the registry
-    standardize    clean values from the business, origin and education dictionaries
+    standardize    clean values from the business, origin, locality and education dictionaries
 
 The finished master is what the report reads. On a cluster it is published
 once (``sources.versioned.publish``) and every panel reads the published
@@ -20,30 +20,36 @@ from fieldbook.operators.dictionary import Lookup, standardize
 from fieldbook.operators.linkage import DEFAULT_COLUMNS, LinkColumns, link_members
 from fieldbook.operators.registry import assign_ids
 
+# The declared columns of the two exports, in the order in which they are handed over.
 PARTNER_COLUMNS = (
-    "member_id", "start_ts", "enumerator_name", "contact_name", "data_status", "located", "gender", "age",
-    "ownership", "business_type", "facility_type", "daily_income", "daily_expenses", "daily_profits",
-    "monthly_income", "monthly_expenses", "monthly_profits", "smartphone_access", "smartphone_usability",
-    "bank_account", "digital_payments", "total_employees", "total_family_employees", "family_size",
-    "total_children", "total_earning_members", "education_level", "origin_city", "uuid", "submission_no",
-    "contact_status", "business_type_clean", "origin_city_clean", "origin_region_clean",
-    "education_level_clean",
+    "member_id", "start_ts", "end_ts", "username", "enumerator_name", "contact_name", "data_status", "located",
+    "gender", "age", "photograph", "photograph_url", "shop_name", "shop_location", "shop_latitude", "shop_longitude",
+    "shop_altitude", "shop_precision", "locality", "business_photograph", "business_photograph_url", "ownership",
+    "business_type", "business_details", "facility_type", "facility_type_other", "working_days", "daily_income",
+    "daily_expenses", "daily_profits", "monthly_income", "monthly_expenses", "monthly_profits", "smartphone_access",
+    "smartphone_usability", "bank_account", "digital_payments", "total_employees", "total_family_employees",
+    "household_details", "family_size", "total_children", "total_earning_members", "education_level", "origin_city",
+    "other_details", "submission_no", "uuid", "submission_time", "validation_status", "notes", "form_status",
+    "submitted_by", "form_version", "tags", "form_index", "contact_status", "business_type_clean", "origin_city_clean",
+    "origin_region_clean", "locality_clean", "education_level_clean",
 )
 
 OPS_COLUMNS = (
-    "member_id", "enumerator_name", "contact_name", "phone_number", "data_status", "located", "gender",
-    "age", "ownership", "business_type", "facility_type", "daily_income", "daily_expenses", "daily_profits",
-    "monthly_income", "monthly_expenses", "monthly_profits", "smartphone_access", "smartphone_usability",
-    "bank_account", "digital_payments", "total_employees", "total_family_employees", "family_size",
-    "total_children", "total_earning_members", "education_level", "origin_city", "submission_no",
+    "member_id", "enumerator_name", "contact_name", "phone_number", "data_status", "located", "gender", "age",
+    "photograph", "shop_location", "locality", "business_photograph", "ownership", "business_type", "business_details",
+    "facility_type", "working_days", "daily_income", "daily_expenses", "daily_profits", "monthly_income",
+    "monthly_expenses", "monthly_profits", "smartphone_access", "smartphone_usability", "bank_account",
+    "digital_payments", "total_employees", "total_family_employees", "household_details", "family_size",
+    "total_children", "total_earning_members", "education_level", "origin_city", "other_details", "form_index",
 )
 
 
 def fixture_lookups(fx) -> list[Lookup]:
-    """The three dictionaries of the fixture layout."""
+    """The four dictionaries of the fixture layout."""
     return [
         Lookup("business_type", fx.dictionary),
         Lookup("origin_city", fx.origin_dictionary),
+        Lookup("locality", fx.locality_dictionary),
         Lookup("education_level", fx.education_dictionary),
     ]
 

@@ -8,10 +8,15 @@ Each statement starts with the fixture views as CTEs.
 
 from __future__ import annotations
 
-from fieldbook.plans.report import EDUCATION_LEVELS, FUNNEL_LEVELS
 from fieldbook.sources.fixtures import fixture_ctes
 
 
+# Fixed values of the report, written out here so that the oracle shares no list with the engine.
+FUNNEL_LEVELS = ["original", "inactive", "duplicate", "missing", "not located", "new"]
+EDUCATION_LEVELS = ["1st", "3rd", "4th", "5th", "6th", "7th", "8th", "9th",
+                    "10th", "11th", "12th", "PUC", "Diploma", "Degree", "Post Graduate", "Others"]
+
+
 def _trim(c: str) -> str:
     return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
 
@@ -70,11 +75,15 @@ fc_master2 AS (
    AND {_trim('m.contact_name')} IS NOT DISTINCT FROM r.contact_name),
 dict_business AS ({_first('fx_dictionary', 'business_type', ['business_type_clean'])}),
 dict_origin AS ({_first('fx_origin_dictionary', 'origin_city', ['origin_city_clean', 'origin_region_clean'])}),
+dict_locality AS ({_first('fx_locality_dictionary', 'locality', ['locality_clean'])}),
 dict_education AS ({_first('fx_education_dictionary', 'education_level', ['education_level_clean'])}),
 fc_master AS (
-  SELECT m.*, d1.business_type_clean, d2.origin_city_clean, d2.origin_region_clean, d3.education_level_clean
+  SELECT m.*, d1.business_type_clean, d2.origin_city_clean, d2.origin_region_clean, d4.locality_clean,
+         d3.education_level_clean
   FROM (SELECT * REPLACE ({_clean('business_type')} AS business_type, {_clean('origin_city')} AS origin_city,
+                          {_clean('locality')} AS locality,
                           {_clean('education_level')} AS education_level) FROM fc_master2) m
+  LEFT JOIN dict_locality d4 ON m.locality IS NOT DISTINCT FROM d4.locality
   LEFT JOIN dict_business d1 ON m.business_type IS NOT DISTINCT FROM d1.business_type
   LEFT JOIN dict_origin d2 ON m.origin_city IS NOT DISTINCT FROM d2.origin_city
   LEFT JOIN dict_education d3 ON m.education_level IS NOT DISTINCT FROM d3.education_level),
@@ -162,27 +171,45 @@ def _age_hist() -> str:
 
 
 _ROLLUP_COLS = ", ".join(
-    [f"type_{b}_clean AS {b}_type, {b}_total_rev, {b}_total_exp, {b}_total_prof" for b in ("b1", "b2", "b3")])
+    [f"type_{b}_clean AS {b}_type, {b}_total_rev, {b}_total_exp, {b}_total_prof, time_share_{b} AS {b}_months"
+     for b in ("b1", "b2", "b3")])
 
 
 def _sum0(measure: str) -> str:
     return " + ".join(f"coalesce({b}_total_{measure}, 0.0)" for b in ("b1", "b2", "b3"))
 
 
+# The exports' declared columns.
 _PARTNER = ", ".join([
-    "member_id", "start_ts", "enumerator_name", "contact_name", "data_status", "located", "gender", "age",
-    "ownership", "business_type", "facility_type", "daily_income", "daily_expenses", "daily_profits",
-    "monthly_income", "monthly_expenses", "monthly_profits", "smartphone_access", "smartphone_usability",
-    "bank_account", "digital_payments", "total_employees", "total_family_employees", "family_size",
-    "total_children", "total_earning_members", "education_level", "origin_city", "uuid", "submission_no",
-    "contact_status", "business_type_clean", "origin_city_clean", "origin_region_clean",
-    "education_level_clean"])
+    "member_id", "start_ts", "end_ts", "username", "enumerator_name", "contact_name", "data_status", "located",
+    "gender", "age", "photograph", "photograph_url", "shop_name", "shop_location", "shop_latitude",
+    "shop_longitude", "shop_altitude", "shop_precision", "locality", "business_photograph",
+    "business_photograph_url", "ownership", "business_type", "business_details", "facility_type",
+    "facility_type_other", "working_days", "daily_income", "daily_expenses", "daily_profits", "monthly_income",
+    "monthly_expenses", "monthly_profits", "smartphone_access", "smartphone_usability", "bank_account",
+    "digital_payments", "total_employees", "total_family_employees", "household_details", "family_size",
+    "total_children", "total_earning_members", "education_level", "origin_city", "other_details", "submission_no",
+    "uuid", "submission_time", "validation_status", "notes", "form_status", "submitted_by", "form_version", "tags",
+    "form_index", "contact_status", "business_type_clean", "origin_city_clean", "origin_region_clean",
+    "locality_clean", "education_level_clean"])
 _OPS = ", ".join([
-    "member_id", "enumerator_name", "contact_name", "phone_number", "data_status", "located", "gender",
-    "age", "ownership", "business_type", "facility_type", "daily_income", "daily_expenses", "daily_profits",
+    "member_id", "enumerator_name", "contact_name", "phone_number", "data_status", "located", "gender", "age",
+    "photograph", "shop_location", "locality", "business_photograph", "ownership", "business_type",
+    "business_details", "facility_type", "working_days", "daily_income", "daily_expenses", "daily_profits",
     "monthly_income", "monthly_expenses", "monthly_profits", "smartphone_access", "smartphone_usability",
-    "bank_account", "digital_payments", "total_employees", "total_family_employees", "family_size",
-    "total_children", "total_earning_members", "education_level", "origin_city", "submission_no"])
+    "bank_account", "digital_payments", "total_employees", "total_family_employees", "household_details",
+    "family_size", "total_children", "total_earning_members", "education_level", "origin_city", "other_details",
+    "form_index"])
+
+
+def _feedback(view: str, key: str, values: list[str]) -> str:
+    cols = ", ".join([key, *values])
+    return f"""
+SELECT min(ord) AS ord, {cols} FROM (
+  SELECT ord, {cols} FROM {view}
+  UNION ALL
+  SELECT DISTINCT (SELECT coalesce(max(ord) + 1, 0) FROM {view}), {cols} FROM fc_master WHERE {values[0]} IS NULL)
+WHERE {key} <> '' GROUP BY {cols}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -211,12 +238,15 @@ WHERE c.contact_phone IN (SELECT phone_number FROM fc_shared)
         "refresh_registry": _q(
             "SELECT DISTINCT phone_number, contact_name, member_id FROM fc_master2 WHERE contact_status = 'active'"),
         "standardize": _q("""
-SELECT c.*, d1.business_type_clean, d2.origin_city_clean, d2.origin_region_clean, d3.education_level_clean
-FROM (SELECT * REPLACE ({b} AS business_type, {o} AS origin_city, {e} AS education_level) FROM fx_contact) c
+SELECT c.*, d1.business_type_clean, d2.origin_city_clean, d2.origin_region_clean, d4.locality_clean,
+       d3.education_level_clean
+FROM (SELECT * REPLACE ({b} AS business_type, {o} AS origin_city, {l} AS locality, {e} AS education_level)
+      FROM fx_contact) c
+LEFT JOIN dict_locality d4 ON c.locality IS NOT DISTINCT FROM d4.locality
 LEFT JOIN dict_business d1 ON c.business_type IS NOT DISTINCT FROM d1.business_type
 LEFT JOIN dict_origin d2 ON c.origin_city IS NOT DISTINCT FROM d2.origin_city
 LEFT JOIN dict_education d3 ON c.education_level IS NOT DISTINCT FROM d3.education_level""".format(
-            b=_clean("business_type"), o=_clean("origin_city"), e=_clean("education_level"))),
+            b=_clean("business_type"), o=_clean("origin_city"), l=_clean("locality"), e=_clean("education_level"))),
         "dictionary_feedback": _q("""
 SELECT min(ord) AS ord, business_type, business_type_clean FROM (
   SELECT ord, business_type, business_type_clean FROM fx_dictionary
@@ -224,6 +254,11 @@ SELECT min(ord) AS ord, business_type, business_type_clean FROM (
   SELECT DISTINCT (SELECT coalesce(max(ord) + 1, 0) FROM fx_dictionary), business_type, business_type_clean
   FROM fc_master WHERE business_type_clean IS NULL)
 WHERE business_type <> '' GROUP BY business_type, business_type_clean"""),
+        "dictionary_feedback_origin": _q(_feedback("fx_origin_dictionary", "origin_city",
+                                                   ["origin_city_clean", "origin_region_clean"])),
+        "dictionary_feedback_locality": _q(_feedback("fx_locality_dictionary", "locality", ["locality_clean"])),
+        "dictionary_feedback_education": _q(_feedback("fx_education_dictionary", "education_level",
+                                                      ["education_level_clean"])),
         "first_contact_master": _q("SELECT * FROM fc_master"),
         "partner_export": _q(f"SELECT {_PARTNER} FROM fc_master WHERE contact_status = 'active'"),
         "ops_export": _q(f"SELECT {_OPS} FROM fc_master WHERE contact_status = 'active'"),
@@ -249,6 +284,16 @@ SELECT o.phone_number AS fc_phone_number, o.contact_name AS fc_name,
        CASE WHEN o.contact_name = b.member_name THEN 'YES' WHEN o.contact_name <> b.member_name THEN 'NO' END
          AS name_match
 FROM fx_id_master o FULL JOIN fx_baseline b ON o.member_id IS NOT DISTINCT FROM b.member_id
+WHERE b.visit_status IS NULL"""),
+        "match_report_single_ids": _q("""
+SELECT o.phone_number AS fc_phone_number, o.contact_name AS fc_name,
+       coalesce(o.member_id, b.member_id) AS member_id,
+       b.phone_number AS bl_phone_number, b.member_name AS bl_name,
+       CASE WHEN o.phone_number = b.phone_number THEN 'YES' WHEN o.phone_number <> b.phone_number THEN 'NO' END
+         AS number_match,
+       CASE WHEN o.contact_name = b.member_name THEN 'YES' WHEN o.contact_name <> b.member_name THEN 'NO' END
+         AS name_match
+FROM fx_id_master o FULL JOIN fx_baseline b ON o.member_id = b.member_id
 WHERE b.visit_status IS NULL"""),
         "standardize_roles": _q("SELECT * FROM bl_std"),
         "compact_dictionary": _q(f"""
@@ -260,7 +305,8 @@ SELECT member_id,
        concat_ws(', ', coalesce(type_b1_clean, 'NA'), coalesce(type_b2_clean, 'NA'), coalesce(type_b3_clean, 'NA'))
          AS all_businesses,
        {_sum0('rev')} AS total_rev, {_sum0('exp')} AS total_exp, {_sum0('prof')} AS total_prof,
-       {_ROLLUP_COLS}, enumerator_name, current_loan_count
+       {_ROLLUP_COLS}, enumerator_name, current_loan_count, second_business, third_business,
+       house_ownership, house_type, vehicle_type, total_children, total_children_school
 FROM bl_std"""),
         "status_funnel": _q("SELECT * FROM funnel", _funnel("rp_master_nn")),
         "status_funnel_start": _q("SELECT * FROM funnel", _funnel("rp_master")),
@@ -278,6 +324,12 @@ FROM funnel""", _funnel("rp_master")),
         "status_crosstab": _q("""
 SELECT final_status AS roster_status, data_status, contact_status, count(*) AS "count"
 FROM rp_master_nn GROUP BY ALL"""),
+        "status_crosstab_all": _q("""
+SELECT final_status AS roster_status, data_status, contact_status, count(*) AS "count"
+FROM fc_master GROUP BY ALL"""),
+        "status_funnel_given": _q("""
+SELECT final_status, CASE WHEN final_status = 'original' THEN 197 ELSE "count" END AS "count", status_rank
+FROM funnel""", _funnel("rp_master_nn")),
         "status_type": _q("""
 SELECT new_final_status AS final_status, gender, ownership, count(*) AS "count" FROM rp_master
 WHERE try_cast(substr(start_ts, 1, 10) AS DATE) < DATE '2024-12-01'
@@ -285,8 +337,11 @@ GROUP BY ALL HAVING new_final_status <> 'inactive'"""),
         "key_counts_phone_name": _q(
             'SELECT phone_number, contact_name, count(*) AS "count" FROM fc_master GROUP BY ALL'),
         "key_counts_uuid": _q('SELECT uuid, count(*) AS "count" FROM fc_master GROUP BY ALL'),
+        "report_key_counts_phone_name": _q(
+            'SELECT phone_number, contact_name, count(*) AS "count" FROM rp_master_nn GROUP BY ALL'),
+        "report_key_counts_uuid": _q('SELECT uuid, count(*) AS "count" FROM rp_master_nn GROUP BY ALL'),
         "key_counts_business_type": _q(
-            'SELECT business_type_clean, count(*) AS "count" FROM fc_master GROUP BY ALL'),
+            'SELECT business_type_clean, count(*) AS "count" FROM rp_master_nn GROUP BY ALL'),
         "age_histogram": _age_hist(),
         "age_summary": _q("""
 SELECT avg(age) AS mean_age, median(age) AS median_age, round_even(avg(age), 2) AS mean_age_r2,

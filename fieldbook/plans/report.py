@@ -98,9 +98,13 @@ def waterfall_bars(funnel: DataFrame, total_label: str = "Total") -> DataFrame:
     return bars.unionByName(total)
 
 
-def status_crosstab(master: DataFrame) -> DataFrame:
-    """Rows per (roster status, data status, contact status) to find contradictions."""
-    rm = report_master(master, "null_is_new")
+def status_crosstab(master: DataFrame, dropped: bool = False) -> DataFrame:
+    """Rows per (roster status, data status, contact status) to find contradictions.
+
+    The analysis leaves dropped rows out; first contact looks at all
+    (``dropped=True``).
+    """
+    rm = master if dropped else report_master(master, "null_is_new")
     return rm.groupBy(F.col("final_status").alias("roster_status"), "data_status", "contact_status").count()
 
 
@@ -124,9 +128,9 @@ def age_histogram(master: DataFrame, width: float = 5, boundary: float = 0,
 
 def age_summary(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
     ages = in_programme(report_master(master), statuses).filter(F.col("age").isNotNull())
-    age = F.col("age").cast("double")
-    return ages.agg(F.avg(age).alias("mean_age"), F.median(age).alias("median_age"),
-                    F.bround(F.avg(age), 2).alias("mean_age_r2"), F.bround(F.median(age), 2).alias("median_age_r2"))
+    both = means(ages, ["age"]).join(F.broadcast(medians(ages, ["age"])))  # one row each
+    return both.select("mean_age", "median_age", F.bround("mean_age", 2).alias("mean_age_r2"),
+                       F.bround("median_age", 2).alias("median_age_r2"))
 
 
 def facility_panel(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
@@ -198,5 +202,6 @@ def category_counts(master: DataFrame, column: str, statuses: Sequence[str] | No
     return value_counts(in_programme(report_master(master), statuses), column)
 
 
-def master_key_counts(master: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return key_counts(master, keys)
+def master_key_counts(master: DataFrame, keys: Sequence[str], dropped: bool = True) -> DataFrame:
+    """Rows per key of the master; the analysis leaves dropped rows out (``dropped=False``)."""
+    return key_counts(master if dropped else report_master(master, "null_is_new"), keys)

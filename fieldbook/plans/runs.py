@@ -9,8 +9,9 @@
     run_report          published master -> status tables and report panels
 
 Registry and dictionaries are read at their current version and written as
-the next one, so a run can be repeated or resumed: a failed run leaves the
-previous versions current. Large intermediate results are written once and
+the next one. A run writes all its versions first and moves the pointers
+together at its end, so a run that fails on the way leaves every table at
+the version it had, and can be repeated. Large intermediate results are written once and
 read back (the master) instead of being recomputed for every output.
 """
 
@@ -29,7 +30,7 @@ from fieldbook.operators.rollup import baseline_rollup, tidy_baseline
 from fieldbook.plans import first_contact as fc
 from fieldbook.plans import report as rp
 from fieldbook.plans.baseline import ROLES
-from fieldbook.sources.versioned import publish, publish_copies, read_current
+from fieldbook.sources.versioned import Staged, read_current
 
 
 def run_first_contact(roster: DataFrame, contact: DataFrame, dictionaries: Mapping[str, str],
@@ -41,55 +42,54 @@ def run_first_contact(roster: DataFrame, contact: DataFrame, dictionaries: Mappi
     Returns the version written for every output table.
     """
     spark: SparkSession = roster.sparkSession
-    out: dict[str, int] = {"fc_raw_backup": publish(contact, "fc_raw_backup", root=root)}
+    out = Staged(spark, root)
+    out.write(contact, "fc_raw_backup")
     prepared = linkage.prepare_contact(contact, cols, null_means_blank)
-    out["fc_duplicate_phones"] = publish(
-        linkage.duplicate_keys(prepared, cols.contact_key).withColumnRenamed(cols.contact_key, cols.roster_key),
-        "fc_duplicate_phones", root=root)
-    out["fc_shared_phone_rejects"] = publish(
-        linkage.shared_key_rejects(roster, contact, cols, null_means_blank), "fc_shared_phone_rejects", root=root)
+    out.write(linkage.duplicate_keys(prepared, cols.contact_key).withColumnRenamed(cols.contact_key, cols.roster_key),
+              "fc_duplicate_phones")
+    # one join, written once, gives the master and the rejects
+    joined = out.write(linkage.linked(roster, contact, cols, null_means_blank), "fc_linked")
+    out.write(linkage.rejects_of(joined, cols), "fc_shared_phone_rejects")
 
     registry = read_current(spark, registry_table, root=root)
     current = {col: read_current(spark, table, root=root) for col, table in dictionaries.items()}
-    linked = linkage.link_members(roster, contact, cols, null_means_blank)
-    with_ids = assign_ids(linked, registry, key=cols.roster_key, name=cols.contact_name)
-    master = standardize(with_ids, [Lookup(col, d) for col, d in current.items()])
-    out["fc_clean_final"] = publish(master, "fc_clean_final", root=root)
-    master = read_current(spark, "fc_clean_final", root=root)
-
-    out[registry_table] = publish(
-        refresh_registry(master, registry, key=cols.roster_key, name=cols.contact_name,
-                         keep_existing=keep_existing_ids), registry_table, root=root)
+    with_ids = assign_ids(linkage.members_of(joined, cols), registry, key=cols.roster_key, name=cols.contact_name)
+    master = out.write(standardize(with_ids, [Lookup(col, d) for col, d in current.items()]), "fc_clean_final")
+
+    out.write(refresh_registry(master, registry, key=cols.roster_key, name=cols.contact_name,
+                               keep_existing=keep_existing_ids), registry_table)
     for col, table in dictionaries.items():
         lookup = Lookup(col, current[col])
-        out[table] = publish(dictionary_feedback(master, current[col], lookup.key_col, lookup.value_cols,
-                                                 lookup.order), table, root=root)
-    out["fc_partner_export"] = publish(fc.partner_export(master), "fc_partner_export", root=root)
-    out["fc_ops_export"] = publish(fc.ops_export(master), "fc_ops_export", root=root)
-    return out
+        out.write(dictionary_feedback(master, current[col], lookup.key_col, lookup.value_cols, lookup.order), table)
+    out.write(fc.partner_export(master), "fc_partner_export")
+    out.write(fc.ops_export(master), "fc_ops_export")
+    return out.commit()
 
 
-def run_baseline(raw: DataFrame, reviewed: DataFrame | None = None, ops_table: str = "fc_ops_export",
+def run_baseline(raw: DataFrame, reviewed: DataFrame, ops_table: str = "fc_ops_export",
                  dictionary_table: str = "business_type_clean", root: str | None = None,
                  status_is_null: bool = True) -> dict[str, int]:
-    """Baseline. ``reviewed`` is the hand-reviewed baseline (default: the tidy one)."""
-    spark: SparkSession = raw.sparkSession
-    out: dict[str, int] = {"bl_raw_backup": publish(raw, "bl_raw_backup", root=root)}
-    out.update(publish_copies(tidy_baseline(raw), ["bl_tidy_data", "bl_partner_raw"], root=root))
-    tidy = read_current(spark, "bl_tidy_data", root=root)
-    ops = read_current(spark, ops_table, root=root)
-    out["fc_missing_data"] = publish(
-        reconcile.missing_first_contact(tidy, ops, status_is_null=status_is_null), "fc_missing_data", root=root)
-    out["bl_missing_data"] = publish(reconcile.missing_baseline(ops, tidy), "bl_missing_data", root=root)
-    out["fc_bl_matching"] = publish(
-        reconcile.match_report(ops, tidy, status_is_null=status_is_null), "fc_bl_matching", root=root)
+    """Baseline. ``reviewed`` is the hand-reviewed baseline, which the roll-up is made from.
 
+    Between the tidy copy and the roll-up the workflow hands the table over
+    to people, who also name the totals; so there is no default for it. Its
+    columns are checked before anything is written.
+    """
+    spark: SparkSession = raw.sparkSession
     dictionary = read_current(spark, dictionary_table, root=root)
-    standardized = standardize_roles(reviewed if reviewed is not None else tidy, dictionary, ROLES)
-    out[dictionary_table] = publish(compact_dictionary(standardized, dictionary, ROLES), dictionary_table,
-                                    root=root)
-    out["bl_final"] = publish(baseline_rollup(standardized), "bl_final", root=root)
-    return out
+    standardized = standardize_roles(reviewed, dictionary, ROLES)
+    final = baseline_rollup(standardized)
+    out = Staged(spark, root)
+    out.write(raw, "bl_raw_backup")
+    tidy = out.write(tidy_baseline(raw), "bl_tidy_data")
+    out.write(tidy, "bl_partner_raw")
+    ops = read_current(spark, ops_table, root=root)
+    out.write(reconcile.missing_first_contact(tidy, ops, status_is_null=status_is_null), "fc_missing_data")
+    out.write(reconcile.missing_baseline(ops, tidy), "bl_missing_data")
+    out.write(reconcile.match_report(ops, tidy, status_is_null=status_is_null), "fc_bl_matching")
+    out.write(compact_dictionary(standardized, dictionary, ROLES), dictionary_table)
+    out.write(final, "bl_final")
+    return out.commit()
 
 
 REPORT_TABLES = {
@@ -123,7 +123,8 @@ def run_report(roster: DataFrame, master_table: str = "fc_clean_final",
     """
     spark: SparkSession = roster.sparkSession
     master = read_current(spark, master_table, root=root)
-    out = {"first_contact_master_csv": publish(master, "first_contact_master_csv", fmt="csv", root=root)}
+    out = Staged(spark, root)
+    out.write(master, "first_contact_master_csv", fmt="csv")
     for table, build in REPORT_TABLES.items():
-        out[table] = publish(build(master, roster), table, root=root, partitions=1)
-    return out
+        out.write(build(master, roster), table, partitions=1)
+    return out.commit()

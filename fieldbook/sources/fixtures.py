@@ -35,6 +35,7 @@ ROSTER_EXPRS = [
     "WHEN 4 THEN 'Missing' WHEN 5 THEN 'Not Located' WHEN 6 THEN 'Dropped' ELSE NULL END AS final_status",
 ]
 
+# leaves people out of the submissions, so that some of the roster were never met
 CONTACT_FILTER = "k % 5 <> 4"
 CONTACT_EXPRS = [
     "'u' || CAST(CASE WHEN k % 50 = 1 THEN k - 1 ELSE k END AS STRING) AS uuid",
@@ -75,6 +76,32 @@ CONTACT_EXPRS = [
     "CASE WHEN k % 17 = 5 THEN NULL ELSE CAST(k % 5 AS DOUBLE) END AS total_children",
     "CAST(1 + k % 3 AS DOUBLE) AS total_earning_members",
     "'enumerator_' || CAST(k % 7 AS STRING) AS enumerator_name",
+    # the rest of the form: text as people type it, with line breaks, quotes and commas
+    "CASE WHEN k % 2 = 0 THEN '2024-11-20T10:45:00.000+05:30' ELSE '2024-12-05T09:30:00.000+05:30' END AS end_ts",
+    "'user_' || CAST(k % 3 AS STRING) AS username",
+    "'photo_' || CAST(k AS STRING) || '.jpg' AS photograph",
+    "'/media/photo_' || CAST(k AS STRING) || '.jpg' AS photograph_url",
+    "CASE WHEN k % 5 = 2 THEN NULL WHEN k % 5 = 1 THEN nm || ', \"the shop\"' ELSE nm || ' shop' END AS shop_name",
+    "CASE WHEN k % 6 = 5 THEN NULL ELSE CAST(12 + k % 5 AS STRING) || '.5 77.5 0 0' END AS shop_location",
+    "CASE WHEN k % 6 = 5 THEN NULL ELSE CAST(12 + k % 5 AS DOUBLE) END AS shop_latitude",
+    "CASE WHEN k % 6 = 5 THEN NULL ELSE CAST(77 + k % 3 AS DOUBLE) END AS shop_longitude",
+    "CASE WHEN k % 6 = 5 THEN NULL ELSE CAST(900 + k % 7 AS DOUBLE) END AS shop_altitude",
+    "CASE WHEN k % 6 = 5 THEN NULL ELSE CAST(k % 20 AS DOUBLE) END AS shop_precision",
+    "CASE k % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' market  road ' WHEN 3 THEN 'lake side' "
+    "WHEN 4 THEN 'old  town' WHEN 5 THEN 'unknown' ELSE 'market road' END AS locality",
+    "'shop_' || CAST(k AS STRING) || '.jpg' AS business_photograph",
+    "'/media/shop_' || CAST(k AS STRING) || '.jpg' AS business_photograph_url",
+    "CASE WHEN k % 4 = 1 THEN 'sells \"this\", and' || chr(10) || 'that' WHEN k % 4 = 2 THEN NULL ELSE 'one line' END "
+    "AS business_details",
+    "CASE WHEN k % 6 = 1 THEN 'cart, with roof' ELSE NULL END AS facility_type_other",
+    "CASE k % 3 WHEN 0 THEN 'mon tue wed' WHEN 1 THEN 'all' ELSE NULL END AS working_days",
+    "CASE WHEN k % 4 = 3 THEN 'first line' || chr(10) || chr(10) || 'third line' ELSE '' END AS household_details",
+    "CASE WHEN k % 9 = 2 THEN 'see \"notes\"' ELSE NULL END AS other_details",
+    "'2024-12-05T10:00:0' || CAST(k % 10 AS STRING) AS submission_time",
+    "CASE WHEN k % 8 = 0 THEN 'approved' ELSE NULL END AS validation_status",
+    "CASE WHEN k % 16 = 3 THEN 'called, twice' ELSE NULL END AS notes",
+    "'submitted_via_web' AS form_status", "'user_' || CAST(k % 3 AS STRING) AS submitted_by",
+    "'v' || CAST(1 + k % 2 AS STRING) AS form_version", "CAST(NULL AS STRING) AS tags", "CAST(k AS DOUBLE) AS form_index",
 ]
 
 DICTIONARY_SQL = (
@@ -89,20 +116,34 @@ EDUCATION_DICTIONARY_SQL = (
     "AS t(ord, education_level, education_level_clean)"
 )
 
+LOCALITY_DICTIONARY_SQL = (
+    "SELECT * FROM (VALUES (0, 'market road', 'Market Road'), (1, 'old town', 'Old Town'), "
+    "(2, 'market road', 'Market Rd (dup)'), (3, 'lake side', NULL), (4, '', 'blank')) AS t(ord, locality, locality_clean)"
+)
+
 ORIGIN_DICTIONARY_EXPRS = [
     "n_nationkey AS ord", "n_name AS origin_city", "lower(n_name) AS origin_city_clean",
     "r_name AS origin_region_clean",
 ]
+# leaves nations out of the dictionary, so that some lookups find nothing
 ORIGIN_DICTIONARY_FILTER = "n_nationkey % 6 <> 5"
 
+# leaves people out of the registry, so that some get no id
 ID_MASTER_FILTER = "k % 4 <> 0"
 ID_MASTER_EXPRS = [
     "CAST(ph AS DOUBLE) AS phone_number", "nm AS contact_name",
     "'M' || lpad(CAST(k AS STRING), 6, '0') AS member_id",
 ]
+# people listed twice, with two ids: lookups by them give two rows
+ID_MASTER_TWICE_FILTER = "k % 90 = 7"
+ID_MASTER_TWICE_EXPRS = [
+    "CAST(ph AS DOUBLE) AS phone_number", "nm AS contact_name",
+    "'D' || lpad(CAST(k AS STRING), 6, '0') AS member_id",
+]
 ID_MASTER_NULL_ROW = ("SELECT CAST(NULL AS DOUBLE) AS phone_number, CAST(NULL AS STRING) AS contact_name, "
                       "CAST(NULL AS STRING) AS member_id")
 
+# leaves people out of the baseline, so that both surveys have rows without a partner
 BASELINE_FILTER = "k % 3 <> 1"
 BASELINE_EXPRS = [
     "CASE WHEN k % 53 = 0 THEN NULL ELSE 'M' || lpad(CAST(k AS STRING), 6, '0') END AS member_id",
@@ -124,6 +165,16 @@ BASELINE_EXPRS = [
     "CASE WHEN k % 7 = 0 AND k % 20 <> 0 THEN CAST(6 AS DOUBLE) ELSE NULL END AS b3_total_prof",
     "CASE WHEN k % 4 = 0 THEN NULL ELSE CAST(k % 3 AS DOUBLE) END AS current_loan_count",
     "'enumerator_' || CAST(k % 7 AS STRING) AS enumerator_name",
+    "CAST(12 - k % 5 AS DOUBLE) AS time_share_b1",
+    "CASE WHEN k % 3 = 0 THEN NULL ELSE CAST(k % 5 AS DOUBLE) END AS time_share_b2",
+    "CASE WHEN k % 7 = 0 THEN CAST(k % 2 AS DOUBLE) ELSE NULL END AS time_share_b3",
+    "CASE WHEN k % 3 = 0 THEN 'no' ELSE 'yes' END AS second_business",
+    "CASE WHEN k % 7 = 0 THEN 'yes' ELSE 'no' END AS third_business",
+    "CASE k % 4 WHEN 0 THEN 'own' WHEN 1 THEN NULL ELSE 'rent' END AS house_ownership",
+    "CASE WHEN k % 2 = 0 THEN 'brick' ELSE 'sheet' END AS house_type",
+    "CASE k % 5 WHEN 0 THEN 'two wheeler' WHEN 1 THEN 'none' ELSE NULL END AS vehicle_type",
+    "CASE WHEN k % 17 = 5 THEN NULL ELSE CAST(k % 5 AS DOUBLE) END AS total_children",
+    "CASE WHEN k % 17 = 5 THEN NULL ELSE CAST(k % 3 AS DOUBLE) END AS total_children_school",
 ]
 
 # The raw baseline export: form-group codes inside the money column names and
@@ -149,10 +200,12 @@ def fixture_ctes() -> str:
         f"fx_contact AS (SELECT {_select(CONTACT_EXPRS)} FROM fx_base LEFT JOIN nation ON n_nationkey = nk "
         f"WHERE {CONTACT_FILTER})",
         f"fx_dictionary AS ({DICTIONARY_SQL})",
+        f"fx_locality_dictionary AS ({LOCALITY_DICTIONARY_SQL})",
         f"fx_education_dictionary AS ({EDUCATION_DICTIONARY_SQL})",
         f"fx_origin_dictionary AS (SELECT {_select(ORIGIN_DICTIONARY_EXPRS)} FROM nation "
         f"JOIN region ON n_regionkey = r_regionkey WHERE {ORIGIN_DICTIONARY_FILTER})",
         f"fx_id_master AS (SELECT {_select(ID_MASTER_EXPRS)} FROM fx_base WHERE {ID_MASTER_FILTER} "
+        f"UNION ALL SELECT {_select(ID_MASTER_TWICE_EXPRS)} FROM fx_base WHERE {ID_MASTER_TWICE_FILTER} "
         f"UNION ALL {ID_MASTER_NULL_ROW})",
         f"fx_baseline AS (SELECT {_select(BASELINE_EXPRS)} FROM fx_base WHERE {BASELINE_FILTER})",
         f"fx_baseline_raw AS (SELECT {_select(BASELINE_RAW_EXPRS)} FROM fx_baseline)",
@@ -205,6 +258,10 @@ class Fixtures:
     def dictionary(self) -> DataFrame:
         return self.spark.sql(DICTIONARY_SQL)
 
+    @property
+    def locality_dictionary(self) -> DataFrame:
+        return self.spark.sql(LOCALITY_DICTIONARY_SQL)
+
     @property
     def education_dictionary(self) -> DataFrame:
         return self.spark.sql(EDUCATION_DICTIONARY_SQL)
@@ -219,6 +276,7 @@ class Fixtures:
     @property
     def id_master(self) -> DataFrame:
         return (self.base.filter(ID_MASTER_FILTER).selectExpr(*ID_MASTER_EXPRS)
+                .unionByName(self.base.filter(ID_MASTER_TWICE_FILTER).selectExpr(*ID_MASTER_TWICE_EXPRS))
                 .unionByName(self.spark.sql(ID_MASTER_NULL_ROW)))
 
     @property

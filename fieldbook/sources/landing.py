@@ -8,21 +8,55 @@ schema, never with inference. Column names are normalised to snake_case.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.functions import clean_name_list, clean_names
 
 #: One CSV convention for every export and landed file: header row, cells
-#: kept as typed (no white-space trimming), a missing value written and read
-#: as ``NA`` so that it stays distinct from an empty string (written ``""``).
+#: kept as typed (no white-space trimming, quoted cells may hold line
+#: breaks), a missing value written and read as ``NA`` so that it stays
+#: distinct from an empty string (written ``""``).
 CSV_OPTIONS = {
     "header": True,
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
     "nullValue": "NA",
     "escape": '"',
+    "multiLine": True,
 }
 
+#: Column that holds a row as it stands in the file where it does not fit the schema.
+BAD_ROW = "_bad_row"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, bad_rows: str = "fail",
+             blank_as_null: bool = False) -> DataFrame:
+    """CSV files under a declared schema, by the one convention.
+
+    The header must name the schema's columns in their order, else the read
+    fails: columns are never bound by position alone. A row that does not
+    fit (a cell that is not of its type, too few or too many cells) fails
+    the read, or with ``bad_rows="report"`` stays, with NULL in the cells
+    that do not fit and the row's text in ``_bad_row``. With
+    ``blank_as_null`` an empty text cell is a missing value, as some report
+    readers take it; otherwise it stays ``''``.
+    """
+    if bad_rows not in ("fail", "report"):
+        raise ValueError(f"bad_rows is 'fail' or 'report', not {bad_rows!r}")
+    reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", False)
+    if bad_rows == "report":
+        schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType(), True)])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    df = reader.schema(schema).csv(path)
+    if blank_as_null:
+        df = df.select(*[F.nullif(F.col(f"`{f.name}`"), F.lit("")).alias(f.name)
+                         if isinstance(f.dataType, T.StringType) and f.name != BAD_ROW else F.col(f"`{f.name}`")
+                         for f in schema.fields])
+    return df
+
 
 def renamed_schema(schema: T.StructType) -> T.StructType:
     """The schema with snake_case field names (types unchanged)."""
@@ -31,12 +65,13 @@ def renamed_schema(schema: T.StructType) -> T.StructType:
 
 
 def load_submissions(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                     fmt: str = "csv") -> DataFrame:
+                     fmt: str = "csv", bad_rows: str = "fail", blank_as_null: bool = False) -> DataFrame:
     """A landed export as a table with clean column names.
 
     ``schema`` lists the export's own (raw) column names and their types, in
-    file order; CSV exports need it. ``NA`` cells read as NULL, a quoted
-    empty string as ``''`` (see ``CSV_OPTIONS``). Quoted cells may hold line
+    file order; CSV exports need it, and their header is held against it
+    (see ``read_csv``, also for bad rows and blanks). ``NA`` cells read as
+    NULL, a quoted empty string as ``''``. Quoted cells may hold line
     breaks (free-text answers), so a CSV file is read by one task: many
     export files read in parallel, but one very large export should land as
     Parquet instead.
@@ -44,8 +79,7 @@ def load_submissions(spark: SparkSession, path: str, schema: T.StructType | None
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV export needs a declared schema")
-        df = (spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
-              .option("multiLine", True).csv(path))
+        df = read_csv(spark, path, schema, bad_rows, blank_as_null)
     elif fmt == "parquet":
         df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     else:

@@ -33,7 +33,12 @@ CONTACT = struct(
     ("origin_city", S), ("monthly_income", D), ("monthly_expenses", D), ("monthly_profits", D),
     ("digital_payments", S), ("smartphone_usability", S), ("total_employees", D),
     ("total_family_employees", D), ("total_children", D), ("total_earning_members", D),
-    ("enumerator_name", S),
+    ("enumerator_name", S), ("end_ts", S), ("username", S), ("photograph", S), ("photograph_url", S), ("shop_name", S),
+    ("shop_location", S), ("shop_latitude", D), ("shop_longitude", D), ("shop_altitude", D), ("shop_precision", D),
+    ("locality", S), ("business_photograph", S), ("business_photograph_url", S), ("business_details", S),
+    ("facility_type_other", S), ("working_days", S), ("household_details", S), ("other_details", S), ("submission_time", S),
+    ("validation_status", S), ("notes", S), ("form_status", S), ("submitted_by", S), ("form_version", S), ("tags", S),
+    ("form_index", D),
 )
 
 REGISTRY = struct(("phone_number", D), ("contact_name", S), ("member_id", S))

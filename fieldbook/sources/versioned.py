@@ -1,30 +1,33 @@
-"""Versioned tables: publish a new version, then move a pointer.
+"""Versioned tables: write a new version, then point to it.
 
 The survey workflow reads a table (registry, dictionary), changes it and
 writes it back under the same name. Spark cannot overwrite a path it is
-reading from, and an interrupted overwrite would lose the table. Here each
-publish writes a new version directory and only then rewrites a small
-pointer dataset, so
+reading from, and an interrupted overwrite would lose the table. Here
 
-* a read-modify-write of the same table is safe (the read version is never
-  touched);
-* a job that dies mid-write leaves the previous version current;
-* old versions stay readable for audit.
+* every version is a folder of its own, numbered above all folders there
+  are, and written only where none is: no version is ever overwritten;
+* a pointer is a new numbered folder as well, and the highest complete one
+  says which version is current: a job that dies on the way leaves the
+  previous version current;
+* a table counts as unpublished only where it has no pointer folder. A
+  pointer that is there but cannot be read is an error, not a fresh start;
+* old versions stay readable until ``prune`` is asked to remove them.
 
 Layout under the shared root::
 
     <root>/<table>/v=<version>/part-*.parquet   (or .csv)
-    <root>/<table>/_current/part-*.json          {"version": N, "format": "parquet"}
+    <root>/<table>/_pointers/p=<n>/part-*.json   {"version": N, "format": "parquet"}
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.session import work_root
-from fieldbook.sources.landing import CSV_OPTIONS
+from fieldbook.sources.landing import CSV_OPTIONS, read_csv
 
 _POINTER_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -36,61 +39,141 @@ def table_path(spark: SparkSession, table: str, root: str | None = None) -> str:
     return f"{(root or work_root(spark)).rstrip('/')}/{table}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of ``path`` (any store Spark can read)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str, complete: bool = False) -> list[int]:
+    """Numbers of the ``<prefix>=<n>`` folders under ``path``, rising; none where the path is not there."""
+    fs, folder = _folder(spark, path)
+    if not fs.exists(folder):
+        return []
+    found = []
+    for status in fs.listStatus(folder):
+        match = re.fullmatch(rf"{prefix}=(\d+)", status.getPath().getName())
+        if match and (not complete or fs.exists(_folder(spark, f"{path}/{match[0]}/_SUCCESS")[1])):
+            found.append(int(match[1]))
+    return sorted(found)
+
+
+def versions(spark: SparkSession, table: str, root: str | None = None) -> list[int]:
+    """All version folders of ``table``, rising, whether a pointer names them or not."""
+    return _numbered(spark, table_path(spark, table, root), "v")
+
+
 def current_version(spark: SparkSession, table: str, root: str | None = None) -> tuple[int, str] | None:
-    """(version, format) the pointer names, or None when nothing was published."""
-    path = table_path(spark, table, root) + "/_current"
-    try:
-        row = spark.read.schema(_POINTER_SCHEMA).json(path).first()
-    except Exception:  # no pointer yet
+    """(version, format) the latest pointer names, or None when nothing was published."""
+    path = table_path(spark, table, root) + "/_pointers"
+    pointers = _numbered(spark, path, "p", complete=True)
+    if not pointers:
         return None
-    return (row["version"], row["format"]) if row else None
+    row = spark.read.schema(_POINTER_SCHEMA).json(f"{path}/p={pointers[-1]}").first()
+    if row is None or row["version"] is None or row["format"] is None:
+        raise ValueError(f"pointer {path}/p={pointers[-1]} cannot be read")
+    return row["version"], row["format"]
 
 
-def publish(df: DataFrame, table: str, version: int | None = None, fmt: str = "parquet",
-            root: str | None = None, partitions: int | None = None) -> int:
-    """Write ``df`` as a new version of ``table`` and make it current.
+def write_version(df: DataFrame, table: str, version: int | None = None, fmt: str = "parquet",
+                  root: str | None = None, partitions: int | None = None) -> int:
+    """Write ``df`` as a version of ``table`` without making it current; returns its number.
 
-    ``version`` defaults to the current one plus 1. ``fmt`` is ``parquet`` or
-    ``csv`` (``landing.CSV_OPTIONS``, for hand-off to other tools). ``partitions``
-    optionally coalesces the output (small tables meant for people).
+    ``version`` defaults to the number after all there are; an existing one
+    is refused. ``fmt`` is ``parquet`` or ``csv`` (``landing.CSV_OPTIONS``,
+    for hand-off to other tools). ``partitions`` optionally coalesces the
+    output (small tables meant for people).
     """
     spark = df.sparkSession
-    base = table_path(spark, table, root)
+    if fmt not in ("csv", "parquet"):
+        raise ValueError(f"unsupported format {fmt!r}")
+    known = versions(spark, table, root)
     if version is None:
-        cur = current_version(spark, table, root)
-        version = (cur[0] + 1) if cur else 1
+        named = current_version(spark, table, root)
+        version = max([0, *known, *([named[0]] if named else [])]) + 1
+    elif version in known:
+        raise FileExistsError(f"version {version} of {table!r} is already there")
     out = df.coalesce(partitions) if partitions else df
-    writer = out.write.mode("overwrite")
-    target = f"{base}/v={version}"
+    writer = out.write.mode("error")
+    target = f"{table_path(spark, table, root)}/v={version}"
     if fmt == "csv":
         writer.options(**CSV_OPTIONS).csv(target)
-    elif fmt == "parquet":
-        writer.parquet(target)
     else:
-        raise ValueError(f"unsupported format {fmt!r}")
-    pointer = spark.createDataFrame([(int(version), fmt)], _POINTER_SCHEMA)
-    pointer.coalesce(1).write.mode("overwrite").json(f"{base}/_current")
+        writer.parquet(target)
     return int(version)
 
 
-def read_current(spark: SparkSession, table: str, schema: T.StructType | None = None,
-                 root: str | None = None) -> DataFrame:
-    """The current version of ``table``.
+def point_to(spark: SparkSession, table: str, version: int, fmt: str = "parquet", root: str | None = None) -> None:
+    """Make a written version current, by a pointer numbered above all others."""
+    path = table_path(spark, table, root) + "/_pointers"
+    number = max([0, *_numbered(spark, path, "p")]) + 1
+    pointer = spark.range(1, numPartitions=1).selectExpr(f"CAST({int(version)} AS BIGINT) AS version", f"'{fmt}' AS format")
+    pointer.write.mode("error").json(f"{path}/p={number}")
+
+
+def publish(df: DataFrame, table: str, version: int | None = None, fmt: str = "parquet",
+            root: str | None = None, partitions: int | None = None) -> int:
+    """Write ``df`` as a new version of ``table`` and make it current."""
+    version = write_version(df, table, version, fmt, root, partitions)
+    point_to(df.sparkSession, table, version, fmt, root)
+    return version
+
+
+def read_version(spark: SparkSession, table: str, version: int, fmt: str = "parquet",
+                 schema: T.StructType | None = None, root: str | None = None) -> DataFrame:
+    """A version of ``table``, current or not.
 
     CSV versions need ``schema`` (no inference). Parquet carries its own;
     passing it anyway skips reading the file footers for it.
     """
-    cur = current_version(spark, table, root)
-    if cur is None:
-        raise FileNotFoundError(f"table {table!r} has no published version")
-    version, fmt = cur
     path = f"{table_path(spark, table, root)}/v={version}"
     if fmt == "csv":
-        reader = spark.read.options(**CSV_OPTIONS)
-        return (reader.schema(schema) if schema is not None else reader).csv(path)
+        if schema is None:
+            raise ValueError("a CSV version needs a declared schema")
+        return read_csv(spark, path, schema)
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
+def read_current(spark: SparkSession, table: str, schema: T.StructType | None = None,
+                 root: str | None = None) -> DataFrame:
+    """The current version of ``table``."""
+    cur = current_version(spark, table, root)
+    if cur is None:
+        raise FileNotFoundError(f"table {table!r} has no published version")
+    return read_version(spark, table, *cur, schema=schema, root=root)
+
+
+def prune(spark: SparkSession, table: str, keep: int, root: str | None = None) -> list[int]:
+    """Remove all but the latest ``keep`` versions, never the current one; returns what was removed."""
+    current = current_version(spark, table, root)
+    known = versions(spark, table, root)
+    old = [v for v in known[:-keep or None] if current and v < current[0]]
+    for v in old:
+        fs, folder = _folder(spark, f"{table_path(spark, table, root)}/v={v}")
+        fs.delete(folder, True)
+    return old
+
+
+class Staged:
+    """Versions written in one run and made current together, when ``commit`` is called."""
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark, self.root = spark, root
+        self.written: dict[str, tuple[int, str]] = {}
+
+    def write(self, df: DataFrame, table: str, fmt: str = "parquet", partitions: int | None = None) -> DataFrame:
+        """Write a version and return it as it reads back."""
+        version = write_version(df, table, None, fmt, self.root, partitions)
+        self.written[table] = version, fmt
+        return read_version(self.spark, table, version, fmt, df.schema, self.root)
+
+    def commit(self) -> dict[str, int]:
+        """Point every table to what was written; returns the versions."""
+        for table, (version, fmt) in self.written.items():
+            point_to(self.spark, table, version, fmt, self.root)
+        return {table: version for table, (version, _) in self.written.items()}
+
+
 def publish_copies(df: DataFrame, tables: list[str], fmt: str = "parquet",
                    root: str | None = None) -> dict[str, int]:
     """Publish one frame to several tables (e.g. one per audience).
@@ -103,12 +186,8 @@ def publish_copies(df: DataFrame, tables: list[str], fmt: str = "parquet",
         return {}
     spark = df.sparkSession
     first = tables[0]
-    versions = {first: publish(df, first, fmt=fmt, root=root)}
+    done = {first: publish(df, first, fmt=fmt, root=root)}
     written = read_current(spark, first, schema=df.schema if fmt == "csv" else None, root=root)
     for table in tables[1:]:
-        versions[table] = publish(written, table, fmt=fmt, root=root)
-    return versions
-
-
-def with_version(df: DataFrame, version: int) -> DataFrame:
-    return df.withColumn("version", F.lit(version).cast("bigint"))
+        done[table] = publish(written, table, fmt=fmt, root=root)
+    return done

@@ -7,19 +7,16 @@ file in a shared folder. Structured Streaming picks up only the new files:
   schema and clean column names (the streaming form of ``load_submissions``);
 * ``ingest_submissions``: append new submissions to a Parquet table with an
   exactly-once file sink; the checkpoint lives in the shared folder, so a
-  restarted job resumes where it stopped;
-* ``duplicate_key_counts``: the duplicate-phone list maintained
-  incrementally (state: one count per phone).
+  restarted job resumes where it stopped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldbook.functions import clean_names, to_number
+from fieldbook.functions import clean_names
 from fieldbook.session import work_root
 from fieldbook.sources.landing import CSV_OPTIONS
 
@@ -30,7 +27,7 @@ def submissions_stream(spark: SparkSession, landing_dir: str, raw_schema: T.Stru
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        stream = reader.options(**CSV_OPTIONS).csv(landing_dir)
+        stream = reader.options(**CSV_OPTIONS).option("enforceSchema", False).option("mode", "FAILFAST").csv(landing_dir)
     elif fmt == "parquet":
         stream = reader.parquet(landing_dir)
     else:
@@ -51,13 +48,3 @@ def ingest_submissions(stream: DataFrame, table_dir: str, name: str = "submissio
               .option("checkpointLocation", _checkpoint(spark, name, checkpoint)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.queryName(name).start()
-
-
-def duplicate_key_counts(stream: DataFrame, key_text: str = "phone_text", key: str = "phone_number") -> DataFrame:
-    """Running submission count per non-NULL phone (streaming aggregate).
-
-    Filter ``count > 1`` on the sink side (a complete or update table) for
-    the duplicate list; the state holds one row per phone seen.
-    """
-    phones = stream.select(to_number(key_text).alias(key)).filter(F.col(key).isNotNull())
-    return phones.groupBy(key).count()

@@ -7,7 +7,6 @@ import re
 from __spark_entry__ import queries
 
 from .conftest import SF0001
-from .test_skew import session_conf
 
 
 def _plan(df, final: bool = False) -> str:
@@ -28,13 +27,18 @@ def test_report_panel_reads_only_its_columns(spark):
     assert scans and all(len(cols.split(",")) <= 6 for cols in scans)  # of about 40 columns
 
 
-def test_inputs_are_not_shuffled_by_phone_alone(spark):
-    """With automatic broadcasts off, only the counted hint keeps the inputs
-    from being shuffled by phone to be flagged."""
-    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    with session_conf(spark, off):
-        plan = _plan(queries()["resolve_shared_keys"](spark, SF0001), final=True)
-    single_key = re.compile(r"hashpartitioning\(knownfloatingpointnormalized\(normalizenanandzero\("
-                            r"(phone_number|contact_phone)#\d+\)\), \d+\)")
-    assert not single_key.search(plan)
-    assert "_r_join" in plan and "_c_join" in plan
+def test_no_job_runs_while_a_plan_is_built(spark):
+    """Sizes decide at run time, by AQE; nothing is counted beforehand."""
+    sc = spark.sparkContext
+    sc.setJobGroup("planning", "planning")
+    try:
+        for name in ("build_master", "resolve_shared_keys", "assign_ids", "standardize", "first_contact_master", "match_report"):
+            queries()[name](spark, SF0001)
+        assert not sc.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        sc._jsc.clearJobGroup()
+
+
+def test_the_medians_of_a_panel_gather_no_distinct_values(spark):
+    plan = _plan(queries()["finance_medians"](spark, SF0001))
+    assert "percentile_approx" in plan and " median(" not in plan

@@ -1,15 +1,12 @@
-"""Incremental ingestion: two landed batches, exactly-once append, running duplicates."""
+"""Incremental ingestion: two landed batches, exactly-once append."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import functions as F
-
-from fieldbook.operators import linkage
 from fieldbook.sources import schemas
 from fieldbook.sources.landing import write_export
-from fieldbook.streaming.ingest import duplicate_key_counts, ingest_submissions, submissions_stream
+from fieldbook.streaming.ingest import ingest_submissions, submissions_stream
 
 
 def test_landed_batches_are_ingested_once(spark, fx_small):
@@ -33,18 +30,3 @@ def test_landed_batches_are_ingested_once(spark, fx_small):
     table = spark.read.parquet(f"{root}/table")
     assert table.count() == contact.count()
     assert table.exceptAll(contact).count() == 0
-
-
-def test_running_duplicate_counts_match_batch(spark, fx_small):
-    root = tempfile.mkdtemp(prefix="fieldbook-stream-")
-    raw = schemas.raw_schema(schemas.CONTACT)
-    contact = fx_small.contact.select(*schemas.CONTACT.fieldNames())
-    write_export(contact, f"{root}/landing/b1", raw.fieldNames())
-    stream = submissions_stream(spark, f"{root}/landing/*", raw)
-    q = (duplicate_key_counts(stream).writeStream.outputMode("complete").format("memory")
-         .queryName("dup_counts").option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    streamed = spark.table("dup_counts").filter("count > 1").select("phone_number")
-    batch = linkage.duplicate_keys(linkage.prepare_contact(fx_small.contact), "contact_phone").select(
-        F.col("contact_phone").alias("phone_number"))
-    assert sorted(streamed.collect()) == sorted(batch.collect())

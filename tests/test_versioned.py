@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+from pathlib import Path
+
+import pytest
+from pyspark.sql import types as T
 
 from fieldbook.operators.dictionary import dictionary_feedback, standardize, Lookup
 from fieldbook.sources import schemas
-from fieldbook.sources.landing import load_submissions, write_export
-from fieldbook.sources.versioned import current_version, publish, publish_copies, read_current
+from fieldbook.sources.landing import BAD_ROW, load_submissions, read_csv, write_export
+from fieldbook.sources.versioned import (Staged, current_version, point_to, prune, publish, publish_copies, read_current,
+                                         read_version, versions, write_version)
 
 
 def test_read_modify_write_same_table(spark, fx_small):
@@ -42,3 +47,94 @@ def test_one_frame_to_two_tables(spark, fx_small):
     b = read_current(spark, "bl_partner", root=root)
     assert a.count() == b.count() == fx_small.baseline.count()
     assert a.exceptAll(b).count() == 0
+
+
+def _two_versions(spark):
+    root = tempfile.mkdtemp(prefix="fieldbook-test-")
+    assert publish(spark.range(10), "t", root=root) == 1
+    assert publish(spark.range(5), "t", root=root) == 2
+    return root
+
+
+def test_a_lost_pointer_overwrites_nothing(spark):
+    root = _two_versions(spark)
+    for pointer in Path(root, "t/_pointers").glob("*/_SUCCESS"):
+        pointer.rename(pointer.with_name("lost"))  # as if no pointer had been completed
+    assert current_version(spark, "t", root=root) is None
+    assert publish(spark.range(3), "t", root=root) == 3
+    assert [read_version(spark, "t", v, root=root).count() for v in (1, 2, 3)] == [10, 5, 3]
+    assert current_version(spark, "t", root=root) == (3, "parquet")
+
+
+def test_an_unreadable_pointer_is_an_error(spark):
+    root = _two_versions(spark)
+    spark.range(0).selectExpr("1L AS version", "'parquet' AS format").write.json(f"{root}/t/_pointers/p=9")
+    with pytest.raises(ValueError, match="cannot be read"):
+        publish(spark.range(3), "t", root=root)
+    assert versions(spark, "t", root=root) == [1, 2] and read_version(spark, "t", 1, root=root).count() == 10
+
+
+def test_an_existing_version_is_refused(spark):
+    root = _two_versions(spark)
+    spark.range(7).write.parquet(f"{root}/t/v=3")  # left by a run that died before its pointer
+    with pytest.raises(FileExistsError):
+        publish(spark.range(3), "t", version=3, root=root)
+    assert publish(spark.range(3), "t", root=root) == 4
+    assert read_version(spark, "t", 3, root=root).count() == 7
+
+
+def test_staged_versions_become_current_together(spark):
+    root = _two_versions(spark)
+    staged = Staged(spark, root)
+    assert staged.write(spark.range(4), "t").count() == 4
+    staged.write(spark.range(1), "other")
+    assert current_version(spark, "t", root=root) == (2, "parquet") and current_version(spark, "other", root=root) is None
+    assert staged.commit() == {"t": 3, "other": 1}
+    assert read_current(spark, "t", root=root).count() == 4
+
+
+def test_prune_keeps_the_current_version(spark):
+    root = _two_versions(spark)
+    write_version(spark.range(3), "t", root=root)
+    assert prune(spark, "t", keep=1, root=root) == [1]
+    assert versions(spark, "t", root=root) == [2, 3] and read_current(spark, "t", root=root).count() == 5
+    point_to(spark, "t", 3, root=root)
+    assert prune(spark, "t", keep=1, root=root) == [2]
+
+
+SCHEMA = T.StructType([T.StructField("Business Type", T.StringType()), T.StructField("Age", T.DoubleType())])
+
+
+def _file(text):
+    path = Path(tempfile.mkdtemp(prefix="fieldbook-test-"), "export.csv")
+    path.write_text(text)
+    return str(path)
+
+
+def test_text_with_line_breaks_quotes_and_commas(spark):
+    root = tempfile.mkdtemp(prefix="fieldbook-test-")
+    rows = [("one\ntwo", 1.0), ('say "a", b', 2.0), ("\n\n", None), (None, 3.0), ("", 4.0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    publish(df, "t", fmt="csv", root=root)
+    assert sorted(map(tuple, read_current(spark, "t", schema=SCHEMA, root=root).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_a_header_that_does_not_fit_is_refused(spark):
+    path = _file("Age,Business Type\n3,shop\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_submissions(spark, path, SCHEMA).collect()
+
+
+def test_bad_rows_fail_or_are_reported(spark):
+    path = _file("Business Type,Age\nshop,3\ncart,three\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_submissions(spark, path, SCHEMA).collect()
+    rows = {r["Business Type"]: r for r in read_csv(spark, path, SCHEMA, bad_rows="report").collect()}
+    assert rows["shop"][BAD_ROW] is None and rows["cart"][BAD_ROW] == "cart,three" and rows["cart"]["Age"] is None
+
+
+def test_blanks_may_be_missing_values(spark):
+    path = _file('Business Type,Age\n"",3\nNA,4\nshop,5\n')
+    as_typed = [r[0] for r in read_csv(spark, path, SCHEMA).orderBy("Age").collect()]
+    as_missing = [r[0] for r in load_submissions(spark, path, SCHEMA, blank_as_null=True).orderBy("age").collect()]
+    assert as_typed == ["", None, "shop"] and as_missing == [None, None, "shop"]
