@@ -94,6 +94,12 @@ def q_resolve_shared_keys(spark, sf_dir):
     return linkage.link_members(fx.roster, fx.contact)
 
 
+def q_resolve_hot_phone(spark, sf_dir):
+    """The shared-phone rule where one phone holds a third of the submissions (K4)."""
+    fx = _fx(spark, sf_dir)
+    return linkage.link_members(fx.hot_roster, fx.hot_contact)
+
+
 def q_shared_key_rejects(spark, sf_dir):
     """Roster rows and submissions the shared-phone rule removed (K4)."""
     fx = _fx(spark, sf_dir)
@@ -258,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "build_master": q_build_master,
     "duplicate_keys": q_duplicate_keys,
     "resolve_shared_keys": q_resolve_shared_keys,
+    "resolve_hot_phone": q_resolve_hot_phone,
     "shared_key_rejects": q_shared_key_rejects,
     "assign_ids": q_assign_ids,
     "refresh_registry": q_refresh_registry,

@@ -224,6 +224,19 @@ def oracle_sql() -> dict[str, str]:
             "SELECT contact_phone AS phone_number, 'duplicate' AS flag FROM fc_contact "
             "WHERE contact_phone IS NOT NULL GROUP BY contact_phone HAVING count(*) > 1"),
         "resolve_shared_keys": _q("SELECT * FROM fc_master1"),
+        "resolve_hot_phone": _q("""
+SELECT * FROM hp_master WHERE phone_number NOT IN (SELECT phone_number FROM hp_shared)
+UNION ALL
+SELECT * FROM hp_master WHERE phone_number IN (SELECT phone_number FROM hp_shared) AND contact_name = roster_name""", """
+hp_contact AS (
+  SELECT submission_no, contact_name, CASE WHEN data_status = '' THEN 'existing' ELSE data_status END AS data_status,
+         located, 'active' AS contact_status, CAST(phone_text AS DOUBLE) AS contact_phone FROM fx_hot_contact),
+hp_master AS (
+  SELECT r.roster_no, coalesce(r.phone_number, c.contact_phone) AS phone_number, r.roster_name,
+         lower(r.final_status) AS final_status, c.* EXCLUDE (contact_phone)
+  FROM fx_hot_roster r FULL JOIN hp_contact c ON r.phone_number = c.contact_phone),
+hp_shared AS (
+  SELECT phone_number FROM hp_master WHERE data_status = 'existing' GROUP BY phone_number HAVING count(*) > 1)"""),
         "shared_key_rejects": _q("""
 SELECT 'roster' AS side, r.phone_number, r.roster_name AS name, CAST(r.roster_no AS VARCHAR) AS record_id
 FROM fc_roster r

@@ -177,6 +177,17 @@ BASELINE_EXPRS = [
     "CASE WHEN k % 17 = 5 THEN NULL ELSE CAST(k % 3 AS DOUBLE) END AS total_children_school",
 ]
 
+# A programme in which one phone holds a third of all submissions (one per order).
+HOT_ROSTER_EXPRS = [
+    "CAST(c_custkey AS STRING) AS roster_no", "CAST(9000000000 + c_custkey AS DOUBLE) AS phone_number",
+    "c_name AS roster_name", "CASE WHEN c_custkey % 8 = 2 THEN 'Inactive' ELSE 'Active' END AS final_status",
+]
+HOT_CONTACT_EXPRS = [
+    "CAST(o_orderkey AS STRING) AS submission_no", "'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS contact_name",
+    "CASE WHEN o_orderkey % 3 = 0 THEN '9000000001' ELSE CAST(9000000000 + o_custkey AS STRING) END AS phone_text",
+    "CASE WHEN o_orderkey % 7 = 3 THEN 'new' ELSE '' END AS data_status", "'yes' AS located",
+]
+
 # The raw baseline export: form-group codes inside the money column names and
 # layout columns (header / note / info) that tidying drops.
 BASELINE_RAW_EXPRS = [
@@ -199,6 +210,8 @@ def fixture_ctes() -> str:
         f"fx_roster AS (SELECT {_select(ROSTER_EXPRS)} FROM fx_base)",
         f"fx_contact AS (SELECT {_select(CONTACT_EXPRS)} FROM fx_base LEFT JOIN nation ON n_nationkey = nk "
         f"WHERE {CONTACT_FILTER})",
+        f"fx_hot_roster AS (SELECT {_select(HOT_ROSTER_EXPRS)} FROM customer)",
+        f"fx_hot_contact AS (SELECT {_select(HOT_CONTACT_EXPRS)} FROM orders)",
         f"fx_dictionary AS ({DICTIONARY_SQL})",
         f"fx_locality_dictionary AS ({LOCALITY_DICTIONARY_SQL})",
         f"fx_education_dictionary AS ({EDUCATION_DICTIONARY_SQL})",
@@ -254,6 +267,14 @@ class Fixtures:
         joined = self.base.filter(CONTACT_FILTER).join(nation, F.col("n_nationkey") == F.col("nk"), "left")
         return joined.selectExpr(*CONTACT_EXPRS)
 
+    @property
+    def hot_roster(self) -> DataFrame:
+        return self.table("customer").selectExpr(*HOT_ROSTER_EXPRS)
+
+    @property
+    def hot_contact(self) -> DataFrame:
+        return self.table("orders").selectExpr(*HOT_CONTACT_EXPRS)
+
     @property
     def dictionary(self) -> DataFrame:
         return self.spark.sql(DICTIONARY_SQL)

@@ -21,7 +21,8 @@ CUSTOMER = struct(("c_custkey", L), ("c_name", S), ("c_nationkey", T.IntegerType
                   ("c_mktsegment", S))
 NATION = struct(("n_nationkey", T.IntegerType()), ("n_name", S), ("n_regionkey", T.IntegerType()))
 REGION = struct(("r_regionkey", T.IntegerType()), ("r_name", S))
-INPUT_TABLES = {"customer": CUSTOMER, "nation": NATION, "region": REGION}
+ORDERS = struct(("o_orderkey", L), ("o_custkey", L))
+INPUT_TABLES = {"customer": CUSTOMER, "nation": NATION, "region": REGION, "orders": ORDERS}
 
 ROSTER = struct(("roster_no", S), ("phone_number", D), ("roster_name", S), ("final_status", S))
 
