@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle (sf0.001 for speed).
+"""Every registered survey query against its DuckDB oracle (sf0.001 for speed).
 
 The driver runs the same comparison at sf0.01; set ``FIELDBOOK_ORACLE_SF`` to
 another folder (or run ``python tests/oracle_check.py <folder>``) for any
@@ -11,13 +11,15 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from fieldbook.plans.catalog import QUERIES
+from fieldbook.plans.oracle_sql import oracle_sql
 from tests.oracle_check import compare, duck
 
 from .conftest import SF0001
 
 SF_DIR = os.environ.get("FIELDBOOK_ORACLE_SF", SF0001)
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -26,12 +28,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle_sql()) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    result = compare(spark, SF_DIR, name, queries()[name], oracle_sql()[name], con)
+    result = compare(spark, SF_DIR, name, QUERIES[name], oracle_sql()[name], con)
     assert result["ok"], result
 
 
