@@ -27,7 +27,7 @@ table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,7 @@ from .substrings import Words, mixed, spans_hashed
 SHINGLE, THRESHOLD = 5, 0.8
 
 #: Coordinates of the embedding; children of a node on average are 1 / LAMBDA; least splits and most; sets in a small node.
-COORDINATES, LAMBDA, LEAST_SPLITS, DEEPEST, SMALL = 64, 0.7, 2, 12, 256
+COORDINATES, LAMBDA, LEAST_SPLITS, DEEPEST, SMALL = 64, 0.7, 2, 5, 2048
 
 #: Share of the pairs at the threshold to be found.
 RECALL = 0.999
@@ -153,7 +153,6 @@ def leaves_of(reps: DataFrame, runs: range) -> tuple[DataFrame, int]:
     """(leaf, part, rep, ``deep``) of all nodes with company, and the depth reached."""
     found, depth, rows = [], LEAST_SPLITS, split(reps.select("rep", "sketch"), runs, LEAST_SPLITS)
     while True:
-        rows = written(rows.distinct(), "nodes")
         counts = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
         sized = written(rows.join(counts, "node"), "sized")
         small = (F.col("n") <= SMALL) | F.lit(depth >= DEEPEST)
@@ -181,6 +180,43 @@ def in_parts(leaves: DataFrame) -> DataFrame:
     return leaves.withColumn("place", F.explode(places)).select("leaf", "place.part", "place.side", "rep")
 
 
+def per_group(rows: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """Apply ``fn`` to the rows of each group: groups are brought together and met in sorted order.
+
+    There are many groups of two rows here; this spares each of them a call of its own.
+    """
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+            change = np.zeros(max(0, batch.num_rows - 1), bool)
+            for c in columns:
+                change |= c[1:] != c[:-1]
+            if held and any(held[-1].column(k)[-1].as_py() != c[0] for k, c in zip(keys, columns)):
+                yield pa.Table.from_batches(held)
+                held = []
+            bounds = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+            for a, b in zip(bounds, bounds[1:-1]):
+                yield pa.Table.from_batches([*held, batch.slice(a, b - a)])
+                held = []
+            held.append(batch.slice(bounds[-2]))
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[pa.Table] = []
+        for group in groups(b for b in batches if b.num_rows):
+            if group.num_rows > 1 and (made := fn(group)).num_rows:
+                done.append(made)
+            if len(done) >= 500:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+                done = []
+        if done:
+            yield from pa.concat_tables(done).combine_chunks().to_batches()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def first_meeting(own: list[np.ndarray], leaf: int) -> np.ndarray:
     """For each two rows of a leaf, whether it is the least they share."""
     before = [set(o[:np.searchsorted(o, leaf)].tolist()) for o in own]
@@ -207,10 +243,13 @@ def shortlist(table: pa.Table) -> pa.Table:
     """Rows of a leaf that have a partner by their sketches which they meet here first."""
     rows = table.to_pydict()
     own = [np.frombuffer(o, "<i8") for o in rows["own"]]
-    sketch = np.frombuffer(b"".join(rows["sketch"]), "<u4").reshape(-1, COORDINATES)
-    near = np.zeros((len(own), len(own)), np.int16)
-    for k in range(COORDINATES):
-        near += sketch[:, None, k] == sketch[None, :, k]
+    sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(-1, COORDINATES)
+    if len(own) <= 64:
+        near = (sketch[:, None, :] == sketch[None, :, :]).sum(2)
+    else:
+        near = np.zeros((len(own), len(own)), np.int16)
+        for k in range(COORDINATES):
+            near += sketch[:, None, k] == sketch[None, :, k]
     mask = compared(np.array(rows["side"])) & (near >= SKETCH * COORDINATES)
     if mask.any():
         mask &= first_meeting(own, rows["leaf"][0])
@@ -281,10 +320,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, h, ``class_id``, ``n_links``, ``first``) of every document.
+    """(doc_id, h, key, ``class_id``, ``n_links``, ``first``) of every document.
 
     ``n_links`` is the number of other documents at the threshold or above, documents of the same set
-    among them; ``first`` tells the one set of each class by which it is named; ``h`` is xxhash64 of the text.
+    among them; ``first`` tells the one set of each class by which it is named; ``h`` is xxhash64 of the text
+    and ``key`` tells sets apart.
     """
     on_workers(docs.sparkSession)
     sets = sets_of(docs, size)
@@ -297,17 +337,19 @@ def join(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) ->
         more, reached = leaves_of(written(reps.join(deep, "rep", "left_semi"), "deep"), range(done, needed))
         leaves = written(leaves.unionByName(more), "leaves")
         done, depth = needed, max(depth, reached)
-    own = leaves.groupBy("rep").agg(F.array_sort(F.collect_set("leaf")).alias("own"))
+    own = leaves.groupBy("rep").agg(F.array_sort(F.collect_set("leaf")).alias("own")).join(reps.select("rep", "sketch"), "rep")
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = [np.array(x, "<i8").tobytes() for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.binary())], ["rep", "own"])
+        # a byte a coordinate tells sketches apart well enough to choose what is compared exactly
+        short = [np.frombuffer(x, "<u4").astype(np.uint8).tobytes() for x in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.binary()), pa.array(short, pa.binary())], ["rep", "own", "sketch"])
 
-    own = written(map_batches(own, pack, "rep bigint, own binary"), "own")
-    placed = in_parts(leaves)
-    shown = placed.join(own.join(reps.select("rep", "sketch"), "rep"), "rep")
-    chosen = written(shown.groupBy("leaf", "part").applyInArrow(shortlist, "leaf bigint, part bigint, side int, rep bigint"), "shortlist")
+    own = written(map_batches(own, pack, "rep bigint, own binary, sketch binary"), "own")
+    shown = in_parts(leaves).join(own, "rep")
+    chosen = written(per_group(shown, ["leaf", "part"], shortlist, "leaf bigint, part bigint, side int, rep bigint"), "shortlist")
 
+    own = own.drop("sketch")
     wanted = chosen.select("rep").distinct().join(reps.select("rep", "id", "h", "weight"), "rep").join(own, "rep")
     wanted = written(wanted, "wanted")
     identity = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("bigint")
@@ -319,9 +361,8 @@ def join(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) ->
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(members, pa.binary())], ["rep", "weight", "own", "set"])
 
     full = written(map_batches(texts.select("rep", "weight", "own", "text"), exact, "rep bigint, weight bigint, own binary, set binary"), "full")
-    found = chosen.join(full, "rep").groupBy("leaf", "part").applyInArrow(
-        lambda table: linked(table, threshold), "rep bigint, root bigint, links bigint")
-    found = written(found, "linked")
+    found = written(per_group(chosen.join(full, "rep"), ["leaf", "part"], lambda table: linked(table, threshold),
+                              "rep bigint, root bigint, links bigint"), "linked")
     roots = components(found.select("rep", "root"))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     known = reps.select("key", "rep", "id", "weight").join(roots, "rep", "left").join(links, "rep", "left")
@@ -331,14 +372,15 @@ def join(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) ->
     out = sets.join(known, "key", "left")
     name = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.nullif("class", F.lit((1 << 63) - 1)))
     first = F.col("key").isNull() | (F.col("leads") & (identity == F.col("id")))
-    return out.select("doc_id", "h", name.alias("class_id"), F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), first.alias("first"))
+    return out.select("doc_id", "h", "key", name.alias("class_id"), F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"), first.alias("first"))
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each class: the one that names it, once."""
-    kept = written(join(docs, size, threshold).where("first").select(F.col("doc_id").alias("kept id"), F.col("h").alias("kept h"), "class_id").distinct(), "kept")
+    """``docs`` with one document of each class: the one that names it. Rows that are the same in id and text stay once."""
+    kept = written(join(docs, size, threshold).where("first").select(F.col("doc_id").alias("kept id"), F.col("h").alias("kept h"), "key").distinct(), "kept")
     # documents of one id but of different texts with the same set: the least text stays
-    kept = kept.groupBy("kept id", "class_id").agg(F.min("kept h").alias("kept h"))
+    alone = F.when(F.col("key").isNull(), F.col("kept h"))
+    kept = kept.groupBy("kept id", "key", alone.alias("alone")).agg(F.min("kept h").alias("kept h"))
     rows = docs.withColumn("kept text", F.xxhash64("text"))
     rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept id")) & (F.col("kept text") == F.col("kept h")), "left_semi")
     return rows.dropDuplicates(["doc_id", "kept text"]).select(docs.columns)
