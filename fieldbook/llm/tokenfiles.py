@@ -28,21 +28,21 @@ from pyspark.sql import functions as F
 
 from fieldbook.session import work_root
 
-from .chunks import PIECES, Chunked, Memo, byte_letters
+from .chunks import PIECES, Memo, byte_letters
 from .common import ROWS, map_batches, on_workers, text_or_empty
 
 #: Bytes in a stripe and rows in a row group of the files.
 STRIPE_BYTES, INDEX_ROWS = 16 << 20, 1_000
 
-#: Chunks, and pieces, whose ids a worker keeps.
-KEPT = 150_000
+#: Pieces whose ids a worker keeps.
+KEPT = 300_000
 
 
 class Encoder:
     """The ``tokenizers`` library, asked once per piece as long as the piece is remembered.
 
-    Texts are cut into chunks and pieces at the places where the library's byte-level splitter cuts
-    them, and each new piece goes to the library's model. Texts that hold one of the tokenizer's
+    Texts are cut into pieces where the library's byte-level splitter cuts them, and each new piece goes
+    to the library's model. Texts that hold one of the tokenizer's
     special strings, and tokenizers that aren't plain byte-level ones, go through the library whole.
     """
 
@@ -58,20 +58,19 @@ class Encoder:
         self.letters = {b: c for c, b in byte_letters().items()}
         self.split = regex.compile(PIECES).findall
         self.pieces = Memo(self._piece, KEPT)
-        self.chunks = Chunked(self._chunk, KEPT)
 
     def _piece(self, piece: str) -> bytes:
-        word = piece.encode().decode("latin-1").translate(self.letters)
+        if piece.isascii() and piece.isprintable():  # these bytes stand for themselves, but for the space
+            word = piece.replace(" ", self.letters[0x20])
+        else:
+            word = piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split(chunk)))
-
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self.plain or any(s in text for s in self.special):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(self.chunks.of(text))
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
 
 _loaded: dict[str, Encoder] = {}
