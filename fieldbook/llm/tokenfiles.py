@@ -22,13 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.session import work_root
 
-from .chunks import PIECES, Memo, byte_letters
+from .chunks import Memo, byte_letters, pieces
 from .common import ROWS, map_batches, on_workers, text_or_empty
 
 #: Bytes in a stripe and rows in a row group of the files.
@@ -56,7 +55,6 @@ class Encoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.model = self.tokenizer.model
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.split = regex.compile(PIECES).findall
         self.pieces = Memo(self._piece, KEPT)
 
     def _piece(self, piece: str) -> bytes:
@@ -70,7 +68,7 @@ class Encoder:
         """Ids as little-endian unsigned 32-bit integers."""
         if not self.plain or any(s in text for s in self.special):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
+        return b"".join(map(self.pieces.__getitem__, pieces(text)))
 
 
 _loaded: dict[str, Encoder] = {}
