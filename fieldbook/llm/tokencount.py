@@ -30,26 +30,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK, WHITE_SPACE, Chunked
+from .chunks import CHUNK, WHITE_SPACE, Memo, byte_letters, pieces
 from .common import map_batches, text_or_empty
 
 #: Characters in a slice, slices whose maps are composed at once, and transitions kept by a worker.
-SLICE, FAN_IN, TRANSITIONS = 65_536, 64, 150_000
-
-#: What the library's byte-level splitter cuts at (a fixed value, published with the tokenizer).
-PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+SLICE, FAN_IN, TRANSITIONS = 65_536, 64, 400_000
 
 MAP = "struct<cut:boolean,head:string,count:bigint,tail:string>"
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters that byte-level vocabularies write for the 256 bytes: printable ones stand for
-    themselves, the others follow from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
-
-
 class CountTransducer:
     """The machine for one ``tokenizers`` file."""
 
@@ -61,25 +50,25 @@ class CountTransducer:
             raise ValueError(f"{path}: only plain byte-level BPE is compiled")
         letters = byte_letters()
         of = lambda word: bytes(letters[c] for c in word)
-        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
+        self.strings = [t["content"] for t in spec["added_tokens"]]
+        self.special = regex.compile("|".join(map(regex.escape, self.strings)) or r"(?!)")
         self.order = {(of(a), of(b)): n for n, (a, b) in enumerate(model["merges"])}
         self.parts: dict[bytes, tuple[int, bytes, bytes]] = {}
         for (a, b), n in self.order.items():
             self.parts.setdefault(a + b, (n, a, b))
-        self.tokens = {bytes([b]) for b in range(256)} | self.parts.keys()
+        self.tokens = {t: t for t in [*map(bytes, zip(range(256))), *self.parts]}
         self.starts = {t[:n] for t in self.tokens for n in range(1, len(t))}
-        self.pieces = regex.compile(PIECES)
-        self.chunks = Chunked(self._chunk)
+        self.counts = Memo(self._piece, 250_000)
         self.fits: dict[tuple[bytes, bytes], bool] = {}
         self._restart()
 
     def _restart(self) -> None:
-        #: A state: the bytes a token can still reach back to, and (last token, count) at each
-        #: place from the earliest of them to here; counts are relative to the count here.
-        begin = (b"", ((None, 0),))
+        #: A state: the bytes a token can still reach back to, then (bytes back, last token, count) for
+        #: each place where such a token can begin; counts are relative to the count here.
+        begin = (b"", 0, None, 0)
         self.states = {begin: 0}
         self.meaning = [begin]
-        self.next: dict[int, tuple[int, int]] = {}
+        self.next: dict[int, int] = {}
 
     def _apart(self, left: bytes, right: bytes) -> bool:
         """Whether the merges leave two neighbouring tokens as they are: undo the later of their last
@@ -97,31 +86,32 @@ class CountTransducer:
             else:
                 limit, b = (at_b, 1), self.parts[b][1]
 
-    def _step(self, state: int, byte: int) -> tuple[int, int]:
-        """Compile one transition: (next state, tokens emitted)."""
-        reach, places = self.meaning[state]
+    def _step(self, state: int, byte: int) -> int:
+        """Compile one transition: the next state and the tokens emitted, in one number."""
+        reach, *places = self.meaning[state]
         read = reach + bytes([byte])
-        for size in range(len(read), 0, -1):
-            token = read[-size:]
-            if token not in self.tokens or size > len(places):
+        for back, before, count in zip(places[::3], places[1::3], places[2::3]):
+            token = self.tokens.get(read[len(reach) - back:])
+            if token is None:
                 continue
-            before, count = places[-size]
-            key = (before, token)
             if before is not None:
+                key = (before, token)
                 if key not in self.fits:
                     self.fits[key] = self._apart(*key)
                 if not self.fits[key]:
                     continue
             emitted = count + 1
             break
-        while read not in self.starts and read:
-            read = read[1:]
-        kept = [(t, n - emitted) for t, n in places][len(places) - len(read):] if read else []
-        meaning = (read, (*kept, (token, 0)))
+        start = next(k for k in range(len(read) + 1) if k == len(read) or read[k:] in self.starts)
+        kept = []
+        for back, before, count in zip(places[::3], places[1::3], places[2::3]):
+            if back < len(read) - start and read[len(reach) - back:] in self.starts:
+                kept += [back + 1, before, count - emitted]
+        meaning = (read[start:], *kept, 0, token, 0)
         if meaning not in self.states:
             self.states[meaning] = len(self.meaning)
             self.meaning.append(meaning)
-        return self.states[meaning], emitted
+        return self.states[meaning] << 9 | emitted + 256
 
     def _piece(self, piece: str) -> int:
         """Run the machine over a piece."""
@@ -131,20 +121,17 @@ class CountTransducer:
         known, state, count = self.next, 0, 0
         for byte in piece.encode():
             key = state << 8 | byte
-            if key in known:
-                state, emitted = known[key]
-            else:
-                state, emitted = known[key] = self._step(state, byte)
-            count += emitted
+            to = known.get(key)
+            if to is None:
+                to = known[key] = self._step(state, byte)
+            state = to >> 9
+            count += (to & 511) - 256
         return count
 
-    def _chunk(self, chunk: str) -> int:
-        """Tokens of a chunk, special strings in it among them."""
-        parts = self.special.split(chunk)
-        return len(parts) - 1 + sum(self._piece(p) for part in parts for p in self.pieces.findall(part))
-
     def count(self, text: str) -> int:
-        return sum(self.chunks.of(text))
+        """Tokens of a text, special strings in it among them."""
+        parts = self.special.split(text) if any(s in text for s in self.strings) else [text]
+        return len(parts) - 1 + sum(sum(map(self.counts.__getitem__, pieces(part))) for part in parts)
 
     def state_map(self, text: str) -> dict:
         """The state map of a slice."""

@@ -155,3 +155,15 @@ def test_token_files_read_by_id_and_empty(spark, odd, empty, tmp_path):
     assert "doc_id" in rows._jdf.queryExecution().executedPlan().toString().split("PushedFilters")[1]
     tokenfiles.write_tokens(empty, JSON, str(tmp_path / "none"))
     assert tokenfiles.index(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_pieces_are_found_alike(bpe):
+    import regex
+
+    from fieldbook.llm.chunks import PIECES, pieces
+
+    slow = regex.compile(PIECES).findall
+    rng = random.Random(6)
+    some = ["".join(rng.choice("ab '  \n\tstmdrevl1é²½ǅ!") for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    for text in [*texts(bpe, 50), *some, *[t.encode("ascii", "ignore").decode() for t in some]]:
+        assert pieces(text) == slow(text)
