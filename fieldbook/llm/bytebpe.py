@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunked, Memo
-from .common import add_columns, map_batches, text_or_empty
+from .common import HELD, add_columns, map_batches, text_or_empty
 
 #: Compatible pairs and pieces kept by a worker; beyond that the oldest are computed anew.
 PAIRS, PIECES = 500_000, 250_000
@@ -157,14 +157,11 @@ class ByteBPE:
         return b"".join(map(self.token.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
-_loaded: dict[tuple[str, str], ByteBPE] = {}
-
-
 def loaded(path: str, pattern: str) -> ByteBPE:
-    """The worker's encoder for a rank file, built once per process."""
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = ByteBPE.from_file(path, pattern)
-    return _loaded[path, pattern]
+    """The worker's encoder for a rank file, built once as long as the worker encodes."""
+    if (path, pattern) not in HELD:
+        HELD[path, pattern] = ByteBPE.from_file(path, pattern)
+    return HELD[path, pattern]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
@@ -180,7 +177,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
-    return map_batches(rows, run, f"id {kind}, token_ids binary").withColumnRenamed("id", id_column)
+    return map_batches(rows, run, f"id {kind}, token_ids binary", keeps=True).withColumnRenamed("id", id_column)
 
 
 def decode(ids: DataFrame, path: str, pattern: str, ids_column: str = "token_ids") -> DataFrame:
@@ -189,7 +186,7 @@ def decode(ids: DataFrame, path: str, pattern: str, ids_column: str = "token_ids
         bpe = loaded(path, pattern)
         return [pa.array([None if x is None else bpe.decode(x) for x in column.to_pylist()], pa.binary())]
 
-    return add_columns(ids, [ids_column], run, "decoded binary")
+    return add_columns(ids, [ids_column], run, "decoded binary", keeps=True)
 
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:

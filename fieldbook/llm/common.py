@@ -38,12 +38,25 @@ def on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = ":".join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+#: What a worker keeps from task to task, such as a vocabulary's tables and memos.
+HELD: dict = {}
+
+
+def release() -> None:
+    HELD.clear()
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of each partition (no shuffle)."""
+                schema: str, keeps: bool = False) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch of each partition (no shuffle).
+
+    A worker that comes from another operator first gives up what it kept there, unless ``keeps``.
+    """
     on_workers(df.sparkSession)
 
     def run(batches):
+        if not keeps:
+            release()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 yield from fn(batch.slice(at, ROWS))
@@ -62,7 +75,8 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def add_columns(df: DataFrame, inputs: list[str], fn: Callable[..., list[pa.Array]], schema: str) -> DataFrame:
+def add_columns(df: DataFrame, inputs: list[str], fn: Callable[..., list[pa.Array]], schema: str,
+                keeps: bool = False) -> DataFrame:
     """Add the columns of ``schema``, made by ``fn`` from Arrow arrays of ``inputs``, to every row.
 
     Columns already there under one of the new names give way to them.
@@ -81,7 +95,7 @@ def add_columns(df: DataFrame, inputs: list[str], fn: Callable[..., list[pa.Arra
                                          [*[slots[k] for k in kept], *new])
 
     types = ", ".join(f"{slots[k]} {fields[k].dataType.simpleString()}" for k in kept)
-    return map_batches(rows, run, f"{types}, {schema}").toDF(*[fields[k].name for k in kept], *new)
+    return map_batches(rows, run, f"{types}, {schema}", keeps).toDF(*[fields[k].name for k in kept], *new)
 
 
 def in_order(df: DataFrame, *order: Column) -> DataFrame:
