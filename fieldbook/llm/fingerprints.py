@@ -1,10 +1,14 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text's units are its words, cut into parts of at most ``UNIT`` characters where they are longer. Each
-run of ``GRAM`` neighbouring units has a hash, rolled up by doubling: the hash of four units is that of
-the hashes of their two halves. Of each ``WINDOW`` neighbouring hashes the least is chosen, the
-rightmost where several are least; what is chosen, with its place, is the fingerprint. So any two texts
-that share ``WINDOW + GRAM - 1`` units in a row share a chosen hash there.
+A text's units are its words of at most ``UNIT`` characters and, of a longer run without ASCII white
+space, the ``UNIT`` characters from each of its places on that has so many: overlapping, one character
+apart. Each run of ``GRAM`` neighbouring units has a hash, rolled up by doubling: the hash of four units
+is that of the hashes of their two halves. Of each ``WINDOW`` neighbouring hashes the least is chosen,
+the rightmost where several are least; what is chosen, with its place, is the fingerprint. So any two
+texts that share ``WINDOW + GRAM - 1`` units in a row share a chosen hash there. In text without white
+space these are ``UNIT + WINDOW + GRAM - 2`` characters in a row, wherever they begin; elsewhere what
+comes before or after a shared passage changes units of its first and last words only, by less than
+``UNIT`` characters of each.
 
 Null text counts as empty. A text without units has an empty fingerprint; one of fewer units than a
 gram has one hash, of all of them. Two empty fingerprints are alike (1), an empty one and another are
@@ -29,6 +33,13 @@ PLACE_BITS = 24
 PLACES = (1 << PLACE_BITS) - 1
 
 
+def units(text: str) -> Column:
+    """A text's units in order: from each place the next characters, which end the run's units where they end the run."""
+    in_run = r"[^\x20\x09-\x0D]"
+    each = rf"(?=({in_run}{{1,{UNIT}}}+))(?:{in_run}{{1,{UNIT}}}+(?!{in_run})|{in_run})"
+    return F.regexp_extract_all(text, F.lit(each), F.lit(1))
+
+
 def doubled(rows: DataFrame, column: str, times: int, join, name: str) -> DataFrame:
     """Replace the array by what ``join`` makes of neighbours 1, 2, 4, ... places apart, ``times`` times."""
     for k in range(times):
@@ -43,8 +54,7 @@ def fingerprinted(rows: DataFrame, text: str, name: str) -> DataFrame:
 
     Every step is a column of its own, so that none is worked out twice.
     """
-    unit = rf"[^\x20\x09-\x0D]{{1,{UNIT}}}"
-    rows = rows.withColumn("fp units", F.transform(F.regexp_extract_all(text, F.lit(unit), F.lit(0)), lambda u: F.xxhash64(u)))
+    rows = rows.withColumn("fp units", F.transform(units(text), lambda u: F.xxhash64(u)))
     rows = rows.withColumn("fp all", F.xxhash64("fp units")).withColumn("fp n", F.size("fp units"))
     rows = doubled(rows, "fp units", int(math.log2(GRAM)), lambda a, b: F.xxhash64(a, b), "fp grams")
     few = F.when(F.col("fp n") > 0, F.array("fp all")).otherwise(F.array().cast("array<bigint>"))

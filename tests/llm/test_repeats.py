@@ -104,6 +104,30 @@ def test_winnowing_guarantee_and_rightmost_ties(spark):
     assert places == list(range(fingerprints.WINDOW - 1, 40 - fingerprints.GRAM + 1))  # all hashes tie: the last of each window
 
 
+def test_units_are_words_and_every_place_of_longer_runs(spark):
+    n = fingerprints.UNIT
+    texts = ["", " \n", "one two", "x" * n, "abcdefghi " + "é" * 7, "\tabcdefghijkl\x0b12345678\x0cz ",
+             "".join(map(chr, range(0x1F600, 0x1F614))) + " a\u3000b", "".join(map(chr, range(0x4E00, 0x4E40)))]
+    want = [[w[k:k + n] for w in words(t) for k in range(max(1, len(w) - n + 1))] for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows.select("doc_id", fingerprints.units("text").alias("u")).collect()
+    assert [r.u for r in sorted(got)] == want
+
+
+def test_texts_without_white_space_are_alike_at_every_offset(spark):
+    rng = random.Random(4)
+    letters = [chr(k) for k in [*range(0x4E00, 0x5E00), *range(0x20000, 0x20400)]]
+    some = lambda k: "".join(rng.choice(letters) for _ in range(k))
+    text, passage = some(400), some(fingerprints.UNIT + fingerprints.WINDOW + fingerprints.GRAM - 2)
+    moved = [(k, some(k) + text) for k in range(10)]
+    holding = [(100 + k, some(50 + k) + passage + some(30)) for k in range(10)]
+    rows = spark.createDataFrame(moved + holding, "doc_id long, text string")
+    got = {r.doc_id: {x >> fingerprints.PLACE_BITS for x in r.fp} for r in fingerprints.fingerprints(rows).collect()}
+    for k in range(1, 10):
+        assert len(got[0] & got[k]) / len(got[0] | got[k]) > 0.9
+        assert got[100] & got[100 + k]  # the shared passage is as short as the guarantee allows
+
+
 def brute(docs):
     """(doc_id, class_id, n_links) by comparing every two documents."""
     sets = []
