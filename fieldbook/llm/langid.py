@@ -37,6 +37,9 @@ ALPHA, BETA, L1, L2, PASSES = 20.0, 1.0, 0.02, 0.02, 4
 
 UNKNOWN = "und"
 
+#: A text scored no further than so above chance (all languages alike) is in no language the model knows.
+OVER_CHANCE = 0.05
+
 _letters: list[np.ndarray] = []
 
 
@@ -232,6 +235,22 @@ def predict(docs: DataFrame, model: Model, text_column: str = "text") -> DataFra
     return add_columns(docs, [text_column], run, "lang_pred string, score double")
 
 
+def with_letters(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """The rows whose text holds a letter."""
+    at = docs.columns.index(text_column)
+
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array([len(points(t or "")) > 0 for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return map_batches(docs, keep, docs.schema)
+
+
+def least_score(model: Model) -> float:
+    """The score from which a language counts as told: ``OVER_CHANCE`` of the way from chance to certainty."""
+    chance = 1 / len(model.languages)
+    return chance + OVER_CHANCE * (1 - chance)
+
+
 def held_out(id_column: str = "doc_id") -> Column:
     """Whether a document is never learnt from."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 4 == 2, F.lit(False))

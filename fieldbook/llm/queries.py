@@ -144,9 +144,12 @@ ORACLE_SQL = {
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which no language can be told."""
+    """Drop documents without a letter and those whose score is about chance; only the former where there is nothing to learn from."""
     model = langid.train(docs.where(~langid.held_out()))
-    return langid.predict(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
+    if not model.languages:
+        return langid.with_letters(docs)
+    told = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= langid.least_score(model))
+    return langid.predict(docs, model).where(told).select(docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
