@@ -6,8 +6,8 @@ all texts to learn from. A text's features are its slots' shares, weighted so, s
 
 *Training* follows the regularised leader: each weight's gradient sum and squared gradients are kept,
 and the weight is the closed-form minimiser with an L1 and an L2 penalty, so that slots of little use
-stay at exactly zero. The model is fitted to a bounded sample of the labelled texts, up to
-``per_language`` of each language chosen by a hash of their text.
+stay at exactly zero. The model is fitted to a bounded sample of the labelled texts: of each
+language's distinct texts the ``per_language`` of least hash, however many copies they have.
 
 *Calibration.* One part of the sample is not trained on; on it the temperature that divides the scores
 is set to least log loss, so that a prediction's score can be read as its probability.
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import add_columns, map_batches, on_workers
@@ -198,15 +198,16 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     n, df = document_frequency(rows.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(counts)
+    # texts are made distinct by their hash first, so that copies count once and a language's sample has a hard bound
+    distinct = rows.select("lang", F.xxhash64("text").alias("h")).groupBy("lang", "h").agg(F.lit(1).alias("one"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    last = {r.lang: r.h for r in distinct.withColumn("place", place).where(F.col("place") <= per_language)
+            .groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    languages = sorted(last)
     if not n:
         return Model([], idf, np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0)
     number = {lang: k for k, lang in enumerate(languages)}
-    # chosen by a hash of the text: copies share a draw, and each language has about as many as asked
-    shares = [(lang, min(1.0, per_language / counts[lang])) for lang in languages]
-    chance = F.element_at(F.create_map(*[x for lang, s in shares for x in (F.lit(lang), F.lit(s))]), F.col("lang"))
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    up_to = F.element_at(F.create_map(*[F.lit(x) for lang in languages for x in (lang, last[lang])]), F.col("lang"))
 
     def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [features(t, idf) for t in batch.column(0).to_pylist()]
@@ -215,7 +216,8 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
              pa.array([w.astype("<f4").tobytes() for _, w in found], pa.binary()), batch.column(1), batch.column(2)],
             ["slots", "weights", "lang", "hash"])
 
-    picked = rows.where(drawn < chance).select("text", "lang", F.xxhash64("text", F.lit("held")).alias("hash"))
+    picked = rows.where(F.xxhash64("text") <= up_to).groupBy("lang", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    picked = picked.select("text", "lang", F.xxhash64("text", F.lit("held")).alias("hash"))
     sample = map_batches(picked, measure, "slots binary, weights binary, lang string, hash bigint").collect()
     sample = sorted(((r.hash, r.lang, r.slots, r.weights) for r in sample if len(r.slots)))
     known = [(np.frombuffer(s, "<i4"), np.frombuffer(w, "<f4").astype(float), number[lang]) for _, lang, s, w in sample]

@@ -43,6 +43,22 @@ def test_languages_of_odd_documents(odd, empty):
     assert langid.predict(empty, model).count() == 0
 
 
+def test_the_sample_is_bounded_and_copies_count_once(spark, monkeypatch):
+    texts = [(f"text {'abcdefghij'[k % 10] * (k // 10 + 1)} und mehr", "de") for k in range(300)]
+    rows = spark.createDataFrame(texts, "text string, lang string")
+    drawn = rows.orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 30))).first()  # the first to be drawn by chance, too
+    least = rows.orderBy(F.xxhash64("text")).first()
+    copies = spark.createDataFrame([tuple(drawn), tuple(least)] * 200 + [("a few words", "en")] * 50, "text string, lang string")
+    seen, calibrated = [], langid.calibrated
+    fit = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda some, k: (seen.append([y for *_, y in some]), fit(some, k))[1])
+    monkeypatch.setattr(langid, "calibrated", lambda logits, y: (seen.append(list(y)), calibrated(logits, y))[1])
+    model = langid.train(rows.unionByName(copies), per_language=40)
+    assert model.languages == ["de", "en"]
+    sample = sum(seen, [])
+    assert sample.count(0) == 40 and sample.count(1) == 1
+
+
 def test_prediction_ignores_labels(spark):
     docs = documents(spark, SF001).limit(50)
     model = langid.train(documents(spark, SF001).where(~langid.held_out()))
