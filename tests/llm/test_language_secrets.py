@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from fieldbook.llm import langid, secretscan
@@ -120,3 +121,15 @@ def test_mask(spark, odd, empty):
     assert got == sorted(want, key=str)
     assert secretscan.mask(odd).count() == len(ROWS) and secretscan.mask(empty).count() == 0
     assert secretscan.mask(odd).columns == odd.columns
+
+
+@pytest.mark.parametrize("sources", [["a"], [None], ["a", None], ["a", "b", "c"], ["a", "b", "c", None]])
+def test_copied_examples_are_told_with_few_sources(spark, sources):
+    rows = [(k, f"shown {SHOWN} and {OWN} here {k}", sources[k % len(sources)], None) for k in range(12)]
+    rows += [(20, "password=hunter22 and more", sources[0], None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    got = {r.doc_id: r for r in secretscan.digests(df).collect()}
+    assert all(got[k].n_live == 0 and got[k].spans == "access:6:26" for k in range(12))
+    assert got[20].n_live == 1
+    masked = {r.doc_id: r.text for r in secretscan.mask(df).collect()}
+    assert masked == {**{k: t for k, t, *_ in rows}, 20: "<SECRET> and more"}
