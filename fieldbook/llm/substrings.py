@@ -1,16 +1,16 @@
-"""Repeated passages over a whole corpus, by suffix trees partitioned on prefixes.
+"""Repeated passages over a whole corpus, by fixed-window fingerprints partitioned on prefixes.
 
-Every word of a text starts a suffix. Passages that occur twice are the inner nodes of the tree of all
-suffixes, and passages of ``window`` words are its nodes at that depth. The tree is never held whole:
+Passages that occur twice would be the inner nodes of the tree of all suffixes, and passages of
+``window`` words its nodes at that depth. No such tree is built, and no suffixes are ordered or
+compared: each window of ``window`` words is a fingerprint, and equal ones stand for a node.
 
-* *Prefixes.* Suffixes are dealt into groups by their leading words. A prefix is one word, or, where
-  so many suffixes start with it that the group would outgrow a worker, that word and the next, and so
+* *Prefixes.* Windows are dealt into groups by their leading words. A prefix is one word, or, where
+  so many windows start with it that the group would outgrow the others, that word and the next, and so
   on. The prefixes are chosen from a bounded sample; the choice balances the groups and has no part in
-  the result.
-* *Subtrees.* A group's suffixes share prefixes, so its part of the tree can be built alone. It is cut
-  off at ``window`` words, as deeper nodes only say more of passages already found. A node at that depth
-  is known by a 64-bit fingerprint of its words, beneath its prefix; sorting the group's fingerprints
-  lists the nodes, and those with two leaves or more are inner ones: repeats.
+  the result. Unless given, the number of groups is the session's number of shuffle partitions, whatever
+  the size of the data.
+* *Groups.* A window is known by a 64-bit fingerprint of its words, beneath its prefix; sorting the
+  group's fingerprints brings equal ones together, and those there twice or more are repeats.
 * *Blocks.* Texts are packed into blocks. A block sends each group the distinct fingerprints it has
   there, once each however often the passage occurs in it, so a passage that is everywhere brings a
   group one entry a block. The group answers with one bit for each entry.
