@@ -8,11 +8,12 @@ from here. Each transition is annotated with the number of tokens it emits (the
 prefix less that of the shorter; it may be negative). States and transitions are made when first
 needed and then looked up; there are finitely many, and a worker starts anew when it holds too many.
 
-A text is cut into slices that are counted apart. A slice's *state map* says what the slice does to
-whatever comes before it: ``head`` is the part up to the first place where the machine certainly
-stands in its start state, ``count`` the tokens from there to the last such place, and ``tail`` the
-rest, which stands for the state reached. Maps compose associatively, so the maps of a text's slices
-are combined by a tree of partial compositions, whichever worker made them.
+A text is cut into slices that are counted apart, at white space where the machine certainly stands
+in its start state. A slice's map holds no other states: ``head`` is its text up to the first such
+place, ``count`` the tokens from there to the last one, and ``tail`` the text after it, which is counted
+with the next slice's head. Maps compose associatively, so those of a text's slices are combined by a
+tree of partial compositions, whichever worker made them. A slice without such a place is all head: a
+text without white space is joined again and counted in one task.
 
 Counts are those of the ``tokenizers`` library with no added special tokens; the tokenizer's special
 strings count as one token where they occur in a text, as is the library's default. Null text counts
