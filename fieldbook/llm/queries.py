@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bytebpe, fingerprints, langid, mixing, ngramjoin, secretscan, substrings, tokencount, tokenfiles, topk
+from . import (bytebpe, fingerprints, hardnegatives, langid, linededup, mixing, ngramjoin, secretscan, substrings, tokencount,
+               tokenfiles, topk, whitening)
 from .common import documents
 
 
@@ -67,6 +68,25 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.digests(documents(spark, sf_dir))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that a document of a lesser id holds too."""
+    rows = linededup.drop_lines(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each anchor's best five of its label, the best five of other labels that come close below."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(vectors, F.col("id") % 100 == 0, label)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components of all, at unit variance."""
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mix": op2_mix,
@@ -78,6 +98,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_secrets": op9_secrets,
     "op10_token_files": op10_token_files,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL = {
@@ -140,6 +163,42 @@ ORACLE_SQL = {
         SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
                sha256(coalesce(kept, '')) AS kept_sha256
         FROM split LEFT JOIN kept USING (r)""",
+    "op11_line_dedup": r"""
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        places AS (SELECT r, doc_id, unnest(lines) AS line, unnest(generate_series(1, len(lines))) AS p FROM split),
+        keyed AS (
+            SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM places),
+        held AS (
+            SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+            GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+        judged AS (SELECT k.*, h.owner IS NOT NULL AND h.owner <> k.doc_id AS gone FROM keyed k LEFT JOIN held h USING (key))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY r, doc_id""",
+    "op12_hard_negatives": """
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.r AS ar, c.r AS cr, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   list_dot_product(a.v, c.v)::BIGINT AS score
+            FROM rows a JOIN rows c ON a.r <> c.r AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT ar, anchor_id, cr, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) <= 5),
+        near AS (
+            SELECT p.ar, p.cr, p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.ar, p.cr ORDER BY s.score DESC, s.vec_id) AS rank
+            FROM positives p JOIN scored s ON p.ar = s.ar AND NOT s.same
+             AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+        SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+        FROM near WHERE rank <= 5""",
 }
 
 
