@@ -9,7 +9,9 @@ the two tokens alone and is memoised. Where no token fits, the walk steps back o
 the position as a dead end, so that no position is tried twice. A sequence of which all neighbours
 are compatible is the merges' own result, so the ids are exact.
 
-Texts are handled whole. Null text counts as empty and gives no ids. Repeated rows are each encoded.
+Texts are handled whole. Null text counts as empty and gives no ids. Repeated rows are each encoded. Of
+equal pairs in a piece the left one merges first. An empty table gives no rows. Only the id and the text
+are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
+from hashlib import sha256
 
 import ahocorasick
 import pyarrow as pa
@@ -25,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import Chunked, Memo
-from .common import HELD, add_columns, map_batches, text_or_empty
+from .common import add_columns, held, map_batches, text_or_empty
 
 #: Compatible pairs and pieces kept by a worker; beyond that the oldest are computed anew.
-PAIRS, PIECES = 500_000, 250_000
+PAIRS, PIECES = 300_000, 150_000
 
 
 class ByteBPE:
@@ -58,9 +61,7 @@ class ByteBPE:
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> ByteBPE:
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        return cls(ranks, pattern)
+        return cls(ranks_of(path), pattern)
 
     def _merge(self, token: bytes, below: int) -> list[int]:
         """The merges themselves, with ranks under ``below`` only."""
@@ -154,14 +155,22 @@ class ByteBPE:
         return b"".join(self.chunks.of(text))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token.__getitem__, memoryview(ids).cast("I").tolist()))
+        return joined(self.token, ids)
+
+
+def ranks_of(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
 def loaded(path: str, pattern: str) -> ByteBPE:
     """The worker's encoder for a rank file, built once as long as the worker encodes."""
-    if (path, pattern) not in HELD:
-        HELD[path, pattern] = ByteBPE.from_file(path, pattern)
-    return HELD[path, pattern]
+    return held((path, pattern), lambda: ByteBPE(ranks_of(path), pattern))
+
+
+def joined(token: dict[int, bytes], ids: bytes) -> bytes:
+    """The bytes of ids."""
+    return b"".join(map(token.__getitem__, memoryview(ids).cast("I").tolist()))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
@@ -177,20 +186,31 @@ def encode(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",
 
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
-    return map_batches(rows, run, f"id {kind}, token_ids binary", keeps=True).withColumnRenamed("id", id_column)
+    return map_batches(rows, run, f"id {kind}, token_ids binary", keeps="byte_bpe").withColumnRenamed("id", id_column)
 
 
 def decode(ids: DataFrame, path: str, pattern: str, ids_column: str = "token_ids") -> DataFrame:
     """Add ``decoded``, the bytes of the ids, to the rows; a null id list stays null."""
     def run(column: pa.Array) -> list[pa.Array]:
-        bpe = loaded(path, pattern)
-        return [pa.array([None if x is None else bpe.decode(x) for x in column.to_pylist()], pa.binary())]
+        token = held(("decode", path), lambda: {i: t for t, i in ranks_of(path).items()})
+        return [pa.array([None if x is None else joined(token, x) for x in column.to_pylist()], pa.binary())]
+
+    return add_columns(ids, [ids_column], run, "decoded binary", keeps="byte_bpe_decode")
 
-    return add_columns(ids, [ids_column], run, "decoded binary", keeps=True)
 
+def digests(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per document the number of ids, the digest of the ids and that of the bytes decoded from them.
 
-def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Per document the number of ids, the digest of the ids and that of the decoded bytes."""
-    both = decode(encode(docs, path, pattern), path, pattern)
-    return both.select("doc_id", (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
-                       F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    A text is encoded and its ids decoded in one worker, so that a task needs one vocabulary only.
+    """
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path, pattern)
+        ids = [bpe.encode(t) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([sha256(x).hexdigest() for x in ids]),
+             pa.array([sha256(bpe.decode(x)).hexdigest() for x in ids])], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
+    out = map_batches(rows, run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", keeps="byte_bpe")
+    return out.withColumnRenamed("id", id_column)

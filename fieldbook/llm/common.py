@@ -6,6 +6,8 @@ Working tables go to the shared folder the session names
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,25 +45,56 @@ HELD: dict = {}
 
 
 def release() -> None:
-    HELD.clear()
+    """Give up what is kept, if there is anything, and hand the memory back."""
+    if HELD:
+        HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        give_back()
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
-                schema: str, keeps: bool = False) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch of each partition (no shuffle).
+def give_back() -> None:
+    """Return freed memory to the system where the C library can (glibc)."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_partitions(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+                   schema: str, keeps: str = "") -> DataFrame:
+    """Apply ``fn`` to the Arrow batches of each partition (no shuffle).
 
-    A worker that comes from another operator first gives up what it kept there, unless ``keeps``.
+    A worker that comes from another operator first gives up what it kept there. ``keeps`` names what this
+    one goes on with.
     """
     on_workers(df.sparkSession)
 
     def run(batches):
-        if not keeps:
+        if not keeps or HELD.get("for") != keeps:
             release()
+        if keeps:
+            HELD["for"] = keeps
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
+                schema: str, keeps: str = "") -> DataFrame:
+    """Apply ``fn`` to each Arrow batch of each partition, ``ROWS`` rows at a time (see :func:`map_partitions`)."""
+    def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 yield from fn(batch.slice(at, ROWS))
 
-    return df.mapInArrow(run, schema)
+    return map_partitions(df, run, schema, keeps)
+
+
+def held(key: object, make: Callable[[], object]) -> object:
+    """What the worker keeps under a key, made when it isn't there."""
+    if key not in HELD:
+        HELD[key] = make()
+    return HELD[key]
 
 
 def written(df: DataFrame, tag: str, fmt: str = "parquet") -> DataFrame:
@@ -76,7 +109,7 @@ def text_or_empty(column: str = "text") -> Column:
 
 
 def add_columns(df: DataFrame, inputs: list[str], fn: Callable[..., list[pa.Array]], schema: str,
-                keeps: bool = False) -> DataFrame:
+                keeps: str = "") -> DataFrame:
     """Add the columns of ``schema``, made by ``fn`` from Arrow arrays of ``inputs``, to every row.
 
     Columns already there under one of the new names give way to them.

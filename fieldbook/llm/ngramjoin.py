@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, on_workers, written
+from .common import map_batches, map_partitions, written
 from .substrings import Words, mixed, spans_hashed
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -214,7 +214,7 @@ def per_group(rows: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.Tabl
         if done:
             yield from pa.concat_tables(done).combine_chunks().to_batches()
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return map_partitions(rows.repartition(*keys).sortWithinPartitions(*keys), run, schema)
 
 
 def first_meeting(own: list[np.ndarray], leaf: int) -> np.ndarray:
@@ -326,7 +326,6 @@ def join(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) ->
     among them; ``first`` tells the one set of each class by which it is named; ``h`` is xxhash64 of the text
     and ``key`` tells sets apart.
     """
-    on_workers(docs.sparkSession)
     sets = sets_of(docs, size)
     reps = representatives(sets)
     done = runs_for(LEAST_SPLITS)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import CHUNK, WHITE_SPACE, Memo, byte_letters, pieces
-from .common import map_batches, text_or_empty
+from .common import held, map_batches, text_or_empty
 
 #: Characters in a slice, slices whose maps are composed at once, and transitions kept by a worker.
 SLICE, FAN_IN, TRANSITIONS = 65_536, 64, 400_000
@@ -161,13 +161,8 @@ class CountTransducer:
         return self.count(a["head"]) + a["count"] + self.count(a["tail"])
 
 
-_loaded: dict[str, CountTransducer] = {}
-
-
 def loaded(path: str) -> CountTransducer:
-    if path not in _loaded:
-        _loaded[path] = CountTransducer(path)
-    return _loaded[path]
+    return held(path, lambda: CountTransducer(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLICE, spread: int = 0,
@@ -211,12 +206,12 @@ def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLIC
     if spread:
         slices = slices.repartition(spread, "row", "seq")
     fields = f"row bigint, id {kind}, seq bigint, n_bytes bigint, map {MAP}"
-    maps = map_batches(slices, measure, fields)
+    maps = map_batches(slices, measure, fields, keeps="token_counts")
     together = F.array_sort(F.collect_list(F.struct("seq", "map"))).alias("maps")
     groups = maps.groupBy("row", "id", F.expr(f"seq div {FAN_IN}").alias("seq")).agg(F.sum("n_bytes").alias("n_bytes"), together)
-    maps = map_batches(groups, tree, fields)
+    maps = map_batches(groups, tree, fields, keeps="token_counts")
     whole = maps.groupBy("row", "id").agg(F.sum("n_bytes").alias("n_bytes"), together)
-    counted = map_batches(whole, close, f"id {kind}, n_bytes bigint, n_tokens bigint")
+    counted = map_batches(whole, close, f"id {kind}, n_bytes bigint, n_tokens bigint", keeps="token_counts")
     return counted.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fieldbook.session import work_root
 
 from .chunks import Memo, byte_letters, pieces
-from .common import ROWS, map_batches, on_workers, text_or_empty
+from .common import ROWS, held, map_batches, map_partitions, text_or_empty
 
 #: Bytes in a stripe and rows in a row group of the files.
 STRIPE_BYTES, INDEX_ROWS = 16 << 20, 1_000
@@ -71,13 +71,8 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, pieces(text)))
 
 
-_loaded: dict[str, Encoder] = {}
-
-
 def loaded(path: str) -> Encoder:
-    if path not in _loaded:
-        _loaded[path] = Encoder(path)
-    return _loaded[path]
+    return held(path, lambda: Encoder(path))
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, partitions: int | None = None,
@@ -87,7 +82,6 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     ``before`` counts the ids that stand before the document in its own file.
     """
     spark = docs.sparkSession
-    on_workers(spark)
     kind = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
@@ -110,7 +104,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
                                                  ["id", "before", "n_tokens", "tokens"])
                 before += int(ends[-1])
 
-    out = rows.mapInArrow(run, f"id {kind}, before bigint, n_tokens bigint, tokens array<int>")
+    out = map_partitions(rows, run, f"id {kind}, before bigint, n_tokens bigint, tokens array<int>", keeps="token_files")
     out = out.select(F.col("id").alias("doc_id"), F.spark_partition_id().alias("part"), "before", "n_tokens", "tokens")
     (out.write.option("compression", "zstd").option("orc.stripe.size", STRIPE_BYTES)
      .option("orc.row.index.stride", INDEX_ROWS).option("orc.bloom.filter.columns", "doc_id")

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import map_batches, on_workers, written
+from .common import map_batches, map_partitions, written
 
 #: Vectors in a bucket and queries in a block.
 BUCKET, BLOCK = 4096, 512
@@ -57,7 +57,6 @@ def integers(vectors: DataFrame, scale: float, id_column: str, embedding: str) -
 
 def packed(rows: DataFrame, size: int) -> DataFrame:
     """Rows sorted by falling norm, ``size`` at a time in one row; groups are numbered in no special order."""
-    on_workers(rows.sparkSession)
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.withColumn("dim", F.size("v")).repartitionByRange(n, "dim", F.desc("norm2"), "row")
     dealt = dealt.sortWithinPartitions("dim", F.desc("norm2"), "row").withColumn("part", F.spark_partition_id())
@@ -78,7 +77,7 @@ def packed(rows: DataFrame, size: int) -> DataFrame:
                 yield pack(groups, held, size)
                 groups, held = groups + 1, {k: x[size:] for k, x in held.items()}
 
-    return written(dealt.mapInArrow(run, PACKED), "packed")
+    return written(map_partitions(dealt, run, PACKED), "packed")
 
 
 def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -222,6 +221,6 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
                         [pa.array(q_rows[at_query]), pa.array(q_ids[at_query]), pa.array(np.concatenate([f[1] for f in found])),
                          pa.array(np.concatenate([f[2] for f in found]))], ["row", "query_id", "vec_id", "score"])
 
-    found = work.mapInArrow(run, "row bigint, query_id bigint, vec_id bigint, score bigint")
+    found = map_partitions(work, run, "row bigint, query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, on_workers
+from .common import map_batches, map_partitions
 from .topk import usable
 
 #: Tasks that add up partial sums before the driver; bits of a root; bits after the point in the factorisation.
@@ -115,8 +115,7 @@ def scatter(rows: DataFrame) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
                 _more(totals, r["dim"], r["n"], from_text(r["sums"]), from_text(r["products"]))
         yield from _sums_batch(totals)
 
-    on_workers(rows.sparkSession)
-    found = rows.select("v").mapInArrow(add, SUMS).repartition(MERGERS).mapInArrow(merge, SUMS).collect()
+    found = map_partitions(map_partitions(rows.select("v"), add, SUMS).repartition(MERGERS), merge, SUMS).collect()
     totals: dict = {}
     for r in found:
         _more(totals, r.dim, r.n, from_text(r.sums), from_text(r.products))
@@ -458,7 +457,7 @@ def identity_errors(rows: DataFrame, models: dict[int, Model]) -> dict[int, floa
                 _centred(totals, r["dim"], r["n"], np.array(r["mean"]), np.array(r["spread"]).reshape(k, k))
         yield from _moments_batch(totals)
 
-    found = rows.select("v").mapInArrow(add, MOMENTS).repartition(MERGERS).mapInArrow(merge, MOMENTS).collect()
+    found = map_partitions(map_partitions(rows.select("v"), add, MOMENTS).repartition(MERGERS), merge, MOMENTS).collect()
     totals: dict = {}
     for r in sorted(found, key=lambda r: (r.dim, r.n, r.mean)):
         k = len(r.mean)
