@@ -36,10 +36,17 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 _ANY = regex.compile(r""" ?\p{L}+|'(?:[stmd]|re|ve|ll)| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""").findall
 _ASCII = re.compile(r" ?[A-Za-z]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII).findall
 
+#: Up to the end of the Latin blocks the three classes are listed out (fixed values of Unicode).
+_BEYOND_LATIN = re.compile("[^\x00-\u024f]").search
+_L, _N, _S = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t-\r\x85\xa0"
+_LATIN = re.compile(f" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+").findall
+
 
 def pieces(text: str) -> list[str]:
     """The pieces that ``PIECES`` finds in a text."""
-    return _ASCII(text) if text.isascii() else _ANY(text)
+    if text.isascii():
+        return _ASCII(text)
+    return _ANY(text) if _BEYOND_LATIN(text) else _LATIN(text)
 
 
 def byte_letters() -> dict[str, int]:
@@ -61,15 +68,12 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
         if len(key) <= MEMO_CHARS:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
+        return value
 
 
 class Chunked:
