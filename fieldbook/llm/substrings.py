@@ -7,8 +7,8 @@ compared: each window of ``window`` words is a fingerprint, and equal ones stand
 * *Prefixes.* Windows are dealt into groups by their leading words. A prefix is one word, or, where
   so many windows start with it that the group would outgrow the others, that word and the next, and so
   on. The prefixes are chosen from a bounded sample; the choice balances the groups and has no part in
-  the result. Unless given, the number of groups is the session's number of shuffle partitions, whatever
-  the size of the data.
+  the result. Unless given, the number of groups follows from the size of all texts: ``GROUP_CHARS`` to a
+  group.
 * *Groups.* A window is known by a 64-bit fingerprint of its words, beneath its prefix; sorting the
   group's fingerprints brings equal ones together, and those there twice or more are repeats.
 * *Blocks.* Texts are packed into blocks. A block sends each group the distinct fingerprints it has
@@ -19,8 +19,9 @@ In its block, each word covered by a repeated window is dropped, neighbouring wi
 maximal repeated passages.
 
 Words are separated by ASCII white space, unchanged otherwise; windows never cross documents, and are
-judged on the input. Two different passages count as one if their fingerprints agree under the same
-prefix: about one in 10**13 windows for groups of a million. Null text has no words, and its kept text
+judged on the input. Words are hashed as wholes (xxh3), passages by polynomials modulo two primes, so no
+structure of letters or words makes different ones agree; by chance two different passages count as one
+under the same prefix in about one of 10**12 windows for groups of a million. Null text has no words, and its kept text
 is empty, as is that of an empty text. Repeated rows repeat all their windows. An empty table gives
 no rows. Memory is some 60 times the largest text.
 """
@@ -35,15 +36,21 @@ import pyarrow.compute  # noqa: F401
 import pyarrow.ipc  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from .common import on_workers, written
+from .common import map_partitions, written
 
 #: Text bytes in a block; texts and words sampled for the choice of prefixes; bits of a word's hash that tell prefixes apart.
 BLOCK_BYTES, SAMPLE_TEXTS, SAMPLE_WORDS, CELL_BITS = 2 << 20, 2_000, 400_000, 12
 
-#: Any odd numbers and any seed; the same everywhere.
-BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-BYTE_VALUES = np.random.default_rng(20_201).integers(1, 1 << 63, 256, dtype=np.uint64)
+#: Any number, the same everywhere.
+WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
+
+#: Two primes under 2**31: sequences are hashed modulo each.
+PRIMES = (2147483647, 2147483629)
+
+#: Code points of text to a group.
+GROUP_CHARS = 8_000_000
 
 SEPARATES = np.zeros(256, bool)
 SEPARATES[[0x20, *range(0x09, 0x0E)]] = True
@@ -51,18 +58,13 @@ SEPARATES[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[tuple[int, int], np.ndarray] = {}
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """1, base, base**2, ... modulo 2**64: n of them at least."""
-    size = 1 << max(16, int(n).bit_length())
-    if (int(base), size) not in _powers:
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        _powers[int(base), size] = np.multiply.accumulate(steps)
-    return _powers[int(base), size]
-
-
-def inverse(base: np.uint64) -> np.uint64:
-    return np.uint64(pow(int(base), -1, 1 << 64))
+def powers(base: int, prime: int, n: int) -> np.ndarray:
+    """1, base, base**2, ... modulo a prime: n of them at least."""
+    known = _powers.get((base, prime), np.ones(1, np.uint64))
+    while len(known) < n:
+        known = np.concatenate([known, known * np.uint64(pow(base, len(known), prime)) % np.uint64(prime)])
+    _powers[base, prime] = known
+    return known
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -72,10 +74,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def spans_hashed(values: np.ndarray, base: np.uint64, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of values[start:end] for each span, from sums over the whole array."""
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(base, len(values))[:len(values)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * powers(inverse(base), len(values))[starts] + (ends - starts).astype(np.uint64))
+    """A hash of values[start:end] for each span, from sums over the whole array.
+
+    Each half of the hash is a polynomial modulo a prime, which different sequences of n values share with
+    a chance of n in 2**31 at most, whatever their structure.
+    """
+    out = np.zeros(len(starts), np.uint64)
+    for shift, prime in zip((0, 32), PRIMES):
+        p, b = np.uint64(prime), int(base) % prime
+        terms = (values >> np.uint64(shift) & np.uint64(0xFFFFFFFF)) % p * powers(b, prime, len(values))[:len(values)] % p
+        sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(terms, out=sums[1:])  # under 2**31 each
+        hashed = (sums[ends] - sums[starts]) % p * powers(pow(b, -1, prime), prime, len(values))[starts] % p
+        out |= hashed << np.uint64(shift)
+    return mixed(out + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def words_hashed(letters: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each word, given all words' bytes in a row: equal words are found as such, each hashed once."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype("<i8")
+    words = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+    coded = words.dictionary_encode()
+    hashes = np.array([xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
+    return hashes[coded.indices.to_numpy()]
 
 
 class Words:
@@ -89,7 +110,7 @@ class Words:
         inside = ~SEPARATES[self.bytes]
         edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
         self.starts, self.ends = edges[::2], edges[1::2]
-        self.hashes = spans_hashed(BYTE_VALUES[self.bytes], BYTE_BASE, self.starts, self.ends)
+        self.hashes = words_hashed(self.bytes[inside], self.ends - self.starts)
         #: The number of words before each text, and in all.
         self.before = np.concatenate([[0], np.searchsorted(self.starts, text_ends)])
 
@@ -172,7 +193,6 @@ def restored(block: bytes) -> pa.Table:
 
 def blocks_of(docs: DataFrame, size: int, id_column: str, text_column: str) -> DataFrame:
     """(block, data): whole rows packed together, written."""
-    on_workers(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,15 +204,15 @@ def blocks_of(docs: DataFrame, size: int, id_column: str, text_column: str) -> D
                 yield pa.RecordBatch.from_arrays([pa.array([compressed(batch.slice(at, end - at))], pa.binary())], ["data"])
                 at = end
 
-    return written(rows.mapInArrow(run, "data binary").select(F.monotonically_increasing_id().alias("block"), "data"), "blocks")
+    return written(map_partitions(rows, run, "data binary").select(F.monotonically_increasing_id().alias("block"), "data"), "blocks")
 
 
-def prefixes_for(docs: DataFrame, window: int, groups: int, text_column: str) -> Prefixes:
+def prefixes_for(docs: DataFrame, window: int, groups: int | None, text_column: str) -> Prefixes:
     """Prefixes from a bounded sample: the texts of least hash, each cut at random places only where words begin."""
     share = f"xxhash64({text_column})"
-    n = docs.count()
+    n, chars = docs.agg(F.count("*"), F.coalesce(F.sum(F.length(text_column)), F.lit(0))).first()
+    groups = groups or -(-chars // GROUP_CHARS) or 1
     some = docs.where(F.pmod(F.expr(share), F.lit(1 << 20)) < max(1, round(min(1.0, SAMPLE_TEXTS / max(n, 1)) * (1 << 20))))
-    on_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +222,7 @@ def prefixes_for(docs: DataFrame, window: int, groups: int, text_column: str) ->
             rows = [words.hashes[a:a + window].astype("<u8").tobytes() for a in at.tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["words"])
 
-    rows = some.select(text_column).mapInArrow(run, "words binary").limit(SAMPLE_WORDS // 8).toPandas()["words"]
+    rows = map_partitions(some.select(text_column), run, "words binary").limit(SAMPLE_WORDS // 8).toPandas()["words"]
     hashes = np.frombuffer(b"".join(rows), "<u8")
     return Prefixes.chosen(hashes, np.arange(len(rows)) * window, window, groups)
 
@@ -243,8 +263,6 @@ def drop_repeats(docs: DataFrame, window: int = 35, groups: int | None = None, b
     ``removed`` lists the maximal spans of dropped words (first, end exclusive, from 0); ``kept`` is
     the remaining words joined by single spaces.
     """
-    spark = docs.sparkSession
-    groups = groups or int(spark.conf.get("spark.sql.shuffle.partitions"))
     prefixes = prefixes_for(docs, window, groups, text_column)
     blocks = blocks_of(docs, block_bytes, id_column, text_column)
 
@@ -258,7 +276,7 @@ def drop_repeats(docs: DataFrame, window: int = 35, groups: int | None = None, b
                     [pa.array([block] * len(found), pa.int64()), pa.array([f[0] for f in found], pa.int32()),
                      pa.array([f[1] for f in found], pa.binary())], ["block", "group", "prints"])
 
-    sent = blocks.mapInArrow(send, "block bigint, group int, prints binary")
+    sent = map_partitions(blocks, send, "block bigint, group int, prints binary")
     answers = sent.groupBy("group").applyInArrow(repeats, "block bigint, group int, bits binary")
     answers = answers.groupBy("block").agg(F.collect_list(F.struct("group", "bits")).alias("answers"))
     both = blocks.join(answers, "block", "left").select("data", "answers")
@@ -286,5 +304,5 @@ def drop_repeats(docs: DataFrame, window: int = 35, groups: int | None = None, b
                      pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
                      pa.array(words.kept(drop), pa.string())], ["id", "n_words", "n_removed", "removed", "kept"])
 
-    out = both.mapInArrow(cut, f"id {kind}, n_words bigint, n_removed bigint, removed array<struct<first:bigint,end:bigint>>, kept string")
+    out = map_partitions(both, cut, f"id {kind}, n_words bigint, n_removed bigint, removed array<struct<first:bigint,end:bigint>>, kept string")
     return out.withColumnRenamed("id", id_column)

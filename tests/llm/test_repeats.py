@@ -214,3 +214,35 @@ def test_components(spark):
         parent[max(x, y)] = min(x, y)
     got = {r.rep: r.root for r in ngramjoin.components(spark.createDataFrame(edges, "rep long, root long")).collect()}
     assert got == {k: top(k) for k in parent if top(k) != k}
+
+
+def structured(letters: int) -> tuple[str, str]:
+    """Words that a polynomial modulo a power of two cannot tell apart: Thue and Morse's, and its complement."""
+    bits = [bin(k).count("1") % 2 for k in range(letters)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_structured_words_are_told_apart(spark):
+    """Texts that differ in one such word, or in the order of two words, share no passage across it."""
+    one, other = structured(4096)
+    rest = [f"w{k}" for k in range(70)]
+    rows = [(1, " ".join([*rest[:17], one, *rest[17:34]])), (2, " ".join([*rest[:17], other, *rest[17:34]])),
+            (3, " ".join("pq"[bin(k).count("1") % 2] for k in range(4096))), (4, " ".join("qp"[bin(k).count("1") % 2] for k in range(35)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.drop_repeats(df, 35).collect()}
+    assert got[1] == got[2] == 0
+    words = [w.split(" ") for _, w in rows]
+    passages = Counter(tuple(w[k:k + 35]) for w in words for k in range(len(w) - 34))
+    covered = [sum(any(passages[tuple(w[s:s + 35])] > 1 for s in range(max(0, p - 34), min(p, len(w) - 35) + 1)) for p in range(len(w))) for w in words]
+    assert [got[k] for k in (1, 2, 3, 4)] == covered
+    nine = [(1, " ".join([*rest[:4], one, *rest[4:8]])), (2, " ".join([*rest[:4], other, *rest[4:8]]))]
+    joined = ngramjoin.join(spark.createDataFrame(nine, "doc_id long, text string")).collect()
+    assert all(r.class_id == r.doc_id and r.n_links == 0 for r in joined)
+
+
+def test_random_structured_passages_hash_apart():
+    """Sequences of two word values in every order have as many hashes as there are sequences."""
+    values = np.array([3, 1 << 40], np.uint64)
+    words = np.concatenate([values[[n >> k & 1 for k in range(16)]] for n in range(1 << 16)])
+    starts = np.arange(1 << 16) * 16
+    assert len(np.unique(substrings.spans_hashed(words, substrings.WORD_BASE, starts, starts + 16))) == 1 << 16
