@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.session import work_root
 
-from .common import map_batches, on_workers, text_or_empty
+from .common import map_batches, on_workers, text_or_empty, written
 
 #: Code points of the shortest key that counts; keys to a shard; salts that spread the references of one key.
 LEAST_CHARS, KEYS, SALTS = 10, 1 << 16, 16
@@ -384,7 +384,8 @@ class LineIndex:
         is the others joined by new lines.
         """
         own = self._kept(references(docs, self.least_chars, id_column, text_column), f"dedup-{uuid.uuid4().hex}", "references")
-        repeated = self.repeated(own.select(*KEY).distinct())
+        # written, so that the join's sides are plain exchanges, below which a key that many hold is split
+        repeated = written(self.repeated(own.select(*KEY).distinct()), "repeated-lines")
         drops = own.join(repeated, KEY).where(~F.col("doc").eqNullSafe(F.col("owner")))
         # by document and text, so that however many rows have one id, a list is no longer than a text's
         drops = drops.groupBy("doc", "h").agg(F.collect_set(F.struct(*KEY)).alias("drop"))
