@@ -14,7 +14,8 @@ is set to least log loss, so that a prediction's score can be read as its probab
 
 Prediction uses nothing but the text, and the whole of it. A text that is null or holds no letter is
 ``und`` with score 0, and so is every text where there is nothing to learn from. Ties go to the language
-first in order. Repeated rows are predicted alike.
+first in order. Repeated rows are predicted alike. An empty table gives no rows. More than ``MOST_LANGUAGES``
+languages are an error.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import add_columns, map_batches, on_workers
+from .common import add_columns, map_batches, map_partitions
 
 #: Slots for n-grams; sizes of the n-grams; texts of each language to fit to; a share of 1 / HELD is kept for calibration.
 DIMENSIONS, SIZES, PER_LANGUAGE, HELD = 1 << 15, (2, 3), 800, 5
@@ -37,6 +38,9 @@ ALPHA, BETA, L1, L2, PASSES = 20.0, 1.0, 0.02, 0.02, 4
 
 UNKNOWN = "und"
 
+#: How many times as many texts as are wanted are ordered; languages a model may have (the driver holds a column for each).
+SPREAD, MOST_LANGUAGES = 4, 500
+
 #: A text scored no further than so above chance (all languages alike) is in no language the model knows.
 OVER_CHANCE = 0.05
 
@@ -151,9 +155,8 @@ def document_frequency(texts: DataFrame) -> tuple[int, np.ndarray]:
                 df += np.frombuffer(x, np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([df.tobytes()], pa.binary())], ["n", "df"])
 
-    on_workers(texts.sparkSession)
     shape = "n bigint, df binary"
-    sums = texts.mapInArrow(count, shape).repartition(100).mapInArrow(add, shape).where("n > 0").collect()
+    sums = map_partitions(map_partitions(texts, count, shape).repartition(100), add, shape).where("n > 0").collect()
     return sum(r.n for r in sums), sum((np.frombuffer(r.df, np.int64) for r in sums), np.zeros(DIMENSIONS, np.int64))
 
 
@@ -193,16 +196,38 @@ def calibrated(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def least_hashes(rows: DataFrame, n: int) -> dict[str, int]:
+    """For each language the n-th least hash of its distinct texts, or the greatest if there are fewer.
+
+    Hashes are even: of a language's texts, those in the first ``spread * n / texts`` of the range are some
+    ``spread * n``, however many texts it has, and only these are ordered. Should n of them not be there, more of
+    the range is taken.
+    """
+    hashed = rows.select("lang", F.xxhash64("text").alias("h"))
+    texts = hashed.distinct().groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(texts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: pool the rare ones first")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    last: dict[str, int] = {}
+    spread = SPREAD
+    while missing := [r for r in texts if r.lang not in last]:
+        upto = {r.lang: min((1 << 63) - 1, (spread * n << 64) // r.n - (1 << 63)) for r in missing}
+        limits = F.create_map(*[F.lit(x) for pair in upto.items() for x in pair])
+        some = hashed.where(F.col("h") <= F.element_at(limits, F.col("lang"))).distinct()
+        found = some.withColumn("place", place).where(F.col("place") <= n).groupBy("lang").agg(F.max("h").alias("h"), F.count("*").alias("n"))
+        there = {r.lang: r for r in found.collect()}
+        last |= {r.lang: there[r.lang].h for r in missing if r.lang in there and there[r.lang].n >= min(n, r.n)}
+        spread *= SPREAD
+    return last
+
+
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Learn from rows of (text, lang)."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     n, df = document_frequency(rows.select("text"))
     idf = np.log((1 + n) / (1 + df)) + 1
     # texts are made distinct by their hash first, so that copies count once and a language's sample has a hard bound
-    distinct = rows.select("lang", F.xxhash64("text").alias("h")).groupBy("lang", "h").agg(F.lit(1).alias("one"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    last = {r.lang: r.h for r in distinct.withColumn("place", place).where(F.col("place") <= per_language)
-            .groupBy("lang").agg(F.max("h").alias("h")).collect()}
+    last = least_hashes(rows, per_language)
     languages = sorted(last)
     if not n:
         return Model([], idf, np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0)

@@ -6,14 +6,15 @@ digits (``hex``). A fourth kind is only a candidate: a long run of credential le
 itself that mixes digits with upper and lower case and has high entropy (``owned``).
 
 Candidates are hashed, and over the whole corpus each hash is counted by the distinct texts
-(repositories: copies of one document count once) and distinct sources (owners) that hold it. What
-many of both hold is a copied example, such as documentation shows; anything else looks live. Many
-owners are more than ``FEW``, or more than one in ``OF_OWNERS`` of all sources where there are fewer
-than ``FEW * OF_OWNERS`` of these; so with fewer than ``OF_OWNERS`` sources the texts alone decide.
-Spans of the fixed patterns are always returned. An ``owned`` candidate becomes a span if it looks live.
+(repositories: copies of one document count once) and distinct sources (owners) that hold it. What few
+texts hold looks live, and the fewer owners share it, the more texts they may be: up to
+``few * (1 + 1 / owners)``, the same in every corpus. What more texts hold is a copied example, such as
+documentation shows. Spans of the fixed patterns are always returned. An ``owned`` candidate becomes a
+span if it looks live.
 
 Places are code points, ends exclusive. Null text counts as empty. A null source is an owner of its
-own. Repeated rows each get their spans.
+own. Repeated rows each get their spans. Of two spans at one place the kind listed first comes first. An
+empty table gives no rows. Only the id, the source and the text are read (``mask`` keeps all columns).
 """
 
 from __future__ import annotations
@@ -33,12 +34,9 @@ from .common import add_columns, text_or_empty, written
 #: Kinds in the order in which spans at one place are listed.
 KINDS = ("assign", "access", "hex", "owned")
 
-#: Held by at most so many owners, or in at most so many distinct texts, a candidate looks live.
+#: A candidate in so many distinct texts looks live whoever holds it; in twice as many if they have one owner.
 FEW = 4
 
-#: Few owners are also no more than one in so many of the sources there are.
-OF_OWNERS = 5
-
 #: Least length of an ``owned`` candidate and least entropy, in bits a character.
 OWNED_CHARS, OWNED_BITS = 20, 3.5
 
@@ -116,9 +114,8 @@ def find(docs: DataFrame, few: int = FEW) -> DataFrame:
     scanned = written(rows, "candidates")
     each = scanned.select("row", F.explode("candidates").alias("c")).select("row", "c.*")
     each = each.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
-    few_owners = min(few, scanned.select("source").distinct().count() // OF_OWNERS)
     counts = owners(scanned).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    known = each.join(counts, ["hash", "salt"]).withColumn("live", (F.col("n_owners") <= few_owners) | (F.col("n_texts") <= few))
+    known = each.join(counts, ["hash", "salt"]).withColumn("live", F.col("n_texts") * F.col("n_owners") <= few * (F.col("n_owners") + 1))
     known = known.where((F.col("kind") < 3) | F.col("live"))
     spans = known.groupBy("row").agg(F.array_sort(F.collect_list(
         F.struct("start", "kind", "end", "hash", "n_texts", "n_owners", "live"))).alias("spans"))

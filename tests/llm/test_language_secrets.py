@@ -133,3 +133,44 @@ def test_copied_examples_are_told_with_few_sources(spark, sources):
     assert got[20].n_live == 1
     masked = {r.doc_id: r.text for r in secretscan.mask(df).collect()}
     assert masked == {**{k: t for k, t, *_ in rows}, 20: "<SECRET> and more"}
+
+
+def test_least_hashes_are_exact(spark, monkeypatch):
+    rows = [(f"text {k % 3000}", "en" if k % 3 else "de") for k in range(6000)] + [("one text alone", "fr")] * 5
+    df = spark.createDataFrame(rows, "text string, lang string")
+    hashes = {}
+    for r in df.select("lang", F.xxhash64("text").alias("h")).distinct().collect():
+        hashes.setdefault(r.lang, []).append(r.h)
+    for n in (1, 7, 800, 5000):
+        want = {lang: sorted(h)[min(n, len(h)) - 1] for lang, h in hashes.items()}
+        assert langid.least_hashes(df, n) == want
+    assert langid.least_hashes(df.limit(0), 5) == {}
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError):
+        langid.least_hashes(df, 5)
+
+
+def test_live_or_copied_against_a_plain_count(spark):
+    """Owners and texts of every candidate counted by loops, and what follows from them."""
+    rng = np.random.default_rng(4)
+    values = [f"AKIA{k:04d}EXAMPLEKEY{k:04d}" for k in range(30)]
+    rows = []
+    for k in range(200):
+        some = rng.choice(30, rng.integers(0, 4), p=np.arange(1, 31) / 465)
+        source = [None, "a", "b", "c", "d", "e"][min(5, int(rng.integers(0, 12)))]
+        rows.append((k, " and ".join(["text", *[values[x] for x in some], str(k % 150)]), source))
+    got = secretscan.find(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    texts, owners = {}, {}
+    for _, text, source in rows:
+        for v in re.findall("AKIA[A-Z0-9]{16,}", text):
+            texts.setdefault(v, set()).add(text)
+            owners.setdefault(v, set()).add(source)
+    by_id = {k: text for k, text, _ in rows}
+    seen = set()
+    for r in got:
+        for s in r.spans:
+            v = by_id[r.doc_id][s["start"]:s["end"]]
+            assert (s["n_texts"], s["n_owners"]) == (len(texts[v]), len(owners[v]))
+            assert s["live"] == (len(texts[v]) <= 4 + 4 / len(owners[v]))
+            seen.add(s["live"])
+    assert seen == {True, False}
