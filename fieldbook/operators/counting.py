@@ -72,17 +72,42 @@ def means(df: DataFrame, columns: Sequence[str], prefix: str = "mean_", suffix:
     return df.agg(*out)
 
 
+#: Bins to a power of two in which values are counted first, and parts of a bin in which they are counted next.
+_PER_OCTAVE, _PARTS = 1 << 12, 1 << 20
+
+
+def _octave_bin(x):
+    """A whole number that rises with ``x``: ``_PER_OCTAVE`` bins to each power of two, on either side of 0."""
+    size = F.floor(F.least(F.log2(F.abs(x)), F.lit(1100.0)) * _PER_OCTAVE) + 1100 * _PER_OCTAVE
+    return F.when(x == 0, F.lit(0)).when(x < 0, -size).otherwise(size).cast("bigint")
+
+
+def _holding(bins: DataFrame, column: str, within: Sequence[str] = ()) -> DataFrame:
+    """Of counted bins those that hold a middle rank, with ``_before``, the values below each.
+
+    ``bins`` has ``_c``, the bin number, ``_n``, and (``_low``, ``_high``), the ranks looked for. In levels
+    below the first ``_base`` counts the values below all of a row's ``within``.
+    """
+    rising = Window.partitionBy("_c", *within).orderBy(column)
+    base = F.col("_base") if within else F.lit(0)
+    ranked = bins.withColumn("_before", base + F.sum("_n").over(rising) - F.col("_n"))
+    return ranked.filter((F.col("_before") <= F.col("_high")) & (F.col("_before") + F.col("_n") > F.col("_low")))
+
+
 def medians(df: DataFrame, columns: Sequence[str], prefix: str = "median_",
             digits: int | None = None, approx: bool = False, accuracy: int = 100_000) -> DataFrame:
-    """NULL-skipping medians of several columns in one aggregate.
+    """NULL-skipping medians of several columns in one pass over the rows.
 
     Exact by default (the mean of the two middle values when the count is
-    even), in two passes: a fixed-size sketch brackets the middle of each
-    column, then one aggregate counts what lies below and on the bracket's
-    ends and gathers only the values strictly between them, at most some
-    ``4 / accuracy`` of the rows. The middle values are read off these. So no
-    task holds all distinct values. ``approx=True`` returns the sketch's own
-    answer, an observed value whose rank error is at most ``1 / accuracy``.
+    even), by radix selection. The rows are reduced to counted distinct values
+    (combined per map task, so a hot value is one row a task). These are
+    counted by the leading part of a whole number that rises with the value;
+    the bins that hold the middle ranks are counted again in finer parts, and
+    only the values of the last part are put in order. A bin is split into a
+    fixed number of parts at each step, so no window and no task grows with
+    the number of values: at most ``_PARTS`` doubles lie in one part.
+    ``approx=True`` returns a sketch's answer, an observed value whose rank
+    error is at most ``1 / accuracy``.
     """
     def named(m, c):
         return (round_half_even(m, digits) if digits is not None else m).alias(f"{prefix}{c}")
@@ -90,26 +115,22 @@ def medians(df: DataFrame, columns: Sequence[str], prefix: str = "median_",
     xs = {c: F.col(c).cast("double") for c in columns}
     if approx:
         return df.agg(*[named(F.percentile_approx(x, 0.5, accuracy), c) for c, x in xs.items()])
-    near = 2 / accuracy
-    sketch = df.agg(*[F.percentile_approx(x, [0.5 - near, 0.5 + near], accuracy).alias(f"_b{i}")
-                      for i, x in enumerate(xs.values())])
-    rows = df.select(*[x.alias(f"_x{i}") for i, x in enumerate(xs.values())]).join(F.broadcast(sketch))  # one row
-    aggs = []
-    for i in range(len(xs)):
-        x, lo, hi = F.col(f"_x{i}"), F.col(f"_b{i}")[0], F.col(f"_b{i}")[1]
-        aggs += [F.count(x).alias(f"_n{i}"), F.count_if(x < lo).alias(f"_below{i}"), F.count_if(x == lo).alias(f"_on{i}"),
-                 F.min(lo).alias(f"_lo{i}"), F.max(hi).alias(f"_hi{i}"),
-                 F.array_sort(F.collect_list(F.when((x > lo) & (x < hi), x))).alias(f"_in{i}")]
-    found = rows.agg(*aggs)
-
-    def at(i: int, rank):
-        place = rank - F.col(f"_below{i}") - F.col(f"_on{i}")  # from 0, among the values gathered
-        return (F.when(place < 0, F.col(f"_lo{i}")).when(place >= F.size(f"_in{i}"), F.col(f"_hi{i}"))
-                .otherwise(F.get(f"_in{i}", place.cast("int"))))
-
-    out = []
-    for i, c in enumerate(xs):
-        n = F.col(f"_n{i}")
-        middle = (at(i, F.floor((n - 1) / 2)) + at(i, F.floor(n / 2))) / 2
-        out.append(named(F.when(n > 0, middle), c))
-    return found.select(*out)
+    each = F.array(*[F.struct(F.lit(i).alias("_c"), x.alias("_x")) for i, x in enumerate(xs.values())])
+    values = df.select(F.explode(each).alias("_v")).select("_v.*").filter(F.col("_x").isNotNull())
+    counted = values.groupBy("_c", "_x").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", _octave_bin(F.col("_x")))
+    # first by parts of octaves
+    bins = counted.groupBy("_c", "_bin").agg(F.sum("_n").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    total = F.sum("_n").over(Window.partitionBy("_c"))
+    bins = bins.withColumn("_low", F.floor((total - 1) / 2)).withColumn("_high", F.floor(total / 2))
+    found = _holding(bins, "_bin").select("_c", "_bin", "_lo", "_hi", "_low", "_high", F.col("_before").alias("_base"))
+    # then by parts of what the middle bin spans
+    span = F.col("_hi") - F.col("_lo")
+    part = F.when((span > 0) & (span < float("inf")), F.floor((F.col("_x") - F.col("_lo")) / span * (_PARTS - 1))).otherwise(F.lit(0))
+    inside = counted.join(found, ["_c", "_bin"]).withColumn("_part", part.cast("bigint"))
+    parts = inside.groupBy("_c", "_bin", "_part", "_low", "_high", "_base").agg(F.sum("_n").alias("_n"))
+    found = _holding(parts, "_part", ["_bin"]).select("_c", "_bin", "_part", F.col("_before").alias("_part_base"))
+    # and last the values themselves
+    inside = inside.join(found, ["_c", "_bin", "_part"]).withColumn("_base", F.col("_part_base"))
+    middle = _holding(inside, "_x", ["_bin", "_part"])
+    pairs = middle.groupBy("_c").agg(((F.min("_x") + F.max("_x")) / 2).alias("_m"))
+    return pairs.agg(*[named(F.max(F.when(F.col("_c") == i, F.col("_m"))), c) for i, c in enumerate(xs)])

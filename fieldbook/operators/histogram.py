@@ -8,27 +8,27 @@ bins are centred on multiples of the width (``boundary = width / 2``). With
 limits, values outside them are removed before binning. A value within
 ``1e-8 * width`` above an edge still belongs to the bin below it.
 
-Every (group, bin) cell of the range is returned, empty ones with count 0,
-from a single aggregation over the data rows plus a zero-weight grid: no
-join, and the data rows are pre-aggregated per map task before the shuffle.
-The grid is unrolled in two steps, so that no array grows with the range.
-A range of more than ``MAX_GRID`` bins is no histogram anyone reads but the
-work of a mistyped value: then only bins with rows are returned, all rows
-among them.
+Every value's bin is numbered from the boundary, so one pass counts the rows
+of each (group, bin) without knowing the range. All else is made from these
+counts: the first bin and, between neighbouring occupied bins (of any group),
+the empty ones, which every group present lists with count 0. A gap of more
+than ``LONGEST_GAP`` bins lies beside a value that is no part of the picture
+(a mistyped one) and is left out; the bins on either side of it are as they
+would be alone. With limits the bins up to the limits are listed likewise.
+The rule is the same for every range.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _FUZZ = 1e-8
 
-#: Bins up to which empty ones are listed, and bins unrolled at a time.
-MAX_GRID = 1_000_000
-_STEP = 1_000
+#: Empty bins in a row that are listed.
+LONGEST_GAP = 10_000
 
 
 def bin_layout(lo: float, hi: float, width: float, boundary: float | None = None) -> tuple[float, int]:
@@ -40,39 +40,59 @@ def bin_layout(lo: float, hi: float, width: float, boundary: float | None = None
     return origin, n_bins
 
 
+def _between(occupied: DataFrame) -> DataFrame:
+    """The empty bins between neighbours of distinct ``_at``, where no more than ``LONGEST_GAP`` lie between.
+
+    A bin's next neighbour within that reach lies in the same block of bins, or is the first of the next
+    block; so no window spans more than a block.
+    """
+    blocks = occupied.select("_at", F.floor(F.col("_at") / (LONGEST_GAP + 1)).alias("_block"))
+    inside = F.lead("_at").over(Window.partitionBy("_block").orderBy("_at"))
+    firsts = blocks.groupBy("_block").agg(F.min("_at").alias("_first")).withColumn("_block", F.col("_block") - 1)
+    near = blocks.withColumn("_inside", inside).join(firsts, "_block", "left")
+    gap = near.select("_at", F.coalesce("_inside", "_first").alias("_next"))
+    gap = gap.filter((F.col("_next") - F.col("_at")).between(2, LONGEST_GAP + 1))
+    return gap.select(F.explode(F.sequence(F.col("_at") + 1, F.col("_next") - 1)).alias("_at"))
+
+
 def fixed_width_histogram(df: DataFrame, value: str, width: float, group: str | None = None,
                           boundary: float | None = None,
                           limits: tuple[float, float] | None = None) -> DataFrame:
-    """Counts per (group, bin): columns ``[group,] bin, xmin, xmax, count``.
-
-    Without ``limits`` the data range is read first (one small aggregate
-    returning two numbers); the number of bins is bounded by the range over
-    the width, not by the data size.
-    """
+    """Counts per (group, bin): columns ``[group,] bin, xmin, xmax, count``, bins numbered from the first."""
+    width = float(width)
+    boundary = width / 2 if boundary is None else float(boundary)
     x = F.col(value).cast("double")
     data = df.filter(x.isNotNull())
     if limits is not None:
-        lo, hi = float(limits[0]), float(limits[1])
-        data = data.filter(x.between(lo, hi))
-    else:
-        row = data.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
-        lo, hi = row["lo"], row["hi"]
-    # Without a group, one constant group: the grid then exists only when
-    # some value survived the filters, as for a grouped histogram.
+        data = data.filter(x.between(float(limits[0]), float(limits[1])))
+    # Without a group, one constant group, which is there only when some value survived the filters.
     key = group or "_all"
-    data = data.select(F.col(group) if group else F.lit(0).alias(key), x.alias("_x"))
-    if lo is None:  # no data at all: empty result with the right schema
-        lo = hi = 0.0
-    origin, n_bins = bin_layout(lo, hi, width, boundary)
-    idx = F.ceil((F.col("_x") - F.lit(origin)) / F.lit(float(width)) - F.lit(_FUZZ)) - 1
-    idx = F.greatest(F.least(idx, F.lit(n_bins - 1)), F.lit(0)).cast("bigint")
-    rows = data.select(key, idx.alias("bin"), F.lit(1).alias("_w"))
-    if n_bins <= MAX_GRID:  # every bin for every group present
-        firsts = data.select(key).distinct().select(
-            key, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_bins - 1).cast("bigint"), F.lit(_STEP).cast("bigint"))).alias("_first"))
-        last = F.least(F.col("_first") + _STEP - 1, F.lit(n_bins - 1).cast("bigint"))
-        rows = rows.unionByName(firsts.select(key, F.explode(F.sequence("_first", last)).alias("bin"), F.lit(0).alias("_w")))
-    counts = rows.groupBy(key, "bin").agg(F.sum("_w").cast("bigint").alias("count"))
-    xmin = F.lit(float(origin)) + F.col("bin").cast("double") * F.lit(float(width))
-    return counts.select(*([key] if group else []), "bin", xmin.alias("xmin"),
-                         (xmin + F.lit(float(width))).alias("xmax"), "count")
+    data = data.select(F.col(group) if group else F.lit(0).alias(key), ((x - F.lit(boundary)) / F.lit(width)).alias("_x"))
+    at = F.ceil(F.col("_x") - F.lit(_FUZZ)) - 1
+    counts = data.groupBy(key, at.cast("bigint").alias("_at")).agg(F.count(F.lit(1)).alias("_w"), F.min("_x").alias("_low"))
+
+    # the first bin: the one that starts at or below the least value (or the lower limit)
+    if limits is not None:
+        first = math.floor((float(limits[0]) - boundary) / width)
+        last = first + bin_layout(float(limits[0]), float(limits[1]), width, boundary)[1] - 1
+        counts = counts.withColumn("_first", F.lit(first).cast("bigint")).withColumn(
+            "_at", F.least(F.col("_at"), F.lit(last).cast("bigint")))
+    else:
+        least = counts.agg(F.floor(F.min("_low")).cast("bigint").alias("_first"))
+        counts = counts.join(F.broadcast(least))  # one row
+    # a value on the lowest edge belongs to the first bin, as all others at or below it would
+    counts = counts.select(key, F.greatest("_at", "_first").alias("_at"), "_w", "_first")
+
+    occupied = counts.select("_at").distinct()
+    if limits is not None:
+        ends = df.sparkSession.range(1).select(F.explode(F.array(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))).alias("_at"))
+        occupied = occupied.unionByName(ends).distinct()
+    listed = occupied.unionByName(_between(occupied))
+    groups = counts.select(key, "_first").distinct()
+    grid = groups.join(listed).select(key, "_first", "_at", F.lit(0).cast("bigint").alias("_w"))  # the result's own rows
+    cells = counts.select(key, "_first", "_at", "_w").unionByName(grid)
+    cells = cells.groupBy(key, "_at").agg(F.min("_first").alias("_first"), F.sum("_w").cast("bigint").alias("count"))
+    number = F.col("_at") - F.col("_first")
+    xmin = F.lit(boundary) + F.col("_first").cast("double") * F.lit(width) + number.cast("double") * F.lit(width)
+    return cells.select(*([key] if group else []), number.alias("bin"), xmin.alias("xmin"),
+                        (xmin + F.lit(width)).alias("xmax"), "count")

@@ -3,12 +3,16 @@
 * ``anti_join``: rows whose key is absent from the other side, against that
   side's keys, each map task's made distinct first (so a hot key there
   cannot hold one task), in a form in which AQE can split a hot key here.
-* ``full_outer_join``: a full outer equi-join written as inner + two anti
-  joins + the NULL-key rows. Spark cannot split a skewed partition of a full
-  outer join (AQE skew handling covers inner, left/right outer and semi/anti
-  joins only), and every NULL key of a plain join would hash to one task. In
-  this form a hot key is split by AQE on the inner and anti parts, and NULL
-  keys (which can never match under ``==``) bypass the shuffle entirely.
+* ``full_outer_join``: a full outer equi-join written as an inner join plus
+  each side's rows whose key the other side lacks. Spark cannot split a skewed
+  partition of a full outer join (AQE skew handling covers inner, left/right
+  outer and semi/anti joins only). In this form a hot key is split by AQE on
+  every part. Which keys both sides have is one aggregate over both sides'
+  keys; every side is then shuffled once by its key, and that exchange serves
+  the inner and the anti part. Rows with a NULL key can never match under
+  ``==``: a second key, a salt that only they have, spreads them over all
+  tasks (every NULL of a plain join would hash to one) and keeps the two
+  sides' apart.
 * no side is broadcast by hint: Spark plans from size statistics and AQE
   re-plans from measured sizes, without a job run only to count rows.
 * ``null_safe_on``: join condition where NULL matches NULL, as the survey
@@ -63,6 +67,20 @@ def anti_join(left: DataFrame, right: DataFrame, left_keys, right_keys, null_saf
     return left.join(keys, on, "left_anti")
 
 
+#: Values of the salt of rows with a NULL key.
+NULL_SALTS = 1024
+
+
+def null_salt(keys: Sequence[str], sign: int) -> Column:
+    """0 for a whole key; else a number other than 0, of the side's sign, that spreads the rows.
+
+    Such a row matches nothing whatever its number is, so it need not be the same when computed again. It
+    is never NULL, and declared so: a join on it asks for no filter that would set two uses of a side apart.
+    """
+    spread = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SALTS)), F.lit(0).cast("bigint")) + 1
+    return F.when(_any_null(keys), spread * sign).otherwise(F.lit(0).cast("bigint"))
+
+
 def full_outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys,
                     null_safe: bool = False) -> DataFrame:
     """Full outer equi-join of two frames whose column names are disjoint.
@@ -70,25 +88,26 @@ def full_outer_join(left: DataFrame, right: DataFrame, left_keys, right_keys,
     Result columns: all of ``left`` then all of ``right``; unmatched sides are
     NULL. With ``null_safe`` a NULL key matches a NULL key (all NULL-key pairs
     are emitted, as the join semantics require); otherwise rows with a NULL
-    key are passed through unmatched without being shuffled.
+    key are unmatched.
     """
     pairs = _pairs(left_keys, right_keys)
     lk = [p[0] for p in pairs]
     rk = [p[1] for p in pairs]
-    on = equi_on(pairs, null_safe)
-
-    parts = []
-    if null_safe:
-        l_in, r_in = left, right
-    else:
-        l_in = left.filter(~_any_null(lk))
-        r_in = right.filter(~_any_null(rk))
-        parts += [left.filter(_any_null(lk)), right.filter(_any_null(rk))]
-    parts = [
-        l_in.join(r_in, on, "inner"),
-        anti_join(l_in, r_in, lk, rk, null_safe),
-        anti_join(r_in, l_in, rk, lk, null_safe),
-    ] + parts
+    none = F.lit(0).cast("bigint")
+    left_in = left.withColumn("_ln", none if null_safe else null_salt(lk, 1))
+    right_in = right.withColumn("_rn", none if null_safe else null_salt(rk, -1))
+    keys = [f"_k{i}" for i in range(len(pairs))]
+    stacked = [df.select(*[F.col(c).alias(k) for c, k in zip(names, keys)], F.col(salt).alias("_n"), F.lit(here).alias("_here"))
+               for df, names, salt, here in ((left_in, lk, "_ln", 1), (right_in, rk, "_rn", 2))]
+    both = stacked[0].unionByName(stacked[1]).groupBy(*keys, "_n").agg(F.min("_here").alias("_a"), F.max("_here").alias("_b"))
+    both = both.filter(F.col("_a") < F.col("_b"))
+
+    def lacking(df: DataFrame, names: Sequence[str], salt: str) -> DataFrame:
+        on = equi_on(list(zip(names, keys)), null_safe=True) & (F.col(salt) == F.col("_n"))
+        return df.join(both, on, "left_anti")
+
+    inner = left_in.join(right_in, equi_on(pairs, null_safe=True) & (F.col("_ln") == F.col("_rn")), "inner")
+    parts = [inner, lacking(left_in, lk, "_ln"), lacking(right_in, rk, "_rn")]
     out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return out.select(*left.columns, *right.columns)
 

@@ -16,12 +16,13 @@ row takes the plain full join.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.functions import blank_to, recode, to_number
-from fieldbook.operators.joins import full_outer_join
+from fieldbook.operators.joins import full_outer_join, null_salt
 
 
 @dataclass(frozen=True)
@@ -174,6 +175,17 @@ def rejects_of(joined: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS) -> DataFr
          .otherwise(F.col(cols.contact_id).cast("string")).alias("record_id"))
 
 
+def _per_phone(r: DataFrame, c: DataFrame, cols: LinkColumns) -> DataFrame:
+    """(``_k``, ``_hit``: shared, ``_both``: on both sides) of every phone, from one aggregate of both sides' keys."""
+    stacked = r.select(F.col(cols.roster_key).alias("_k"), F.lit(1).alias("_m"), F.lit(0).alias("_n"), F.lit(0).alias("_e"))
+    existing = F.col(cols.data_status).eqNullSafe("existing").cast("int")
+    stacked = stacked.unionByName(c.select(F.col(cols.contact_key).alias("_k"), F.lit(0).alias("_m"), F.lit(1).alias("_n"),
+                                           existing.alias("_e")))
+    counts = stacked.filter(F.col("_k").isNotNull()).groupBy("_k").agg(*[F.sum(x).alias(x) for x in ("_m", "_n", "_e")])
+    return counts.select("_k", (F.greatest("_m", F.lit(1)) * F.col("_e") > 1).alias("_hit"),
+                         ((F.col("_m") > 0) & (F.col("_n") > 0)).alias("_both"))
+
+
 def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,
                  null_means_blank: bool = False) -> DataFrame:
     """The master with the shared-key rule applied.
@@ -182,8 +194,39 @@ def link_members(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFA
     join; on shared phones only (roster, submission) pairs with equal names
     are kept. Names are compared as typed (not trimmed). The join never forms
     the per-phone cross product of a shared phone.
+
+    One aggregate per phone says of each row whether its phone is shared and
+    whether the other side has it. Rows of shared phones and of phones on both
+    sides meet in one inner join on (phone, name if shared); rows whose phone
+    is neither go through as they are, without an anti join. Each side is
+    shuffled by phone once for both uses. Rows without a phone carry a salt
+    (see ``joins.full_outer_join``).
     """
-    return members_of(linked(roster, contact, cols, null_means_blank), cols)
+    r = prepare_roster(roster, cols)
+    c = prepare_contact(contact, cols, null_means_blank)
+    phones = _per_phone(r, c, cols)
+
+    def marked(df: DataFrame, key: str, name: str, salt: str, join_name: str) -> DataFrame:
+        salted = df.withColumn(salt, null_salt([key], 1))
+        zero = F.lit(0).cast("bigint")
+        rows = salted.join(phones.withColumn("_n0", zero), F.col(key).eqNullSafe(F.col("_k")) & (F.col(salt) == F.col("_n0")), "left")
+        # a row of an unknown phone has no flags; said by a column of its own side (the salt is never negative),
+        # so that both uses of the join stay the same left join and share one shuffle of the rows
+        unknown = F.col(salt) < 0
+        shared = F.coalesce(F.col("_hit"), unknown)
+        return rows.select(*df.columns, shared.alias("_shared"), F.coalesce(F.col("_both"), unknown).alias("_paired"),
+                           F.when(shared, F.col(name)).otherwise(F.lit("")).alias(join_name))
+
+    r_marked = marked(r, cols.roster_key, cols.roster_name, "_rn", "_r_join")
+    c_marked = marked(c, cols.contact_key, cols.contact_name, "_cn", "_c_join")
+    flags = ("_shared", "_paired")
+    paired = r_marked.filter("_paired").drop(*flags).join(
+        c_marked.filter("_paired").drop(*flags),
+        # paired phones are never NULL; == would filter each side by that, apart from its other use
+        F.col(cols.roster_key).eqNullSafe(F.col(cols.contact_key)) & (F.col("_r_join") == F.col("_c_join")), "inner")
+    parts = [paired, *[df.filter("NOT _shared AND NOT _paired").drop(*flags) for df in (r_marked, c_marked)]]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _merge_key(out.select(*r.columns, *c.columns), cols)
 
 
 def shared_key_rejects(roster: DataFrame, contact: DataFrame, cols: LinkColumns = DEFAULT_COLUMNS,

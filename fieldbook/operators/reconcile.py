@@ -59,7 +59,7 @@ def missing_baseline(ops: DataFrame, baseline: DataFrame, cols: ReconcileColumns
 
 
 def match_report(ops: DataFrame, baseline: DataFrame, cols: ReconcileColumns = DEFAULT,
-                 status_is_null: bool = True, pair_missing_ids: bool = True) -> DataFrame:
+                 status_is_null: bool = True, pair_missing_ids: bool = True, factored: bool = False) -> DataFrame:
     """Both surveys side by side on the id, with phone and name agreement.
 
     Full join (a row of either side without a partner is listed too), then
@@ -69,16 +69,44 @@ def match_report(ops: DataFrame, baseline: DataFrame, cols: ReconcileColumns = D
     A missing id matches a missing id, as in the workflow: every row without
     one is paired with every such row of the other side, a product of the
     two. With ``pair_missing_ids=False`` rows without an id are listed
-    singly instead, which stays linear however many there are.
+    singly instead, which stays linear however many there are. So does
+    ``factored``, which loses nothing: rows without an id are listed singly
+    with ``n_pairs``, the rows of the other side each is paired with (every
+    other row is its own, 1), and ``expand_missing_ids`` makes the pairs.
     """
     bl = with_suffix(baseline, "_bl")
     fc = with_suffix(ops, "_fc")
-    joined = full_outer_join(fc, bl, cols.fc_id + "_fc", cols.bl_id + "_bl", null_safe=pair_missing_ids)
+    bl = bl.withColumn("_bl_row", F.lit(True))
+    joined = full_outer_join(fc, bl, cols.fc_id + "_fc", cols.bl_id + "_bl", null_safe=pair_missing_ids and not factored)
     fc_phone, bl_phone = F.col(cols.fc_phone + "_fc"), F.col(cols.bl_phone + "_bl")
     fc_name, bl_name = F.col(cols.fc_name + "_fc"), F.col(cols.bl_name + "_bl")
+    n_pairs = []
+    if factored:
+        fc_missing, bl_missing = (F.col(c).isNull() for c in (cols.fc_id + "_fc", cols.bl_id + "_bl"))
+        sides = {"_fc_missing": (fc, fc_missing), "_bl_missing": (bl, bl_missing & _status_test(cols, status_is_null))}
+        # a row of no side's id belongs to the side whose columns it has
+        from_bl = F.coalesce("_bl_row", F.lit(False))
+        for name, (side, test) in sides.items():
+            joined = joined.join(F.broadcast(side.filter(test).agg(F.count(F.lit(1)).alias(name))))  # one row
+        none = fc_missing & bl_missing
+        n_pairs = [F.when(none & from_bl, F.col("_fc_missing")).when(none, F.col("_bl_missing")).otherwise(F.lit(1).cast("bigint")).alias("n_pairs"),
+                   F.when(none, F.when(from_bl, F.lit("bl")).otherwise(F.lit("fc"))).alias("missing_on")]
     return (joined.filter(_status_test(cols, status_is_null))
-            .select(fc_phone.alias("fc_phone_number"), fc_name.alias("fc_name"),
+            .select(*n_pairs, fc_phone.alias("fc_phone_number"), fc_name.alias("fc_name"),
                     F.coalesce(F.col(cols.fc_id + "_fc"), F.col(cols.bl_id + "_bl")).alias("member_id"),
                     bl_phone.alias("bl_phone_number"), bl_name.alias("bl_name"),
                     agree_flag(fc_phone, bl_phone).alias("number_match"),
                     agree_flag(fc_name, bl_name).alias("name_match")))
+
+
+def expand_missing_ids(report: DataFrame) -> DataFrame:
+    """The pairs that a factored ``match_report`` stands for: as many rows as ``n_pairs`` says, on request only."""
+    shown = [c for c in report.columns if c not in ("n_pairs", "missing_on")]
+    fc_side, bl_side = ("fc_phone_number", "fc_name"), ("bl_phone_number", "bl_name")
+    left = report.filter("missing_on = 'fc' AND n_pairs > 0").select("member_id", *fc_side)
+    right = report.filter("missing_on = 'bl' AND n_pairs > 0").select(*bl_side)
+    pairs = left.join(right)  # asked for: the product itself
+    flags = [agree_flag(F.col("fc_phone_number"), F.col("bl_phone_number")).alias("number_match"),
+             agree_flag(F.col("fc_name"), F.col("bl_name")).alias("name_match")]
+    pairs = pairs.select("member_id", *fc_side, *bl_side, *flags).select(*shown)
+    return report.filter("missing_on IS NULL OR n_pairs = 0").select(*shown).unionByName(pairs)

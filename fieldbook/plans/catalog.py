@@ -11,9 +11,11 @@ from __future__ import annotations
 import os
 import re
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldbook.operators import linkage, reconcile
 from fieldbook.operators.dictionary import dictionary_feedback, standardize
@@ -24,8 +26,10 @@ from fieldbook.plans import first_contact as fc
 from fieldbook.plans import report as rp
 from fieldbook.sources import schemas
 from fieldbook.sources.fixtures import Fixtures
-from fieldbook.sources.landing import load_submissions
+from fieldbook.sources.json_forms import to_records
+from fieldbook.sources.landing import load_submissions, write_export
 from fieldbook.sources.versioned import publish, read_current, table_path
+from fieldbook.streaming.ingest import ingest_latest, submissions_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,7 +43,7 @@ def master_of(fx: Fixtures) -> DataFrame:
     return fc.finished_master(fx.roster, fx.contact, fx.id_master, fc.fixture_lookups(fx))
 
 
-_PUBLISHED: dict[tuple[str, str], tuple[str, object]] = {}
+_PUBLISHED: dict[tuple[str, str], str] = {}
 _PUBLISH_LOCK = threading.Lock()
 
 
@@ -57,10 +61,9 @@ def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
             slug = re.sub(r"[^A-Za-z0-9]+", "_", key[1]).strip("_")
             table = f"first_contact_master/{slug}"
             master = master_of(_fx(spark, sf_dir))
-            publish(master, table)
-            _PUBLISHED[key] = (table, master.schema)
-        table, schema = _PUBLISHED[key]
-    return read_current(spark, table, schema=schema)
+            publish(master, table, by=rp.master_partitions())
+            _PUBLISHED[key] = table
+        return read_current(spark, _PUBLISHED[key], partitions=True)
 
 
 # -- first contact ---------------------------------------------------------
@@ -68,11 +71,41 @@ def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_load_submissions(spark, sf_dir):
     """Land the submissions as a spreadsheet-style CSV export, read it back typed."""
     fx = _fx(spark, sf_dir)
-    landing = table_path(spark, "landing/contact_export")
+    landing = f"{table_path(spark, 'landing')}/contact-{uuid.uuid4().hex}"
     raw = schemas.raw_schema(schemas.CONTACT)
-    version = publish(fx.contact.select(*schemas.CONTACT.fieldNames()).toDF(*raw.fieldNames()),
-                      "landing/contact_export", fmt="csv")
-    return load_submissions(spark, f"{landing}/v={version}", raw)
+    write_export(fx.contact.select(*schemas.CONTACT.fieldNames()), landing, raw.fieldNames())
+    return load_submissions(spark, landing, raw)
+
+
+def q_load_submissions_json(spark, sf_dir):
+    """Land the submissions as the service's JSON, half as records and half as pages of them, read them back typed."""
+    form = schemas.contact_form()
+    landing = f"{table_path(spark, 'landing')}/contact-json-{uuid.uuid4().hex}"
+    rows = _fx(spark, sf_dir).contact
+    single = F.col("form_index") % 2 == 0
+    to_records(rows.filter(single), form).write.text(f"{landing}/records")
+    paged = rows.filter(~single)
+    page = F.floor(F.col("form_index") / 200).alias("page")  # a hundred records to a page
+    pages = to_records(paged.withColumn("page", page), form, keep=["page"]).groupBy("page").agg(F.collect_list("value").alias("results"))
+    text = F.concat(F.lit('{"count": '), F.size("results"), F.lit(', "results": ['), F.array_join("results", ", "), F.lit("]}"))
+    pages.select(text.alias("value")).write.text(f"{landing}/pages")
+    return load_submissions(spark, f"{landing}/*", form, fmt="json")
+
+
+def q_ingest_latest(spark, sf_dir):
+    """Three whole exports landed one after the other, the last with edited rows: the latest row of every submission."""
+    rows = _fx(spark, sf_dir).contact.select(*schemas.CONTACT.fieldNames())
+    run = uuid.uuid4().hex
+    landing, table = f"{table_path(spark, 'landing')}/exports-{run}", f"submissions-{run}"
+    raw = schemas.raw_schema(schemas.CONTACT)
+    edited = rows.withColumns({"notes": F.when(F.col("form_index") % 9 == 0, F.lit("edited, again")).otherwise(F.col("notes")),
+                               "age": F.when(F.col("form_index") % 18 == 0, F.col("age") + 1).otherwise(F.col("age"))})
+    for k, export in enumerate((rows, rows, edited), start=1):
+        write_export(export, f"{landing}/e{k}", raw.fieldNames())
+        stream = submissions_stream(spark, f"{landing}/*", raw, landed=True)
+        query = ingest_latest(stream, table, "uuid", f"contact-{run}", order=("submission_time", "form_index"))
+        query.awaitTermination()
+    return read_current(spark, table)
 
 
 def q_build_master(spark, sf_dir):
@@ -213,6 +246,17 @@ def q_match_report_single_ids(spark, sf_dir):
     return reconcile.match_report(fx.id_master, fx.baseline, pair_missing_ids=False)
 
 
+def q_match_report_factored(spark, sf_dir):
+    """Both surveys side by side, rows without an id once with the number of their pairs (K11)."""
+    fx = _fx(spark, sf_dir)
+    return reconcile.match_report(fx.id_master, fx.baseline, factored=True)
+
+
+def q_match_report_expanded(spark, sf_dir):
+    """The pairs that the factored report stands for (K11)."""
+    return reconcile.expand_missing_ids(q_match_report_factored(spark, sf_dir))
+
+
 def q_standardize_roles(spark, sf_dir):
     """Baseline with the business dictionary applied to three slots (K12)."""
     fx = _fx(spark, sf_dir)
@@ -261,6 +305,8 @@ def _on_master(fn, *args, **kwargs) -> Query:
 
 QUERIES: dict[str, Query] = {
     "load_submissions": q_load_submissions,
+    "load_submissions_json": q_load_submissions_json,
+    "ingest_latest": q_ingest_latest,
     "build_master": q_build_master,
     "duplicate_keys": q_duplicate_keys,
     "resolve_shared_keys": q_resolve_shared_keys,
@@ -281,6 +327,8 @@ QUERIES: dict[str, Query] = {
     "missing_baseline": q_missing_baseline,
     "match_report": q_match_report,
     "match_report_single_ids": q_match_report_single_ids,
+    "match_report_factored": q_match_report_factored,
+    "match_report_expanded": q_match_report_expanded,
     "standardize_roles": q_standardize_roles,
     "compact_dictionary": q_compact_dictionary,
     "baseline_rollup": q_baseline_rollup,
@@ -307,6 +355,9 @@ QUERIES: dict[str, Query] = {
     "finance_histogram_monthly": _on_master(rp.finance_histogram, "monthly"),
     "finance_medians": _on_master(rp.finance_medians),
     "access_shares": _on_master(rp.access_shares),
+    "access_labels": _on_master(rp.access_labels),
+    "finance_labels_daily": _on_master(rp.finance_labels, "daily"),
+    "finance_labels_monthly": _on_master(rp.finance_labels, "monthly"),
     "household_medians": _on_master(rp.household_medians),
     "education_counts": _on_master(rp.education_counts),
     "region_counts": _on_master(rp.category_counts, "origin_region_clean"),

@@ -212,6 +212,29 @@ SELECT min(ord) AS ord, {cols} FROM (
 WHERE {key} <> '' GROUP BY {cols}"""
 
 
+def _printed(number: str) -> str:
+    return f"coalesce(regexp_replace(CAST({number} AS VARCHAR), '\\.0$', ''), 'NA')"
+
+
+def _access_labels() -> str:
+    shares = [("bank_account", "bank_account", "'yes'", "have a bank account"),
+              ("digital_payments", "digital_payments", "'yes'", "use digital payments"),
+              ("smartphone_access", "smartphone_access", "'yes', 'shared'", "have access to smartphones"),
+              ("smartphone_usability", "smartphone_usability", "'yes'", "can use smartphones"),
+              ("shared_smartphone", "smartphone_access", "'shared'", "use shared smartphones")]
+    columns = []
+    for name, column, values, text in shares:
+        share = f"round_even(count(*) FILTER ({column} IN ({values})) / count({column}) * 100.0, 1)"
+        columns.append(f"{_printed(share)} || '% of all members {text}.' AS label_{name}")
+    return _q("SELECT " + ", ".join(columns) + " FROM rp_active")
+
+
+def _finance_labels(period: str) -> str:
+    columns = [f"'{text}: Rs.  ' || {_printed(f'round_even(avg({period}_{m}), 2)')} AS label_{period}_{m}"
+               for m, text in (("income", "Mean Revenue"), ("expenses", "Mean Expense"), ("profits", "Mean Profit"))]
+    return _q("SELECT " + ", ".join(columns) + f" FROM rp_active WHERE {period}_expenses IS NOT NULL")
+
+
 def oracle_sql() -> dict[str, str]:
     pairs_bl = " UNION ALL ".join(
         f"SELECT (SELECT coalesce(max(ord) + 1, 0) FROM fx_dictionary), type_{b}, type_{b}_clean FROM bl_std "
@@ -219,6 +242,12 @@ def oracle_sql() -> dict[str, str]:
         for b in ("b1", "b2", "b3"))
     return {
         "load_submissions": _q("SELECT * FROM fx_contact"),
+        "load_submissions_json": _q("SELECT * FROM fx_contact"),
+        "ingest_latest": _q("""
+SELECT * EXCLUDE (notes, age, rn), CASE WHEN form_index % 9 = 0 THEN 'edited, again' ELSE notes END AS notes,
+       CASE WHEN form_index % 18 = 0 THEN age + 1 ELSE age END AS age
+FROM (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY submission_time DESC, form_index DESC) AS rn FROM fx_contact)
+WHERE rn = 1"""),
         "build_master": _q("SELECT * FROM fc_master0"),
         "duplicate_keys": _q(
             "SELECT contact_phone AS phone_number, 'duplicate' AS flag FROM fc_contact "
@@ -307,6 +336,33 @@ SELECT o.phone_number AS fc_phone_number, o.contact_name AS fc_name,
        CASE WHEN o.contact_name = b.member_name THEN 'YES' WHEN o.contact_name <> b.member_name THEN 'NO' END
          AS name_match
 FROM fx_id_master o FULL JOIN fx_baseline b ON o.member_id = b.member_id
+WHERE b.visit_status IS NULL"""),
+        "match_report_factored": _q("""
+SELECT CASE WHEN o.row IS NOT NULL AND o.member_id IS NULL
+              THEN (SELECT count(*) FROM fx_baseline x WHERE x.member_id IS NULL AND x.visit_status IS NULL)
+            WHEN b.row IS NOT NULL AND b.member_id IS NULL THEN (SELECT count(*) FROM fx_id_master x WHERE x.member_id IS NULL)
+            ELSE 1 END AS n_pairs,
+       CASE WHEN o.row IS NOT NULL AND o.member_id IS NULL THEN 'fc' WHEN b.row IS NOT NULL AND b.member_id IS NULL THEN 'bl' END
+         AS missing_on,
+       o.phone_number AS fc_phone_number, o.contact_name AS fc_name,
+       coalesce(o.member_id, b.member_id) AS member_id,
+       b.phone_number AS bl_phone_number, b.member_name AS bl_name,
+       CASE WHEN o.phone_number = b.phone_number THEN 'YES' WHEN o.phone_number <> b.phone_number THEN 'NO' END
+         AS number_match,
+       CASE WHEN o.contact_name = b.member_name THEN 'YES' WHEN o.contact_name <> b.member_name THEN 'NO' END
+         AS name_match
+FROM (SELECT 1 AS row, * FROM fx_id_master) o
+FULL JOIN (SELECT 1 AS row, * FROM fx_baseline) b ON o.member_id = b.member_id
+WHERE b.visit_status IS NULL"""),
+        "match_report_expanded": _q("""
+SELECT o.phone_number AS fc_phone_number, o.contact_name AS fc_name,
+       coalesce(o.member_id, b.member_id) AS member_id,
+       b.phone_number AS bl_phone_number, b.member_name AS bl_name,
+       CASE WHEN o.phone_number = b.phone_number THEN 'YES' WHEN o.phone_number <> b.phone_number THEN 'NO' END
+         AS number_match,
+       CASE WHEN o.contact_name = b.member_name THEN 'YES' WHEN o.contact_name <> b.member_name THEN 'NO' END
+         AS name_match
+FROM fx_id_master o FULL JOIN fx_baseline b ON o.member_id IS NOT DISTINCT FROM b.member_id
 WHERE b.visit_status IS NULL"""),
         "standardize_roles": _q("SELECT * FROM bl_std"),
         "compact_dictionary": _q(f"""
@@ -399,6 +455,9 @@ SELECT
   round_even(avg(CASE WHEN smartphone_access IS NOT NULL THEN CASE WHEN smartphone_access IN ('shared') THEN 1 ELSE 0 END END)
              * 100.0, 1) AS pct_shared_smartphone
 FROM rp_active"""),
+        "access_labels": _access_labels(),
+        "finance_labels_daily": _finance_labels("daily"),
+        "finance_labels_monthly": _finance_labels("monthly"),
         "household_medians": _q("""
 SELECT round_even(median(family_size), 1) AS median_family_size,
        round_even(median(total_children), 1) AS median_total_children,

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldbook.functions import level_or_null, rank_of, signed_count, text_date
+from fieldbook.functions import level_or_null, rank_of, round_half_even, signed_count, text_date
 from fieldbook.operators.counting import (key_counts, means, medians, ranked_counts, shares,
                                           subgroup_counts, value_counts)
 from fieldbook.operators.histogram import fixed_width_histogram
@@ -29,6 +29,14 @@ IN_PROGRAMME = ("active", "new")
 
 STATUS = "new_final_status"
 
+# The published master is partitioned by the date on which a form was started (as the form wrote it), so
+# that a panel that asks for dates reads these partitions only.
+MASTER_PARTITIONS = ("start_date",)
+
+
+def master_partitions() -> dict[str, Column]:
+    return {"start_date": text_date("start_ts")}
+
 
 def report_status(status: str = "final_status", start: str = "start_ts", rule: str = "start"):
     """Derived status of a master row.
@@ -112,10 +120,12 @@ def status_type(master: DataFrame, before: str = "2024-12-01") -> DataFrame:
     """Rows per (status, gender, ownership) whose form started before ``before``.
 
     The start date is the date written in the form's own offset; inactive
-    rows are left out.
+    rows are left out. Of a master partitioned by it only the partitions of
+    these dates are read.
     """
     rm = report_master(master, "start")
-    started = rm.filter(text_date("start_ts") < F.to_date(F.lit(before)))
+    start = F.col("start_date") if "start_date" in master.columns else text_date("start_ts")
+    started = rm.filter(start < F.to_date(F.lit(before)))
     return (started.groupBy(F.col(STATUS).alias("final_status"), "gender", "ownership").count()
             .filter(F.col("final_status") != "inactive"))
 
@@ -144,6 +154,7 @@ def composition_means(master: DataFrame,
     return means(in_programme(report_master(master), statuses), columns, digits=1)
 
 
+# Bin width and axis limits of the two finance charts.
 FINANCE = {"daily": (50, (0, 2500)), "monthly": (500, (0, 25000))}
 MEASURES = ("income", "expenses", "profits")
 
@@ -188,6 +199,35 @@ def access_shares(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAM
     return shares(in_programme(report_master(master), statuses), SHARE_SPECS)
 
 
+# What the report says of each share, and of each mean of the finance charts.
+SHARE_LABELS = (
+    ("label_bank_account", "pct_bank_account", "%s%% of all members have a bank account."),
+    ("label_digital_payments", "pct_digital_payments", "%s%% of all members use digital payments."),
+    ("label_smartphone_access", "pct_smartphone_access", "%s%% of all members have access to smartphones."),
+    ("label_smartphone_usability", "pct_smartphone_usability", "%s%% of all members can use smartphones."),
+    ("label_shared_smartphone", "pct_shared_smartphone", "%s%% of all members use shared smartphones."),
+)
+FINANCE_LABELS = {"income": "Mean Revenue: Rs.  %s", "expenses": "Mean Expense: Rs.  %s", "profits": "Mean Profit: Rs.  %s"}
+
+
+def labelled(template: str, value, digits: int):
+    """A label with a number rounded half to even, written without trailing zeros; ``NA`` for a missing one."""
+    text = F.format_number(round_half_even(value, digits), digits)
+    plain = F.regexp_replace(F.regexp_replace(text, ",", ""), r"\.?0+$" if digits else "$^", "")
+    return F.format_string(template, F.coalesce(plain, F.lit("NA")))
+
+
+def access_labels(master: DataFrame, statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    """The access shares as the sentences of the report."""
+    return access_shares(master, statuses).select(*[labelled(text, F.col(c), 1).alias(name) for name, c, text in SHARE_LABELS])
+
+
+def finance_labels(master: DataFrame, period: str = "daily", statuses: Sequence[str] | None = IN_PROGRAMME) -> DataFrame:
+    """The means of a finance chart as its labels."""
+    return finance_means(master, period, statuses).select(
+        *[labelled(text, F.col(f"{period}_{m}_mean"), 2).alias(f"label_{period}_{m}") for m, text in FINANCE_LABELS.items()])
+
+
 def household_medians(master: DataFrame, statuses: Sequence[str] | None = None) -> DataFrame:
     return medians(in_programme(report_master(master), statuses),
                    ["family_size", "total_children", "total_earning_members"], digits=1)

@@ -9,8 +9,8 @@
     run_report          published master -> status tables and report panels
 
 Registry and dictionaries are read at their current version and written as
-the next one. A run writes all its versions first and moves the pointers
-together at its end, so a run that fails on the way leaves every table at
+the next one. A run writes all its versions first and makes them current
+by one write at its end, so a run that fails on the way leaves every table at
 the version it had, and can be repeated. Large intermediate results are written once and
 read back (the master) instead of being recomputed for every output.
 """
@@ -54,7 +54,8 @@ def run_first_contact(roster: DataFrame, contact: DataFrame, dictionaries: Mappi
     registry = read_current(spark, registry_table, root=root)
     current = {col: read_current(spark, table, root=root) for col, table in dictionaries.items()}
     with_ids = assign_ids(linkage.members_of(joined, cols), registry, key=cols.roster_key, name=cols.contact_name)
-    master = out.write(standardize(with_ids, [Lookup(col, d) for col, d in current.items()]), "fc_clean_final")
+    master = out.write(standardize(with_ids, [Lookup(col, d) for col, d in current.items()]), "fc_clean_final",
+                       by=rp.master_partitions())
 
     out.write(refresh_registry(master, registry, key=cols.roster_key, name=cols.contact_name,
                                keep_existing=keep_existing_ids), registry_table)
@@ -68,13 +69,19 @@ def run_first_contact(roster: DataFrame, contact: DataFrame, dictionaries: Mappi
 
 def run_baseline(raw: DataFrame, reviewed: DataFrame, ops_table: str = "fc_ops_export",
                  dictionary_table: str = "business_type_clean", root: str | None = None,
-                 status_is_null: bool = True) -> dict[str, int]:
+                 status_is_null: bool = True, missing_ids: str = "factored") -> dict[str, int]:
     """Baseline. ``reviewed`` is the hand-reviewed baseline, which the roll-up is made from.
 
+    ``missing_ids``: in ``fc_bl_matching``, rows without an id are listed once with the number of rows each
+    is paired with (``factored``, expanded by ``reconcile.expand_missing_ids``), or ``single``, or as the
+    workflow's ``pairs``, a product.
+
     Between the tidy copy and the roll-up the workflow hands the table over
     to people, who also name the totals; so there is no default for it. Its
     columns are checked before anything is written.
     """
+    if missing_ids not in ("factored", "single", "pairs"):
+        raise ValueError(f"missing_ids is 'factored', 'single' or 'pairs', not {missing_ids!r}")
     spark: SparkSession = raw.sparkSession
     dictionary = read_current(spark, dictionary_table, root=root)
     standardized = standardize_roles(reviewed, dictionary, ROLES)
@@ -86,7 +93,9 @@ def run_baseline(raw: DataFrame, reviewed: DataFrame, ops_table: str = "fc_ops_e
     ops = read_current(spark, ops_table, root=root)
     out.write(reconcile.missing_first_contact(tidy, ops, status_is_null=status_is_null), "fc_missing_data")
     out.write(reconcile.missing_baseline(ops, tidy), "bl_missing_data")
-    out.write(reconcile.match_report(ops, tidy, status_is_null=status_is_null), "fc_bl_matching")
+    report = reconcile.match_report(ops, tidy, status_is_null=status_is_null, pair_missing_ids=missing_ids == "pairs",
+                                    factored=missing_ids == "factored")
+    out.write(report, "fc_bl_matching")
     out.write(compact_dictionary(standardized, dictionary, ROLES), dictionary_table)
     out.write(final, "bl_final")
     return out.commit()
@@ -108,6 +117,8 @@ REPORT_TABLES = {
     "report_monthly_histogram": lambda m, r: rp.finance_histogram(m, "monthly"),
     "report_finance_medians": lambda m, r: rp.finance_medians(m),
     "report_access_shares": lambda m, r: rp.access_shares(m),
+    "report_access_labels": lambda m, r: rp.access_labels(m),
+    "report_finance_labels": lambda m, r: rp.finance_labels(m),
     "report_household_medians": lambda m, r: rp.household_medians(m),
     "report_education": lambda m, r: rp.education_counts(m),
     "report_regions": lambda m, r: rp.category_counts(m, "origin_region_clean"),
@@ -122,9 +133,9 @@ def run_report(roster: DataFrame, master_table: str = "fc_clean_final",
     master also goes out as a CSV hand-off.
     """
     spark: SparkSession = roster.sparkSession
-    master = read_current(spark, master_table, root=root)
+    master = read_current(spark, master_table, root=root, partitions=True)
     out = Staged(spark, root)
-    out.write(master, "first_contact_master_csv", fmt="csv")
+    out.write(master.drop(*rp.MASTER_PARTITIONS), "first_contact_master_csv", fmt="csv")
     for table, build in REPORT_TABLES.items():
         out.write(build(master, roster), table, partitions=1)
     return out.commit()

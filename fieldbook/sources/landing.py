@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldbook.functions import clean_name_list, clean_names
+from fieldbook.functions import clean_name_list
+from fieldbook.sources.json_forms import BAD_ROW, JsonForm, flatten, records
 
 #: One CSV convention for every export and landed file: header row, cells
 #: kept as typed (no white-space trimming, quoted cells may hold line
@@ -26,12 +27,8 @@ CSV_OPTIONS = {
     "multiLine": True,
 }
 
-#: Column that holds a row as it stands in the file where it does not fit the schema.
-BAD_ROW = "_bad_row"
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, bad_rows: str = "fail",
-             blank_as_null: bool = False) -> DataFrame:
+             blank_as_null: bool = False, line_breaks: bool = True) -> DataFrame:
     """CSV files under a declared schema, by the one convention.
 
     The header must name the schema's columns in their order, else the read
@@ -40,11 +37,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, bad_rows: str
     the read, or with ``bad_rows="report"`` stays, with NULL in the cells
     that do not fit and the row's text in ``_bad_row``. With
     ``blank_as_null`` an empty text cell is a missing value, as some report
-    readers take it; otherwise it stays ``''``.
+    readers take it; otherwise it stays ``''``. ``line_breaks=False`` declares
+    that no cell holds a line break: a plain file is then split among tasks,
+    and otherwise read by one.
     """
     if bad_rows not in ("fail", "report"):
         raise ValueError(f"bad_rows is 'fail' or 'report', not {bad_rows!r}")
-    reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", False)
+    reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", False).option("multiLine", line_breaks)
     if bad_rows == "report":
         schema = T.StructType([*schema.fields, T.StructField(BAD_ROW, T.StringType(), True)])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
@@ -64,27 +63,35 @@ def renamed_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, f.dataType, f.nullable) for n, f in zip(names, schema.fields)])
 
 
-def load_submissions(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                     fmt: str = "csv", bad_rows: str = "fail", blank_as_null: bool = False) -> DataFrame:
+def load_submissions(spark: SparkSession, path: str, schema: T.StructType | JsonForm | None = None,
+                     fmt: str = "csv", bad_rows: str = "fail", blank_as_null: bool = False,
+                     line_breaks: bool = True) -> DataFrame:
     """A landed export as a table with clean column names.
 
     ``schema`` lists the export's own (raw) column names and their types, in
     file order; CSV exports need it, and their header is held against it
     (see ``read_csv``, also for bad rows and blanks). ``NA`` cells read as
     NULL, a quoted empty string as ``''``. Quoted cells may hold line
-    breaks (free-text answers), so a CSV file is read by one task: many
-    export files read in parallel, but one very large export should land as
-    Parquet instead.
+    breaks (free-text answers), so a CSV file is read by one task unless
+    ``line_breaks=False`` says that no cell does.
+
+    ``fmt="json"`` reads records or pages of records, one a line, under a
+    declared form (``json_forms``), which ``schema`` then is.
     """
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV export needs a declared schema")
-        df = read_csv(spark, path, schema, bad_rows, blank_as_null)
+        df = read_csv(spark, path, schema, bad_rows, blank_as_null, line_breaks)
+    elif fmt == "json":
+        if not isinstance(schema, JsonForm):
+            raise ValueError("a JSON export needs a declared form")
+        df = flatten(records(spark.read.text(path)), schema, bad_rows, blank_as_null)
     elif fmt == "parquet":
         df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
-    return clean_names(df)
+    names = clean_name_list([c for c in df.columns if c != BAD_ROW])
+    return df.toDF(*names, *[BAD_ROW] * (BAD_ROW in df.columns))
 
 
 def write_export(df: DataFrame, path: str, header_names: list[str] | None = None,

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from fieldbook.sources.json_forms import JsonField, JsonForm
+
 S, D, L = T.StringType(), T.DoubleType(), T.LongType()
 
 
@@ -42,6 +44,33 @@ CONTACT = struct(
     ("form_index", D),
 )
 
+# The same form as the service's JSON has it: answers under their groups, pictures as attachments, the place as an array.
+_GROUPS = {
+    "person": ("contact_name", "phone_text", "data_status", "located", "gender", "age", "photograph", "education_level",
+               "origin_city", "family_size", "total_children", "total_earning_members", "household_details", "other_details"),
+    "shop": ("shop_name", "shop_location", "locality", "business_photograph", "ownership", "business_type", "business_details",
+             "facility_type", "facility_type_other", "working_days", "total_employees", "total_family_employees"),
+    "shop/money": ("daily_income", "daily_expenses", "daily_profits", "monthly_income", "monthly_expenses", "monthly_profits",
+                   "bank_account", "digital_payments", "smartphone_access", "smartphone_usability"),
+}
+_PICTURES = {"photograph_url": "photograph", "business_photograph_url": "business_photograph"}
+_PLACE = ("shop_latitude", "shop_longitude", "shop_altitude", "shop_precision")
+
+
+def contact_form(nested: bool = False) -> JsonForm:
+    """Where the columns of ``CONTACT`` lie in a JSON record."""
+    group = {name: f"{g}/{name}" for g, names in _GROUPS.items() for name in names}
+
+    def field(f: T.StructField) -> JsonField:
+        if f.name in _PICTURES:
+            return JsonField(f.name, group[_PICTURES[f.name]], f.dataType, "url")
+        if f.name in _PLACE:
+            return JsonField(f.name, "_geolocation", f.dataType, "place", _PLACE.index(f.name))
+        return JsonField(f.name, group.get(f.name, f"_{f.name}"), f.dataType)
+
+    return JsonForm(tuple(field(f) for f in CONTACT.fields), nested=nested)
+
+
 REGISTRY = struct(("phone_number", D), ("contact_name", S), ("member_id", S))
 
 BUSINESS_DICTIONARY = struct(("ord", T.IntegerType()), ("business_type", S), ("business_type_clean", S))

@@ -1,193 +1,156 @@
-"""Versioned tables: write a new version, then point to it.
+"""Versioned tables: write new versions, then make a run's versions current together.
 
-The survey workflow reads a table (registry, dictionary), changes it and
-writes it back under the same name. Spark cannot overwrite a path it is
-reading from, and an interrupted overwrite would lose the table. Here
+The survey workflow reads a table (registry, dictionary), changes it and writes it back under the same
+name. Spark cannot overwrite a path it is reading from, and an interrupted overwrite would lose the table. So
+every version is a folder of its own, never written twice, and one small table of runs says which versions
+there are::
 
-* every version is a folder of its own, numbered above all folders there
-  are, and written only where none is: no version is ever overwritten;
-* a pointer is a new numbered folder as well, and the highest complete one
-  says which version is current: a job that dies on the way leaves the
-  previous version current;
-* a table counts as unpublished only where it has no pointer folder. A
-  pointer that is there but cannot be read is an error, not a fresh start;
-* old versions stay readable until ``prune`` is asked to remove them.
+    <root>/<table>/v=<version>-<run>/part-*.parquet   (or .csv; below it folders of a partitioned table)
+    <root>/_runs/part-*.json    {"run": ..., "table": ..., "version": N, "format": ..., "folder": ..., "partitions": [...]}
 
-Layout under the shared root::
-
-    <root>/<table>/v=<version>/part-*.parquet   (or .csv)
-    <root>/<table>/_pointers/p=<n>/part-*.json   {"version": N, "format": "parquet"}
+A run writes all its versions first; its last step appends one row for each of them to the table of runs, in
+one file, which Spark's writer makes visible as a whole. A run that dies before that leaves every table as it
+was, and what it wrote is never read. A table's current version is its greatest.
 """
 
 from __future__ import annotations
 
-import re
+import json
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.session import work_root
 from fieldbook.sources.landing import CSV_OPTIONS, read_csv
 
-_POINTER_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("format", T.StringType()),
-])
+RUNS = "run string, table string, version bigint, format string, folder string, partitions array<string>"
 
 
 def table_path(spark: SparkSession, table: str, root: str | None = None) -> str:
     return f"{(root or work_root(spark)).rstrip('/')}/{table}"
 
 
-def _folder(spark: SparkSession, path: str):
-    """The Hadoop file system and path object of ``path`` (any store Spark can read)."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
+def runs(spark: SparkSession, root: str | None = None) -> DataFrame:
+    """The table of runs: one row a version."""
+    try:
+        return spark.read.schema(RUNS).option("mode", "FAILFAST").json(table_path(spark, "_runs", root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUNS)
 
-def _numbered(spark: SparkSession, path: str, prefix: str, complete: bool = False) -> list[int]:
-    """Numbers of the ``<prefix>=<n>`` folders under ``path``, rising; none where the path is not there."""
-    fs, folder = _folder(spark, path)
-    if not fs.exists(folder):
-        return []
-    found = []
-    for status in fs.listStatus(folder):
-        match = re.fullmatch(rf"{prefix}=(\d+)", status.getPath().getName())
-        if match and (not complete or fs.exists(_folder(spark, f"{path}/{match[0]}/_SUCCESS")[1])):
-            found.append(int(match[1]))
-    return sorted(found)
 
-
-def versions(spark: SparkSession, table: str, root: str | None = None) -> list[int]:
-    """All version folders of ``table``, rising, whether a pointer names them or not."""
-    return _numbered(spark, table_path(spark, table, root), "v")
+def _version(spark: SparkSession, table: str, version: int | None, root: str | None) -> Row | None:
+    """The row of a version of ``table``, of the greatest if none is named."""
+    rows = runs(spark, root).where(F.col("table") == table)
+    rows = rows if version is None else rows.where(F.col("version") == version)
+    return rows.orderBy(F.desc("version"), F.desc("run")).first()
 
 
 def current_version(spark: SparkSession, table: str, root: str | None = None) -> tuple[int, str] | None:
-    """(version, format) the latest pointer names, or None when nothing was published."""
-    path = table_path(spark, table, root) + "/_pointers"
-    pointers = _numbered(spark, path, "p", complete=True)
-    if not pointers:
-        return None
-    row = spark.read.schema(_POINTER_SCHEMA).json(f"{path}/p={pointers[-1]}").first()
-    if row is None or row["version"] is None or row["format"] is None:
-        raise ValueError(f"pointer {path}/p={pointers[-1]} cannot be read")
-    return row["version"], row["format"]
-
-
-def write_version(df: DataFrame, table: str, version: int | None = None, fmt: str = "parquet",
-                  root: str | None = None, partitions: int | None = None) -> int:
-    """Write ``df`` as a version of ``table`` without making it current; returns its number.
-
-    ``version`` defaults to the number after all there are; an existing one
-    is refused. ``fmt`` is ``parquet`` or ``csv`` (``landing.CSV_OPTIONS``,
-    for hand-off to other tools). ``partitions`` optionally coalesces the
-    output (small tables meant for people).
-    """
-    spark = df.sparkSession
-    if fmt not in ("csv", "parquet"):
-        raise ValueError(f"unsupported format {fmt!r}")
-    known = versions(spark, table, root)
-    if version is None:
-        named = current_version(spark, table, root)
-        version = max([0, *known, *([named[0]] if named else [])]) + 1
-    elif version in known:
-        raise FileExistsError(f"version {version} of {table!r} is already there")
-    out = df.coalesce(partitions) if partitions else df
-    writer = out.write.mode("error")
-    target = f"{table_path(spark, table, root)}/v={version}"
-    if fmt == "csv":
-        writer.options(**CSV_OPTIONS).csv(target)
-    else:
-        writer.parquet(target)
-    return int(version)
-
-
-def point_to(spark: SparkSession, table: str, version: int, fmt: str = "parquet", root: str | None = None) -> None:
-    """Make a written version current, by a pointer numbered above all others."""
-    path = table_path(spark, table, root) + "/_pointers"
-    number = max([0, *_numbered(spark, path, "p")]) + 1
-    pointer = spark.range(1, numPartitions=1).selectExpr(f"CAST({int(version)} AS BIGINT) AS version", f"'{fmt}' AS format")
-    pointer.write.mode("error").json(f"{path}/p={number}")
-
-
-def publish(df: DataFrame, table: str, version: int | None = None, fmt: str = "parquet",
-            root: str | None = None, partitions: int | None = None) -> int:
-    """Write ``df`` as a new version of ``table`` and make it current."""
-    version = write_version(df, table, version, fmt, root, partitions)
-    point_to(df.sparkSession, table, version, fmt, root)
-    return version
-
+    """(version, format) of the current version, or None when nothing was published."""
+    row = _version(spark, table, None, root)
+    return row and (row["version"], row["format"])
 
-def read_version(spark: SparkSession, table: str, version: int, fmt: str = "parquet",
-                 schema: T.StructType | None = None, root: str | None = None) -> DataFrame:
-    """A version of ``table``, current or not.
 
-    CSV versions need ``schema`` (no inference). Parquet carries its own;
-    passing it anyway skips reading the file footers for it.
-    """
-    path = f"{table_path(spark, table, root)}/v={version}"
-    if fmt == "csv":
+def _read(spark: SparkSession, row: Row, schema: T.StructType | None, root: str | None, partitions: bool) -> DataFrame:
+    path = f"{table_path(spark, row['table'], root)}/{row['folder']}"
+    if row["format"] == "csv":
         if schema is None:
             raise ValueError("a CSV version needs a declared schema")
         return read_csv(spark, path, schema)
-    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    df = (spark.read.schema(schema) if schema is not None and not row["partitions"] else spark.read).parquet(path)
+    return df if partitions else df.drop(*(row["partitions"] or []))
 
 
-def read_current(spark: SparkSession, table: str, schema: T.StructType | None = None,
-                 root: str | None = None) -> DataFrame:
-    """The current version of ``table``."""
-    cur = current_version(spark, table, root)
-    if cur is None:
-        raise FileNotFoundError(f"table {table!r} has no published version")
-    return read_version(spark, table, *cur, schema=schema, root=root)
+def read_version(spark: SparkSession, table: str, version: int | None = None, schema: T.StructType | None = None,
+                 root: str | None = None, partitions: bool = False) -> DataFrame:
+    """A version of ``table``, by default the current one.
+
+    CSV versions need ``schema`` (no inference). Parquet carries its own; passing it anyway skips reading the
+    file footers for it. ``partitions``: with the columns the version is partitioned by, which a filter on
+    them then prunes.
+    """
+    row = _version(spark, table, version, root)
+    if row is None:
+        raise FileNotFoundError(f"table {table!r} has no published version{'' if version is None else f' {version}'}")
+    return _read(spark, row, schema, root, partitions)
 
 
-def prune(spark: SparkSession, table: str, keep: int, root: str | None = None) -> list[int]:
-    """Remove all but the latest ``keep`` versions, never the current one; returns what was removed."""
-    current = current_version(spark, table, root)
-    known = versions(spark, table, root)
-    old = [v for v in known[:-keep or None] if current and v < current[0]]
-    for v in old:
-        fs, folder = _folder(spark, f"{table_path(spark, table, root)}/v={v}")
-        fs.delete(folder, True)
-    return old
+def read_current(spark: SparkSession, table: str, schema: T.StructType | None = None, root: str | None = None,
+                 partitions: bool = False) -> DataFrame:
+    """The current version of ``table``."""
+    return read_version(spark, table, None, schema, root, partitions)
 
 
 class Staged:
-    """Versions written in one run and made current together, when ``commit`` is called."""
+    """Versions written in one run and made current together, when ``commit`` is called.
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark, self.root = spark, root
-        self.written: dict[str, tuple[int, str]] = {}
+    ``name`` names the run; a name that the table of runs holds is a run that is done (see :meth:`done`).
+    """
 
-    def write(self, df: DataFrame, table: str, fmt: str = "parquet", partitions: int | None = None) -> DataFrame:
-        """Write a version and return it as it reads back."""
-        version = write_version(df, table, None, fmt, self.root, partitions)
-        self.written[table] = version, fmt
-        return read_version(self.spark, table, version, fmt, df.schema, self.root)
+    def __init__(self, spark: SparkSession, root: str | None = None, name: str | None = None):
+        self.spark, self.root, self.name = spark, root, name or uuid.uuid4().hex
+        self.written: dict[str, dict] = {}
+
+    def done(self) -> bool:
+        """Whether a run of this name has been committed."""
+        return not runs(self.spark, self.root).where(F.col("run") == self.name).isEmpty()
+
+    def write(self, df: DataFrame, table: str, fmt: str = "parquet", partitions: int | None = None,
+              by: Mapping[str, Column] | None = None) -> DataFrame:
+        """Write a version and return it as it reads back.
+
+        ``fmt`` is ``parquet`` or ``csv`` (``landing.CSV_OPTIONS``, for hand-off to other tools);
+        ``partitions`` coalesces the output (small tables meant for people); ``by`` adds columns to partition
+        it by. Rows of one partition value come together as far as one task can hold them, and not further.
+        """
+        if fmt not in ("csv", "parquet"):
+            raise ValueError(f"unsupported format {fmt!r}")
+        row = _version(self.spark, table, None, self.root)
+        entry = {"run": self.name, "table": table, "version": (row["version"] if row else 0) + 1, "format": fmt,
+                 "partitions": list(by or [])}
+        entry["folder"] = f"v={entry['version']}-{uuid.uuid4().hex[:12]}"
+        out = df.coalesce(partitions) if partitions else df
+        if by:
+            out = out.withColumns(dict(by)).hint("rebalance", *by)
+        writer = out.write.mode("error").partitionBy(*by or [])
+        target = f"{table_path(self.spark, table, self.root)}/{entry['folder']}"
+        if fmt == "csv":
+            writer.options(**CSV_OPTIONS).csv(target)
+        else:
+            writer.parquet(target)
+        self.written[table] = entry
+        return _read(self.spark, Row(**entry), df.schema, self.root, False)
 
     def commit(self) -> dict[str, int]:
-        """Point every table to what was written; returns the versions."""
-        for table, (version, fmt) in self.written.items():
-            point_to(self.spark, table, version, fmt, self.root)
-        return {table: version for table, (version, _) in self.written.items()}
+        """Make every table's new version current, by one write; returns the versions."""
+        lines = [json.dumps(entry) for entry in self.written.values()]
+        if lines:
+            rows = self.spark.range(1, numPartitions=1).select(F.explode(F.array(*map(F.lit, lines))).alias("value"))
+            rows.write.mode("append").option("compression", "none").text(table_path(self.spark, "_runs", self.root))
+        return {table: entry["version"] for table, entry in self.written.items()}
+
+
+def publish(df: DataFrame, table: str, fmt: str = "parquet", root: str | None = None, partitions: int | None = None,
+            by: Mapping[str, Column] | None = None) -> int:
+    """Write ``df`` as a new version of ``table`` and make it current."""
+    staged = Staged(df.sparkSession, root)
+    staged.write(df, table, fmt, partitions, by)
+    return staged.commit()[table]
 
 
-def publish_copies(df: DataFrame, tables: list[str], fmt: str = "parquet",
-                   root: str | None = None) -> dict[str, int]:
-    """Publish one frame to several tables (e.g. one per audience).
+def publish_copies(df: DataFrame, tables: Sequence[str], fmt: str = "parquet", root: str | None = None) -> dict[str, int]:
+    """Publish one frame to several tables (e.g. one per audience), current together.
 
-    The frame is computed once: the first table is written from it, the
-    others are copied from that written version, so the work is not redone
-    and a lost executor only costs a re-read of finished files.
+    The frame is computed once: the first table is written from it, the others are copied from that written
+    version, so the work is not redone and a lost executor only costs a re-read of finished files.
     """
-    if not tables:
-        return {}
-    spark = df.sparkSession
-    first = tables[0]
-    done = {first: publish(df, first, fmt=fmt, root=root)}
-    written = read_current(spark, first, schema=df.schema if fmt == "csv" else None, root=root)
-    for table in tables[1:]:
-        done[table] = publish(written, table, fmt=fmt, root=root)
-    return done
+    staged = Staged(df.sparkSession, root)
+    for table in tables:
+        df = staged.write(df, table, fmt)
+    return staged.commit()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.operators import counting
 from fieldbook.operators.histogram import fixed_width_histogram
-from fieldbook.operators.reconcile import match_report
+from fieldbook.operators.reconcile import expand_missing_ids, match_report
 
 from .conftest import SF0001
 
@@ -37,7 +37,44 @@ def test_medians_are_exact(spark, accuracy):
 def test_a_mistyped_age_does_not_fail_the_histogram(spark):
     rows = spark.createDataFrame([(float(a),) for a in (20, 21, 35)] + [(9e10,)], "age double")
     found = {r.bin: r["count"] for r in fixed_width_histogram(rows, "age", 5, boundary=0).collect()}
-    assert sorted(found.values()) == [1, 1, 2] or sorted(found.values()) == [1, 1, 1, 1]
+    occupied = sorted(n for n in found.values() if n)
+    assert occupied == [1, 1, 2] or occupied == [1, 1, 1, 1]
+
+
+def test_a_mistyped_age_changes_no_bin_of_the_normal_range(spark):
+    """Empty bins there stay listed; one rule for every range."""
+    ages = [("a", float(x)) for x in (20, 21, 35, 61)] + [("b", 44.0), ("b", 20.0)]
+    plain = spark.createDataFrame(ages, "g string, age double")
+    mistyped = spark.createDataFrame([*ages, ("a", 9e10)], "g string, age double")
+    want = {tuple(r) for r in fixed_width_histogram(plain, "age", 5, group="g", boundary=0).collect()}
+    got = {tuple(r) for r in fixed_width_histogram(mistyped, "age", 5, group="g", boundary=0).collect()}
+    assert want < got and {(r[0], r[4]) for r in got - want} == {("a", 1), ("b", 0)}
+    assert len(want) == 2 * 9 and (("b", 2, 30.0, 35.0, 0)) in want
+
+
+@pytest.mark.parametrize("gap, listed", [(10_000, 10_002), (10_001, 2)])
+def test_gaps_are_listed_up_to_a_length(spark, gap, listed):
+    """Wherever the gap lies in the blocks of bins that are looked at together."""
+    for start in (0, 1, 9_999, 10_000, 10_001, -25_003):
+        rows = spark.createDataFrame([(start + 0.5,), (start + gap + 1.5,)], "x double")
+        found = fixed_width_histogram(rows, "x", 1, boundary=0).collect()
+        assert len(found) == listed and sum(r["count"] for r in found) == 2
+        assert {r.bin for r in found} == (set(range(listed)) if listed > 2 else {0, gap + 1})
+
+
+def test_medians_of_crowded_and_far_values(spark):
+    """Values that share their leading parts, both signs, subnormal and greatest doubles, infinity."""
+    rng = random.Random(3)
+    columns = {
+        "crowded": [1e9 + k * 2.0**-20 for k in range(501)],
+        "far": [s * 2.0**e for e in range(-500, 501, 2) for s in (1, -1)][:501],
+        "ends": [5e-324, -5e-324, 0.0, -0.0, 1.7e308, -1.7e308, float("inf")] * 71 + [5e-324] * 4,
+        "mixed": [rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(-300, 300) for _ in range(501)],
+    }
+    rows = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    got = counting.medians(rows, list(columns), prefix="").first()
+    for c, values in columns.items():
+        assert got[c] == statistics.median(values), c
 
 
 def test_a_wide_grid_is_listed_in_full(spark):
@@ -54,6 +91,19 @@ def test_match_report_lists_rows_without_an_id_singly(spark):
     assert match_report(ops, base, pair_missing_ids=False).count() == 1 + 2 + 2
 
 
+def test_the_factored_report_stands_for_the_pairs(spark):
+    ops = spark.sql("SELECT * FROM VALUES ('M1', 'a', 1.0D), (NULL, 'b', 2.0D), (NULL, NULL, 3.0D), (NULL, NULL, 3.0D), ('M2', 'd', 4.0D) "
+                    "AS t(member_id, contact_name, phone_number)")
+    base = spark.sql("SELECT * FROM VALUES ('M1', 'a', 1.0D, NULL), (NULL, 'b', 8.0D, NULL), (NULL, NULL, NULL, NULL), (NULL, 'z', 9.0D, 'seen'), "
+                     "('M3', 'e', 5.0D, NULL) AS t(member_id, member_name, phone_number, visit_status)")
+    for left, right in ((ops, base), (ops.filter("member_id IS NOT NULL"), base), (ops, base.filter("member_id IS NOT NULL")), (ops.limit(0), base)):
+        factored = match_report(left, right, factored=True)
+        pairs = match_report(left, right)
+        shown = expand_missing_ids(factored).select(*pairs.columns)
+        assert sorted(shown.collect(), key=str) == sorted(pairs.collect(), key=str)
+    assert match_report(ops, base, factored=True).count() == 1 + 3 + 2 + 1 + 1
+
+
 def _sorted(rows, *keys):
     values = [tuple(k(r) for k in keys) for r in rows]
     return values == sorted(values)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbook.operators.dictionary import dictionary_feedback, standardize, Lookup
 from fieldbook.sources import schemas
 from fieldbook.sources.landing import BAD_ROW, load_submissions, read_csv, write_export
-from fieldbook.sources.versioned import (Staged, current_version, point_to, prune, publish, publish_copies, read_current,
-                                         read_version, versions, write_version)
+from fieldbook.sources.versioned import Staged, current_version, publish, publish_copies, read_current, read_version, runs
 
 
 def test_read_modify_write_same_table(spark, fx_small):
@@ -25,7 +26,7 @@ def test_read_modify_write_same_table(spark, fx_small):
     assert current_version(spark, "business_type_clean", root=root) == (2, "parquet")
     assert read_current(spark, "business_type_clean", root=root).count() == grown.count()
     # version 1 is untouched
-    assert spark.read.parquet(f"{root}/business_type_clean/v=1").count() == 7
+    assert read_version(spark, "business_type_clean", 1, root=root).count() == 7
 
 
 def test_csv_round_trip_keeps_blanks_and_nulls(spark, fx_small):
@@ -56,31 +57,34 @@ def _two_versions(spark):
     return root
 
 
-def test_a_lost_pointer_overwrites_nothing(spark):
+def test_a_run_is_rows_of_one_table(spark):
     root = _two_versions(spark)
-    for pointer in Path(root, "t/_pointers").glob("*/_SUCCESS"):
-        pointer.rename(pointer.with_name("lost"))  # as if no pointer had been completed
-    assert current_version(spark, "t", root=root) is None
-    assert publish(spark.range(3), "t", root=root) == 3
-    assert [read_version(spark, "t", v, root=root).count() for v in (1, 2, 3)] == [10, 5, 3]
-    assert current_version(spark, "t", root=root) == (3, "parquet")
+    staged = Staged(spark, root)
+    staged.write(spark.range(4), "t")
+    staged.write(spark.range(1), "other")
+    staged.commit()
+    rows = sorted((r.table, r.version) for r in runs(spark, root).collect())
+    assert rows == [("other", 1), ("t", 1), ("t", 2), ("t", 3)]
+    assert len(list(Path(root, "_runs").glob("part-*"))) == 3  # one file a run, whole or not there
 
 
-def test_an_unreadable_pointer_is_an_error(spark):
+def test_an_unreadable_row_is_an_error(spark):
     root = _two_versions(spark)
-    spark.range(0).selectExpr("1L AS version", "'parquet' AS format").write.json(f"{root}/t/_pointers/p=9")
-    with pytest.raises(ValueError, match="cannot be read"):
+    Path(root, "_runs", "part-broken.json").write_text('{"run": "x", "table"')
+    with pytest.raises(Exception, match="(?i)malformed"):
         publish(spark.range(3), "t", root=root)
-    assert versions(spark, "t", root=root) == [1, 2] and read_version(spark, "t", 1, root=root).count() == 10
+    with pytest.raises(Exception, match="(?i)malformed"):
+        current_version(spark, "t", root=root)
 
 
-def test_an_existing_version_is_refused(spark):
+def test_what_an_earlier_run_left_is_neither_read_nor_overwritten(spark):
     root = _two_versions(spark)
-    spark.range(7).write.parquet(f"{root}/t/v=3")  # left by a run that died before its pointer
-    with pytest.raises(FileExistsError):
-        publish(spark.range(3), "t", version=3, root=root)
-    assert publish(spark.range(3), "t", root=root) == 4
-    assert read_version(spark, "t", 3, root=root).count() == 7
+    dead = Staged(spark, root)
+    assert dead.write(spark.range(7), "t").count() == 7  # and then it dies
+    assert read_current(spark, "t", root=root).count() == 5
+    assert publish(spark.range(3), "t", root=root) == 3
+    assert [read_version(spark, "t", v, root=root).count() for v in (1, 2, 3)] == [10, 5, 3]
+    assert len([p for p in Path(root, "t").iterdir() if p.name.startswith("v=3-")]) == 2
 
 
 def test_staged_versions_become_current_together(spark):
@@ -93,13 +97,48 @@ def test_staged_versions_become_current_together(spark):
     assert read_current(spark, "t", root=root).count() == 4
 
 
-def test_prune_keeps_the_current_version(spark):
+def test_a_commit_that_dies_half_way_leaves_every_table_old(spark):
+    """The task that writes the rows of a run fails after the first of them: no table has a new version."""
     root = _two_versions(spark)
-    write_version(spark.range(3), "t", root=root)
-    assert prune(spark, "t", keep=1, root=root) == [1]
-    assert versions(spark, "t", root=root) == [2, 3] and read_current(spark, "t", root=root).count() == 5
-    point_to(spark, "t", 3, root=root)
-    assert prune(spark, "t", keep=1, root=root) == [2]
+    publish(spark.range(2), "other", root=root)
+    staged = Staged(spark, root)
+    staged.write(spark.range(4), "t")
+    staged.write(spark.range(1), "other")
+    lines = [json.dumps(e) for e in staged.written.values()]
+    dying = spark.range(1, numPartitions=1).select(F.explode(F.array(*map(F.lit, lines))).alias("value"))
+    dying = dying.select(F.when(F.col("value").contains('"other"'), F.raise_error(F.lit("killed")).cast("string")).otherwise(F.col("value")).alias("value"))
+    with pytest.raises(Exception, match="killed"):
+        dying.write.mode("append").text(f"{root}/_runs")
+    assert current_version(spark, "t", root=root) == (2, "parquet") and current_version(spark, "other", root=root) == (1, "parquet")
+    assert staged.commit() == {"t": 3, "other": 2}  # done again
+
+
+def test_a_run_has_a_name(spark):
+    root = _two_versions(spark)
+    staged = Staged(spark, root, name="batch 7")
+    assert not staged.done()
+    staged.write(spark.range(4), "t")
+    assert not staged.done()
+    staged.commit()
+    assert staged.done() and Staged(spark, root, name="batch 7").done()
+
+
+def test_partitions_are_read_on_request(spark):
+    root = tempfile.mkdtemp(prefix="fieldbook-test-")
+    df = spark.sql("SELECT id, if(id % 3 = 0, NULL, date_add(DATE '2024-11-30', CAST(id % 3 AS INT))) AS d FROM range(90)")
+    publish(df, "t", root=root, by={"day": F.col("d")})
+    assert read_current(spark, "t", root=root).columns == ["id", "d"] and read_current(spark, "t", root=root).count() == 90
+    whole = read_current(spark, "t", root=root, partitions=True)
+    assert whole.filter("day IS NULL").count() == 30 and whole.filter("day < DATE '2024-12-02'").count() == 30
+    assert whole.filter("NOT day <=> d").count() == 0
+
+
+def test_a_table_or_version_that_is_not_there(spark):
+    root = _two_versions(spark)
+    for call in (lambda: read_current(spark, "none", root=root), lambda: read_version(spark, "t", 9, root=root)):
+        with pytest.raises(FileNotFoundError):
+            call()
+    assert publish_copies(spark.range(2), [], root=root) == {}
 
 
 SCHEMA = T.StructType([T.StructField("Business Type", T.StringType()), T.StructField("Age", T.DoubleType())])
@@ -138,3 +177,14 @@ def test_blanks_may_be_missing_values(spark):
     as_typed = [r[0] for r in read_csv(spark, path, SCHEMA).orderBy("Age").collect()]
     as_missing = [r[0] for r in load_submissions(spark, path, SCHEMA, blank_as_null=True).orderBy("age").collect()]
     assert as_typed == ["", None, "shop"] and as_missing == [None, None, "shop"]
+
+
+def test_a_file_without_line_breaks_is_split(spark):
+    path = _file("Business Type,Age\n" + "".join(f"shop number {k},{k % 90}\n" for k in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        whole, split = (load_submissions(spark, path, SCHEMA, line_breaks=b) for b in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert split.count() == 20_000 and split.exceptAll(whole).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
