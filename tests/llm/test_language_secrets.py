@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
