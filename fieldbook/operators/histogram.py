@@ -14,8 +14,8 @@ counts: the first bin and, between neighbouring occupied bins (of any group),
 the empty ones, which every group present lists with count 0. A gap of more
 than ``LONGEST_GAP`` bins lies beside a value that is no part of the picture
 (a mistyped one) and is left out; the bins on either side of it are as they
-would be alone. With limits the bins up to the limits are listed likewise.
-The rule is the same for every range.
+would be alone. With limits the bins are those of the axis, all of them.
+Neither rule depends on how wide the data's range is.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 _FUZZ = 1e-8
 
-#: Empty bins in a row that are listed.
-LONGEST_GAP = 10_000
+#: Empty bins in a row that are listed; bins of an axis unrolled at a time.
+LONGEST_GAP, _STEP = 10_000, 1_000
 
 
 def bin_layout(lo: float, hi: float, width: float, boundary: float | None = None) -> tuple[float, int]:
@@ -68,30 +68,27 @@ def fixed_width_histogram(df: DataFrame, value: str, width: float, group: str |
     # Without a group, one constant group, which is there only when some value survived the filters.
     key = group or "_all"
     data = data.select(F.col(group) if group else F.lit(0).alias(key), ((x - F.lit(boundary)) / F.lit(width)).alias("_x"))
-    at = F.ceil(F.col("_x") - F.lit(_FUZZ)) - 1
-    counts = data.groupBy(key, at.cast("bigint").alias("_at")).agg(F.count(F.lit(1)).alias("_w"), F.min("_x").alias("_low"))
-
-    # the first bin: the one that starts at or below the least value (or the lower limit)
+    at = (F.ceil(F.col("_x") - F.lit(_FUZZ)) - 1).cast("bigint")
+    zero = F.lit(0).cast("bigint").alias("_w")
+    # the first bin is the one that starts at or below the least value (or the lower limit)
     if limits is not None:
         first = math.floor((float(limits[0]) - boundary) / width)
         last = first + bin_layout(float(limits[0]), float(limits[1]), width, boundary)[1] - 1
-        counts = counts.withColumn("_first", F.lit(first).cast("bigint")).withColumn(
-            "_at", F.least(F.col("_at"), F.lit(last).cast("bigint")))
+        axis = F.sequence(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"), F.lit(_STEP).cast("bigint"))
+        last_bin = F.lit(last).cast("bigint")
+        steps = data.select(key).distinct().select(key, F.explode(axis).alias("_from"))
+        grid = steps.select(key, F.explode(F.sequence("_from", F.least(F.col("_from") + _STEP - 1, last_bin))).alias("_at"), zero)
+        cells = data.select(key, F.least(at, last_bin).alias("_at"), F.lit(1).cast("bigint").alias("_w")).unionByName(grid)
+        cells = cells.withColumn("_first", F.lit(first).cast("bigint"))
     else:
+        counts = data.groupBy(key, at.alias("_at")).agg(F.count(F.lit(1)).alias("_w"), F.min("_x").alias("_low"))
+        occupied = counts.select("_at").distinct()
+        listed = occupied.unionByName(_between(occupied))
+        grid = counts.select(key).distinct().join(listed).select(key, "_at", zero)  # the result's own rows
         least = counts.agg(F.floor(F.min("_low")).cast("bigint").alias("_first"))
-        counts = counts.join(F.broadcast(least))  # one row
+        cells = counts.select(key, "_at", "_w").unionByName(grid).join(F.broadcast(least))  # one row
     # a value on the lowest edge belongs to the first bin, as all others at or below it would
-    counts = counts.select(key, F.greatest("_at", "_first").alias("_at"), "_w", "_first")
-
-    occupied = counts.select("_at").distinct()
-    if limits is not None:
-        ends = df.sparkSession.range(1).select(F.explode(F.array(F.lit(first).cast("bigint"), F.lit(last).cast("bigint"))).alias("_at"))
-        occupied = occupied.unionByName(ends).distinct()
-    listed = occupied.unionByName(_between(occupied))
-    groups = counts.select(key, "_first").distinct()
-    grid = groups.join(listed).select(key, "_first", "_at", F.lit(0).cast("bigint").alias("_w"))  # the result's own rows
-    cells = counts.select(key, "_first", "_at", "_w").unionByName(grid)
-    cells = cells.groupBy(key, "_at").agg(F.min("_first").alias("_first"), F.sum("_w").cast("bigint").alias("count"))
+    cells = cells.groupBy(key, F.greatest("_at", "_first").alias("_at")).agg(F.min("_first").alias("_first"), F.sum("_w").cast("bigint").alias("count"))
     number = F.col("_at") - F.col("_first")
     xmin = F.lit(boundary) + F.col("_first").cast("double") * F.lit(width) + number.cast("double") * F.lit(width)
     return cells.select(*([key] if group else []), number.alias("bin"), xmin.alias("xmin"),

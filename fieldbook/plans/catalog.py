@@ -43,7 +43,7 @@ def master_of(fx: Fixtures) -> DataFrame:
     return fc.finished_master(fx.roster, fx.contact, fx.id_master, fc.fixture_lookups(fx))
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
+_PUBLISHED: dict[tuple[str, str], DataFrame] = {}
 _PUBLISH_LOCK = threading.Lock()
 
 
@@ -62,8 +62,8 @@ def published_master(spark: SparkSession, sf_dir: str) -> DataFrame:
             table = f"first_contact_master/{slug}"
             master = master_of(_fx(spark, sf_dir))
             publish(master, table, by=rp.master_partitions())
-            _PUBLISHED[key] = table
-        return read_current(spark, _PUBLISHED[key], partitions=True)
+            _PUBLISHED[key] = read_current(spark, table, partitions=True)  # a version never changes
+        return _PUBLISHED[key]
 
 
 # -- first contact ---------------------------------------------------------
