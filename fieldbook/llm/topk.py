@@ -11,13 +11,14 @@ a bucket the threshold becomes a local cosine threshold, ``threshold / (n * m)``
 * where it is high, they are pruned by coordinate: on the query's largest coordinate the unit vectors
   that reach the cosine lie within a known interval, read off the bucket's sorted coordinate.
 
-What remains is verified by exact integer products. Each pair of block and bucket returns at most k
-rows a query, of which the best k are kept.
+What remains is verified by exact integer products. A bucket is sent to one place once, and the blocks
+that need it are streamed past it, each cut down to the queries that do; a task holds one bucket and one
+block. Each pair of block and bucket returns at most k rows a query, of which the best k are kept.
 
 Null vectors, vectors holding null or non-finite components and rows with a null id take no part.
 Vectors are compared with those of as many components. Repeated rows are candidates each, and queries
 each; a query leaves out its own row only. Fewer than k candidates give as many rows. Sums must stay
-below 2**63.
+below 2**63. An empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ from pyspark.sql import Window
 
 from .common import map_batches, map_partitions, written
 
-#: Vectors in a bucket and queries in a block.
-BUCKET, BLOCK = 4096, 512
+#: Vectors in a bucket and queries in a block; salts that spread the vectors of one dimension.
+BUCKET, BLOCK, SALTS = 4096, 512, 64
 
 #: From this local cosine threshold on, a bucket is pruned by coordinate instead of by length.
 COORDINATE = 0.7
@@ -122,6 +123,23 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))
 
 
+def needing(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Blocks with only those queries whose threshold a bucket's longest vector (``reach``) can meet."""
+    for row in batch.to_pylist():
+        least, norms = np.frombuffer(row["least"], "<i8"), np.frombuffer(row["norms"], "<f8")
+        reach = norms * row["reach"]
+        alive = least <= reach + 1e-9 * (1 + reach)
+        if not alive.any():
+            continue
+        some = {f: np.frombuffer(row[f], "<i8")[alive].tobytes() for f in ("ids", "rows", "least")}
+        some |= {"vectors": np.frombuffer(row["vectors"], "<i8").reshape(row["n"], row["dim"])[alive].tobytes(), "norms": norms[alive].tobytes(),
+                 "n": int(alive.sum()), "longest": float(norms[alive].max())}
+        row = {"bucket": row["bucket"], "group": row["group"], "dim": row["dim"]} | some
+        names = ["bucket", *[f.split()[0] for f in PACKED.split(", ")]]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array([row[x]], kind) for x, kind in zip(names, kinds)], names)
+
+
 def first_thresholds(block: dict, bucket: dict, k: int) -> np.ndarray:
     """Each query's k-th best score in a bucket, its own row left out; the lowest number if there are fewer."""
     _, q_rows, q, _ = unpack(block)
@@ -185,8 +203,12 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
     buckets = packed(rows, bucket)
     blocks = packed(rows.where(queries), block)
 
-    # One bucket a dimension, of at most ``bucket`` vectors, gives the first thresholds.
+    # One bucket a dimension, of at most ``bucket`` vectors, gives the first thresholds. Blocks meet it, and the
+    # heads of all buckets, by dimension and a salt: however many have one dimension, many tasks share them.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salt = F.pmod(F.xxhash64("group"), F.lit(SALTS)).cast("int").alias("salt")
     first = buckets.groupBy("dim").agg(F.max_by(F.struct(*buckets.columns), F.struct("longest", F.col("n"), -F.col("group"))).alias("b"))
+    first = first.select("dim", "b", salts)
 
     def thresholds(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
@@ -197,23 +219,31 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
             yield pa.RecordBatch.from_arrays([pa.array([row["q"]["group"]]), pa.array([least.astype("<i8").tobytes()]),
                                               pa.array([float(needs) * (1 - 1e-9)])], ["group", "least", "needs"])
 
-    asked = blocks.select("dim", F.struct(*blocks.columns).alias("q")).join(first, "dim").select("q", "b")
+    asked = blocks.select("dim", salt, F.struct(*blocks.columns).alias("q")).join(first, ["dim", "salt"]).select("q", "b")
     known = written(map_batches(asked, thresholds, "group bigint, least binary, needs double"), "thresholds")
     blocks = written(blocks.drop("least").join(known, "group"), "blocks")
     # Which bucket each block needs: two numbers for each of either, for which no product is made yet.
-    heads = buckets.select(F.col("group").alias("bucket"), "dim", "longest")
-    pairs = blocks.select("group", "dim", "needs").join(heads, "dim").where(F.col("longest") >= F.col("needs"))
-    pairs = pairs.select("group", "bucket")
+    heads = buckets.select(F.col("group").alias("bucket"), "dim", "longest", salts)
+    pairs = blocks.select("group", "dim", "needs", salt).join(heads, ["dim", "salt"]).where(F.col("longest") >= F.col("needs"))
+    pairs = pairs.select("group", "bucket", F.col("longest").alias("reach"))
     fields = [f.split()[0] for f in PACKED.split(", ")]
-    work = pairs.join(blocks.select("group", F.struct(*fields).alias("q")), "group")
-    work = work.join(buckets.select(F.col("group").alias("bucket"), F.struct(*fields).alias("b")), "bucket").select("q", "b")
+    # A bucket goes to one place, once; the blocks that need it follow, each with the queries that do.
+    sent = pairs.join(blocks.select(*fields), "group").select("bucket", "reach", *fields)
+    sent = map_batches(sent, needing, f"bucket bigint, {PACKED}")
+    work = buckets.select(F.col("group").alias("bucket"), *fields).withColumn("kind", F.lit(0))
+    work = work.unionByName(sent.withColumn("kind", F.lit(1)))
+    work = work.repartition("bucket").sortWithinPartitions("bucket", "kind").select("bucket", "kind", *fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
-                q_ids, q_rows, _, _ = unpack(row["q"])
-                found = list(search(row["q"], row["b"], k))
+                if row["kind"] == 0:
+                    held = row
+                    continue
+                q_ids, q_rows, _, _ = unpack(row)
+                found = list(search(row, held, k))
                 if found:
                     sizes = [len(f[1]) for f in found]
                     at_query = np.repeat([f[0] for f in found], sizes)
