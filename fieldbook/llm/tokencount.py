@@ -17,7 +17,8 @@ text without white space is joined again and counted in one task.
 
 Counts are those of the ``tokenizers`` library with no added special tokens; the tokenizer's special
 strings count as one token where they occur in a text, as is the library's default. Null text counts
-as empty: 0 bytes, 0 tokens. Repeated rows are counted each.
+as empty: 0 bytes, 0 tokens. Repeated rows are counted each. Of equal merges in a piece the left one comes
+first. An empty table gives no rows; only the id and the text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -162,7 +163,7 @@ class CountTransducer:
 
 
 def loaded(path: str) -> CountTransducer:
-    return held(path, lambda: CountTransducer(path))
+    return held(("token_counts", path), lambda: CountTransducer(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLICE, spread: int = 0,
@@ -177,14 +178,27 @@ def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLIC
                        text_or_empty(text_column).alias("text"))
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for one in range(batch.num_rows):
-            text = batch.column(2)[one].as_py()
-            parts = [text[k:k + slice_chars] for k in range(0, len(text), slice_chars)] or [""]
-            for k in range(0, len(parts), 16):
-                some = parts[k:k + 16]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column(0)[one]] * len(some)), pa.array([batch.column(1)[one]] * len(some), batch.column(1).type),
-                     pa.array(range(k, k + len(some)), pa.int64()), pa.array(some, pa.string())], ["row", "id", "seq", "text"])
+        places: list[int] = []
+        seqs: list[int] = []
+        parts: list[str] = []
+
+        def slices() -> pa.RecordBatch:
+            at = pa.array(places, pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(seqs, pa.int64()),
+                                               pa.array(parts, pa.string())], ["row", "id", "seq", "text"])
+
+        held = 0
+        for one, text in enumerate(batch.column(2).to_pylist()):
+            for seq, k in enumerate(range(0, len(text) or 1, slice_chars)):
+                places.append(one)
+                seqs.append(seq)
+                parts.append(text[k:k + slice_chars])
+                held += len(parts[-1])
+                if held >= 16 * slice_chars:
+                    yield slices()
+                    places, seqs, parts, held = [], [], [], 0
+        if places:
+            yield slices()
 
     def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         machine, texts = loaded(path), batch.column(3).to_pylist()
@@ -202,11 +216,16 @@ def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLIC
         n = [machine.total(reduce(machine.compose, (x["map"] for x in group))) for group in batch.column(3).to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 
-    slices = map_batches(rows, cut, f"row bigint, id {kind}, seq bigint, text string")
-    if spread:
-        slices = slices.repartition(spread, "row", "seq")
+    def cut_and_measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for slices in cut(batch):
+            yield from measure(slices)
+
     fields = f"row bigint, id {kind}, seq bigint, n_bytes bigint, map {MAP}"
-    maps = map_batches(slices, measure, fields, keeps="token_counts")
+    if spread:
+        slices = map_batches(rows, cut, f"row bigint, id {kind}, seq bigint, text string", keeps="token_counts")
+        maps = map_batches(slices.repartition(spread, "row", "seq"), measure, fields, keeps="token_counts")
+    else:  # in one worker, so that a task holds one machine
+        maps = map_batches(rows, cut_and_measure, fields, keeps="token_counts")
     together = F.array_sort(F.collect_list(F.struct("seq", "map"))).alias("maps")
     groups = maps.groupBy("row", "id", F.expr(f"seq div {FAN_IN}").alias("seq")).agg(F.sum("n_bytes").alias("n_bytes"), together)
     maps = map_batches(groups, tree, fields, keeps="token_counts")

@@ -72,7 +72,7 @@ class Encoder:
 
 
 def loaded(path: str) -> Encoder:
-    return held(path, lambda: Encoder(path))
+    return held(("token_files", path), lambda: Encoder(path))
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 0, partitions: int | None = None,
