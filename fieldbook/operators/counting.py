@@ -76,22 +76,33 @@ def means(df: DataFrame, columns: Sequence[str], prefix: str = "mean_", suffix:
 _PER_OCTAVE, _PARTS = 1 << 12, 1 << 20
 
 
-def _octave_bin(x):
+#: The levels of the selection over ``counted``, rows of (``_c``: which column, ``_x``, ``_n``: how often,
+#: ``_bin``). Each ``..._ranked`` has the values below a bin in ``_before``, and the next keeps the bins that
+#: hold a middle rank, ``_low`` or ``_high``.
+_LEVELS = f"""
+    bins AS (SELECT _c, _bin, sum(_n) AS _n, min(_x) AS _lo, max(_x) AS _hi FROM counted GROUP BY _c, _bin),
+    bins_ranked AS (
+        SELECT *, sum(_n) OVER (PARTITION BY _c ORDER BY _bin) - _n AS _before, (sum(_n) OVER (PARTITION BY _c) - 1) DIV 2 AS _low,
+               sum(_n) OVER (PARTITION BY _c) DIV 2 AS _high FROM bins),
+    in_bin AS (
+        SELECT c._c, c._bin, c._x, c._n, f._before AS _base, _low, _high,
+               CASE WHEN _hi > _lo AND _hi - _lo < double('infinity')
+                    THEN CAST(floor((c._x - _lo) / (_hi - _lo) * {_PARTS - 1}) AS BIGINT) ELSE 0 END AS _part
+        FROM counted c JOIN bins_ranked f ON c._c = f._c AND c._bin = f._bin WHERE f._before <= _high AND f._before + f._n > _low),
+    parts AS (SELECT _c, _bin, _part, _base, _low, _high, sum(_n) AS _n FROM in_bin GROUP BY _c, _bin, _part, _base, _low, _high),
+    parts_ranked AS (SELECT *, _base + sum(_n) OVER (PARTITION BY _c, _bin ORDER BY _part) - _n AS _before FROM parts),
+    in_part AS (
+        SELECT v._c, v._x, v._n, v._low, v._high,
+               f._before + sum(v._n) OVER (PARTITION BY v._c, v._bin, v._part ORDER BY v._x) - v._n AS _before
+        FROM in_bin v JOIN parts_ranked f ON v._c = f._c AND v._bin = f._bin AND v._part = f._part
+        WHERE f._before <= f._high AND f._before + f._n > f._low)
+    SELECT _c, (min(_x) + max(_x)) / 2 AS _m FROM in_part WHERE _before <= _high AND _before + _n > _low GROUP BY _c"""
+
+
+def _octave_bin(x: str) -> str:
     """A whole number that rises with ``x``: ``_PER_OCTAVE`` bins to each power of two, on either side of 0."""
-    size = F.floor(F.least(F.log2(F.abs(x)), F.lit(1100.0)) * _PER_OCTAVE) + 1100 * _PER_OCTAVE
-    return F.when(x == 0, F.lit(0)).when(x < 0, -size).otherwise(size).cast("bigint")
-
-
-def _holding(bins: DataFrame, column: str, within: Sequence[str] = ()) -> DataFrame:
-    """Of counted bins those that hold a middle rank, with ``_before``, the values below each.
-
-    ``bins`` has ``_c``, the bin number, ``_n``, and (``_low``, ``_high``), the ranks looked for. In levels
-    below the first ``_base`` counts the values below all of a row's ``within``.
-    """
-    rising = Window.partitionBy("_c", *within).orderBy(column)
-    base = F.col("_base") if within else F.lit(0)
-    ranked = bins.withColumn("_before", base + F.sum("_n").over(rising) - F.col("_n"))
-    return ranked.filter((F.col("_before") <= F.col("_high")) & (F.col("_before") + F.col("_n") > F.col("_low")))
+    size = f"floor(least(log2(abs({x})), 1100.0D) * {_PER_OCTAVE}) + {1100 * _PER_OCTAVE}"
+    return f"CAST(CASE WHEN {x} = 0 THEN 0 WHEN {x} < 0 THEN -({size}) ELSE {size} END AS BIGINT)"
 
 
 def medians(df: DataFrame, columns: Sequence[str], prefix: str = "median_",
@@ -116,21 +127,8 @@ def medians(df: DataFrame, columns: Sequence[str], prefix: str = "median_",
     if approx:
         return df.agg(*[named(F.percentile_approx(x, 0.5, accuracy), c) for c, x in xs.items()])
     each = F.array(*[F.struct(F.lit(i).alias("_c"), x.alias("_x")) for i, x in enumerate(xs.values())])
-    values = df.select(F.explode(each).alias("_v")).select("_v.*").filter(F.col("_x").isNotNull())
-    counted = values.groupBy("_c", "_x").agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", _octave_bin(F.col("_x")))
-    # first by parts of octaves
-    bins = counted.groupBy("_c", "_bin").agg(F.sum("_n").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    total = F.sum("_n").over(Window.partitionBy("_c"))
-    bins = bins.withColumn("_low", F.floor((total - 1) / 2)).withColumn("_high", F.floor(total / 2))
-    found = _holding(bins, "_bin").select("_c", "_bin", "_lo", "_hi", "_low", "_high", F.col("_before").alias("_base"))
-    # then by parts of what the middle bin spans
-    span = F.col("_hi") - F.col("_lo")
-    part = F.when((span > 0) & (span < float("inf")), F.floor((F.col("_x") - F.col("_lo")) / span * (_PARTS - 1))).otherwise(F.lit(0))
-    inside = counted.join(found, ["_c", "_bin"]).withColumn("_part", part.cast("bigint"))
-    parts = inside.groupBy("_c", "_bin", "_part", "_low", "_high", "_base").agg(F.sum("_n").alias("_n"))
-    found = _holding(parts, "_part", ["_bin"]).select("_c", "_bin", "_part", F.col("_before").alias("_part_base"))
-    # and last the values themselves
-    inside = inside.join(found, ["_c", "_bin", "_part"]).withColumn("_base", F.col("_part_base"))
-    middle = _holding(inside, "_x", ["_bin", "_part"])
-    pairs = middle.groupBy("_c").agg(((F.min("_x") + F.max("_x")) / 2).alias("_m"))
-    return pairs.agg(*[named(F.max(F.when(F.col("_c") == i, F.col("_m"))), c) for i, c in enumerate(xs)])
+    values = df.select(F.inline(each))
+    middle = df.sparkSession.sql(f"""
+    WITH counted AS (SELECT _c, _x, count(*) AS _n, {_octave_bin("_x")} AS _bin FROM {{values}} WHERE _x IS NOT NULL GROUP BY _c, _x),
+    {_LEVELS}""", values=values)
+    return middle.agg(*[named(F.max(F.when(F.col("_c") == i, F.col("_m"))), c) for i, c in enumerate(xs)])
