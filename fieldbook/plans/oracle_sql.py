@@ -180,6 +180,7 @@ def _sum0(measure: str) -> str:
 
 
 # The exports' declared columns.
+# The declared columns of the two exports, written out here as well.
 _PARTNER = ", ".join([
     "member_id", "start_ts", "end_ts", "username", "enumerator_name", "contact_name", "data_status", "located",
     "gender", "age", "photograph", "photograph_url", "shop_name", "shop_location", "shop_latitude",
