@@ -3,7 +3,8 @@
 Language identification drops documents without a letter or scored about chance; the n-gram Jaccard join keeps
 one document of each class of near copies; the secret scan masks secrets that look live; mixing repeats
 and thins out documents so that the sources meet their weights; byte-level BPE encodes what is left and
-decodes it again. All stages but the last return the columns of ``documents``.
+decodes it again. All stages but the last return the columns of ``documents``. An empty table passes through
+all of them as one; null, empty and repeated rows are as each operator says.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ Null text counts as empty. A text without units has an empty fingerprint; one of
 gram has one hash, of all of them. Two empty fingerprints are alike (1), an empty one and another are
 not (0). Rows with one id follow each other in the order of their texts' hashes; null ids come after
 all others in descending order. A table of one row has itself as next. An empty table gives no rows.
-Places are counted in units, from 0, modulo 2**24.
+Places are counted in units, from 0, modulo 2**24. Only the id and the text are read, whatever other columns
+there are.
 """
 
 from __future__ import annotations

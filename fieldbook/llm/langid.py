@@ -15,7 +15,8 @@ is set to least log loss, so that a prediction's score can be read as its probab
 Prediction uses nothing but the text, and the whole of it. A text that is null or holds no letter is
 ``und`` with score 0, and so is every text where there is nothing to learn from. Ties go to the language
 first in order. Repeated rows are predicted alike. An empty table gives no rows. More than ``MOST_LANGUAGES``
-languages are an error.
+languages are an error. Only the text and, in training, the language are read; ``predict`` keeps all columns,
+and earlier ones named as its own give way.
 """
 
 from __future__ import annotations

@@ -21,7 +21,7 @@ into classes by alternating stars.
 N-grams are of ``SHINGLE`` words, separated by ASCII white space; a shorter text is one n-gram of all its
 words. A text without words, or null, is in no link and a class of its own. Rows with the same id are
 rows of their own. A class is named by its smallest id; a null id comes after all others. An empty
-table gives no rows.
+table gives no rows. ``join`` reads the id and the text only; ``one_of_each`` keeps all columns.
 """
 
 from __future__ import annotations

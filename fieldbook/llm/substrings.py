@@ -23,7 +23,8 @@ judged on the input. Words are hashed as wholes (xxh3), passages by polynomials
 structure of letters or words makes different ones agree; by chance two different passages count as one
 under the same prefix in about one of 10**12 windows for groups of a million. Null text has no words, and its kept text
 is empty, as is that of an empty text. Repeated rows repeat all their windows. An empty table gives
-no rows. Memory is some 60 times the largest text.
+no rows. Only the id and the text are read, whatever other columns there are. Memory is some 60 times the
+largest text.
 """
 
 from __future__ import annotations

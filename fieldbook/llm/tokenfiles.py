@@ -9,7 +9,8 @@ Each row also keeps how many ids stand before it in its own file, so a document'
 sequence is that number and the ids of the files before: one small row per file.
 
 Null text counts as empty: its document holds the end id only. Rows with a null id come first; rows
-with the same id stand in the order of their texts' hashes. An empty table gives no rows.
+with the same id stand in the order of their texts' hashes. An empty table gives no rows. Only the id and the
+text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
