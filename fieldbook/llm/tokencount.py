@@ -8,12 +8,17 @@ from here. Each transition is annotated with the number of tokens it emits (the
 prefix less that of the shorter; it may be negative). States and transitions are made when first
 needed and then looked up; there are finitely many, and a worker starts anew when it holds too many.
 
-A text is cut into slices that are counted apart, at white space where the machine certainly stands
-in its start state. A slice's map holds no other states: ``head`` is its text up to the first such
-place, ``count`` the tokens from there to the last one, and ``tail`` the text after it, which is counted
-with the next slice's head. Maps compose associatively, so those of a text's slices are combined by a
-tree of partial compositions, whichever worker made them. A slice without such a place is all head: a
-text without white space is joined again and counted in one task.
+A text longer than a slice is cut into slices that are counted apart, wherever its task may be. A cut lies
+where a piece certainly starts (the machine is in its start state) or, where there is no such place
+near, certainly inside a piece, as in Chinese text, one-line data or long runs of one character. A
+slice's *state map* says for each state the machine may enter it in where it leaves it and how many tokens
+are counted on the way. All entry states a slice's map holds are gone through in step; where they come
+together, they go on as one. Maps compose associatively without the text, so those of a text's slices are
+combined by a tree of partial compositions, whichever worker made them.
+
+States before a cut inside a piece are found from the ``CONTEXT`` characters there, read from each of
+the first ``BEGINNINGS`` of them on. Should the state a slice is really entered in not be among these,
+the maps do not compose, which is noticed, and the text is counted from its beginning.
 
 Counts are those of the ``tokenizers`` library with no added special tokens; the tokenizer's special
 strings count as one token where they occur in a text, as is the library's default. Null text counts
@@ -26,19 +31,80 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK, WHITE_SPACE, Memo, byte_letters, pieces
-from .common import held, map_batches, text_or_empty
+from .chunks import WHITE_SPACE, Memo, byte_letters, pieces
+from .common import held, map_batches, text_or_empty, written
 
 #: Characters in a slice, slices whose maps are composed at once, and transitions kept by a worker.
 SLICE, FAN_IN, TRANSITIONS = 65_536, 64, 400_000
 
-MAP = "struct<cut:boolean,head:string,count:bigint,tail:string>"
+#: Characters after a place for a cut within which a piece that starts is looked for; characters read before a
+#: cut inside a piece, and how many of them a reading may begin at.
+LOOK, CONTEXT, BEGINNINGS = 256, 512, 128
+
+#: The kinds of characters the splitter tells apart: runs of each, from a place on.
+RUNS_OF = {kind: regex.compile(f"{members}*+") for kind, members in {
+    "space": f"[{WHITE_SPACE}]", "letter": r"\p{L}", "digit": r"\p{N}", "other": rf"[^{WHITE_SPACE}\p{{L}}\p{{N}}]"}.items()}
+
+#: A state map: the states a slice may be entered in, the state it is left in and the tokens counted on the way.
+#: States are written out; the empty one stands for the start of a piece.
+MAP = "array<struct<enter:string,leave:string,count:bigint>>"
+MAP_ARROW = pa.list_(pa.struct([("enter", pa.string()), ("leave", pa.string()), ("count", pa.int64())]))
+
+
+def kind_of(letter: str) -> str:
+    return next(kind for kind, run in RUNS_OF.items() if run.match(letter).end())
+
+
+def splits(text: str, at: int, specials: list[str]) -> bool | None:
+    """Whether a piece certainly starts at a place within a text (True) or certainly goes on there (False)."""
+    if any(s in text[max(0, at - len(s)):at + len(s)] for s in specials):
+        return None
+    before, after = kind_of(text[at - 1]), kind_of(text[at])
+    if before != after:  # a space may belong to what follows it, and so may an apostrophe
+        return None if before == "space" or text[at - 1] == "'" else True
+    if before == "space":  # the last one may belong to what follows
+        return False if RUNS_OF["space"].match(text, at, at + 2).end() == at + 2 else None
+    if before == "letter":  # up to two letters may belong to an apostrophe
+        return False if at >= 3 and RUNS_OF["letter"].match(text, at - 3, at).end() == at else None
+    return False
+
+
+def cut(text: str, size: int, specials: list[str]) -> Iterator[tuple[str | None, str, bool]]:
+    """A text's slices of about so many characters: (what was read before, None if a piece starts
+    here; the slice; whether its last piece goes on after it)."""
+    specials, places, at = [s for s in specials if s in text], [(0, True)], size
+    while at < len(text):
+        inside = None
+        for place in range(at, len(text)):
+            starts = splits(text, place, specials)
+            if starts:
+                places.append((place, True))
+                break
+            if inside is None and starts is False:
+                inside = place
+            if inside is not None and place - at >= min(LOOK, size):
+                places.append((inside, False))
+                break
+        else:
+            break
+        at = places[-1][0] + size
+    for (first, starts), (end, ends) in pairwise([*places, (len(text), True)]):
+        yield None if starts else read_before(text, first), text[first:end], not ends
+
+
+def read_before(text: str, at: int) -> str:
+    """The characters of one kind before a place, at most ``CONTEXT``, and a space before all of them."""
+    first, run = at, RUNS_OF[kind_of(text[at - 1])]
+    while first > max(0, at - CONTEXT) and run.match(text, first - 1, first).end() == first:
+        first -= 1
+    return text[first - (first > 0 and text[first - 1] == " "):at]
 
 
 class CountTransducer:
@@ -109,17 +175,11 @@ class CountTransducer:
         for back, before, count in zip(places[::3], places[1::3], places[2::3]):
             if back < len(read) - start and read[len(reach) - back:] in self.starts:
                 kept += [back + 1, before, count - emitted]
-        meaning = (read[start:], *kept, 0, token, 0)
-        if meaning not in self.states:
-            self.states[meaning] = len(self.meaning)
-            self.meaning.append(meaning)
-        return self.states[meaning] << 9 | emitted + 256
+        return self._state((read[start:], *kept, 0, token, 0)) << 9 | emitted + 256
 
     def _piece(self, piece: str) -> int:
         """Run the machine over a piece."""
-        if len(self.next) > TRANSITIONS:
-            self._restart()
-            self.fits.clear()
+        self._room()
         known, state, count = self.next, 0, 0
         for byte in piece.encode():
             key = state << 8 | byte
@@ -130,108 +190,179 @@ class CountTransducer:
             count += (to & 511) - 256
         return count
 
+    def _apart_from_special(self, text: str) -> list[str]:
+        return self.special.split(text) if any(s in text for s in self.strings) else [text]
+
     def count(self, text: str) -> int:
         """Tokens of a text, special strings in it among them."""
-        parts = self.special.split(text) if any(s in text for s in self.strings) else [text]
+        parts = self._apart_from_special(text)
         return len(parts) - 1 + sum(sum(map(self.counts.__getitem__, pieces(part))) for part in parts)
 
-    def state_map(self, text: str) -> dict:
-        """The state map of a slice."""
-        first = CHUNK.match(text)
-        if first is None or first.end() == len(text):
-            return {"cut": False, "head": text, "count": 0, "tail": ""}
-        # the last chunk starts where the last white space after something else does
-        stop = len(text.rstrip(WHITE_SPACE))
-        end = max(text.rfind(" ", 0, stop), 0)
-        while end > first.end() and (text[end - 1] in WHITE_SPACE or text[end] not in WHITE_SPACE):
-            end -= 1
-        end = max(end, first.end())
-        return {"cut": True, "head": first.group(), "count": self.count(text[first.end():end]), "tail": text[end:]}
-
-    def compose(self, a: dict, b: dict) -> dict:
-        """The map of a slice followed by another."""
-        if not a["cut"]:
-            return b | {"head": a["head"] + b["head"]}
-        if not b["cut"]:
-            return a | {"tail": a["tail"] + b["head"]}
-        return {"cut": True, "head": a["head"], "count": a["count"] + self.count(a["tail"] + b["head"]) + b["count"],
-                "tail": b["tail"]}
-
-    def total(self, a: dict) -> int:
-        """Tokens of a whole text with this map."""
-        return self.count(a["head"]) + a["count"] + self.count(a["tail"])
+    def _through(self, states: list[int], read: bytes) -> list[tuple[int, int]]:
+        """Where each of some states gets to, and the tokens emitted on the way; those that meet go on as one."""
+        known = self.next
+        ends, live = [(0, 0)] * len(states), {}
+        for n, state in enumerate(states):
+            live.setdefault(state, (0, []))[1].append((n, 0))
+        for byte in read:
+            moved: dict[int, tuple[int, list]] = {}
+            for state, (count, some) in live.items():
+                key = state << 8 | byte
+                to = known.get(key)
+                if to is None:
+                    to = known[key] = self._step(state, byte)
+                count += (to & 511) - 256
+                there = moved.get(to >> 9)
+                if there is None:
+                    moved[to >> 9] = count, some
+                else:
+                    there[1].extend((n, before + count - there[0]) for n, before in some)
+            live = moved
+        for state, (count, some) in live.items():
+            for n, before in some:
+                ends[n] = state, count + before
+        return ends
+
+    def _room(self) -> None:
+        if len(self.next) > TRANSITIONS:
+            self._restart()
+            self.fits.clear()
+
+    def _state(self, meaning: tuple) -> int:
+        """The number of a state given what it means."""
+        if meaning not in self.states:
+            self.states[meaning] = len(self.meaning)
+            self.meaning.append(meaning)
+        return self.states[meaning]
+
+    def _entries(self, before: str) -> list[tuple]:
+        """States that reading some of the characters before a slice may have led to."""
+        found = set()
+        for k in range(min(len(before), BEGINNINGS)):
+            found.add(self._through([0], before[k:].encode())[0][0])
+        return sorted((self.meaning[s] for s in found), key=repr)
+
+    def state_map(self, before: str | None, text: str, goes_on: bool) -> list[dict]:
+        """The state map of a slice as :func:`cut` gives it."""
+        heads, rest = [("", 0)], text
+        self._room()
+        if before is not None:
+            kind = kind_of(before[-1])
+            end, special = RUNS_OF[kind].match(text).end(), self.special.search(text)
+            if special and special.start() <= end:
+                end = special.start()
+            elif kind == "space" and end < len(text):
+                end -= 1
+            entries = self._entries(before)
+            ends = self._through([self._state(e) for e in entries], text[:end].encode())
+            if goes_on and end == len(text):
+                return [{"enter": repr(e), "leave": repr(self.meaning[state]), "count": count}
+                        for e, (state, count) in zip(entries, ends)]
+            heads, rest = [(repr(e), count) for e, (_, count) in zip(entries, ends)], text[end:]
+        parts = self._apart_from_special(rest)
+        found = pieces(parts.pop()) if goes_on else []
+        count = len(parts) - (not goes_on) + sum(sum(map(self.counts.__getitem__, pieces(part))) for part in parts)
+        leave = ""
+        if goes_on:
+            *found, last = found
+            count += sum(map(self.counts.__getitem__, found))
+            self._room()
+            state, more = self._through([0], last.encode())[0]
+            leave, count = repr(self.meaning[state]), count + more
+        return [{"enter": enter, "leave": leave, "count": before + count} for enter, before in heads]
+
+
+def compose(a: list[dict], b: list[dict]) -> list[dict]:
+    """The map of a slice followed by another; states that the latter does not know are left out."""
+    on = {x["enter"]: x for x in b}
+    return [{"enter": x["enter"], "leave": on[x["leave"]]["leave"], "count": x["count"] + on[x["leave"]]["count"]}
+            for x in a if x["leave"] in on]
+
+
+def total(whole: list[dict]) -> int | None:
+    """Tokens of a whole text with this map, if it could be composed."""
+    return next((x["count"] for x in whole if (x["enter"], x["leave"]) == ("", "")), None)
 
 
 def loaded(path: str) -> CountTransducer:
     return held(("token_counts", path), lambda: CountTransducer(path))
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLICE, spread: int = 0,
+def count_tokens(docs: DataFrame, path: str, limit: int, slice_chars: int = SLICE,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, ``n_bytes``, ``n_tokens``, ``over_limit``) of every whole text.
 
-    ``spread``: deal the slices of all texts out to so many partitions before counting, for tables of
-    a few huge texts; 0 counts them where they are read.
+    Texts of up to ``slice_chars`` characters are counted where they are read; the slices of longer ones are
+    dealt out to all tasks.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"),
-                       text_or_empty(text_column).alias("text"))
-
-    def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        places: list[int] = []
-        seqs: list[int] = []
-        parts: list[str] = []
-
-        def slices() -> pa.RecordBatch:
-            at = pa.array(places, pa.int64())
-            return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(seqs, pa.int64()),
-                                               pa.array(parts, pa.string())], ["row", "id", "seq", "text"])
-
-        held = 0
-        for one, text in enumerate(batch.column(2).to_pylist()):
-            for seq, k in enumerate(range(0, len(text) or 1, slice_chars)):
-                places.append(one)
-                seqs.append(seq)
-                parts.append(text[k:k + slice_chars])
-                held += len(parts[-1])
-                if held >= 16 * slice_chars:
-                    yield slices()
-                    places, seqs, parts, held = [], [], [], 0
-        if places:
-            yield slices()
+    rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
+    short = rows.where(F.length("text") <= slice_chars)
+    long = rows.where(F.length("text") > slice_chars).withColumns({"row": F.monotonically_increasing_id(), "digest": F.sha2("text", 256)})
+
+    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        machine, texts = loaded(path), batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()),
+                                          pa.array(map(machine.count, texts), pa.int64())], ["id", "n_bytes", "n_tokens"])
+
+    counted = map_batches(short, count, f"id {kind}, n_bytes bigint, n_tokens bigint", keeps="token_counts")
+    counted = counted.unionByName(_long_texts(long, path, slice_chars, kind))
+    return counted.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
+def _long_texts(long: DataFrame, path: str, slice_chars: int, kind: str) -> DataFrame:
+    """(id, ``n_bytes``, ``n_tokens``) of texts of several slices, by their state maps."""
+    specials = added_strings(path)
+
+    def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for one in range(batch.num_rows):
+            row = batch.slice(one, 1)
+            for seq, (before, text, goes_on) in enumerate(cut(row.column("text")[0].as_py(), slice_chars, specials)):
+                yield pa.RecordBatch.from_arrays(
+                    [row.column("row"), row.column("id"), row.column("digest"), pa.array([seq], pa.int64()),
+                     pa.array([before], pa.string()), pa.array([text], pa.string()), pa.array([goes_on])],
+                    ["row", "id", "digest", "seq", "before", "text", "goes_on"])
 
     def measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        machine, texts = loaded(path), batch.column(3).to_pylist()
+        machine = loaded(path)
+        before, texts, goes_on = (batch.column(c).to_pylist() for c in ("before", "text", "goes_on"))
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array([len(t.encode()) for t in texts], pa.int64()),
-             pa.array([machine.state_map(t) for t in texts], MAP_ARROW)], ["row", "id", "seq", "n_bytes", "map"])
+            [*batch.columns[:4], pa.array([len(t.encode()) for t in texts], pa.int64()),
+             pa.array(list(map(machine.state_map, before, texts, goes_on)), MAP_ARROW)],
+            ["row", "id", "digest", "seq", "n_bytes", "map"])
 
     def tree(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        machine = loaded(path)
-        maps = [reduce(machine.compose, (x["map"] for x in group)) for group in batch.column(4).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(maps, MAP_ARROW)], ["row", "id", "seq", "n_bytes", "map"])
+        maps = [reduce(compose, (x["map"] for x in group)) for group in batch.column("maps").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(maps, MAP_ARROW)], ["row", "id", "digest", "seq", "n_bytes", "map"])
 
     def close(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n = [total(reduce(compose, (x["map"] for x in group))) for group in batch.column("maps").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[1:4], pa.array(n, pa.int64())], ["id", "digest", "n_bytes", "n_tokens"])
+
+    def again(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         machine = loaded(path)
-        n = [machine.total(reduce(machine.compose, (x["map"] for x in group))) for group in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:3], pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
-
-    def cut_and_measure(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for slices in cut(batch):
-            yield from measure(slices)
-
-    fields = f"row bigint, id {kind}, seq bigint, n_bytes bigint, map {MAP}"
-    if spread:
-        slices = map_batches(rows, cut, f"row bigint, id {kind}, seq bigint, text string", keeps="token_counts")
-        maps = map_batches(slices.repartition(spread, "row", "seq"), measure, fields, keeps="token_counts")
-    else:  # in one worker, so that a task holds one machine
-        maps = map_batches(rows, cut_and_measure, fields, keeps="token_counts")
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(machine.count, batch.column(1).to_pylist()), pa.int64())],
+                                         ["digest", "whole"])
+
+    fields = f"row bigint, id {kind}, digest string, seq bigint, n_bytes bigint, map {MAP}"
+    parts = map_batches(long.select("row", "id", "digest", "text"), slices,
+                        f"row bigint, id {kind}, digest string, seq bigint, before string, text string, goes_on boolean", keeps="token_counts")
+    dealt = parts.repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row", "seq")
+    maps = map_batches(dealt, measure, fields, keeps="token_counts")
     together = F.array_sort(F.collect_list(F.struct("seq", "map"))).alias("maps")
-    groups = maps.groupBy("row", "id", F.expr(f"seq div {FAN_IN}").alias("seq")).agg(F.sum("n_bytes").alias("n_bytes"), together)
+    groups = maps.groupBy("row", "id", "digest", F.expr(f"seq div {FAN_IN}").alias("seq")).agg(F.sum("n_bytes").alias("n_bytes"), together)
     maps = map_batches(groups, tree, fields, keeps="token_counts")
-    whole = maps.groupBy("row", "id").agg(F.sum("n_bytes").alias("n_bytes"), together)
-    counted = map_batches(whole, close, f"id {kind}, n_bytes bigint, n_tokens bigint", keeps="token_counts")
-    return counted.select(F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-
-
-MAP_ARROW = pa.struct([("cut", pa.bool_()), ("head", pa.string()), ("count", pa.int64()), ("tail", pa.string())])
+    whole = maps.groupBy("row", "id", "digest").agg(F.sum("n_bytes").alias("n_bytes"), together)
+    done = written(map_batches(whole, close, f"id {kind}, digest string, n_bytes bigint, n_tokens bigint", keeps="token_counts"), "long-texts")
+    missing = done.where("n_tokens is null").select("digest").distinct()
+    if not missing.isEmpty():
+        texts = long.join(missing, "digest", "left_semi").dropDuplicates(["digest"]).select("digest", "text")
+        done = done.join(map_batches(texts, again, "digest string, whole bigint", keeps="token_counts"), "digest", "left").withColumn(
+            "n_tokens", F.coalesce("n_tokens", "whole"))
+    return done.select("id", "n_bytes", "n_tokens")
+
+
+def added_strings(path: str) -> list[str]:
+    """The tokenizer's special strings."""
+    with open(path, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file)["added_tokens"]]

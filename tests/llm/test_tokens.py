@@ -96,17 +96,59 @@ def test_transducer_counts_as_the_library(bpe, library):
         assert machine.count(text) == n, text[:80]
 
 
-def test_state_maps_compose_however_a_text_is_cut(bpe):
+def whole_map(machine, text, size):
+    maps = [machine.state_map(*part) for part in tokencount.cut(text, size, machine.strings)]
+    return maps, tokencount.total(reduce(tokencount.compose, maps))
+
+
+def test_state_maps_compose_however_a_text_is_cut(bpe, library):
     machine, rng = tokencount.loaded(JSON), random.Random(9)
-    for text in texts(bpe, 100):
-        if len(text) < 200:
-            size = rng.randint(1, 9)
-            maps = [machine.state_map(text[k:k + size]) for k in range(0, len(text), size)] or [machine.state_map("")]
-            assert machine.total(reduce(machine.compose, maps)) == machine.count(text), text
-            if len(maps) > 2:  # composition is associative
-                left = machine.compose(machine.compose(maps[0], maps[1]), maps[2])
-                right = machine.compose(maps[0], machine.compose(maps[1], maps[2]))
-                assert machine.total(left) == machine.total(right)
+    made = ["".join(rng.choice(some) for _ in range(rng.randint(1, 60)))
+            for some in ("ab", "a", "-", " ", " a", "'sla", "'!", "\n a", "12a!", "\u4f60\u597d\u4e16", " \u3000\xa0x", "=-", "ab ") for _ in range(60)]
+    mixed = ["".join(rng.choice(["<|endoftext|>", "!!!", "   ", "aaaa", "<|", "7"]) for _ in range(12)) for _ in range(200)]
+    for text in [*texts(bpe, 100), *made, *mixed]:
+        if len(text) < 300:
+            want = len(library.encode(text, add_special_tokens=False).ids)
+            for size in (1, 3, rng.randint(2, 20)):
+                parts = list(tokencount.cut(text, size, machine.strings))
+                assert "".join(p[1] for p in parts) == text
+                maps, n = whole_map(machine, text, size)
+                assert n == want, (text, size, parts)
+                if len(maps) > 2:  # composition is associative
+                    left = tokencount.compose(tokencount.compose(maps[0], maps[1]), maps[2])
+                    assert left == tokencount.compose(maps[0], tokencount.compose(maps[1], maps[2]))
+
+
+def test_text_without_white_space_is_counted_in_slices(library):
+    machine, rng = tokencount.loaded(JSON), random.Random(3)
+    han = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(20_000))
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(60_000))
+    for text in (han, letters, "-" * 20_000, "=" * 9_999, " " * 9_000 + "a", "ab" * 20_000, "x" + "1" * 9_000):
+        maps, n = whole_map(machine, text, 3_000)
+        assert n == len(library.encode(text, add_special_tokens=False).ids), text[:20]
+        inner = [m for m in maps[1:-1] if all(x["enter"] and x["leave"] for x in m)]
+        assert len(inner) == len(maps) - 2 > 0, text[:20]  # every one is entered and left inside a piece
+        assert all(len(m) <= tokencount.BEGINNINGS for m in maps)
+
+
+def test_states_before_a_slice_need_not_be_known(spark, library, monkeypatch):
+    monkeypatch.setattr(tokencount.CountTransducer, "_entries", lambda self, before: [])
+    text = "-" * 5_000
+    machine = tokencount.CountTransducer(JSON)
+    assert whole_map(machine, text, 700)[1] is None
+    monkeypatch.undo()
+    monkeypatch.setattr(tokencount, "total", lambda whole: None)  # as if no map composed
+    rows = spark.createDataFrame([(1, text), (2, text), (3, "a b")], "doc_id int, text string")
+    got = {r.doc_id: r.n_tokens for r in tokencount.count_tokens(rows, JSON, 20, 700).collect()}
+    n = len(library.encode(text, add_special_tokens=False).ids)
+    assert got == {1: n, 2: n, 3: 2}
+
+
+def test_slices_of_one_text_are_dealt_out(spark, library):
+    text = "".join(random.Random(5).choices("etaoinshrdlu", k=400_000))
+    rows = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    got = tokencount.count_tokens(rows, JSON, 20, 20_000).collect()
+    assert got == [(1, 400_000, len(library.encode(text, add_special_tokens=False).ids), True)]
 
 
 def test_transducer_may_start_anew(bpe, library, monkeypatch):
@@ -116,9 +158,9 @@ def test_transducer_may_start_anew(bpe, library, monkeypatch):
         assert machine.count(text) == len(library.encode(text, add_special_tokens=False).ids)
 
 
-@pytest.mark.parametrize("slice_chars, spread", [(65_536, 0), (700, 3), (5_000, 0)])
-def test_counted_documents(odd, library, slice_chars, spread):
-    got = tokencount.count_tokens(odd, JSON, 20, slice_chars, spread).collect()
+@pytest.mark.parametrize("slice_chars", [65_536, 700, 3, 5_000])
+def test_counted_documents(odd, library, slice_chars):
+    got = tokencount.count_tokens(odd, JSON, 20, slice_chars).collect()
     want = [(i, len((t or "").encode()), len(library.encode(t or "").ids)) for i, t, *_ in ROWS]
     assert sorted(map(tuple, got), key=str) == sorted(((*w, w[2] > 20) for w in want), key=str)
 
