@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import in_order, text_or_empty, written
 
 #: Characters in a unit at most, units in a gram, grams in a window: the last two are powers of two.
 UNIT, GRAM, WINDOW = 8, 4, 8
@@ -87,45 +87,48 @@ def likeness(a: str, b: str) -> Column:
         common / F.greatest(F.size(a) + F.size(b) - common, F.lit(1))).cast("double")
 
 
-def ranges(docs: DataFrame, n: int) -> Column:
-    """The number, from 1, of the range of ids a row falls into; 0 for a null id. Ranges hold about as many rows each."""
-    cuts = docs.select(F.percentile_approx("doc_id", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else []
-    cuts = sorted(set(cuts or []))
-    if not cuts:
-        return F.when(F.col("doc_id").isNull(), 0).otherwise(1)
-    # two steps, each over about the root of so many cuts
-    wide = math.isqrt(len(cuts)) + 1
-    parts = [cuts[k:k + wide] for k in range(0, len(cuts), wide)]
-    up_to = lambda some: F.size(F.filter(some, lambda x: x <= F.col("doc_id")))
-    part = up_to(F.array(*[F.lit(p[0]) for p in parts]))
-    fine = F.element_at(F.array(*[F.array(*map(F.lit, p)) for p in parts]), F.greatest(part, F.lit(1)))
-    return F.when(F.col("doc_id").isNull(), 0).when(part == 0, 1).otherwise(1 + (part - 1) * wide + up_to(fine))
+def ranges(keys: DataFrame, n: int) -> DataFrame:
+    """One row: the least keys of about n ranges of as many rows each, in order, as an array of arrays,
+    ``cuts``, beside the first key of each of these, ``tops``.
+
+    They are the keys at every so many places of all keys in order; nothing but keys is sorted. A key that
+    holds several such places begins one range only.
+    """
+    places = in_order(keys, F.col("key"))
+    step = max(1, -(-(places.agg(F.max("at")).first()[0] or 0) // n))
+    cuts = places.where(F.col("at") % step == 0).select("key").distinct().agg(F.sort_array(F.collect_list("key")).alias("all"))
+    wide = F.ceil(F.sqrt(F.size("all") + 1)).cast("int")
+    pieces = F.sequence(F.lit(0), F.greatest(F.floor((F.size("all") - 1) / wide).cast("int"), F.lit(0)))
+    cuts = cuts.select(F.transform(pieces, lambda k: F.slice("all", k * wide + 1, wide)).alias("cuts"))
+    return cuts.select(F.struct("cuts", F.transform("cuts", lambda some: F.get(some, 0)).alias("tops")).alias("ranges"))
 
 
 def with_next(docs: DataFrame, carried: list[str], n: int) -> DataFrame:
     """Add ``next_<column>`` of the next row in descending order of ids; the first row's after the last.
 
-    Rows are dealt out by ranges of their ids. The next of a range's last row is the first of the range
-    below (the topmost row for the lowest range), so the first rows, one a range, go to two ranges.
+    Rows are dealt out by ranges of their places in this order, so that rows of one id, or without any, may lie in
+    several. The first row of a range goes to the range before too (the topmost row to the last range), where
+    it follows the last one.
     """
-    rows = docs.withColumn("tie", F.xxhash64("text")).withColumn("range", ranges(docs, n))
-    order = F.struct(-F.coalesce("doc_id", F.lit(-(1 << 62))), F.col("tie"))
-    firsts = rows.groupBy("range").agg(F.min(order).alias("o"), F.min_by(F.struct("doc_id", "tie"), order).alias("f"))
-    firsts = sorted(((r["range"], r["f"]["doc_id"], r["f"]["tie"]) for r in firsts.collect()))  # one a range
-    if not firsts:
-        return rows.select(docs.columns + [F.col(c).alias(f"next_{c}") for c in carried])
-    above = [k for k, *_ in firsts[1:]] + [firsts[0][0]]
-    heads = F.array(*[F.struct(F.lit(i).cast("bigint").alias("first_id"), F.lit(t).cast("bigint").alias("first_tie"), F.lit(to).alias("to"))
-                      for (_, i, t), to in zip(firsts, above)])
-    heads = docs.sparkSession.range(1).select(F.inline(heads))
-    twice = rows.join(F.broadcast(heads), F.col("doc_id").cast("bigint").eqNullSafe(F.col("first_id")) & (F.col("tie") == F.col("first_tie")), "left")
-    twice = twice.withColumn("at", F.explode(F.when(F.col("to").isNull(), F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("extra"))))
-                             .otherwise(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("extra")),
-                                                F.struct(F.col("to").alias("range"), F.lit(1).alias("extra"))))))
-    twice = twice.select(*docs.columns, "tie", "at.range", "at.extra")
-    w = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("doc_id"), "tie")
+    # the order of ids turned round; of rows that are equal in id and text, any may come first
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not(F.coalesce("doc_id", F.lit(0)).cast("bigint")).alias("id"),
+                   F.xxhash64("text").alias("tie"))
+    rows = docs.withColumn("key", key)
+    rows = rows.withColumn("ranges", written(ranges(rows.select("key"), n), "ranges").scalar())
+    rows = rows.select(*rows.columns[:-1], "ranges.*")
+    up_to = lambda some: F.size(F.filter(some, lambda x: x <= F.col("key")))
+    rows = rows.withColumn("part", up_to(F.col("tops")))
+    rows = rows.withColumn("fine", up_to(F.element_at("cuts", F.col("part"))))
+    first = F.element_at(F.element_at("cuts", F.col("part")), F.col("fine")) == F.col("key")
+    wide, last = F.size(F.element_at("cuts", F.lit(1))), F.size(F.flatten("cuts"))
+    rows = rows.withColumn("range", (F.col("part") - 1) * wide + F.col("fine"))
+    here = F.struct("range", F.lit(False).alias("extra"))
+    before = F.struct(F.when(F.col("range") > 1, F.col("range") - 1).otherwise(last).alias("range"), F.lit(True).alias("extra"))
+    twice = rows.withColumn("at", F.explode(F.when(first, F.array(here, before)).otherwise(F.array(here))))
+    twice = twice.select(*docs.columns, "key", "at.range", "at.extra")
+    w = Window.partitionBy("range").orderBy("extra", "key")
     out = twice.select(*docs.columns, "extra", *[F.lead(c).over(w).alias(f"next_{c}") for c in carried])
-    return out.where("extra = 0").drop("extra")
+    return out.where("not extra").drop("extra")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

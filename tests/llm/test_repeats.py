@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldbook.llm import fingerprints, ngramjoin, substrings
 
@@ -81,6 +82,27 @@ def test_fingerprints(spark, odd, empty):
     assert fingerprints.digests(odd).count() == len(ROWS)
 
 
+def test_the_next_row_whatever_the_ranges(spark):
+    rng = random.Random(8)
+    ids = [5] * 60 + [None] * 60 + [rng.randint(-9, 9) for _ in range(60)] + [2**63 - 1, -2**63]
+    rows = spark.createDataFrame([(i, f"text {k % 150}") for k, i in enumerate(ids)], "doc_id long, text string").repartition(3)
+    keyed = rows.select("doc_id", "text", F.xxhash64("text").alias("tie")).collect()
+    order = sorted(keyed, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.tie))
+    want = sorted((str(r.doc_id), r.text, order[(k + 1) % len(order)].text) for k, r in enumerate(order))
+    for n in (1, 2, 7, 500):
+        out = fingerprints.with_next(rows, ["text"], n)
+        assert sorted((str(r.doc_id), r.text, r.next_text) for r in out.collect()) == want, n
+    one = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert fingerprints.with_next(one, ["text"], 4).collect() == [(1, "a", "a")]
+
+
+def test_rows_of_one_id_lie_in_several_ranges(spark):
+    rows = spark.range(1000).select(F.struct(F.lit(True).alias("none"), F.lit(0).alias("id"), F.xxhash64("id").alias("tie")).alias("key"))
+    found = fingerprints.ranges(rows, 10).first().ranges
+    assert [p[0] for p in found.cuts] == found.tops
+    assert len({k for p in found.cuts for k in p}) == sum(map(len, found.cuts)) == 10
+
+
 def test_equal_texts_have_equal_fingerprints_and_likeness_is_a_share(spark):
     rng = random.Random(2)
     texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 20) for _ in range(rng.randint(0, 80))) for _ in range(40)]
