@@ -27,6 +27,11 @@ CSV_OPTIONS = {
     "multiLine": True,
 }
 
+#: Rows in a file of an export. A file whose cells may hold line breaks is read by one task, so that a task
+#: reads this many rows of it, however large the export is.
+FILE_ROWS = 20_000
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, bad_rows: str = "fail",
              blank_as_null: bool = False, line_breaks: bool = True) -> DataFrame:
     """CSV files under a declared schema, by the one convention.
@@ -73,7 +78,8 @@ def load_submissions(spark: SparkSession, path: str, schema: T.StructType | Json
     (see ``read_csv``, also for bad rows and blanks). ``NA`` cells read as
     NULL, a quoted empty string as ``''``. Quoted cells may hold line
     breaks (free-text answers), so a CSV file is read by one task unless
-    ``line_breaks=False`` says that no cell does.
+    ``line_breaks=False`` says that no cell does; ``write_export`` writes
+    files of bounded size.
 
     ``fmt="json"`` reads records or pages of records, one a line, under a
     declared form (``json_forms``), which ``schema`` then is.
@@ -95,9 +101,9 @@ def load_submissions(spark: SparkSession, path: str, schema: T.StructType | Json
 
 
 def write_export(df: DataFrame, path: str, header_names: list[str] | None = None,
-                 partitions: int | None = None) -> None:
-    """Write a CSV export with the given header names (spreadsheet style)."""
+                 partitions: int | None = None, file_rows: int = FILE_ROWS) -> None:
+    """Write a CSV export with the given header names (spreadsheet style), ``file_rows`` to a file at most."""
     out = df.toDF(*header_names) if header_names else df
     if partitions:
         out = out.coalesce(partitions)
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", file_rows).csv(path)

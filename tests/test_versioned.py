@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fieldbook.operators.dictionary import dictionary_feedback, standardize, Lookup
 from fieldbook.sources import schemas
-from fieldbook.sources.landing import BAD_ROW, load_submissions, read_csv, write_export
+from fieldbook.sources.landing import BAD_ROW, FILE_ROWS, load_submissions, read_csv, write_export
 from fieldbook.sources.versioned import Staged, current_version, publish, publish_copies, read_current, read_version, runs
 
 
@@ -40,6 +40,19 @@ def test_csv_round_trip_keeps_blanks_and_nulls(spark, fx_small):
     assert back.filter("data_status = ''").count() == contact.filter("data_status = ''").count() > 0
 
 
+def test_an_export_is_files_of_bounded_size(spark):
+    """Cells may hold line breaks, so a task reads whole files: one task's rows are written to several."""
+    root = tempfile.mkdtemp(prefix="fieldbook-test-")
+    rows = spark.range(0, FILE_ROWS + 1, 1, 1).selectExpr("concat('line ', id, chr(10), 'next') AS `a name`", "id AS n")
+    write_export(rows, f"{root}/export")
+    write_export(rows.limit(25), f"{root}/small", file_rows=10)
+    for folder, most, files in (("export", FILE_ROWS, 2), ("small", 10, 3)):
+        back = load_submissions(spark, f"{root}/{folder}", rows.schema)
+        counts = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+        assert len(counts) == files and max(counts) == most
+    assert load_submissions(spark, f"{root}/export", rows.schema).exceptAll(rows).isEmpty()
+
+
 def test_one_frame_to_two_tables(spark, fx_small):
     root = tempfile.mkdtemp(prefix="fieldbook-test-")
     versions = publish_copies(fx_small.baseline, ["bl_tidy", "bl_partner"], root=root)
