@@ -79,19 +79,34 @@ def latest_submissions(df: DataFrame, key: str, newest: Sequence[Column]) -> Dat
     return first_per_key(marked, ["_own"], [*newest, content]).drop("_own")
 
 
+def whole_exports(rows: DataFrame) -> DataFrame:
+    """``LANDED`` of the files as that of their exports.
+
+    The files that one write leaves (``part-<n>-<write>...``) are one export, which landed when the last of
+    them in this batch did; any other file is an export of its own. There is one row an export in the table
+    of times, so it is broadcast: the rows stay where they are.
+    """
+    when, name = LANDED
+    rows = rows.withColumn(name, F.regexp_replace(name, r"/part-\d+(-[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$", "/part$1"))
+    times = rows.groupBy(F.col(name).alias("_export")).agg(F.max(when).alias("_last"))
+    rows = rows.join(F.broadcast(times), F.col(name).eqNullSafe(F.col("_export")), "left")
+    return rows.withColumn(when, F.col("_last")).drop("_export", "_last")
+
+
 def merge_batch(batch: DataFrame, batch_id: int, table: str, key: str, name: str, order: Sequence[str] = (),
                 root: str | None = None) -> None:
     """Merge one batch into the current version of ``table`` and make the result current.
 
-    A later export beats an earlier one, and within an export the greater
-    values of ``order`` win. The run is named after the batch: a batch that
+    A later export beats an earlier one, and within an export, whichever of
+    its files they are in, the greater values of ``order`` win. The run is named after the batch: a batch that
     comes again after a restart finds its run committed and does nothing.
     """
     spark = batch.sparkSession
     staged = Staged(spark, root, name=f"{name} batch {batch_id}")
     if staged.done():
         return
-    rows = batch.withColumn("_turn", F.lit(1))
+    rows = whole_exports(batch) if set(LANDED) <= set(batch.columns) else batch
+    rows = rows.withColumn("_turn", F.lit(1))
     if current_version(spark, table, root) is not None:
         old = read_current(spark, table, root=root).withColumn("_turn", F.lit(0))
         rows = rows.unionByName(old, allowMissingColumns=True)

@@ -71,6 +71,18 @@ def test_a_batch_that_comes_again_does_nothing(spark):
     assert current_version(spark, "t", root=root) == (2, "parquet")
 
 
+def test_files_of_one_export_land_together(spark):
+    """Rows of one export are told apart by ``order``, whichever of its files was done first."""
+    root = tempfile.mkdtemp(prefix="fieldbook-stream-")
+    one, two = (f"-0000000{k}-aaaa-bbbb-cccc-0123456789ab-c000.csv" for k in (1, 2))
+    rows = [("a", 2, 10, f"/e/part-00000{one}"), ("a", 1, 20, f"/e/part-00001{one}"),
+            ("b", 2, 10, f"/e/part-00000{one}"), ("b", 1, 30, f"/e/part-00000{two}"),  # a later export beats it
+            ("c", 2, 10, "/e/typed.csv"), ("c", 1, 20, "/e/other.csv")]  # files of their own
+    batch = spark.createDataFrame(rows, "uuid string, x int, _landed_at int, _landed_as string")
+    merge_batch(batch, 0, "t", "uuid", "job", order=("x",), root=root)
+    assert sorted(map(tuple, read_current(spark, "t", root=root).collect())) == [("a", 2), ("b", 1), ("c", 1)]
+
+
 def test_the_latest_row_of_each_submission(spark):
     rows = spark.sql("SELECT * FROM VALUES ('a', 1, 5), ('a', 2, 4), ('b', 1, 1), (NULL, 1, 1), (NULL, 1, 1), (NULL, 2, 1) AS t(uuid, x, _turn)")
     got = latest_submissions(rows, "uuid", [F.col("_turn").desc()]).drop("_turn")
