@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import regex
 
 #: Unicode's ``White_Space``, as the tokenizers' patterns read ``\s`` (fixed values).
@@ -49,6 +50,35 @@ def pieces(text: str) -> list[str]:
     return _ANY(text) if _BEYOND_LATIN(text) else _LATIN(text)
 
 
+#: Kinds of bytes: ASCII white space, letters and digits, other printable ones.
+_SPACE, _WORD, _OTHER = 1, 2, 3
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[0x21:0x7F] = _OTHER
+_KINDS[[ord(c) for c in WHITE_SPACE if c.isascii()]] = _SPACE
+_KINDS[[b for b in range(0x7F) if chr(b).isalnum()]] = _WORD
+
+#: White space beyond ASCII, its UTF-8 bytes read as one number.
+_WIDE_SPACE = [int.from_bytes(c.encode(), "big") for c in WHITE_SPACE if not c.isascii()]
+
+
+def piece_starts(data: np.ndarray) -> np.ndarray:
+    """Marks bytes of UTF-8 text (but the first) at which one of ``pieces`` starts, whatever stands around:
+    ASCII white space that does not follow white space, and other ASCII signs after a letter or digit.
+
+    Letters are told up to U+00FF, so not all starts are marked; the text between two marks is some whole pieces.
+    """
+    kinds = _KINDS[data]
+    space, word = kinds == _SPACE, kinds == _WORD
+    word[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)  # U+00C0 to U+00FF but two signs
+    marks = np.zeros(len(data), bool)
+    marks[1:] = (space[1:] & ~space[:-1]) | ((kinds[1:] == _OTHER) & word[:-1])
+    wide = np.flatnonzero(space[1:] & (data[:-1] >= 0x80)) + 1
+    two = data[wide - 2].astype(np.int64) << 8 | data[wide - 1]
+    three = data[wide - 3].astype(np.int64) << 16 | two
+    marks[wide[np.isin(two, _WIDE_SPACE) | np.isin(three, _WIDE_SPACE)]] = False
+    return marks
+
+
 def byte_letters() -> dict[str, int]:
     """The letters that byte-level vocabularies write for the 256 bytes: printable ones stand for
     themselves, the others follow from U+0100 on."""

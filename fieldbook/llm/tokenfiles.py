@@ -16,6 +16,7 @@ text are read, whatever other columns there are.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from array import array
@@ -23,25 +24,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.session import work_root
 
-from .chunks import Memo, byte_letters, pieces
-from .common import ROWS, held, map_batches, map_partitions, text_or_empty
+from .chunks import Memo, byte_letters, piece_starts, pieces
+from .common import held, map_batches, map_partitions, text_or_empty
 
 #: Bytes in a stripe and rows in a row group of the files.
 STRIPE_BYTES, INDEX_ROWS = 16 << 20, 1_000
 
-#: Pieces whose ids a worker keeps.
+#: Parts of texts whose ids a worker keeps.
 KEPT = 300_000
 
+#: Bytes of text that a worker encodes at a time (one text at least).
+TEXT_BYTES = 8 << 20
+
 
 class Encoder:
     """The ``tokenizers`` library, asked once per piece as long as the piece is remembered.
 
-    Texts are cut into pieces where the library's byte-level splitter cuts them, and each new piece goes
+    Texts are cut where the library's byte-level splitter cuts them, most of them into its pieces. Arrow numbers
+    the different parts of many texts, each is looked up once, and each new piece goes
     to the library's model. Texts that hold one of the tokenizer's
     special strings, and tokenizers that aren't plain byte-level ones, go through the library whole.
     """
@@ -54,9 +60,10 @@ class Encoder:
         split = spec["pre_tokenizer"] or {}
         self.plain = spec["normalizer"] is None and split.get("type") == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
         self.special = [t["content"] for t in spec["added_tokens"]]
+        self.any_special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
         self.model = self.tokenizer.model
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.pieces = Memo(self._piece, KEPT)
+        self.parts = Memo(self.encode, KEPT)
 
     def _piece(self, piece: str) -> bytes:
         if piece.isascii() and piece.isprintable():  # these bytes stand for themselves, but for the space
@@ -67,9 +74,32 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if not self.plain or any(s in text for s in self.special):
+        if not self.plain or self.any_special(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.pieces.__getitem__, pieces(text)))
+        found = pieces(text)
+        return self._piece(text) if len(found) == 1 else b"".join(map(self.parts.__getitem__, found))
+
+    def encode_all(self, texts: pa.StringArray, end_id: int) -> pa.ListArray:
+        """The ids of each text, and the end id after them."""
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
+        at = at - at[0]
+        marks = piece_starts(data) if self.plain else np.zeros(len(data), bool)
+        for special in self.special if self.plain else ():
+            for k in np.flatnonzero(pc.match_substring(texts, special).to_numpy(zero_copy_only=False)):
+                marks[at[k]:at[k + 1]] = False
+        marks[at[:-1][at[:-1] < at[1:]]] = True
+        starts = np.flatnonzero(marks).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, at[-1])), pa.py_buffer(data))
+        parts = parts.dictionary_encode()
+        ids = [*map(self.parts.__getitem__, parts.dictionary.to_numpy(zero_copy_only=False)), np.array([end_id], "<u4").tobytes()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()),
+                                       pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        ends = np.searchsorted(starts, at[1:])  # parts before the end of each text, without the end ids
+        ids = ids.take(pa.array(np.insert(parts.indices.to_numpy(), ends, len(ids) - 1)))
+        ends = ids.offsets.to_numpy()[ends + np.arange(1, len(ends) + 1)]
+        return pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), ids.values)
 
 
 def loaded(path: str) -> Encoder:
@@ -91,19 +121,17 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = loaded(tokenizer_path), 0
-        end = np.array([end_id], "<u4").tobytes()
         for whole in batches:
-            for k in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(k, ROWS)
-                texts = batch.column(1).to_pylist()
-                ids = [encoder.encode(t) + end for t in texts]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(sizes)
-                tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()),
-                                                  pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(before + ends - sizes), pa.array(sizes), tokens],
+            texts = whole.column(1).cast(pa.string())
+            till = np.cumsum(pc.binary_length(texts).to_numpy())
+            k = 0
+            while k < len(texts):
+                n = max(1, int(np.searchsorted(till, (till[k - 1] if k else 0) + TEXT_BYTES, "right")) - k)
+                tokens = encoder.encode_all(texts.slice(k, n), end_id)
+                at = tokens.offsets.to_numpy().astype(np.int64)
+                yield pa.RecordBatch.from_arrays([whole.column(0).slice(k, n), pa.array(before + at[:-1]), pa.array(np.diff(at)), tokens],
                                                  ["id", "before", "n_tokens", "tokens"])
-                before += int(ends[-1])
+                k, before = k + n, before + int(at[-1])
 
     out = map_partitions(rows, run, f"id {kind}, before bigint, n_tokens bigint, tokens array<int>", keeps="token_files")
     out = out.select(F.col("id").alias("doc_id"), F.spark_partition_id().alias("part"), "before", "n_tokens", "tokens")

@@ -9,6 +9,7 @@ from functools import reduce
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -189,6 +190,41 @@ def test_token_file_encoder(bpe, library):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_token_file_encoder_of_many_texts(bpe, library):
+    some = [*texts(bpe, 60), "", "a\u3000  b", "a\u3000 b", "x\xa0 \n y", "Fu\xdf, m\xf6\xe7. 2\xd7, 2\xf7,", "don't, '' s's", ""]
+    encoder = tokenfiles.Encoder(JSON)
+    for rows in (some, some[5:40], [""], ["", ""], []):
+        got = encoder.encode_all(pa.array(["cut off", *rows], pa.string()).slice(1), 7).to_pylist()
+        assert got == [[*library.encode(t, add_special_tokens=False).ids, 7] for t in rows]
+
+
+def test_token_file_encoder_looks_up_each_part_once_a_batch():
+    class Counted(dict):
+        asked = 0
+
+        def __missing__(self, part):
+            Counted.asked += 1
+            return b""
+
+    encoder = tokenfiles.Encoder(JSON)
+    encoder.parts = Counted()
+    encoder.encode_all(pa.array(["many words, and more words, and more" * 50] * 200), 0)
+    assert Counted.asked <= 8
+
+
+def test_marked_starts_are_starts_of_pieces():
+    from fieldbook.llm.chunks import WHITE_SPACE, piece_starts, pieces
+
+    rng = random.Random(8)
+    signs = "aabb1  \n'stmdrevl,.-\x1c\x7f\xe9\xd7\xf7\xb2\u01c5\u0416\u4e2d\U0001d49c" + WHITE_SPACE
+    for _ in range(5000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 14)))
+        ends = np.cumsum([len(p.encode()) for p in pieces(text)])
+        assert {*np.flatnonzero(piece_starts(np.frombuffer(text.encode(), np.uint8)))} <= {*ends}
+    data = np.frombuffer("One caf\xe9, two; don't".encode(), np.uint8)
+    assert np.flatnonzero(piece_starts(data)).tolist() == [3, 9, 10, 14, 15, 19]  # in bytes
+
+
 def test_token_files_read_by_id_and_empty(spark, odd, empty, tmp_path):
     path = str(tmp_path / "tokens")
     tokenfiles.write_tokens(odd, JSON, path, partitions=3)
